@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Stand for a doubled quote, and for nothing between quotes, while patterns are matched; private characters.
+DOUBLED, EMPTY = "\ue000", "\ue001"
+
+
 @dataclass(frozen=True)
 class Field:
     """A named piece of a row. pattern matches its value, without any quotes of its own."""
@@ -52,6 +56,9 @@ class FixedWidth:
     def rows(self) -> str:
         return "^(?:" + "|".join(c + "".join(f.pattern for f in fs) + f"[\\s\\S]{{{self.length - 1 - sum(f.width for f in fs)}}}" for c, fs in self.codes.items()) + ")$"
 
+    def matches(self, raw: Column) -> Column:
+        return raw.rlike(self.rows())
+
     def reason(self, raw: Column) -> Column:
         """The first thing that is wrong: length, record code, or the first field whose prefix pattern fails."""
         why = F.when(F.char_length(raw) != self.length, F.concat(F.lit("length: "), F.char_length(raw).cast("string")))
@@ -82,15 +89,28 @@ class Delimited:
     def _column(f: Field) -> str:
         return f'(?:"(?:{f.pattern})"|(?!")(?:{f.pattern}))'
 
-    _any = '(?:"(?:[^"]|"")*"|[^",]*)'
+    _any = '(?:"[^"]*"|[^",]*)'
+
+    @staticmethod
+    def masked(raw: Column) -> Column:
+        """raw with each quote that is doubled inside quotes as one mark, so that no pattern has to loop over them.
+
+        Split at quotes, pieces lie outside and inside quotes by turns; an empty outer piece between others is a doubled quote."""
+        outer = F.transform(F.split(raw, '"', -1), lambda x, i: F.when((F.pmod(i, F.lit(2)) == 0) & (i > 0) & (x == ""), F.lit(EMPTY)).otherwise(x))
+        joined = F.replace(F.array_join(outer, '"'), F.lit(f'"{EMPTY}"'), F.lit(DOUBLED))
+        return F.when(raw.contains('""'), F.replace(joined, F.lit(EMPTY), F.lit(""))).otherwise(raw)
+
+    def matches(self, raw: Column) -> Column:
+        return self.masked(raw).rlike(self.rows())
 
     def rows(self) -> str:
         return "^" + ",".join(f"(?:{self._column(f)})" for f in self.fields) + "$"
 
     def reason(self, raw: Column) -> Column:
-        n = len(self.fields)
-        shape = "^" + self._any + f"(?:,{self._any})*$"
-        why = F.when(~raw.rlike(shape), F.lit("quoting"))
+        n, raw = len(self.fields), self.masked(raw)
+        # a quote that neither opens nor closes a column, or is never closed
+        stray = '(?:^|,)"[^"]*"(?=,|$)'
+        why = F.when(F.contains(F.regexp_replace(raw, stray, ","), F.lit('"')), F.lit("quoting"))
         columns = F.size(F.regexp_extract_all(raw, F.lit(f"(?:^|,)({self._any})"), F.lit(0)))
         why = why.when(columns != n, F.concat(F.lit("columns: "), columns.cast("string")))
         prefix = "^"
@@ -105,8 +125,8 @@ class Delimited:
         group = "^" + ",".join(f"({self._any})" for _ in self.fields) + "$"
         out = {}
         for i, f in enumerate(self.fields):
-            v = F.regexp_extract(raw, group, i + 1)
-            out[f.name] = F.when(v.startswith('"'), F.replace(v.substr(F.lit(2), F.char_length(v) - 2), F.lit('""'), F.lit('"'))).otherwise(v)
+            v = F.regexp_extract(self.masked(raw), group, i + 1)
+            out[f.name] = F.when(v.startswith('"'), F.replace(v.substr(F.lit(2), F.char_length(v) - 2), F.lit(DOUBLED), F.lit('"'))).otherwise(v)
         return out
 
 
@@ -126,7 +146,7 @@ LEGAL_NAMES = Delimited(
     [
         Field("lei", "[A-Z0-9]{20}"),
         Field("estado_lei", "ISSUED|LAPSED|RETIRED|PENDING"),
-        Field("nombre_legal", '(?:(?<=")(?:[^"]|"")*(?=")|(?<!")[^",]*)'),
+        Field("nombre_legal", '(?:(?<=")[^"]*(?=")|(?<!")[^",]*)'),
         Field("pais", "[A-Z]{2}"),
         Field("categoria", "(?:GENERAL|FUND|BRANCH)?"),
         Field("estado_entidad", "(?:ACTIVE|INACTIVE)?"),
@@ -149,7 +169,7 @@ def split_rows(lines: DataFrame, formats: dict[str, FixedWidth | Delimited] = FO
     or the column patterns, which never backtrack over more than one column. Repeated rows are kept.
     """
     r, k = F.col(raw), F.col(kind)
-    good = reduce(lambda a, b: a | b, [(k == name) & r.rlike(f.rows()) for name, f in formats.items()], F.lit(False))
+    good = reduce(lambda a, b: a | b, [(k == name) & f.matches(r) for name, f in formats.items()], F.lit(False))
     why = reduce(lambda a, nf: a.when(k == nf[0], nf[1].reason(r)), formats.items(), F.when(k.isNull(), F.lit("format: null")))
     why = why.otherwise(F.concat(F.lit("format: "), k))
     return lines.where(is_record(r)).withColumn("_motivo", F.when(~F.coalesce(good, F.lit(False)), why))
