@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Largest optimizer estimate, in bytes, of a side that is broadcast explicitly.
 BROADCAST_LIMIT = 32 << 20
+#: An estimate from here on says that the optimizer doesn't know; buckets beyond this number gain nothing.
+UNKNOWN_BYTES, MOST_BUCKETS = 1 << 60, 1_000_000
 #: Bytes of input that one bucket of a grouped Python operator should hold.
 BUCKET_BYTES = 24 << 20
 
@@ -52,9 +54,9 @@ def buckets_for(*sides: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int
 
     Parquet is compressed and Python holds it expanded, hence the factor."""
     spark = sides[0].sparkSession
-    total = sum(plan_bytes(s) for s in sides) * 4
+    total = sum(n for n in map(plan_bytes, sides) if n < UNKNOWN_BYTES) * 4
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, parts, -(-total // bucket_bytes))
+    return min(MOST_BUCKETS, max(least, parts, -(-total // bucket_bytes)))
 
 
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
