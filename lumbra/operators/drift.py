@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbra.session import small
+from lumbra.session import checkpointed, small
 
 #: Share of common lines with equal values from which a vanished and a new field are one field renamed.
 RENAME_SHARE = 0.5
@@ -131,13 +131,13 @@ def renames(pairs: DataFrame, lines: DataFrame, lists: DataFrame) -> DataFrame:
 
 def schema_changes(fields: DataFrame, lines: DataFrame) -> DataFrame:
     """(archivo_id, antes, campo, campo_antes, cambio, detalle): each change of a file against its series' previous delivered period."""
-    lists = field_lists(fields)
+    lists = checkpointed(field_lists(fields))  # read by every part of the comparison
     got = deliveries(lists).where("antes IS NOT NULL").select("archivo_id", "antes")
     pic = F.struct("kind", "signed", "decimals", "width")
     own = lists.select("archivo_id", "campo", pic.alias("p"))
     new = got.join(own, "archivo_id").withColumnRenamed("p", "n")
     old = got.join(own.withColumnRenamed("archivo_id", "antes"), "antes").withColumnRenamed("p", "o")
-    both = new.join(old, ["archivo_id", "antes", "campo"], "full")
+    both = checkpointed(new.join(old, ["archivo_id", "antes", "campo"], "full").where("o IS NULL OR n IS NULL OR n <> o"))
     added = both.where("o IS NULL").select("archivo_id", "antes", F.col("campo").alias("nuevo"), F.col("n").alias("p"))
     removed = both.where("n IS NULL").select("archivo_id", "antes", F.col("campo").alias("viejo"), F.col("o").alias("p"))
     pairs = added.join(removed, ["archivo_id", "antes", "p"]).select("archivo_id", "antes", "nuevo", "viejo")

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumbra.session import checkpointed
+
 #: Children of an inner node, and inner nodes of a tree.
 FANOUT = 16
 
@@ -103,7 +105,7 @@ NOTIONAL_STEP = 0.001
 
 def position_changes(positions: DataFrame) -> DataFrame:
     """Positions that came, went or changed since the company's previous delivered month, with both notionals."""
-    snaps = clean_positions(positions)
+    snaps = checkpointed(clean_positions(positions))  # read five times: by three levels of digests, the pairs and the rows
     # equal to the nearest step means a difference within the step, so the digest is never coarser than the test
     content = [F.round(F.col("nocional_m") / NOTIONAL_STEP).cast("decimal(38,0)").cast("string"), F.col("fecha_vencimiento"), F.col("moneda"), F.col("contraparte_key")]
     content = [F.coalesce(c.cast("string"), F.lit("\0")) for c in content]

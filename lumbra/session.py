@@ -95,3 +95,9 @@ def counted_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Materialises a side, counts it, and marks it for broadcast only if it has at most `rows` rows."""
     df = checkpointed(df)
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores, for costly work on a few large files; where it has them already nothing moves."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
