@@ -41,7 +41,7 @@ def p6_entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sized(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.sized(table(spark, folder, "documents"))
+    return tokens.sized(table(spark, folder, "documents").select("doc_id", "text", "source"))
 
 
 def p8_packed(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,13 +14,14 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbra.session import ship
+from lumbra.session import ship, spread
 
 #: Documents of the training sample, labelled passages kept of it, share of hosts held out.
 SAMPLE_DOCUMENTS, SAMPLE_PASSAGES, HELD_OUT = 40_000, 60_000, 0.25
@@ -41,6 +42,7 @@ _SLOT = {
     "ph_brace": r"\{\w+\}",
     "ph_angle": r"<[A-Za-zÀ-ÿ_ ]{2,40}>",
     "ph_square": r"\[[A-Za-zÀ-ÿ_ ]{3,40}\]|\[●\]|\[_+\]",
+    "ph_guill": r"«[A-Za-zÀ-ÿ_ ]{3,40}»",
     "ph_fill": r"\((?:indicar|insertar|completar|inserir|preencher|insert)[^)]*\)",
     "ph_dots": r"…{2,}|\.{6,}",
     "ph_form": r"\bX{2,}(?:[ .]+de X{2,})*(?: de 20XX)?\b|\bXXX\.XXX\b|\bdd/mm/a{2,4}\b|\bdd/mm/yyyy\b",
@@ -53,12 +55,12 @@ RESIDUE_PHRASES = re.compile(
     r"|your text here|sample paragraph goes here|aqui va el parrafo|texto de prueba, reemplazar|texto de exemplo a ser|texto texto texto|asdf asdf|qwer qwer|texto ficticio que ocupa|blah blah|click to edit|haga clic para editar"
     r"|^\W*(?:error )?[45]\d\d\W+\w|http [45]\d\d|^\W*error [45]\d\d|bad gateway\.|internal (?:server )?error|page could not be found|pagina no encontrada\.|pagina nao encontrada\.|servicio no disponible temporalmente|service unavailable\.|servico indisponivel"
     r"|request id [0-9a-f]{4}|traceback \(most recent|fatal error:|ora-\d{4,5}|stack trace|error inesperado al|tiempo de espera agotado|sesion ha expirado|session has expired|your session|access denied|acceso denegado|acesso negado|nullpointer|keyerror"
-    r"|enable javascript|habilitar javascript en|ativar o javascript|requires javascript|habilite (?:los scripts|javascript)|active las cookies|browser with scripting|no admite scripts|no es un robot|not a robot|scripts esten permitidos|javascript (?:is )?(?:disabled|required|desactivado)|cargando…|loading…|demasiadas solicitudes|too many requests|acceso denegado\.|(?:em|en) (?:manutencao|mantenimiento)|pendiente de redaccion|\bxxxx xxxx\b|\bbla bla\b"
+    r"|enable javascript|habilitar javascript en|ativar o javascript|requires javascript|habilite (?:los scripts|javascript)|active las cookies|browser with scripting|no admite scripts|no es un robot|not a robot|scripts esten permitidos|javascript (?:is )?(?:disabled|required|desactivado)|cargando…|loading…|demasiadas solicitudes|too many requests|acceso denegado\.|(?:em|en) (?:manutencao|mantenimiento)|pendiente de redaccion|\b([a-z]+(?: [a-z]+){0,3})(?:\W+\1\b){2,}|no tiene permisos|\bxxxx xxxx\b|\bbla bla\b"
 )
 #: Words by which a text reports on such things instead of being one.
 TALK = re.compile(
     r"\b(?:corrieron|dejaron|took|explica|reemplaza|citaba|apunta|devolvio|returned|devolveu|repitio|repeated|revisaron|se reviso|reviso que|duro|lasted|durou|no afecto|lleno con|filled with|preenchida|removed from|retirado|rechazo|rejected|rejeitou|dejo activo|no se usa|se debio a|preenchido com|ja o ativou|pede javascript|did on|"
-    r"quedaron|corregido|reporto|agrupa|admitidas|viene en|no lo lleva|did on|cuenta 404|account 404|conta 404|was fixed|se corrigio|foi corrigid|usa .{1,40} como variable|ninguna llevara|exige habilitar|needs javascript enabled|antes de enviar|palabra|variable)\b"
+    r"quedaron|corregido|reporto|agrupa|admitidas|viene en|no lo lleva|did on|cuenta 404|account 404|conta 404|was fixed|se corrigio|foi corrigid|usa .{1,40} como variable|ninguna llevara|exige habilitar|needs javascript enabled|antes de enviar las|palabra|variable)\b"
 )
 
 
@@ -66,14 +68,18 @@ TALK = re.compile(
 TOPIC = re.compile(r"javascript|script|\berror|\berro\b|template|plantilla|maqueta|modelo|relleno|lorem|sample|navegador|browser|pagina|page|servicio no|acceso|access|sesion (?:ha |expir)|session|manual|\b[45]0\d\b|cookie|mantenimiento|manutencao")
 
 
+_PLAIN = {i: unicodedata.normalize("NFKD", chr(i))[0] for i in range(0xC0, 0x250) if unicodedata.decomposition(chr(i))} | {i: None for i in range(0x300, 0x370)}
+
+
 def folded(s: str) -> str:
-    s = unicodedata.normalize("NFKD", s)
-    return "".join(c for c in s if not unicodedata.combining(c)).lower()
+    """Lower case without accents."""
+    return (s if s.isascii() else s.translate(_PLAIN)).lower()
 
 
-# a full stop after a capital, or after these short forms, ends no passage
-_CUT = re.compile(r"(?<=[.!?])(?<![A-Z]\.)(?<!Bco\.)(?<!Cía\.)(?<!Ltda\.)(?<!Sr\.)(?<!Dr\.)(?<!Sra\.)\s+(?=\S)|\n+")
-_WORD = re.compile(r"ph_\w+|[a-zñ]+|\d+|[$%{}<>\[\]#@_]")
+# a full stop ends no passage after these short forms, nor after a single capital where a small letter follows
+_STOP = r"(?<=[.!?])(?<!Bco\.)(?<!Cía\.)(?<!Sr\.)(?<!Dr\.)(?<!Sra\.)"
+_CUT = re.compile(rf"{_STOP}(?<![.\s][A-Z]\.)(?<!Ltda\.)\s+(?=\S)|{_STOP}\s+(?=[^\sa-zà-öø-ÿ])|\n+")
+_WORD = re.compile(r"ph_[a-z]+\d?|[a-z]+|\d+|[$%{}<>\[\]#@_]")
 
 
 def passages(text: str | None) -> list[str]:
@@ -81,7 +87,13 @@ def passages(text: str | None) -> list[str]:
     return [p for p in _CUT.split(text) if p.strip()] if text else []
 
 
+_MAYBE = re.compile(r"[«{<@%#\[]|__|XX|dd/|\$\w|……|\.{6}|\((?:i|c|p)")
+
+
 def _masked(p: str) -> tuple[str, int]:
+    """The passage with each slot as a word of its kind, and their number."""
+    if not _MAYBE.search(p):
+        return p, 0
     n = 0
 
     def mask(m: re.Match) -> str:
@@ -106,21 +118,25 @@ def weak_label(p: str) -> int | None:
     return 0
 
 
+@lru_cache(200_000)
+def _hash(word: str) -> int:
+    return zlib.crc32(word.encode())
+
+
+def _mix(a: int, b: int) -> int:
+    """Hash of a sequence that ends with b."""
+    return (a * 0x01000193 ^ b) * 0x9E3779B1 & 0xFFFFFFFF
+
+
 @lru_cache(100_000)
 def features(p: str, first: bool, alone: bool) -> tuple[int, ...]:
     """Hashed features: words, pairs, triples, length, title form and the number of slots. Digits count as one; names are words."""
-    masked, slots = _masked(p[:4000] if len(p) > 4000 and " " not in p[:4000] else p)
-    words = [("0" if w[0].isdigit() else w) for w in _WORD.findall(folded(masked))]
-    h = [zlib.crc32(w.encode()) for w in words]
-    out = {x % FEATURES for x in h}
-    pair = [zlib.crc32(b.to_bytes(4, "big"), a) for a, b in zip(h, h[1:])]
-    out |= {x % FEATURES for x in pair}
-    out |= {zlib.crc32(c.to_bytes(4, "big"), x) % FEATURES for x, c in zip(pair, h[2:])}
-    letters = [c for c in p if c.isalpha()]
-    upper = sum(c.isupper() for c in letters) > 0.8 * len(letters) > 4
-    extra = [f"slots{min(slots, 3)}", f"len{min(len(words).bit_length(), 7)}", f"first{first}", f"alone{alone}", f"caps{upper}", f"end{p.rstrip()[-1:]}", f"same{len(set(words)) * 3 < len(words) * 2}"]
-    out |= {zlib.crc32(f"\0{e}".encode()) % FEATURES for e in extra}
-    return tuple(out)
+    masked, slots = _masked(p)
+    words = ["0" if w[0].isdigit() else w for w in _WORD.findall(folded(masked))]
+    h = [_hash(w) for w in words]
+    pairs = [_mix(a, b) for a, b in zip(h, h[1:])]
+    extra = (f"\0slots{min(slots, 3)}", f"\0len{min(len(words).bit_length(), 7)}", f"\0first{first}", f"\0alone{alone}", f"\0caps{len(p) > 4 and p.isupper()}", f"\0end{p.rstrip()[-1:]}", f"\0same{len(set(words)) * 3 < len(words) * 2}")
+    return tuple({x >> 16 for x in (*h, *pairs, *(_mix(a, b) for a, b in zip(pairs, h[2:])), *map(_hash, extra))})
 
 
 @dataclass
@@ -129,34 +145,42 @@ class Model:
     bias: float
 
     def score(self, rows: list[tuple[int, ...]]) -> np.ndarray:
-        if not rows:
-            return np.zeros(0)
-        n = np.array([len(r) for r in rows])
-        flat = self.weights[np.fromiter((i for r in rows for i in r), dtype=np.int64, count=n.sum())]
-        z = np.add.reduceat(np.append(flat, 0.0), np.concatenate([[0], np.cumsum(n)[:-1]])) * (n > 0)
+        return self.score_flat(*flat(rows)) if rows else np.zeros(0)
+
+    def score_flat(self, idx: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """idx: the rows' features one after another; n: how many each row has."""
+        ends = np.cumsum(n)
+        total = np.concatenate([[0.0], np.cumsum(self.weights[idx])])
+        z = total[ends] - total[ends - n]
         return 1 / (1 + np.exp(-np.clip(z / np.sqrt(np.maximum(n, 1)) * 3 + self.bias, -30, 30)))
 
 
+def flat(rows: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+    return np.fromiter(chain.from_iterable(rows), dtype=np.int64, count=int(n.sum())), n
+
+
 def train(rows: list[tuple[int, ...]], labels: np.ndarray, seed: int = SEED) -> Model:
-    """Logistic regression with L2 penalty by adaptive gradient steps; both classes weigh the same."""
+    """Logistic regression with L2 penalty by adaptive gradient steps; the rarer class weighs more, by the root of its rareness."""
     rng = np.random.default_rng(seed)
     w, g2, bias = np.zeros(FEATURES), np.full(FEATURES, 1e-2), 0.0
     if not len(labels):
         return Model(w, -1.0)
     y = labels.astype(float)
     share = y.mean()
-    weight = np.where(y > 0, 0.5 / max(share, 1e-3), 0.5 / max(1 - share, 1e-3))
+    weight = np.where(y > 0, np.sqrt((1 - share) / max(share, 1e-3)), 1.0)
+    every, n = flat(rows)
+    start = np.cumsum(n) - n
     for _ in range(PASSES):
         for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 256)):
-            own = [rows[i] for i in part]
-            n = np.array([len(r) for r in own])
-            idx = np.fromiter((i for r in own for i in r), dtype=np.int64, count=n.sum())
-            err = (Model(w, bias).score(own) - y[part]) * weight[part]
-            grad = np.bincount(idx, np.repeat(err / np.sqrt(np.maximum(n, 1)) * 3, n), FEATURES) / len(part)
-            seen = np.unique(idx)
-            grad[seen] += PENALTY * w[seen]
-            g2[seen] += grad[seen] ** 2
-            w[seen] -= STEP * grad[seen] / np.sqrt(g2[seen])
+            k = n[part]
+            at = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+            idx = every[np.repeat(start[part], k) + at]
+            err = (Model(w, bias).score_flat(idx, k) - y[part]) * weight[part]
+            seen, where = np.unique(idx, return_inverse=True)
+            grad = np.bincount(where, np.repeat(err / np.sqrt(np.maximum(k, 1)) * 3, k), len(seen)) / len(part) + PENALTY * w[seen]
+            g2[seen] += grad**2
+            w[seen] -= STEP * grad / np.sqrt(g2[seen])
             bias -= STEP * 0.1 * err.mean()
     return Model(w, bias)
 
@@ -181,7 +205,7 @@ def sample(documents: DataFrame, host: str = "rut_compania") -> pd.DataFrame:
     keep = documents.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), "text", "doc_id")
     if n > SAMPLE_DOCUMENTS:
         keep = keep.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < int(1_000_000 * SAMPLE_DOCUMENTS / n))
-    got = keep.mapInPandas(_labelled, "host string, p string, first boolean, alone boolean, y int")
+    got = spread(keep).mapInPandas(_labelled, "host string, p string, first boolean, alone boolean, y int")
     return got.limit(SAMPLE_PASSAGES).toPandas().sort_values(["host", "p", "first", "alone", "y"], kind="stable")
 
 
@@ -220,7 +244,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
                 which.append(ps[k])
             yield pd.DataFrame({"doc_id": b["doc_id"], "puntaje": tops, "pasaje": which})
 
-    return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, puntaje double, pasaje string")
+    return spread(documents.select("doc_id", "text")).mapInPandas(run, "doc_id long, puntaje double, pasaje string")
 
 
 def residue(documents: DataFrame, host: str = "rut_compania") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbra.session import ship
+from lumbra.session import ship, spread
 
 #: Vocabulary file; every executor must see it under this path.
 VOCABULARY = os.environ.get("LUMBRA_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -37,4 +37,4 @@ def sized(documents: DataFrame, text: str = "text", vocabulary: str = VOCABULARY
         t = tokenizer(vocabulary)
         return texts.map(lambda x: len(t.encode_ordinary(x)) if x else 0).astype("int64")
 
-    return documents.withColumn("n_tokens", count(F.col(text)))
+    return spread(documents).withColumn("n_tokens", count(F.col(text)))
