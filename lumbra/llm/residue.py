@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from lumbra.session import ship, spread
 
 #: Documents of the training sample, labelled passages kept of it, share of hosts held out.
-SAMPLE_DOCUMENTS, SAMPLE_PASSAGES, HELD_OUT = 40_000, 60_000, 0.25
+SAMPLE_DOCUMENTS, SAMPLE_PASSAGES, HELD_OUT = 40_000, 100_000, 0.25
 #: Hashed features, passes, step, L2 penalty, score from which a passage counts.
 FEATURES, PASSES, STEP, PENALTY, THRESHOLD = 1 << 16, 12, 0.5, 2e-5, 0.5
 #: Ordinary passages kept for each labelled one.
-ORDINARY_SHARE = 0.15
+ORDINARY_SHARE = 0.08
 SEED = 7
 
 _SLOT = {
