@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbra.session import buckets_for, ship, small
+from lumbra.session import buckets_for, counted_small, ship
 
 #: Events of one entity above which they are spread over several buckets.
 HOT_EVENTS = 200_000
@@ -92,7 +92,7 @@ def latest_known(
 
     n = buckets_for(events.select(*keys, *event_id, event_day), versions.select(*keys, recorded, period, *carried))
     hot = e.groupBy(*names).count().where(F.col("count") > hot_events).select(*names, F.ceil(F.col("count") / hot_events).cast("int").alias("_parts"))
-    hot = small(hot)
+    hot = counted_small(hot)  # at most events / hot_events rows
     e = e.join(hot, names, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
     e = e.withColumn("_salt", F.pmod(F.xxhash64(*[f"_e{i}" for i in range(len(event_id))]), F.col("_parts")).cast("int"))
     v = v.join(hot, names, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))

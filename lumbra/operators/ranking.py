@@ -8,15 +8,43 @@ from pyspark.sql import functions as F
 from lumbra.functions.numbers import exact_sum
 
 
+#: Value ranges that a global ranking is split into.
+RANGES = 64
+
+
+def global_rank(df: DataFrame, value: str, key: str, descending: bool = False) -> DataFrame:
+    """df with `_rank`: exact position by value, nulls last, ties by key.
+
+    Rows are ranked inside value ranges, whose edges are approximate quantiles, and shifted by the number of rows in the
+    ranges before; so no task sorts the whole table. A value lies in one range, however often it occurs."""
+    step = [i / RANGES for i in range(1, RANGES)]
+    edges = df.agg(F.percentile_approx(value, step, 1000).alias("e")).first()["e"] or []  # RANGES - 1 numbers
+    inside = F.lit(0)
+    for e in sorted(set(edges)):
+        inside = inside + F.when(F.col(value) >= F.lit(e), 1).otherwise(0)
+    last = F.lit(len(edges) + 1)
+    r = df.withColumn("_range", F.when(F.col(value).isNull(), last).otherwise(-inside if descending else inside))
+    counts = r.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_range")) - F.col("_n")).drop("_n")  # RANGES + 1 rows
+    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(order, F.asc_nulls_last(key)))
+    return r.withColumn("_own", own).join(F.broadcast(before), "_range").withColumn("_rank", (F.col("_own") + F.col("_before")).cast("long")).drop("_range", "_own", "_before")
+
+
 def positive_rank(df: DataFrame, value: str, key: str, by: list[str] | None = None) -> DataFrame:
     """df with `puesto`: 1 to n among positive values, ties by key; null for the others. df is an aggregate with one row a key."""
-    w = Window.partitionBy(*(by or [F.lit(1)])).orderBy(F.when(F.col(value) > 0, F.col(value)).desc_nulls_last(), F.asc_nulls_last(key))
+    live = F.when(F.col(value) > 0, F.col(value))
+    if not by:
+        r = global_rank(df.withColumn("_v", live), "_v", key, descending=True)
+        return r.withColumn("puesto", F.when(F.col(value) > 0, F.col("_rank").cast("int"))).drop("_v", "_rank")
+    w = Window.partitionBy(*by).orderBy(live.desc_nulls_last(), F.asc_nulls_last(key))
     return df.withColumn("puesto", F.when(F.col(value) > 0, F.row_number().over(w)))
 
 
 def pinned_top(df: DataFrame, key: str, value: str, n: int, pin: str) -> DataFrame:
     """(key, value, puesto, parte): the first n and the pinned key with its true place, then Resto and Total."""
-    r = positive_rank(df.select(key, value), value, key).withColumn("parte", F.try_divide(F.col(value) * 100, F.sum(value).over(Window.partitionBy(F.lit(1)))))
+    whole = df.agg(exact_sum(F.col(value)).alias("_all"))  # one row
+    r = positive_rank(df.select(key, value), value, key).join(F.broadcast(whole), F.lit(True)).withColumn("parte", F.try_divide(F.col(value) * 100, F.col("_all"))).drop("_all")
     shown = (F.col("puesto") <= n) | (F.col(key) == pin)
     rest = r.where(~F.coalesce(shown, F.lit(False))).agg(exact_sum(F.col(value)).alias(value)).select(F.lit("Resto").alias(key), value, F.lit(None).cast("int").alias("puesto"), F.lit(None).cast("double").alias("parte"))
     total = r.agg(exact_sum(F.col(value)).alias(value)).select(F.lit("Total").alias(key), value, F.lit(None).cast("int").alias("puesto"), F.lit(100.0).alias("parte"))
@@ -31,10 +59,10 @@ def pivoted(df: DataFrame, rows: list[str], column: str, values: list, amount: C
 
 def tercile(df: DataFrame, value: str, key: str) -> DataFrame:
     """df with `tercil` 1 to 3 by rank of value, ties by key, bounds as of quantiles interpolated between ranks. One row a key."""
-    w = Window.partitionBy(F.lit(1))
-    rank, n = F.row_number().over(w.orderBy(value, key)), F.count(F.lit(1)).over(w)
-    cut = lambda k: 1 + (n - 1) * F.lit(k) / 3
-    return df.withColumn("_r", rank).withColumn("tercil", F.when(F.col("_r") <= cut(1), 1).when(F.col("_r") <= cut(2), 2).otherwise(3)).drop("_r")
+    n = df.agg(F.count(F.lit(1)).alias("_n"))  # one row
+    r = global_rank(df, value, key).join(F.broadcast(n), F.lit(True))
+    cut = lambda k: 1 + (F.col("_n") - 1) * F.lit(k) / 3
+    return r.withColumn("tercil", F.when(F.col("_rank") <= cut(1), 1).when(F.col("_rank") <= cut(2), 2).otherwise(3)).drop("_rank", "_n")
 
 
 def top_value(df: DataFrame, by: list[str], key: str, value: str) -> DataFrame:

@@ -89,3 +89,16 @@ def test_reconcile_and_series(spark):
     e = spark.createDataFrame([(i, D(2025, m, d)) for i, (m, d) in enumerate([(1, 9), (1, 10), (2, 28), (3, 1), (12, 31)])], "id int, ts date")
     assert {r["id"]: r["valor"] for r in series.value_as_of(e, s, "ts").collect()} == {0: None, 1: 1.0, 2: 1.0, 3: 2.0, 4: 2.0}
     assert {r["periodo"]: r["valor"] for r in series.month_close(s).collect()} == {202501: 1.0, 202503: 2.0}
+
+
+def test_global_rank_with_ties_nulls_and_a_hot_value(spark):
+    import random
+
+    r = random.Random(4)
+    vals = [None if r.random() < 0.1 else 5.0 if r.random() < 0.4 else round(r.uniform(-50, 50), 1) for _ in range(500)]
+    df = spark.createDataFrame([(f"k{i:03d}", v) for i, v in enumerate(vals)], "k string, v double")
+    for down in (False, True):
+        got = {x["k"]: x["_rank"] for x in ranking.global_rank(df, "v", "k", descending=down).collect()}
+        want = sorted(got, key=lambda k: (vals[int(k[1:])] is None, (-1 if down else 1) * (vals[int(k[1:])] or 0.0), k))
+        assert [got[k] for k in want] == list(range(1, 501))
+    assert ranking.global_rank(df.limit(0), "v", "k").count() == 0
