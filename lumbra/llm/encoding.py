@@ -22,7 +22,7 @@ from lumbra.session import ship
 
 # Encodings that texts are written in and misread as.
 WRONG = ("latin_1", "cp1252", "cp850", "cp437", "mac_roman", "cp1251")
-SINGLE = ("cp1252", "mac_roman", "cp850", "cp437")
+SINGLE = ("cp1252", "mac_roman", "cp850", "cp437", "cp1251")
 #: How often a text may have been misread, one time on another.
 DEPTH = 3
 # Letters of the texts' languages (Spanish, Portuguese, German, French).
@@ -84,6 +84,7 @@ def pairs() -> list[dict[str, str]]:
     return out
 
 
+@lru_cache(1)
 def singles() -> set[str]:
     return {g for own in pairs() for g in own}
 
@@ -117,7 +118,7 @@ def _fits(s: str, i: int, ranked: list[dict[str, str]]) -> str | None:
     """The letter that the single character at i stands for, or None if it stands there rightly."""
     ch = s[i]
     before, after = s[i - 1 : i], s[i + 1 : i + 2]
-    left, right = before.isalpha(), after.isalpha()
+    left, right = (bool(c) and (c.isalpha() or not c.isascii() and c in singles()) for c in (before, after))
     if not left and not right:
         return None
     word = re.split(r"[^\w]", s[:i])[-1] + re.split(r"[^\w]", s[i + 1 :])[0]
@@ -131,7 +132,7 @@ def _fits(s: str, i: int, ranked: list[dict[str, str]]) -> str | None:
             if not right:
                 return None
         elif ch == "ß":
-            if left and before.lower() in "aeiouäöü":
+            if left and before.lower() in "aeiouäöü" and (not right or after.lower() in "aeiouhtlks"):
                 return None
         elif ch in "õÕ" and after.lower() == "e" or ch in "ãÃ" and (not right or after.lower() in "oesn"):
             return None
