@@ -184,8 +184,8 @@ def with_units(rows: DataFrame) -> DataFrame:
     units = spelled.where("_unit IS NOT NULL").select(F.lit("unit").alias("tipo"), F.col("_unit").alias("grafia")).distinct()
     remarks = spelled.where("_unit IS NULL AND _remark IS NOT NULL").select(F.lit("remark").alias("tipo"), F.col("_remark").alias("grafia")).distinct()
     dictionary = checkpointed(alias_dictionary(units.unionByName(remarks)))
-    by_unit = counted_small(dictionary.where("tipo = 'unit' AND unidad IS NOT NULL").select(F.col("grafia").alias("_unit"), F.col("unidad").alias("_u")))
-    by_remark = counted_small(dictionary.where("tipo = 'remark' AND unidad <> ''").select(F.col("grafia").alias("_remark"), F.col("unidad").alias("_r")))
+    by_unit = counted_small(dictionary.where("tipo = 'unit' AND unidad IS NOT NULL").select(F.col("grafia").alias("_unit"), F.col("unidad").alias("_u")), written=True)
+    by_remark = counted_small(dictionary.where("tipo = 'remark' AND unidad <> ''").select(F.col("grafia").alias("_remark"), F.col("unidad").alias("_r")), written=True)
     got = spelled.join(by_unit, "_unit", "left").join(by_remark, "_remark", "left")
     got = got.withColumn("_stated", F.coalesce("_u", F.when(F.col("_unit").isNull(), F.col("_r"))))
 
@@ -209,7 +209,7 @@ def with_units(rows: DataFrame) -> DataFrame:
         .when((off <= -FILE_STEP) & (F.col("_broken") >= FILE_SHARE), "MMCLP")
     )
     odd = files.where("_n > 0").join(level, "tabla").withColumn("_f", file_unit).where("_f IS NOT NULL").select("tabla", "zip_origen", "source_file", "_f")
-    got = got.join(counted_small(odd), ["tabla", "zip_origen", "source_file"], "left")
+    got = got.join(counted_small(odd, written=True), ["tabla", "zip_origen", "source_file"], "left")
     unit = F.coalesce("_stated", "_f", F.lit(NORM))
     origin = F.when(F.col("_u").isNotNull(), "unit").when(F.col("_stated").isNotNull(), "remark").when(F.col("_f").isNotNull(), "file").otherwise("norm")
     return got.withColumn("unidad", unit).withColumn("origen_unidad", origin).drop("_unit", "_remark", "_u", "_r", "_stated", "_f")
@@ -225,4 +225,4 @@ def in_norm_units(rows: DataFrame, closes: DataFrame) -> DataFrame:
     )
     u, m = F.col("unidad"), F.col("monto")
     value = reduce(lambda a, x: a.when(u == x[0], x[1]), [("CLP", m / 1000), ("MMCLP", m * 1000), ("MUSD", m * F.col("_usd")), ("UF", m * F.col("_uf") / 1000)], F.when(u == NORM, m))
-    return rows.join(counted_small(closes), "periodo_informacion", "left").withColumn("monto_norma", value).drop("_uf", "_usd")
+    return rows.join(counted_small(closes, written=True), "periodo_informacion", "left").withColumn("monto_norma", value).drop("_uf", "_usd")

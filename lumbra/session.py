@@ -91,9 +91,9 @@ def ship(spark: SparkSession) -> None:
 BROADCAST_ROWS = 200_000
 
 
-def counted_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialises a side, counts it, and marks it for broadcast only if it has at most `rows` rows."""
-    df = checkpointed(df)
+def counted_small(df: DataFrame, rows: int = BROADCAST_ROWS, written: bool = False) -> DataFrame:
+    """Counts a side and marks it for broadcast only if it has at most `rows` rows; materialises it before, unless it is a part of something written."""
+    df = df if written else checkpointed(df)
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
