@@ -186,9 +186,9 @@ def one_table(fields: DataFrame, lines: DataFrame, changes: DataFrame | None = N
     """All lines of all files as one table: a typed column for each canonical field, and `_fallidos`, the fields whose cast failed.
 
     A field's type follows from all files' path-type statistics: date, number, else text. A field that a file lacks is null."""
-    lists = field_lists(fields)
+    lists = checkpointed(field_lists(fields))
     known = aliases(schema_changes(fields, lines) if changes is None else changes)
-    values = path_values(lines, lists)
+    values = checkpointed(path_values(lines, lists))  # read for the statistics and for the table; a filter on the table then doesn't cut lines again
     stats = path_types(values).groupBy("campo", "tipo").agg(F.sum("filas").alias("n")).collect()  # vocabulary x types
     seen: dict[str, dict[str, int]] = {}
     for r in stats:

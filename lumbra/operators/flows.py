@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,15 +23,31 @@ def positions(lines: DataFrame, keys: list[str], attributes: list[str]) -> DataF
     )
 
 
-def mutual_best(left: DataFrame, right: DataFrame, on: list[str], left_id: str, right_id: str, near: Column, distance: Column, owner: list[str]) -> DataFrame:
-    """Pairs that are each other's nearest: equality on `on`, the band `near` as a residual, ties by the other's id as text.
+def mutual_nearest(left: DataFrame, right: DataFrame, group: list[str], key: str, value: str, tolerance: float) -> DataFrame:
+    """(group, _l, _r, _ln, _rn): keys and values of left and right rows that are each other's nearest in value within the band |r - l| <= tolerance |l|.
+
+    Ties go to the lesser key, so of rows with one value only the least key can pair. In order of value, what lies nearest
+    stands next to a row on either side, and if that is out of the band so is all beyond it: a window finds both neighbours
+    and no pairs are listed. Values fall into magnitude ranges in which everything within the band is in a row's own range
+    or the next ones, so even a group of very many rows is divided. tolerance is less than 1; zero and null values don't pair."""
+    base = math.log(1.001 / (1 - tolerance))
+    reps = lambda df, side: df.where(F.col(value) != 0).groupBy(*group, value).agg(F.min(key).alias("_k")).withColumn("_s", F.lit(side))
+    u = reps(left, 0).unionByName(reps(right, 1)).withColumn("_own", F.floor(F.log(F.abs(value)) / base))
+    u = u.withColumn("_b", F.explode(F.array(F.col("_own") - 1, F.col("_own"), F.col("_own") + 1))).withColumn("_sign", F.signum(value))
+    w = Window.partitionBy(*group, "_sign", "_b").orderBy(value, "_s")
+    other = lambda side: F.when(F.col("_s") == side, F.struct(F.col(value).alias("v"), F.col("_k").alias("k")))
+    before = lambda side: F.last(other(side), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    after = lambda side: F.first(other(side), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    is_left = F.col("_s") == 0
+    u = u.withColumn("_p", F.when(is_left, before(1)).otherwise(before(0))).withColumn("_n", F.when(is_left, after(1)).otherwise(after(0))).where("_b = _own")
+
+    def candidate(c: str) -> Column:
+        d = F.abs(F.col(value) - F.col(f"{c}.v"))
+        return F.when(d <= tolerance * F.abs(F.when(is_left, F.col(value)).otherwise(F.col(f"{c}.v"))), F.struct(d.alias("d"), F.col(f"{c}.k").alias("k"), F.col(f"{c}.v").alias("v")))
 
-    left has columns l.*, right r.* in near and distance. The band is sorted and ranked within one owner and item, so a
-    group is what one item can pair with, never all pairs of an owner."""
-    cand = left.alias("l").join(right.alias("r"), [F.col(f"l.{c}") == F.col(f"r.{c}") for c in on] + [near])
-    cand = cand.select(*[F.col(f"l.{c}").alias(c) for c in owner], F.col(f"l.{left_id}").alias("_l"), F.col(f"r.{right_id}").alias("_r"), distance.alias("_d"))
-    best = lambda mine, other: F.row_number().over(Window.partitionBy(*owner, mine).orderBy("_d", other))
-    return cand.withColumn("_a", best("_l", "_r")).withColumn("_b", best("_r", "_l")).where("_a = 1 AND _b = 1").drop("_a", "_b")
+    u = u.withColumn("_best", F.least(candidate("_p"), candidate("_n"))).where("_best IS NOT NULL")
+    side = lambda i, mine, its, n: u.where(F.col("_s") == i).select(*group, F.col("_k").alias(mine), F.col("_best.k").alias(its), F.col(value).alias(n))
+    return side(0, "_l", "_r", "_ln").join(side(1, "_r", "_l", "_rn"), [*group, "_l", "_r"])
 
 
 def classify(now: DataFrame, before: DataFrame, period: int, close: Column, tolerance: float = TOLERANCE) -> DataFrame:
@@ -40,10 +58,8 @@ def classify(now: DataFrame, before: DataFrame, period: int, close: Column, tole
     key = ["rut_compania", "folio_operacion"]
     born = now.join(before.select(*key), key, "left_anti")
     dead = before.join(now.select(*key), key, "left_anti")
-    near = (F.abs(F.col("r.nocional_m") - F.col("l.nocional_m")) <= F.abs(F.col("l.nocional_m")) * tolerance) & (F.abs(F.col("l.nocional_m")) > 0)
-    rolls = mutual_best(dead, born, ["rut_compania", "contraparte_key", "producto"], "folio_operacion", "folio_operacion", near, F.abs(F.col("r.nocional_m") - F.col("l.nocional_m")), ["rut_compania"])
-    rolls = rolls.join(dead.select("rut_compania", F.col("folio_operacion").alias("_l"), F.col("nocional_m").alias("_n")), ["rut_compania", "_l"])
-    rolls = rolls.select("rut_compania", "_l", "_r", F.try_divide(F.col("_d"), F.abs("_n")).alias("dif_rel_nocional"))
+    rolls = mutual_nearest(dead, born, ["rut_compania", "contraparte_key", "producto"], "folio_operacion", "nocional_m", tolerance)
+    rolls = rolls.select("rut_compania", "_l", "_r", relative_difference(F.col("_rn"), F.col("_ln")).alias("dif_rel_nocional"))
     shape = lambda df, cat, n, p, pair, dif: df.select(
         F.lit(period).alias("periodo"), cat.alias("categoria"), *key, *ATTRIBUTES, "fecha_vencimiento", n.alias("nocional_m"), p.alias("nocional_prev_m"), "mtm_neto_m", pair.alias("folio_par"), dif.alias("dif_rel_nocional")
     )

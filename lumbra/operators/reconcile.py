@@ -11,6 +11,9 @@ def one_to_one(left: DataFrame, right: DataFrame, on: list[str], left_id: str, r
 
     The interval becomes equalities: a left day is looked up in the blocks of `days` + 1 days that it may touch, so the join
     hashes and only days of neighbouring blocks meet. Ties go to the lesser id; greedy order plays no part."""
+    # ties go to the lesser id, so of trades with one `on` and day only the least can pair; a trade then meets one a day at most
+    least = lambda df, id_, day: df.groupBy(*on, F.to_date(day).alias(day)).agg(F.min(id_).alias(id_))
+    left, right = least(left, left_id, left_day), least(right, right_id, right_day)
     block = lambda c: F.floor(F.unix_date(F.to_date(c)) / (days + 1))
     lt = left.select(*on, F.col(left_id).alias("_l"), F.unix_date(F.to_date(left_day)).alias("_ld"), F.explode(F.array(block(left_day) - 1, block(left_day), block(left_day) + 1)).alias("_b"))
     rt = right.select(*on, F.col(right_id).alias("_r"), F.unix_date(F.to_date(right_day)).alias("_rd"), block(right_day).alias("_b"))

@@ -102,3 +102,24 @@ def test_global_rank_with_ties_nulls_and_a_hot_value(spark):
         want = sorted(got, key=lambda k: (vals[int(k[1:])] is None, (-1 if down else 1) * (vals[int(k[1:])] or 0.0), k))
         assert [got[k] for k in want] == list(range(1, 501))
     assert ranking.global_rank(df.limit(0), "v", "k").count() == 0
+
+
+def test_mutual_nearest_against_brute_force(spark):
+    import random
+
+    r = random.Random(8)
+    for hot in (False, True):
+        rows = lambda n, p: [(r.choice([1, 2]), f"{p}{i}", float(r.choice([100, 105, 110, 111, 90, 91, 1000, 1090, -50, -52, 0]) if not hot else round(r.uniform(90, 400), 1))) for i in range(n)]  # noqa: E731, B023
+        left, right = rows(60, "l"), rows(60, "r")
+        best = lambda mine, others, flip: min(((abs(o[2] - mine[2]), o[1]) for o in others if o[0] == mine[0] and mine[2] and o[2] and mine[2] * o[2] > 0 and abs(o[2] - mine[2]) <= 0.1 * abs(o[2] if flip else mine[2])), default=None)
+        want = set()
+        for x in left:
+            b = best(x, right, False)
+            if b:
+                y = next(o for o in right if o[1] == b[1])
+                back = best(y, left, True)
+                if back and back[1] == x[1]:
+                    want.add((x[1], y[1]))
+        s = "g int, k string, v double"
+        got = {(x["_l"], x["_r"]) for x in flows.mutual_nearest(spark.createDataFrame(left, s), spark.createDataFrame(right, s), ["g"], "k", "v", 0.1).collect()}
+        assert got == want and len(want) > 5
