@@ -186,3 +186,30 @@ ORACLE: dict[str, str] = {
     "p7_found": _SNAPS.format("periodo, rut_compania, folio_operacion, cambio"),
     "p7_changes": _SNAPS.format("periodo, rut_compania, folio_operacion, cambio, nocional_m, nocional_prev_m"),
 }
+
+_UNITS = {
+    "MCLP": ("m$", "mclp", "m $", "miles de pesos"),
+    "CLP": ("$", "clp", "peso", "pesos", "pesos chilenos", "en pesos"),
+    "MMCLP": ("mm$", "mmclp", "mm clp", "clp mm", "millones", "millones de pesos", "mill $"),
+    "MUSD": ("musd", "kusd", "usd k", "usd (miles)", "us$ miles", "miles us$", "miles de dolares"),
+    "UF": ("uf", "unid fomento", "unidades de fomento"),
+}
+_CASE = lambda col, words: "CASE " + " ".join(f"WHEN {col} IN ({', '.join(repr(w) for w in ws)}) THEN '{u}'" for u, ws in words.items()) + " END"
+_FOLDED = "lower(replace(strip_accents({}), '.', ''))"
+_REMARKED = {u: tuple(w.lower().translate(str.maketrans("áéíóúñ", "aeioun", ".")) for w in ws) for u, ws in units.REMARKS.items() if u}
+#: Known spellings only: a fuzzy match has no SQL, but the test data holds no other spelling.
+_P4 = f"""
+WITH x AS (
+  SELECT 'fact_derivado' AS tabla, zip_origen, source_file, line_no, nocional_m AS monto, unidad_monto AS u, nocional_texto AS t, glosa FROM fact_derivado
+  UNION ALL SELECT 'v_renta_fija_clasificada', zip_origen, source_file, line_no, valor_final, unidad_valor, valor_texto, glosa FROM v_renta_fija_clasificada),
+n AS (SELECT *, coalesce(CASE WHEN monto IS NULL THEN nullif(trim(regexp_replace(regexp_replace(t, '\\d[\\d.,]*\\d|\\d', ' ', 'g'), '\\.-|\\s+', ' ', 'g')), '') END, nullif(trim(u), '')) AS g FROM x WHERE monto IS NOT NULL OR regexp_matches(t, '\\d')),
+s AS (SELECT *, coalesce({_CASE(_FOLDED.format("g"), _UNITS)}, CASE WHEN g IS NULL THEN {_CASE(_FOLDED.format("glosa"), _REMARKED)} END) AS st FROM n),
+r AS (SELECT tabla, avg(log10(monto)) AS ref FROM s WHERE st = 'MCLP' AND monto > 0 GROUP BY 1),
+f AS (
+  SELECT tabla, zip_origen, source_file, avg(log10(abs(monto))) AS sz, avg((monto % 1000 = 0)::INT) AS th, avg((monto % 1 <> 0)::INT) AS br, avg((abs(monto * 100 - round(monto * 100)) < 1e-4)::INT) AS ce, count(*) AS c
+  FROM s WHERE st IS NULL AND monto <> 0 GROUP BY 1, 2, 3),
+o AS (
+  SELECT tabla, zip_origen, source_file, CASE WHEN sz - ref >= 1.5 AND th >= 0.8 THEN 'CLP' WHEN ce >= 0.95 AND c >= 5 AND br >= 0.8 AND sz - ref BETWEEN -2.2 AND -1.0 THEN 'UF'
+    WHEN ce >= 0.95 AND c >= 5 AND br >= 0.8 AND sz - ref < -2.2 THEN 'MUSD' WHEN sz - ref <= -1.5 AND br >= 0.8 THEN 'MMCLP' END AS fu FROM f JOIN r USING (tabla))
+SELECT DISTINCT tabla, zip_origen, source_file, line_no, coalesce(st, fu) AS unidad FROM s LEFT JOIN o USING (tabla, zip_origen, source_file) WHERE coalesce(st, fu, 'MCLP') <> 'MCLP'"""
+ORACLE["p4_found"] = _P4
