@@ -8,6 +8,7 @@ that of their file if the file as a whole plainly isn't in the norm's unit.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from functools import reduce
@@ -59,9 +60,13 @@ def fold(s: str) -> str:
     return re.sub(r"\s+", " ", s).strip(" .-\t")
 
 
+#: Characters that an edit may add or drop cheaply.
+LIGHT = " .,;:()-_'/"
+
+
 def edit_cost(a: str, b: str) -> float:
     """Weighted edit distance: letters, digits and $ cost 1, punctuation and blanks 0.3, a swap of neighbours 0.7."""
-    w = lambda c: 0.3 if c in " .,;:()-_'/" else 1.0
+    w = lambda c: 0.3 if c in LIGHT else 1.0
     before2: list[float] = []
     before = [0.0]
     for c in b:
@@ -105,7 +110,7 @@ def alias_dictionary(spellings: DataFrame) -> DataFrame:
     spelling is unknown. The known spellings are a fixed list, so the index is a small broadcast."""
     spark = spellings.sparkSession
     ship(spark)
-    folded = F.pandas_udf(lambda s: s.map(lambda x: fold(x[:200])), T.StringType())
+    folded = F.pandas_udf(lambda s: s.map(lambda x: fold(x)), T.StringType())
     listed = F.pandas_udf(lambda s: s.map(grams), T.ArrayType(T.StringType()))
     # folding first: what differs in case, accents, digits or blanks is one entry
     own = spellings.select("tipo", "grafia", folded("grafia").alias("_s"))
@@ -117,7 +122,10 @@ def alias_dictionary(spellings: DataFrame) -> DataFrame:
 
     @F.pandas_udf(T.DoubleType())
     def cost(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([edit_cost(x, y) / max(1, sum(c not in " .,;:()-_'/" for c in y)) for x, y in zip(a, b)])
+        heavy = lambda s: len(s) - sum(map(s.count, LIGHT))
+        # an edit costs at least the difference of the heavy characters, so a long remark needs no distance to a short spelling
+        far = lambda x, y: abs(heavy(x) - heavy(y)) > MAX_COST * max(1, heavy(y))
+        return pd.Series([math.inf if far(x, y) else edit_cost(x, y) / max(1, heavy(y)) for x, y in zip(a, b)])
 
     @F.pandas_udf(T.StringType())
     def stated(s: pd.Series) -> pd.Series:

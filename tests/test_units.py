@@ -22,7 +22,7 @@ def test_spellings_and_typos(spark):
 def test_remarks(spark):
     cases = {
         "cobertura de pasivos en UF": "", "importe en US$ miles, sin convertir": "MUSD", "cantidad de UF, no pesos": "UF", "monto informado en pesos, no en miles": "CLP", "comisión de USD 12 pagada al cierre": "",
-        "monto en unidades de fomento": "UF", "los montos vienen en MM$": "MMCLP", "valor dado en miles de dólares (ver nota)": "MUSD", "llamar al cliente": "",
+        "monto en unidades de fomento": "UF", "los montos vienen en MM$": "MMCLP", "valor dado en miles de dólares (ver nota)": "MUSD", "llamar al cliente": "", "monto según mesa " + "muy " * 500 + "revisado en millones de pesos": "MMCLP",
     }
     df = spark.createDataFrame([("remark", k) for k in cases], "tipo string, grafia string")
     assert {r["grafia"]: r["unidad"] for r in units.alias_dictionary(df).collect()} == cases
