@@ -55,7 +55,8 @@ def _search(left: pa.Table, right: pa.Table, n_keys: int, carried: list[str], sc
     pick = order[winner[at[rows]]]
     found = {c: left.column(c).take(pa.array(rows)) for c in schema.names if c in left.column_names}
     found |= {c: right.column(c).take(pa.array(pick)) for c in carried}
-    return pa.table([pc.cast(found[f.name], f.type) for f in schema], schema=schema)
+    # copies of an event fall into one bucket, so they are dropped here and not by a shuffle of their own
+    return pa.table([pc.cast(found[f.name], f.type) for f in schema], schema=schema).group_by(schema.names, use_threads=False).aggregate([]).select(schema.names)
 
 
 def latest_known(
@@ -83,7 +84,7 @@ def latest_known(
     k = [F.col(c).cast("string").alias(f"_k{i}") for i, c in enumerate(keys)]
     names = [f"_k{i}" for i in range(len(keys))]
     e = events.select(*k, *[F.col(c).alias(f"_e{i}") for i, c in enumerate(event_id)], F.unix_date(F.to_date(event_day)).alias("_day"))
-    e = e.dropna(subset=[*names, "_day"]).distinct()
+    e = e.dropna(subset=[*names, "_day"])
     v = versions.select(*k, F.unix_date(F.to_date(recorded)).alias("_seen"), F.unix_date(F.to_date(valid_from)).alias("_valid"), F.col(period).cast("int").alias("_period"), *carried)
     v = v.dropna(subset=[*names, "_seen", "_valid", "_period"])
     v = v.withColumn("_usable", F.greatest("_seen", "_valid"))
