@@ -26,7 +26,7 @@ ACCENTED, PLAIN = "ÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÑÇ", "AAAAAEEEE
 
 def field_name(c: Column) -> Column:
     """Capitals without accents, words joined by `_`."""
-    plain = F.regexp_replace(F.translate(F.upper(F.normalize(c) if hasattr(F, "normalize") else c), ACCENTED, PLAIN), "[\\u0300-\\u036f]", "")
+    plain = F.regexp_replace(F.translate(F.upper(c), ACCENTED, PLAIN), "[\\u0300-\\u036f]", "")
     return F.regexp_replace(F.regexp_replace(plain, "[^A-Z0-9]+", "_"), "^_|_$", "")
 
 

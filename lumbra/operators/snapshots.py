@@ -40,7 +40,7 @@ def digest_tree(rows: DataFrame, owner: list[str], key: list[str], content: list
 def _unequal(digests: DataFrame, pairs: DataFrame, owner: str, when: str, level: str | None) -> DataFrame:
     """Pairs of snapshots, with the ranges of this level whose digests differ."""
     at = [level] if level else []
-    held = [*at] if level in (pairs.columns if level else []) else []
+    held = [c for c in at if c in pairs.columns]
     new = pairs.join(digests.withColumnRenamed("_digest", "_new"), [owner, when, *held])
     old = pairs.join(digests.select(owner, F.col(when).alias("_before"), *at, F.col("_digest").alias("_old")), [owner, "_before", *held])
     keys = [owner, when, "_before", *at]
