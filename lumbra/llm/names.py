@@ -57,7 +57,7 @@ LINKING = frozenset("DE DA DO DEL LA".split())
 LEAST_WORD, LEAST_MEAN = 0.82, 0.90
 #: Least similarity of the only full word of an abbreviated spelling, and how much its best cluster must beat the next.
 LEAST_ONLY, MARGIN = 0.88, 0.03
-#: Members of a blocking key above which the key is refined by the other word.
+#: Members of a blocking key above which its pairs are spread over tiles of about so many members.
 HOT_KEY = 2_000
 
 
@@ -281,25 +281,38 @@ def _keys_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"_key": [k for own in ks for k in own], "_id": np.repeat(b["_id"].to_numpy(), n), **{c: np.repeat(b[c].to_numpy(dtype=object), n) for c in ("kind", "first", "one", "two")}})
 
 
-def _refined_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Members of a hot key once for each code, reduced up to twice, of the word that didn't give the key: full spellings that are alike share one.
+def _nearest(words: list[str]):
+    """f(j): an upper bound of the Jaro-Winkler similarity of word j with each word before it, from letter counts and the first four letters."""
+    size = np.array([len(w) for w in words])
+    bag = np.array([[w.count(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ?"] for w in words], dtype=np.int16)
+    lead = np.array([[ord(c) for c in w[:4].ljust(4)] for w in words])
 
-    Under a key that ends with a point abbreviations meet the full spellings that have their initial."""
-    for b in batches:
-        rows = []
-        for key, i, *p in zip(b["_key"], b["_id"], b["kind"], b["first"], b["one"], b["two"]):
-            code, more = key.split("|")[1], set()
-            for word, other, tag in ((p[2], p[3], "1"), (p[3], p[2], "2")):
-                if len(word) > 2 and code in _reduced(phonetic(word)):
-                    more.add(f"{tag}{other[:1]}.")
-                    if is_full(tuple(p)):
-                        more |= {f"{tag}{c}" for c in _reduced_twice(phonetic(other))}
-            rows += [(f"{key}||{m}", i, *p) for m in sorted(more or {"."})]
-        yield pd.DataFrame(rows, columns=["_key", "_id", "kind", "first", "one", "two"])
-
-
-def _link_block(members: list[tuple], key: str = "") -> list[tuple]:
-    """(a, b, strength, sim): spanning strong links, and for each abbreviation its link into each local cluster that may be its best."""
+    def bound(j: int) -> np.ndarray:
+        common = np.minimum(bag[:j, :26], bag[j, :26]).sum(axis=1) + bag[:j, 26] + bag[j, 26]
+        k = np.minimum(common, np.minimum(size[:j], size[j]))
+        jaro = (k / size[:j] + k / size[j] + 1) / 3
+        return jaro + 0.1 * np.cumprod(lead[:j] == lead[j], axis=1).sum(axis=1) * (1 - jaro)
+
+    return bound
+
+
+def _before(full: list[tuple]):
+    """f(j): places before j of the full spellings that may be alike to the one at j."""
+    if len(full) < 50:
+        return range
+    one, two = (_nearest([p[c] for _, p, _ in full]) for c in (2, 3))
+
+    def places(j: int) -> list[int]:
+        x, y = one(j) + 1e-9, two(j) + 1e-9
+        return np.flatnonzero((x >= LEAST_WORD) & (y >= LEAST_WORD) & (x + y >= 2 * LEAST_MEAN)).tolist()
+
+    return places
+
+
+def _link_block(members: list[tuple]) -> list[tuple]:
+    """(a, b, strength, sim): spanning strong links, and for each abbreviation its link into each local cluster that may be its best.
+
+    Members are (id, parts, share of a hot key). In a tile of two shares only pairs across them are compared."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -307,22 +320,25 @@ def _link_block(members: list[tuple], key: str = "") -> list[tuple]:
             x = root[x]
         return x
 
+    across = len({m[2] for m in members}) > 1
     full = [m for m in members if is_full(m[1])]
+    before = _before(full)
     out = []
-    for j, (b, q) in enumerate(full):
-        for a, p in [] if key.endswith(".") else full[:j]:
-            if find(a) != find(b):
+    for j, (b, q, t) in enumerate(full):
+        for i in before(j):
+            a, p, u = full[i]
+            if not (across and t == u) and find(a) != find(b):
                 strength, sim = alike(p, q)
                 if strength == 2:
                     x, y = sorted((find(a), find(b)))
                     root[y] = x
                     out.append((a, b, 2, sim))
-    for b, q in members:
+    for b, q, t in members:
         if is_full(q):
             continue
         best: dict[int, tuple] = {}
-        for a, p in full:
-            strength, sim = alike(p, q)
+        for a, p, u in full:
+            strength, sim = (0, 0.0) if across and t == u else alike(p, q)
             if strength:
                 best[find(a)] = max(best.get(find(a), (0.0, 0)), (sim, -a))
         top = max((sim for sim, _ in best.values()), default=0.0)
@@ -335,15 +351,15 @@ def _link_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     key, members, out = None, [], []
     cols = ["a", "b", "strength", "sim"]
     for b in batches:
-        for k, i, *p in zip(b["_key"], b["_id"], b["kind"], b["first"], b["one"], b["two"]):
+        for k, i, t, *p in zip(b["_key"], b["_id"], b["_share"], b["kind"], b["first"], b["one"], b["two"]):
             if k != key:
-                out += _link_block(members, key) if len(members) > 1 else []
+                out += _link_block(members) if len(members) > 1 else []
                 key, members = k, []
-            members.append((i, tuple(p)))
+            members.append((i, tuple(p), t))
         if len(out) > 50_000:
             yield pd.DataFrame(out, columns=cols)
             out = []
-    out += _link_block(members, key) if len(members) > 1 else []
+    out += _link_block(members) if len(members) > 1 else []
     yield pd.DataFrame(out, columns=cols)
 
 
@@ -382,9 +398,13 @@ def link_spellings(spellings: DataFrame) -> DataFrame:
     reps = read_rows.groupBy(*parts).agg(F.min("nombre_id").alias("_id"))
     member = f"_key string, _id long, {PARTS}"
     keyed = checkpointed(reps.mapInPandas(_keys_all, member))
-    hot = keyed.groupBy("_key").count().where(F.col("count") > HOT_KEY).select("_key", F.lit(True).alias("_hot"))
-    marked = keyed.join(hot, "_key", "left")
-    blocks = marked.where("_hot IS NULL").drop("_hot").unionByName(marked.where("_hot").drop("_hot").mapInPandas(_refined_all, member))
+    # a hot key's members are dealt to shares, and every two shares meet in one tile, so all pairs are compared there too
+    shares = keyed.groupBy("_key").count().where(F.col("count") > HOT_KEY).select("_key", F.ceil(F.col("count") / (HOT_KEY / 2)).alias("_shares"))
+    marked = keyed.join(shares, "_key", "left")
+    cold = marked.where("_shares IS NULL").drop("_shares").withColumn("_share", F.lit(0).cast("long"))
+    hot = marked.where("_shares IS NOT NULL").withColumn("_share", F.expr("pmod(xxhash64(_id), _shares)")).withColumn("_with", F.explode(F.expr("sequence(0L, _shares - 1)")))
+    hot = hot.withColumn("_key", F.concat_ws("|", "_key", F.lit(""), F.least("_share", "_with"), F.greatest("_share", "_with"))).drop("_shares", "_with")
+    blocks = cold.unionByName(hot)
     blocks = blocks.repartition(buckets_for(spellings), "_key").sortWithinPartitions("_key", "_id")
     links = checkpointed(blocks.mapInPandas(_link_all, "a long, b long, strength int, sim double"))
     label = checkpointed(components(reps.select("_id"), links.where("strength = 2")))

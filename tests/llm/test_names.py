@@ -88,3 +88,25 @@ def test_links_of_shared_tax_ids(spark, data):
         by.setdefault(r["rut"], set()).add(r["nombre_id"])
     pairs = [got[a] == got[b] for s in by.values() for a, b in itertools.combinations(sorted(s), 2)]
     assert sum(pairs) >= 0.97 * len(pairs) > 100
+
+
+def test_hot_blocks_compare_every_pair(spark, monkeypatch):
+    """Missing words, initials that only sound alike and lost letters, in blocks of any size."""
+    r = random.Random(7)
+    syl = ["ba", "dri", "fe", "gu", "lo", "mon", "ti", "su"]
+    texts = [f"Banco Kemaferple {''.join(r.choice(syl) for _ in range(5)).capitalize()}" for _ in range(60)]
+    texts += ["Banco Renorundor Jiquenici", "Banco Renorundor", *(f"Banco Renorundor Jiqu{x}nici" for x in "aou")]
+    texts += [f"Banco Renorundor Jiquenic{'iea'[i % 3] * (i // 3 + 1)}" for i in range(30)]
+    texts += ["Vanina Kemaferple Velquehue", "B. Kemaferple Velquehue", "Banco Kemaferple �.", "Banco Taferva Kegritova", "Banco Taferva �."]
+    texts += [f"Banco Taferva Kegritov{x}" for x in "aeiou"]
+    want = _link(spark, texts)
+    assert want[61] == want[60]
+    monkeypatch.setattr(N, "HOT_KEY", 6)
+    assert _link(spark, texts) == want
+
+
+def test_bound_of_similarity_holds():
+    r = random.Random(3)
+    words = ["".join(r.choice("ABEKLMNRT?") for _ in range(r.randint(4, 9))) for _ in range(150)]
+    bound = N._nearest(words)
+    assert all(u >= N.jaro_winkler(words[i], words[j]) - 1e-9 for j in range(150) for i, u in enumerate(bound(j)))
