@@ -59,6 +59,8 @@ LEAST_WORD, LEAST_MEAN = 0.82, 0.90
 LEAST_ONLY, MARGIN = 0.88, 0.03
 #: Members of a blocking key above which its pairs are spread over tiles of about so many members.
 HOT_KEY = 2_000
+#: Width of the name field. A word that reaches its end may be cut and is marked.
+WIDTH, CUT = 60, "."
 
 
 def fold(s: str) -> str:
@@ -156,7 +158,7 @@ def read(spelling: str) -> tuple[str, str, str, str]:
         long = [t for t in rest if len(t) > 1]
         first = long[0] if long else (rest[0] if rest else "")
         after = rest[rest.index(first) + 1 :] if first else []
-        return name or "ORG", "", first, after[0] if after else ""
+        return name or "ORG", "", *_cut_marked(spelling, tokens, first, after[0] if after else "")
     rest = [t for t in rest if t not in TITLES]
     given, long, initials = [], [], []
     for i, t in enumerate(rest):
@@ -181,10 +183,18 @@ def read(spelling: str) -> tuple[str, str, str, str]:
             second = later[0][1]
             initials.remove(later[0])
     named = sorted(given + initials)
-    return "P", named[0][1] if named else "", first, second
+    return "P", named[0][1] if named else "", *_cut_marked(spelling, tokens, first, second)
 
 
-_VOWELS = str.maketrans("", "", "AEIOUH?")
+def _cut_marked(spelling: str, tokens: list[str], one: str, two: str) -> tuple[str, str]:
+    """The words, marked if the last one ends where the field does."""
+    last = two or one
+    if len(last) < 2 or len(spelling) < WIDTH or tokens[-1] != last or not (spelling[-1].isalpha() or ord(spelling[-1]) > 127):
+        return one, two
+    return (one, two + CUT) if two else (one + CUT, two)
+
+
+_VOWELS = str.maketrans("", "", "AEIOUH?" + CUT)
 
 
 @lru_cache(200_000)
@@ -201,22 +211,6 @@ def _reduced(code: str) -> list[str]:
     return sorted({code, *(code[:i] + code[i + 1 :] for i in range(len(code)))} if len(code) > 2 else {code})
 
 
-@lru_cache(200_000)
-def _reduced_twice(code: str) -> frozenset[str]:
-    return frozenset(y for x in _reduced(code) for y in _reduced(x))
-
-
-def codes_meet(a: tuple, b: tuple) -> bool:
-    """One word of both within one consonant of the other's, the other word within two. Words of three letters and less don't count."""
-    once, twice = [], []
-    for x, y in ((a[2], b[2]), (a[3], b[3])):
-        if len(x) > 3 and len(y) > 3:
-            x, y = phonetic(x), phonetic(y)
-            once.append(x == y or not set(_reduced(x)).isdisjoint(_reduced(y)))
-            twice.append(once[-1] or not _reduced_twice(x).isdisjoint(_reduced_twice(y)))
-    return any(once) and all(twice)
-
-
 def keys(kind: str, first: str, one: str, two: str) -> list[str]:
     """Blocking keys: a word's reduced codes with the kind and the initial sound of the other word."""
     out = []
@@ -245,6 +239,9 @@ def alike(a: tuple, b: tuple) -> tuple[int, float]:
             strength = 1
     sims = []
     for x, y in ((a[2], b[2]), (a[3], b[3])):
+        ends = [len(w) - 1 for w in (x, y) if w.endswith(CUT)]
+        if ends:  # compared as far as the field reached
+            x, y, strength = x[: min(ends)], y[: min(ends)], 1
         if len(x) > 3 and len(y) > 3:
             sim = jaro_winkler(x, y)
             if sim < LEAST_WORD:
@@ -255,13 +252,12 @@ def alike(a: tuple, b: tuple) -> tuple[int, float]:
         else:
             strength = 1
     mean = sum(sims) / len(sims) if sims else 0.0
-    # codes_meet is the condition of the blocking keys, so that the finer keys of a hot block lose no pair
-    return (strength, mean) if sims and mean >= (LEAST_MEAN if len(sims) > 1 else LEAST_ONLY) and codes_meet(a, b) else (0, 0.0)
+    return (strength, mean) if sims and mean >= (LEAST_MEAN if len(sims) > 1 else LEAST_ONLY) else (0, 0.0)
 
 
 def is_full(p: tuple) -> bool:
-    """All its words are there: both words, and of a person the given name."""
-    return len(p[2]) > 3 and len(p[3]) > 3 and (p[0] != "P" or len(p[1]) > 1)
+    """All its words are there: both words, neither cut, and of a person the given name."""
+    return len(p[2]) > 3 and len(p[3]) > 3 and CUT not in p[2] + p[3] and (p[0] != "P" or len(p[1]) > 1)
 
 
 PARTS = "kind string, first string, one string, two string"

@@ -110,3 +110,16 @@ def test_bound_of_similarity_holds():
     words = ["".join(r.choice("ABEKLMNRT?") for _ in range(r.randint(4, 9))) for _ in range(150)]
     bound = N._nearest(words)
     assert all(u >= N.jaro_winkler(words[i], words[j]) - 1e-9 for j in range(150) for i, u in enumerate(bound(j)))
+
+
+def test_several_consonants_missing_and_names_cut_at_the_field(spark):
+    cut = "910488078 Administradora General de Fondos Lusanluuven Ferta"
+    assert len(cut) == N.WIDTH
+    got = _link(spark, ["Administradora General de Fondos Lusanluven Fertachapel Ltda", "AGF Lusanluven Fertachapel", cut, "AGF Lusanluven Tibalyane", "Banco Kemaferple Tapelquehuendril", "Banco Kemaferple Tapelquehue"])
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 4}
+
+
+def test_cut_name_that_fits_two_stays_alone(spark):
+    cut = "910488078 Administradora General de Fondos Lusanluuven Ferta"
+    got = _link(spark, ["AGF Lusanluven Fertachapel", "AGF Lusanluven Fertalmibos", cut])
+    assert got == {0: 0, 1: 1, 2: 2}
