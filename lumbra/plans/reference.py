@@ -364,8 +364,7 @@ _OPS = "ops AS (SELECT o_orderkey, CAST(year(o_orderdate) * 100 + month(o_orderd
 
 def _ops(s: SparkSession, d: str) -> DataFrame:
     li = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.max(dates.period_of(C("l_shipdate"))).alias("_s"))
-    o = table(s, d, "orders").where(C("o_orderdate") >= F.lit("1997-01-01 00:00:00"))
-    j = o.join(li, C("l_orderkey") == C("o_orderkey"))
+    j = table(s, d, "orders").join(li, C("l_orderkey") == C("o_orderkey"))
     return j.select("o_orderkey", dates.period_of(C("o_orderdate")).alias("origen"), F.greatest(dates.period_of(C("o_orderdate")), "_s").alias("ultima"), C("o_totalprice").alias("monto"))
 
 

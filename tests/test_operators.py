@@ -123,3 +123,30 @@ def test_mutual_nearest_against_brute_force(spark):
         s = "g int, k string, v double"
         got = {(x["_l"], x["_r"]) for x in flows.mutual_nearest(spark.createDataFrame(left, s), spark.createDataFrame(right, s), ["g"], "k", "v", 0.1).collect()}
         assert got == want and len(want) > 5
+
+
+def test_cohorts_of_all_years_against_brute_force(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    orders = [(1, D(1995, 3, 9), 100.0), (2, D(1995, 3, 30), 40.0), (3, D(1996, 12, 31), 7.5), (4, D(1997, 1, 1), 60.0), (5, D(1998, 7, 2), 20.0)]
+    lines = [(1, D(1995, 3, 20)), (1, D(1997, 2, 1)), (2, D(1995, 4, 2)), (3, D(1997, 1, 15)), (4, D(1996, 12, 1)), (5, D(1998, 8, 1))]
+    spark.createDataFrame([(k, dt.datetime(d.year, d.month, d.day), m) for k, d, m in orders], "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, dt.datetime(d.year, d.month, d.day)) for k, d in lines], "l_orderkey long, l_shipdate timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    month = lambda d: d.year * 100 + d.month
+    ops = [(month(d), max([month(d), *(month(s) for k, s in lines if k == o)]), m) for o, d, m in orders]
+    shots = sorted({o for o, _, _ in ops})
+    want = {(o, f): sum(m for a, z, m in ops if a == o and z >= f) for o in shots for f in shots if f >= o}
+    run = lambda name: entry.queries()[name](spark, str(tmp_path))
+    assert {(r["origen"], r["foto"]): r["vivo"] for r in run("cohort_matrix").collect()} == want
+    assert {r["origen"]: (r["operaciones"], r["originado"], r["vivas"]) for r in run("cohort_summary").collect()} == {
+        o: (sum(a == o for a, _, _ in ops), sum(m for a, _, m in ops if a == o), sum(a == o and z >= 199807 for a, z, _ in ops)) for o in shots
+    }
+    months = lambda o, f: (f // 100 - o // 100) * 12 + f % 100 - o % 100
+    by = {(o, months(o, f)): v for (o, f), v in want.items()}
+    curve, value = {0: 100.0}, 100.0
+    for k in sorted({k for _, k in by} - {0}):
+        both = [o for o in shots if (o, k) in by and (o, k - 1) in by]
+        if both and sum(by[o, k - 1] for o in both) > 0:
+            value *= sum(by[o, k] for o in both) / sum(by[o, k - 1] for o in both)
+            curve[k] = value
+    assert {r["k"]: pytest.approx(r["curva"]) for r in run("survival_curve").collect()} == {k: v for k, v in curve.items() if v > 0}
