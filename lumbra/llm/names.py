@@ -4,7 +4,7 @@ Distinct spellings are read into parts: line of business, or given name, and the
 of the sorted words give blocking keys; spellings that share a key are compared by Jaro-Winkler similarity of their
 words, a nickname table standing for given names; accepted pairs are clustered by connected components. Spellings
 with all their words settle the clusters first; one that has only an initial of a word, or no given name, joins a
-cluster only if the clusters it fits are one.
+cluster only if the clusters it fits are one. Those that fit no full spelling form clusters of their own.
 """
 
 from __future__ import annotations
@@ -221,6 +221,11 @@ def keys(kind: str, first: str, one: str, two: str) -> list[str]:
     return sorted(set(out)) or [f"{kind}|{one}|{two}|{first}"]
 
 
+def shape(p: tuple) -> tuple:
+    """Which parts are there, and how: a word of over three letters, shorter, cut or none; a given name, its initial or none."""
+    return p[0], min(len(p[1]), 2) if p[0] == "P" else 0, *((w.endswith(CUT), min(len(w), 4)) for w in p[2:])
+
+
 def alike(a: tuple, b: tuple) -> tuple[int, float]:
     """(strength, similarity); strength 2: the same by full words, 1: as far as initials or missing parts tell, 0: different.
 
@@ -308,6 +313,8 @@ def _before(full: list[tuple]):
 def _link_block(members: list[tuple]) -> list[tuple]:
     """(a, b, strength, sim): spanning strong links, and for each abbreviation its link into each local cluster that may be its best.
 
+    Abbreviations that fit no full spelling here are linked, with strength 3, to those that have the same parts.
+
     Members are (id, parts, share of a hot key). In a tile of two shares only pairs across them are compared."""
     root: dict[int, int] = {}
 
@@ -329,6 +336,7 @@ def _link_block(members: list[tuple]) -> list[tuple]:
                     x, y = sorted((find(a), find(b)))
                     root[y] = x
                     out.append((a, b, 2, sim))
+    alone: dict[tuple, list] = {}
     for b, q, t in members:
         if is_full(q):
             continue
@@ -339,6 +347,12 @@ def _link_block(members: list[tuple]) -> list[tuple]:
                 best[find(a)] = max(best.get(find(a), (0.0, 0)), (sim, -a))
         top = max((sim for sim, _ in best.values()), default=0.0)
         out += [(-a, b, 1, sim) for sim, a in best.values() if sim > top - MARGIN]
+        if not best:
+            alone.setdefault(shape(q), []).append((b, q, t))
+    for group in alone.values():
+        for j, (b, q, t) in enumerate(group):
+            got = ((a, alike(p, q)) for a, p, u in group[:j] if not (across and t == u))
+            out += [(a, b, 3, sim) for a, (strength, sim) in got if strength]
     return out
 
 
@@ -385,7 +399,8 @@ def link_spellings(spellings: DataFrame) -> DataFrame:
 
     spellings: nombre_id, nombre. Null names and ids are left out; of rows with one id the least name counts. Spellings
     that read alike fall together before any comparison, so repeats and case or accent variants cost nothing further.
-    An abbreviation that fits no cluster, or two clusters nearly equally well, stays alone. Empty input gives no rows."""
+    An abbreviation that fits two clusters nearly equally well stays alone; those that fit none are linked with each other if
+    they have the same parts, so an entity without a full spelling is one too. Empty input gives no rows."""
     spark = spellings.sparkSession
     ship(spark)
     one = spellings.select(F.col("nombre_id").cast("long").alias("nombre_id"), F.col("nombre").cast("string").alias("nombre")).dropna().groupBy("nombre_id").agg(F.min("nombre").alias("nombre"))
@@ -403,7 +418,12 @@ def link_spellings(spellings: DataFrame) -> DataFrame:
     blocks = cold.unionByName(hot)
     blocks = blocks.repartition(buckets_for(spellings), "_key").sortWithinPartitions("_key", "_id")
     links = checkpointed(blocks.mapInPandas(_link_all, "a long, b long, strength int, sim double"))
-    label = checkpointed(components(reps.select("_id"), links.where("strength = 2")))
+    # abbreviations that fit a full spelling anywhere are settled by that alone, the others among themselves
+    fits = links.where("strength = 1").select(F.col("b").alias("_fits")).distinct()
+    among = links.where("strength = 3")
+    for side in ("a", "b"):
+        among = among.join(fits, F.col(side) == F.col("_fits"), "left_anti")
+    label = checkpointed(components(reps.select("_id"), links.where("strength = 2").unionByName(among)))
     weak = links.where("strength = 1").join(label.withColumnsRenamed({"_id": "a", "label": "to"}), "a").groupBy("b", "to").agg(F.max("sim").alias("sim"))
     best = weak.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "to")), asc=False), 1, 2).alias("t"))
     settled = best.where((F.size("t") == 1) | (F.get("t", F.lit(0))["sim"] - F.get("t", F.lit(1))["sim"] >= MARGIN))

@@ -123,3 +123,11 @@ def test_cut_name_that_fits_two_stays_alone(spark):
     cut = "910488078 Administradora General de Fondos Lusanluuven Ferta"
     got = _link(spark, ["AGF Lusanluven Fertachapel", "AGF Lusanluven Fertalmibos", cut])
     assert got == {0: 0, 1: 1, 2: 2}
+
+
+def test_entities_without_a_full_spelling(spark, monkeypatch):
+    texts = ["Banco Falabella", "BCO FALABELA", "Banco Renca", "Banco Sol Kemaferple", "BCO. SOL KEMAFERPE SA", "Banco Sur Kemaferple", "Inversiones Tapelquehue D.", "INVERSIONES TAPELQUHUE D.", "Inversiones Tapelquehue M."]
+    want = {0: 0, 1: 0, 2: 2, 3: 3, 4: 3, 5: 5, 6: 6, 7: 6, 8: 8}
+    assert _link(spark, texts) == want
+    monkeypatch.setattr(N, "HOT_KEY", 2)
+    assert _link(spark, texts) == want
