@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumbra.functions import dates, identifiers, labels, numbers, text
 from lumbra.functions.numbers import exact_sum
-from lumbra.operators import cohorts, filters, flows, publications, ranking, reconcile, resolve, rules, series
+from lumbra.operators import cohorts, filters, flows, parsing, publications, ranking, reconcile, resolve, rules, series
 from lumbra.session import small, table
 from lumbra.sources import files
 from lumbra.streaming import landing
@@ -324,8 +324,10 @@ def null_groups(s, d):
 
 @query("SELECT zip_origen, source_file, CAST(substr(max(CASE WHEN starts_with(raw, '3') THEN raw END), 2, 6) AS INT) AS declarado, count(DISTINCT CASE WHEN starts_with(raw, '2') THEN line_no END) AS contado FROM parsed_record WHERE formato = 'C' AND length(raw) = 138 AND (NOT starts_with(raw, '3') OR regexp_matches(raw, '^3[0-9]{6} ')) GROUP BY 1, 2")
 def control_total(s, d):
-    p = table(s, d, "parsed_record").where((C("formato") == "C") & (F.char_length("raw") == 138) & (~C("raw").startswith("3") | C("raw").rlike("^3[0-9]{6} ")))
-    return p.groupBy("zip_origen", "source_file").agg(F.substring(F.max(F.when(C("raw").startswith("3"), C("raw"))), 2, 6).cast("int").alias("declarado"), F.count_distinct(F.when(C("raw").startswith("2"), C("line_no"))).alias("contado"))
+    trailer = C("raw").startswith("3")
+    p = table(s, d, "parsed_record").where((C("formato") == "C") & (F.char_length("raw") == 138) & (~trailer | parsing.CONTROL.matches(C("raw"))))
+    total = parsing._number(parsing.CONTROL.values(C("raw"), "3")["TOTAL_REGISTROS"], False)
+    return p.groupBy("zip_origen", "source_file").agg(F.max(F.when(trailer, total)).cast("int").alias("declarado"), F.count_distinct(F.when(C("raw").startswith("2"), C("line_no"))).alias("contado"))
 
 
 @query("SELECT CASE WHEN raw IS NULL OR trim(raw) = '' THEN 'vacia' WHEN starts_with(raw, '#') THEN 'comentario' WHEN starts_with(raw, 'lei,estado') THEN 'encabezado' ELSE 'registro' END AS destino, formato, count(*) AS lineas FROM parsed_record GROUP BY 1, 2")

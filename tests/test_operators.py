@@ -150,3 +150,12 @@ def test_cohorts_of_all_years_against_brute_force(spark, tmp_path):
             value *= sum(by[o, k] for o in both) / sum(by[o, k - 1] for o in both)
             curve[k] = value
     assert {r["k"]: pytest.approx(r["curva"]) for r in run("survival_curve").collect()} == {k: v for k, v in curve.items() if v > 0}
+
+
+def test_control_total_of_trailers_with_commas_and_blanks(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rows = [("z", f, n, "C", raw.ljust(138)) for f, lines in {"plain": ["3000012"], "comma": ["3,,,,12"], "blank": ["3"], "bad": ["30000x2"]}.items() for n, raw in enumerate([*lines, "2x", "2y"])]
+    spark.createDataFrame(rows, "zip_origen string, source_file string, line_no int, formato string, raw string").coalesce(1).write.parquet(f"{tmp_path}/parsed_record.parquet")
+    got = {r["source_file"]: (r["declarado"], r["contado"]) for r in entry.queries()["control_total"](spark, str(tmp_path)).collect()}
+    assert got == {"plain": (12, 2), "comma": (12, 2), "blank": (0, 2), "bad": (None, 2)}
