@@ -212,12 +212,12 @@ def _reduced(code: str) -> list[str]:
 
 
 def keys(kind: str, first: str, one: str, two: str) -> list[str]:
-    """Blocking keys: a word's reduced codes with the kind and the initial sound of the other word."""
+    """Blocking keys: a word's reduced codes with the kind and, of persons, the initial sound of the other word, or nothing, for who is filed with one surname."""
     out = []
     for a, b in ((one, two), (two, one)):
         if len(a) > 2:
             start = b[:1].translate(str.maketrans("CQZVJ", "KKSBG"))
-            out += [f"{kind}|{c}" + (f"|{start}" if kind == "P" else "") for c in _reduced(phonetic(a))]
+            out += [f"{kind}|{c}{end}" for c in _reduced(phonetic(a)) for end in ({f"|{start}", "|"} if kind == "P" else [""])]
     return sorted(set(out)) or [f"{kind}|{one}|{two}|{first}"]
 
 
@@ -409,6 +409,10 @@ def link_spellings(spellings: DataFrame) -> DataFrame:
     reps = read_rows.groupBy(*parts).agg(F.min("nombre_id").alias("_id"))
     member = f"_key string, _id long, {PARTS}"
     keyed = checkpointed(reps.mapInPandas(_keys_all, member))
+    # keys of persons without the other word's initial serve only where a single surname has one
+    single = keyed.where("kind = 'P' AND (one = '' OR two = '') AND endswith(_key, '|')").select("_key").distinct()
+    bare = F.expr("kind = 'P' AND endswith(_key, '|')")
+    keyed = keyed.where(~bare).unionByName(keyed.where(bare).join(single, "_key", "left_semi"))
     # a hot key's members are dealt to shares, and every two shares meet in one tile, so all pairs are compared there too
     shares = keyed.groupBy("_key").count().where(F.col("count") > HOT_KEY).select("_key", F.ceil(F.col("count") / (HOT_KEY / 2)).alias("_shares"))
     marked = keyed.join(shares, "_key", "left")

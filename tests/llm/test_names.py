@@ -131,3 +131,11 @@ def test_entities_without_a_full_spelling(spark, monkeypatch):
     assert _link(spark, texts) == want
     monkeypatch.setattr(N, "HOT_KEY", 2)
     assert _link(spark, texts) == want
+
+
+def test_person_filed_with_one_surname(spark, monkeypatch):
+    texts = ["Graciela Ketobavó Talupledrá", "Graciela Ketobavó", "Roberto Mixavorun Silrosmar", "Roberto Mixavorun Baldorba", "Roberto Mixavorun"]
+    want = {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+    assert _link(spark, texts) == want
+    monkeypatch.setattr(N, "HOT_KEY", 2)
+    assert _link(spark, texts) == want
