@@ -89,6 +89,9 @@ def weighted(value: Column, weight: Column, keep: Column | None = None) -> Colum
     return F.try_divide(F.sum(F.when(ok, value * weight)), F.sum(F.when(ok, weight)))
 
 
-def exact_sum(c: Column, scale: int = 2) -> Column:
-    """Sum in decimals, so that it doesn't depend on the order of the rows; an aggregate."""
-    return F.sum(c.cast(f"decimal(20,{scale})")).cast("double")
+def exact_sum(c: Column, scale: int = 4) -> Column:
+    """Sum in decimals, so that it doesn't depend on the order of the rows; an aggregate.
+
+    Digits beyond the scale are rounded value by value; the default holds every amount of the formats. NaN and values of
+    10^24 and more, which no decimal(28,4) holds, are left out as nulls are."""
+    return F.sum(c.try_cast(f"decimal({24 + scale},{scale})")).cast("double")

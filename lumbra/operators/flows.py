@@ -7,7 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumbra.functions.dates import period_end
 from lumbra.functions.numbers import exact_sum, relative_difference
+from lumbra.session import small
 
 TOLERANCE = 0.10
 ATTRIBUTES = ["producto", "contraparte_key", "contraparte_grupo", "contraparte_nombre", "moneda"]
@@ -50,36 +52,47 @@ def mutual_nearest(left: DataFrame, right: DataFrame, group: list[str], key: str
     return side(0, "_l", "_r", "_ln").join(side(1, "_r", "_l", "_rn"), [*group, "_l", "_r"])
 
 
-def classify(now: DataFrame, before: DataFrame, period: int, close: Column, tolerance: float = TOLERANCE) -> DataFrame:
-    """Flows of a period: ACTIVE in both, NEW, UNWIND, MATURITY, and ROLL for a vanished and a new position that replace each other.
+def month_pairs(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(now, before) of every month whose calendar month before is there too: rows of both, `periodo` being the later month.
+
+    The months are few; they are compared as a table and never listed."""
+    months = snapshots.select("periodo").distinct()
+    after = F.when(F.col("periodo") % 100 == 12, F.col("periodo") + 89).otherwise(F.col("periodo") + 1).cast("int")
+    both = small(months.join(months.select(after.alias("periodo")), "periodo"))
+    return snapshots.join(both, "periodo", "left_semi"), snapshots.withColumn("periodo", after).join(both, "periodo", "left_semi")
+
+
+def classify(now: DataFrame, before: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """Flows of each month (`periodo` of both sides): ACTIVE in both, NEW, UNWIND, MATURITY, and ROLL for a vanished and a new position that replace each other.
 
     A roll needs the same company, counterparty and product, notionals within the tolerance, and that each be the other's
-    nearest. It goes before the other categories. A vanished position without a maturity counts as unwound."""
-    key = ["rut_compania", "folio_operacion"]
-    born = now.join(before.select(*key), key, "left_anti")
-    dead = before.join(now.select(*key), key, "left_anti")
-    rolls = mutual_nearest(dead, born, ["rut_compania", "contraparte_key", "producto"], "folio_operacion", "nocional_m", tolerance)
-    rolls = rolls.select("rut_compania", "_l", "_r", relative_difference(F.col("_rn"), F.col("_ln")).alias("dif_rel_nocional"))
-    shape = lambda df, cat, n, p, pair, dif: df.select(
-        F.lit(period).alias("periodo"), cat.alias("categoria"), *key, *ATTRIBUTES, "fecha_vencimiento", n.alias("nocional_m"), p.alias("nocional_prev_m"), "mtm_neto_m", pair.alias("folio_par"), dif.alias("dif_rel_nocional")
-    )
-    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
-    active = now.join(before.select(*key, F.col("nocional_m").alias("_p")), key)
-    born = born.join(rolls.withColumnRenamed("_r", "folio_operacion"), key, "left")
-    dead = dead.join(rolls.withColumnRenamed("_l", "folio_operacion"), key, "left")
-    gone = F.when(F.col("_r").isNotNull(), "ROLL").when(F.col("fecha_vencimiento").isNull() | (F.col("fecha_vencimiento") > close), "UNWIND").otherwise("MATURITY")
-    return (
-        shape(active, F.lit("ACTIVE"), F.col("nocional_m"), F.col("_p"), text, none)
-        .union(shape(born, F.when(F.col("_l").isNotNull(), "ROLL").otherwise("NEW"), F.col("nocional_m"), none, F.col("_l"), F.col("dif_rel_nocional")))
-        .union(shape(dead, gone, none, F.col("nocional_m"), F.col("_r"), F.col("dif_rel_nocional")))
+    nearest. It goes before the other categories. A vanished position without a maturity, or with one after the month's
+    end, counts as unwound. One row a position and month on each side; empty sides give what the other side has."""
+    key = ["periodo", "rut_compania", "folio_operacion"]
+    own = [*ATTRIBUTES, "fecha_vencimiento", "nocional_m", "mtm_neto_m"]
+    pack = lambda df, name: df.select(*key, F.struct(*own).alias(name))
+    both = pack(now, "n").join(pack(before, "o"), key, "full")
+    lone = lambda side, other: both.where(F.col(other).isNull()).select(*key, f"{side}.contraparte_key", f"{side}.producto", f"{side}.nocional_m")
+    rolls = mutual_nearest(lone("o", "n"), lone("n", "o"), ["periodo", "rut_compania", "contraparte_key", "producto"], "folio_operacion", "nocional_m", tolerance)
+    rolls = rolls.select("periodo", "rut_compania", "_l", "_r", relative_difference(F.col("_rn"), F.col("_ln")).alias("dif_rel_nocional"))
+    ends = F.explode(F.array(F.struct(F.col("_l").alias("f"), F.col("_r").alias("p"), F.lit("o").alias("s")), F.struct(F.col("_r").alias("f"), F.col("_l").alias("p"), F.lit("n").alias("s"))))
+    paired = rolls.select("periodo", "rut_compania", "dif_rel_nocional", ends.alias("e")).select("periodo", "rut_compania", "dif_rel_nocional", F.col("e.f").alias("folio_operacion"), F.col("e.p").alias("folio_par"), F.col("e.s").alias("_side"))
+    side = F.when(F.col("o").isNull(), "n").when(F.col("n").isNull(), "o").otherwise("")
+    got = both.withColumn("_side", side).join(paired, [*key, "_side"], "left")
+    here = F.coalesce("n", "o")
+    late = here["fecha_vencimiento"].isNull() | (here["fecha_vencimiento"] > period_end(F.col("periodo")))
+    kind = F.when(F.col("_side") == "", "ACTIVE").when(F.col("folio_par").isNotNull(), "ROLL").when(F.col("_side") == "n", "NEW").when(late, "UNWIND").otherwise("MATURITY")
+    return got.select(
+        "periodo", kind.alias("categoria"), "rut_compania", "folio_operacion", *[here[c].alias(c) for c in (*ATTRIBUTES, "fecha_vencimiento")],
+        F.col("n.nocional_m").alias("nocional_m"), F.col("o.nocional_m").alias("nocional_prev_m"), here["mtm_neto_m"].alias("mtm_neto_m"), "folio_par", "dif_rel_nocional",
     )
 
 
 def cascade(flows: DataFrame) -> DataFrame:
-    """Opening, new, rolled in and out, matured, unwound, change of what stayed, closing; closing is the sum of the others."""
+    """Of each month: opening, new, rolled in and out, matured, unwound, change of what stayed, closing; closing is the sum of the others."""
     amount = lambda cat, c: exact_sum(F.when(F.col("categoria") == cat, F.coalesce(c, F.lit(0.0))).otherwise(F.lit(0.0)), 4)
     n, p = F.col("nocional_m"), F.col("nocional_prev_m")
-    return flows.agg(
+    return flows.groupBy("periodo").agg(
         exact_sum(F.coalesce(p, F.lit(0.0)), 4).alias("apertura"), amount("NEW", n).alias("nuevas"), amount("ROLL", n).alias("roll_entra"), amount("ROLL", p).alias("roll_sale"),
         amount("MATURITY", p).alias("vencidas"), amount("UNWIND", p).alias("deshechas"), amount("ACTIVE", n - p).alias("cambio_activas"), exact_sum(F.coalesce(n, F.lit(0.0)), 4).alias("cierre"),
     )

@@ -9,20 +9,21 @@ from lumbra.session import small
 
 
 def value_as_of(events: DataFrame, series: DataFrame, at: str, date: str = "fecha", value: str = "valor") -> DataFrame:
-    """events with `value`: the last one of the series not after the event; null before the first.
+    """events with `value`: the last one of the series not after the event, however long ago; null before the first and for a null event.
 
-    The series becomes intervals, one row a day at most, and an event finds its interval by an equality on the year and
-    month of each day it spans, so nothing is joined by range alone. A series has one value a date; of repeats the greatest counts."""
+    The series becomes intervals between its dates, and an event finds its interval by an equality on the months that the
+    interval touches, so nothing is joined by range alone. What follows the last date is one row. A series has one value a
+    date; of repeats the greatest counts."""
     s = series.where(F.col(date).isNotNull()).groupBy(F.to_date(date).alias("_from")).agg(F.max(value).alias(value))
     s = s.withColumn("_to", F.lead("_from").over(Window.partitionBy(F.lit(1)).orderBy("_from")))  # one row a date
-    last = F.lit("2262-01-01").cast("date")
-    s = s.withColumn("_to", F.coalesce("_to", last))
-    spans = F.sequence(F.trunc("_from", "month"), F.trunc(F.least("_to", F.add_months("_from", 1200)), "month"), F.expr("INTERVAL 1 MONTH"))
-    s = s.withColumn("_month", F.explode(spans))
+    last = s.where("_to IS NULL").agg(F.max("_from").alias("_last"), F.max(value).alias("_after"))  # one row
+    spans = F.sequence(F.trunc("_from", "month"), F.trunc("_to", "month"), F.expr("INTERVAL 1 MONTH"))
+    s = s.where("_to IS NOT NULL").withColumn("_month", F.explode(spans))
     day = F.to_date(at)
     e = events.withColumn("_day", day).withColumn("_m", F.trunc(day, "month"))
     hit = e.join(small(s), (F.col("_m") == F.col("_month")) & (F.col("_day") >= F.col("_from")) & (F.col("_day") < F.col("_to")), "left")
-    return hit.drop("_day", "_m", "_month", "_from", "_to")
+    hit = hit.join(F.broadcast(last), F.lit(True)).withColumn(value, F.when(F.col("_day") >= F.col("_last"), F.col("_after")).otherwise(F.col(value)))
+    return hit.drop("_day", "_m", "_month", "_from", "_to", "_last", "_after")
 
 
 def month_close(series: DataFrame, date: str = "fecha", value: str = "valor") -> DataFrame:

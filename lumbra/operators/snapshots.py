@@ -80,8 +80,8 @@ def consecutive_changes(
     return both.select(when, owner, key, "cambio", *[F.col(f"n.{c}").alias(c) for c in shown], *[F.col(f"o.{c}").alias(f"{c}_prev") for c in shown])
 
 
-def clean_positions(positions: DataFrame) -> DataFrame:
-    """One row per company, month and folio of the last delivered snapshot of each month.
+def clean_positions(positions: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """One row per company, month and folio of the last delivered snapshot of each month, with the columns `more` of that row.
 
     Of a month delivered twice the later download counts as a whole (a null download is the earliest).
     Case, blanks and zero padding are removed; repeats that differ in writing fall together, the least
@@ -91,11 +91,11 @@ def clean_positions(positions: DataFrame) -> DataFrame:
         "periodo", "rut_compania", F.regexp_replace("folio_operacion", r"\s+", "").try_cast("bigint").alias("folio_operacion"),
         F.coalesce("fecha_descarga", F.lit("1900-01-01").cast("date")).alias("_at"), F.upper(F.trim("moneda")).alias("moneda"),
         F.upper(F.trim("contraparte_key")).alias("contraparte_key"), F.col("fecha_vencimiento").cast("date").alias("fecha_vencimiento"),
-        F.col("nocional_m").cast("double").alias("nocional_m"),
+        F.col("nocional_m").cast("double").alias("nocional_m"), *more,
     ).dropna(subset=["periodo", "rut_compania", "folio_operacion"])
     last = p.groupBy("rut_compania", "periodo").agg(F.max("_at").alias("_at"))
     p = p.join(last, ["rut_compania", "periodo", "_at"])
-    one = F.min(F.struct("moneda", "contraparte_key", "fecha_vencimiento", "nocional_m")).alias("_r")
+    one = F.min(F.struct("moneda", "contraparte_key", "fecha_vencimiento", "nocional_m", *more)).alias("_r")
     return p.groupBy("rut_compania", "periodo", "folio_operacion").agg(one).select("rut_compania", "periodo", "folio_operacion", "_r.*")
 
 

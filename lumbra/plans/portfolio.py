@@ -27,8 +27,8 @@ def query(sql: str | None = None):
     return add
 
 
-def _dsum(x: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(20,{scale}))) AS DOUBLE)"
+def _dsum(x: str, scale: int = 4) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(24,{scale}))) AS DOUBLE)"
 
 
 @query(f"SELECT rut_compania, {_dsum('coalesce(mtm_activo_m, 0) + coalesce(mtm_pasivo_m, 0)', 4)} AS total FROM fact_derivado GROUP BY 1")

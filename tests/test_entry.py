@@ -3,8 +3,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-HEAVY = {"p3_table"}
-NAMES = sorted(set(entry.queries()) - HEAVY)
+NAMES = sorted(entry.queries())
 
 
 @pytest.fixture(scope="module")
