@@ -32,7 +32,7 @@ def filed_date(c: Column) -> Column:
 def period_token(token: Column) -> Column:
     """Six digits as AAAAMM if that is a month, else as AAMMDD of a closing date; else null."""
     y, m = F.substring(token, 1, 4).try_cast("int"), F.substring(token, 5, 2).try_cast("int")
-    direct = y.between(1990, 2099) & m.between(1, 12)
+    direct = y.between(2000, 2100) & m.between(1, 12)
     m2, d2 = F.substring(token, 3, 2).try_cast("int"), F.substring(token, 5, 2).try_cast("int")
     closing = m2.between(1, 12) & d2.between(1, 31)
     return F.when(token.rlike("^[0-9]{6}$"), F.when(direct, y * 100 + m).when(closing, (F.substring(token, 1, 2).try_cast("int") + 2000) * 100 + m2))

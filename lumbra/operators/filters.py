@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -31,19 +30,65 @@ def narrowed(df: DataFrame, predicates: dict[str, Column | None]) -> tuple[DataF
     return (df.where(reduce(lambda a, b: a & b, live)) if live else df), omitted
 
 
-_WRITES = re.compile(r"\b(insert|update|delete|drop|create|alter|truncate|merge|grant|revoke|load|refresh|cache|set|add|call|use)\b", re.I)
+# Logical operators that a query may have, and groups of functions that neither read files nor run code of others.
+_OPERATORS = frozenset(
+    "Project Filter Aggregate Join Sort GlobalLimit LocalLimit Offset Distinct SubqueryAlias UnresolvedSubqueryColumnAliases UnresolvedWith UnresolvedHaving UnresolvedRelation "
+    "Union Except Intersect WithWindowDefinition OneRowRelation LocalRelation UnresolvedInlineTable Generate Pivot Unpivot LateralJoin".split()
+)
+_FUNCTION_GROUPS = frozenset(
+    f"{g}_funcs" for g in "math agg generator datetime array string map predicate bitwise window json conversion lambda conditional url hash struct collection".split()
+)
+
+
+def _each(seq) -> list:
+    out, it = [], seq.iterator()
+    while it.hasNext():
+        out.append(it.next())
+    return out
 
 
 def gated(spark: SparkSession, sql: str, allowed: set[str]) -> DataFrame:
-    """Result of one SELECT or WITH that reads only allowed tables; anything else raises ValueError before it runs."""
-    bare = re.sub(r"'(?:[^']|'')*'", "''", sql)
-    if ";" in bare.strip().rstrip(";") or not re.match(r"\s*(select|with)\b", bare, re.I) or _WRITES.search(bare):
-        raise ValueError("only one SELECT is allowed")
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    text = plan.toString()
-    own = {c.lower() for c in re.findall(r"(\w+)\s+AS\s*\(", bare, re.I)}
-    read = {n.lower() for n in re.findall(r"UnresolvedRelation \[([\w, ]+)\]", text)} | {n.lower() for n in re.findall(r"\b(?:from|join)\s+([\w.]+)", bare, re.I)}
-    strange = {n.replace(", ", ".") for n in read} - {a.lower() for a in allowed} - own
-    if strange:
-        raise ValueError(f"tables not allowed: {sorted(strange)}")
+    """Result of one query that reads only allowed tables and calls only built-in functions of harmless groups.
+
+    The parsed plan is walked, subqueries and common table expressions included, before anything is resolved: an operator
+    or function that isn't listed, a path read as a table, a script, or a name that is neither allowed nor a common table
+    expression in scope raises ValueError, as text that doesn't parse as one statement does."""
+    state = spark._jsparkSession.sessionState()
+    registry, ident = state.functionRegistry(), spark._jvm.org.apache.spark.sql.catalyst.FunctionIdentifier
+    allowed = {a.lower() for a in allowed}
+
+    def refuse(what: str) -> None:
+        raise ValueError(f"not allowed: {what}")
+
+    def expression(e) -> None:
+        if e.getClass().getSimpleName() == "UnresolvedFunction":
+            name = e.nameParts().mkString(".").lower()
+            known = registry.lookupFunction(ident(name)) if e.nameParts().size() == 1 else None
+            if known is None or known.isEmpty() or known.get().getSource() != "built-in" or known.get().getGroup() not in _FUNCTION_GROUPS:
+                refuse(f"function {name}")
+        for c in _each(e.children()):
+            expression(c)
+
+    def operator(p, scope: frozenset) -> None:
+        kind = p.getClass().getSimpleName()
+        if kind not in _OPERATORS:
+            refuse(kind)
+        if kind == "UnresolvedRelation":
+            name = p.multipartIdentifier().mkString(".").lower()
+            if p.multipartIdentifier().size() != 1 or name not in allowed | scope:
+                refuse(f"table {name}")
+        for e in _each(p.expressions()):
+            expression(e)
+        for q in _each(p.innerChildren()):  # common table expressions see those before them, subqueries what their query sees
+            operator(q, scope)
+            if kind == "UnresolvedWith":
+                scope = scope | {q.alias().lower()}
+        for q in _each(p.children()):
+            operator(q, scope)
+
+    try:
+        plan = state.sqlParser().parsePlan(sql)
+    except Exception as e:  # the parser's own kinds of errors come from the JVM
+        raise ValueError("not one query") from e
+    operator(plan, frozenset())
     return spark.sql(sql)

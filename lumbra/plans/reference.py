@@ -603,7 +603,7 @@ def resolve_fuzzy(s, d):
     """Filed names against the known identities, by alias, identifier and similarity."""
     rows = table(s, d, "cmf_v2024").select("registro_id", F.lit(None).cast("bigint").alias("rut"), C("nombre").alias("name"), C("lei").alias("identifier")).distinct()
     cat = table(s, d, "contrapartes").select(C("entidad_id").alias("entity"), F.lit(None).cast("bigint").alias("rut"), C("entidad_nombre").alias("alias"), F.when(C("entidad_tipo_id") == "LEI", F.substring("entidad_id", 5, 20)).alias("identifier"))
-    return resolve.cascade(rows, cat, ["registro_id"], identifier_first=True)
+    return resolve.cascade(rows, cat, ["registro_id"])
 
 
 @query("""WITH a AS (SELECT o_orderkey AS a_id, o_custkey AS k, CAST(o_orderdate AS DATE) AS ad FROM orders WHERE o_orderstatus = 'F'), b AS (SELECT o_orderkey AS b_id, o_custkey AS k, CAST(o_orderdate AS DATE) AS bd FROM orders WHERE o_orderstatus = 'O'),

@@ -7,19 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lumbra.operators import parsing
-from lumbra.sources.files import write_fact
+from lumbra.sources.files import merge_lines
 
 
 def ingest(spark: SparkSession, landing: str, schema: str, path: str, quarantine: str, checkpoint: str) -> StreamingQuery:
-    """Loads raw lines that land as Parquet: valid ones and rejected ones go to their tables, an archive delivered again
-    replaces its partition. Runs over what is there and ends. Whether a publication is current is a matter of the batch view."""
+    """Loads raw lines that land as Parquet: valid ones and rejected ones go to their tables by merge_lines, so an archive may
+    land in parts, and one delivered again replaces what it brought before. Runs over what is there and ends. Whether a
+    publication is current is a matter of the batch view."""
     lines = spark.readStream.schema(schema).parquet(landing)
 
     def batch(df: DataFrame, _: int) -> None:
-        split = parsing.split_rows(df).persist()
-        write_fact(split.where("_motivo IS NULL").drop("_motivo"), path)
-        write_fact(split.where("_motivo IS NOT NULL"), quarantine)
-        split.unpersist()
+        merge_lines(parsing.split_rows(df), F.col("_motivo").isNotNull(), path, quarantine)
 
     return lines.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import zipfile
 
@@ -14,14 +15,18 @@ def test_zip_members_encodings_and_lines(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     with zipfile.ZipFile(tmp_path / "sub" / "a.zip", "w") as z:
         z.writestr("i202608v.96573600", "1ÑANDÚ              \n\n2x\u0085y".encode())
-        z.writestr("p231231.777", "1ÑU\r\n2\n".encode("cp1252"))
+        z.writestr("p231231.777777", "1ÑU\r\n2\n".encode("cp1252"))
         z.writestr("readme.txt", "no")
+        z.writestr("i202608x.96573600", "2")
+        z.writestr("i202608v.777", "2")
     spark.dataSource.register(zipped.ZippedLines)
     read = lambda **o: spark.read.format("zipped_lines").options(**o).load(str(tmp_path))
     rows = {(r["source_file"], r["line_no"]): r for r in read().collect()}
-    assert rows.keys() == {("i202608v.96573600", 1), ("i202608v.96573600", 3), ("p231231.777", 1), ("p231231.777", 2)}
-    assert rows["i202608v.96573600", 1]["raw"].startswith("1ÑANDÚ") and rows["p231231.777", 1]["raw"] == "1ÑU"
-    assert rows["p231231.777", 2]["periodo"] == 202312 and rows["i202608v.96573600", 3]["raw"] == "2x\u0085y"
+    assert rows.keys() == {("i202608v.96573600", 1), ("i202608v.96573600", 3), ("p231231.777777", 1), ("p231231.777777", 2)}
+    assert rows["i202608v.96573600", 1]["raw"].startswith("1ÑANDÚ") and rows["p231231.777777", 1]["raw"] == "1ÑU"
+    assert rows["p231231.777777", 2]["periodo"] == 202312 and rows["i202608v.96573600", 3]["raw"] == "2x\u0085y"
+    assert set(zipped.archives(spark, str(tmp_path)).collect()) == set(rows.values())
+    assert zipped.archives(spark, str(tmp_path), "p", 202312, batch=1).count() == 2 and zipped.archives(spark, str(tmp_path), "", 202501).count() == 0
     assert read(letters="P").count() == 2 and read(period="202608").count() == 2 and read(letters="Z").count() == 0
 
 
@@ -51,8 +56,16 @@ def test_writes_replace_only_their_partition(spark, tmp_path):
     files.write_fact(df, p)
     files.write_fact(df.where("zip_origen = 'b'").withColumn("v", F.lit(9)).withColumn("nuevo", F.lit("x")), p)
     files.write_fact(df.withColumn("v", F.lit(7)), p, letters=["P"])
-    got = {r["zip_origen"]: (r["v"], r["nuevo"]) for r in files.warehouse(spark, p).collect()}
-    assert got == {"a": (1, None), "b": (9, "x"), "c": (7, None)}
+    got = lambda: {(r["zip_origen"], r["letra"]): (r["v"], r["nuevo"]) for r in files.warehouse(spark, p).collect()}
+    assert got() == {("a", "I"): (1, None), ("b", "I"): (9, "x"), ("c", "P"): (7, None)}
+    files.write_fact(df.withColumn("letra", F.lit("P")), p, letters=["P"])
+    assert got() == {("a", "I"): (1, None), ("a", "P"): (1, None), ("b", "I"): (9, "x"), ("b", "P"): (2, None), ("c", "P"): (3, None)}
+    files.write_fact(df, p)
+    files.write_fact(df.limit(0), p, letters=["P"])
+    assert {(r["zip_origen"], r["letra"]) for r in files.warehouse(spark, p).collect()} == {("a", "I"), ("b", "I"), ("c", "P")}
+    zeros = spark.createDataFrame([(202501, "0012", "I", 1)], "periodo_informacion int, zip_origen string, letra string, v int")
+    files.write_fact(zeros, str(tmp_path / "first"), letters=["I"])
+    assert files.warehouse(spark, str(tmp_path / "first")).first()["zip_origen"] == "0012"
     files.portable({"f": files.warehouse(spark, p)}, {"d": df}, str(tmp_path / "out"), 1)
     assert spark.read.parquet(str(tmp_path / "out/f")).count() == 1 and spark.read.parquet(str(tmp_path / "out/d")).count() == 3
 
@@ -79,6 +92,22 @@ def test_streaming_ingest(spark, tmp_path, data):
     assert n == (spark.read.parquet(str(tmp_path / "ok")).count(), spark.read.parquet(str(tmp_path / "bad")).count()) and min(n) > 0
 
 
+def test_files_that_land_in_parts_and_again(spark, tmp_path):
+    schema = "periodo_informacion int, fecha_descarga date, zip_origen string, source_file string, line_no int, rut_compania long, formato string, raw string"
+    good, bad = "3000012".ljust(138), "3x"
+    rows = lambda day, *ls, f="a": [(202501, dt.date(2025, 2, day), "z.zip", f, n, 1, "C", raw) for n, raw in ls]
+
+    def land(name, data):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        landing.ingest(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, str(tmp_path / "ok"), str(tmp_path / "bad"), str(tmp_path / "cp")).awaitTermination()
+        return [sorted((r["source_file"], r["line_no"]) for r in files.warehouse(spark, str(tmp_path / p)).collect()) if list((tmp_path / p).glob("periodo*")) else [] for p in ("ok", "bad")]
+
+    assert land("1", rows(1, (1, good), (2, bad))) == [[("a", 1)], [("a", 2)]]
+    assert land("2", rows(1, (3, good)) + rows(1, (1, bad), f="b")) == [[("a", 1), ("a", 3)], [("a", 2), ("b", 1)]]
+    assert land("3", rows(9, (1, good), (2, good)) + rows(1, (1, good), f="b")) == [[("a", 1), ("a", 2), ("b", 1)], []]
+    assert land("4", rows(3, (7, good))) == [[("a", 1), ("a", 2), ("b", 1)], []]
+
+
 def test_sessions(spark, data):
     e = spark.read.parquet(f"{data}/evento_mesa.parquet")
     assert landing.sessions(e).agg(F.sum("n")).first()[0] == e.where("ts IS NOT NULL").count()
