@@ -1,10 +1,10 @@
 """Schemas that drift between files.
 
 Each delivered file brings its own field list. Lines are loaded as path-value maps with raw types by their
-file's list; path-type statistics are aggregated per file; field lists of consecutive periods are compared,
-a pair of a vanished and a new field with one picture being a rename if the same lines hold the same values;
-and all lines are projected to one typed table whose column types follow from the statistics, every cast that
-fails being reported in its row.
+file's list; path-type statistics are aggregated per file, beside what the list declares; the statistics of
+consecutive periods are compared, a pair of a vanished and a new field with one picture being a rename if the
+same lines hold the same values; and all lines are projected to one typed table whose column types follow from
+the statistics, every cast that fails being reported in its row.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbra.session import checkpointed, small
+from lumbra.session import checkpointed
 
-#: Share of common lines with equal values from which a vanished and a new field are one field renamed.
+#: Share of the filled values on common lines that are equal, from which a vanished and a new field are one field renamed.
 RENAME_SHARE = 0.5
 #: Share of filled values of a raw type from which a column gets that type.
 TYPE_SHARE = 0.95
@@ -54,7 +54,7 @@ def field_lists(fields: DataFrame) -> DataFrame:
     """One row per file and field: names and pictures normalised; repeated rows fall together.
 
     Rows without archivo_id, pos or a name are left out; an unreadable picture has width 0."""
-    f = fields.select("archivo_id", "serie_id", "periodo", "fecha_descarga", "pos", field_name(F.col("campo")).alias("campo"), *[x.alias(n) for n, x in picture(F.coalesce("pic", F.lit(""))).items()])
+    f = fields.select("archivo_id", "serie_id", "letra", "periodo", "fecha_descarga", "pos", field_name(F.col("campo")).alias("campo"), *[x.alias(n) for n, x in picture(F.coalesce("pic", F.lit(""))).items()])
     return f.dropna(subset=["archivo_id", "pos", "campo"]).distinct()
 
 
@@ -66,14 +66,20 @@ def layouts(lists: DataFrame) -> DataFrame:
     return w.select("archivo_id", F.arrays_zip(F.col("_f"), start.alias("_at")).alias("_layout"))
 
 
+#: What a value looks like, whatever its picture says: AAAAMMDD, AAAA-MM-DD, digits, signed digits, anything else.
+RAW_TYPES = ("empty", "date8", "iso", "int", "signed", "text")
+
+
 def raw_type(v: Column) -> Column:
-    """empty, date8 (AAAAMMDD), iso (AAAA-MM-DD), int, signed or text: what a value looks like, whatever its picture says."""
+    """One of RAW_TYPES. Digits are told without a pattern; patterns only see what has a date's length."""
     t = F.trim(v)
+    rest = F.translate(t, "0123456789", "")
     day = "(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])"
     iso = "(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
     return (
-        F.when(t == "", "empty").when(t.rlike(f"^{day}$"), "date8").when(t.rlike(f"^{iso}$"), "iso")
-        .when(t.rlike("^[0-9]+$"), "int").when(t.rlike("^[-+][0-9]+$"), "signed").otherwise("text")
+        F.when(t == "", "empty").when(rest == "", F.when((F.length(t) == 8) & t.rlike(f"^{day}$"), "date8").otherwise("int"))
+        .when(rest.isin("-", "+") & (F.length(t) > 1) & (F.substring(t, 1, 1) == rest), "signed")
+        .when((rest == "--") & (F.length(t) == 10) & t.rlike(f"^{iso}$"), "iso").otherwise("text")
     )
 
 
@@ -81,7 +87,7 @@ def path_values(lines: DataFrame, lists: DataFrame) -> DataFrame:
     """(archivo_id, line_no, valores): each line as a map from field to value, raw type and decimals, cut by its own file's list.
 
     A line shorter than its list has empty values at its end; lines of files without a list are left out."""
-    at = lines.select("archivo_id", "line_no", "raw").distinct().join(small(layouts(lists)), "archivo_id")
+    at = lines.select("archivo_id", "line_no", "raw").distinct().join(layouts(lists), "archivo_id")
     cut = F.transform(
         "_layout",
         lambda x: F.struct(
@@ -90,7 +96,7 @@ def path_values(lines: DataFrame, lists: DataFrame) -> DataFrame:
         ),
     )
     # a name that a list has twice keeps its first field
-    return at.select("archivo_id", "line_no", F.map_from_entries(F.array_distinct(_first_of_name(cut))).alias("valores"))
+    return at.select("archivo_id", "line_no", F.map_from_entries(_first_of_name(cut)).alias("valores"))
 
 
 def _first_of_name(entries: Column) -> Column:
@@ -98,10 +104,15 @@ def _first_of_name(entries: Column) -> Column:
     return F.filter(entries, lambda e, i: F.array_position(names, e["campo"]) == i + 1)
 
 
+def path_statistics(values: DataFrame) -> DataFrame:
+    """(archivo_id, campo, one count a raw type, largo_max): what each field of each file looks like; one aggregate, combined before its shuffle."""
+    e = values.select("archivo_id", F.explode("valores").alias("campo", "c")).select("archivo_id", "campo", F.length(F.trim("c.v")).alias("_n"), raw_type(F.col("c.v")).alias("_t"))
+    return e.groupBy("archivo_id", "campo").agg(*[F.count(F.when(F.col("_t") == t, 1)).alias(t) for t in RAW_TYPES], F.max("_n").alias("largo_max"))
+
+
 def path_types(values: DataFrame) -> DataFrame:
-    """(archivo_id, campo, tipo, filas, largo_max): how often each field of each file looks like which type."""
-    e = values.select("archivo_id", F.explode("valores").alias("campo", "c"))
-    return e.groupBy("archivo_id", "campo", raw_type(F.col("c.v")).alias("tipo")).agg(F.count(F.lit(1)).alias("filas"), F.max(F.length(F.trim("c.v"))).alias("largo_max"))
+    """(archivo_id, campo, tipo, filas): how often each field of each file looks like which type."""
+    return path_statistics(values).unpivot(["archivo_id", "campo"], list(RAW_TYPES), "tipo", "filas").where("filas > 0")
 
 
 def deliveries(lists: DataFrame) -> DataFrame:
@@ -113,63 +124,111 @@ def deliveries(lists: DataFrame) -> DataFrame:
     return last.withColumn("antes", F.lag("archivo_id").over(Window.partitionBy("serie_id").orderBy("periodo")))
 
 
-def renames(pairs: DataFrame, lines: DataFrame, lists: DataFrame) -> DataFrame:
-    """(archivo_id, antes, nuevo, viejo) of fields renamed. pairs: candidates, one vanished and one new field of one picture.
-
-    Values are compared line by line; no common line means no evidence and so no rename. Of rivals the mutual best wins."""
-    files = pairs.select("archivo_id").union(pairs.select("antes")).distinct()
-    v = path_values(lines.join(small(files), "archivo_id", "left_semi"), lists)
-    v = v.select("archivo_id", "line_no", F.explode("valores").alias("campo", "c")).select("archivo_id", "line_no", "campo", F.col("c.v").alias("v"))
-    new = pairs.join(v.withColumnsRenamed({"campo": "nuevo", "v": "_n"}), ["archivo_id", "nuevo"])
-    old = v.withColumnsRenamed({"archivo_id": "antes", "campo": "viejo", "v": "_o"})
-    share = new.join(old, ["antes", "viejo", "line_no"]).groupBy("archivo_id", "antes", "nuevo", "viejo").agg(F.avg((F.col("_n") == F.col("_o")).cast("double")).alias("igual"))
-    share = share.where(F.col("igual") >= RENAME_SHARE)
-    best = lambda side, other: F.row_number().over(Window.partitionBy("archivo_id", side).orderBy(F.desc("igual"), other))
-    share = share.withColumn("_a", best("nuevo", "viejo")).withColumn("_b", best("viejo", "nuevo"))
-    return share.where("_a = 1 AND _b = 1").select("archivo_id", "antes", "nuevo", "viejo")
+_SIDES = ["archivo_id", "antes"]
+
+
+def _in_both_roles(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """rows of each file once as the later and once as the earlier of a pair: `_new` tells which, archivo_id and antes name the pair."""
+    role = pairs.select(F.explode(F.array(F.struct(F.col("archivo_id").alias("f"), F.lit(True).alias("n")), F.struct(F.col("antes").alias("f"), F.lit(False).alias("n")))).alias("r"), *_SIDES)
+    role = role.select(F.col("r.f").alias("_file"), F.col("r.n").alias("_new"), *_SIDES)
+    return rows.withColumnRenamed("archivo_id", "_file").join(role, "_file")
+
+
+def renames(vanished_and_new: DataFrame, lines: DataFrame, lists: DataFrame) -> DataFrame:
+    """(archivo_id, antes, campo, campo_antes) of fields renamed. vanished_and_new: archivo_id, antes, p, nuevos, viejos, the names of one picture.
+
+    Values are compared line by line and only where filled; no common line, or nothing filled, means no evidence and so no
+    rename. Of rivals the mutual best wins. Per line only equal values make a pair, so fields that don't match cost nothing."""
+    names = F.concat(F.transform("nuevos", lambda c: F.struct(c.alias("c"), F.lit(True).alias("n"))), F.transform("viejos", lambda c: F.struct(c.alias("c"), F.lit(False).alias("n"))))
+    cand = vanished_and_new.select(*_SIDES, "p", F.explode(names).alias("x"))
+    cand = cand.select(F.when(F.col("x.n"), F.col("archivo_id")).otherwise(F.col("antes")).alias("_file"), F.col("x.n").alias("_new"), F.col("x.c").alias("campo"), "p", *_SIDES)
+    per_file = cand.groupBy("_file").agg(F.collect_list(F.struct("_new", "campo", "p", *_SIDES)).alias("_cand"))  # a file's fields, in two roles
+    v = path_values(lines, lists).withColumnRenamed("archivo_id", "_file").join(per_file, "_file").withColumn("x", F.explode("_cand"))
+    v = v.select("x.archivo_id", "x.antes", "x.p", "line_no", F.struct(F.col("x._new").alias("n"), F.col("x.campo").alias("c"), F.try_element_at("valores", F.col("x.campo"))["v"].alias("v")).alias("y"))
+    by_line = v.groupBy(*_SIDES, "p", "line_no").agg(F.collect_list("y").alias("_ys"))
+    of = lambda new: F.filter("_ys", lambda y: y["n"] if new else ~y["n"])
+    by_line = by_line.withColumn("_n", of(True)).withColumn("_o", of(False)).where((F.size("_n") > 0) & (F.size("_o") > 0))
+    full = lambda c: F.filter(c, lambda y: F.trim(y["v"]) != "")
+    none = F.lit(None).cast("string")
+    hit = lambda a, b: F.struct(a.alias("nuevo"), b.alias("viejo"))
+    equal = F.flatten(F.transform(full("_n"), lambda a: F.transform(F.filter("_o", lambda b: b["v"] == a["v"]), lambda b: hit(a["c"], b["c"]))))
+    alone = F.concat(F.transform(full("_n"), lambda a: hit(a["c"], none)), F.transform(full("_o"), lambda b: hit(none, b["c"])))
+    n = by_line.select(*_SIDES, F.explode(F.concat(equal, alone)).alias("h")).groupBy(*_SIDES, "h").agg(F.count(F.lit(1)).alias("k"))
+    r = n.groupBy(*_SIDES).agg(F.collect_list(F.struct("h.nuevo", "h.viejo", "k")).alias("_r"))
+    filled = lambda c, other: F.map_from_entries(F.transform(F.filter("_r", lambda x: x[other].isNull()), lambda x: F.struct(x[c], x["k"])))
+    r = r.withColumn("_fn", filled("nuevo", "viejo")).withColumn("_fo", filled("viejo", "nuevo"))
+    both = F.filter("_r", lambda x: x["nuevo"].isNotNull() & x["viejo"].isNotNull())
+    share = F.transform(both, lambda x: F.struct(x["nuevo"].alias("nuevo"), x["viejo"].alias("viejo"), (x["k"] / F.greatest(F.element_at("_fn", x["nuevo"]), F.element_at("_fo", x["viejo"]))).alias("s")))
+    r = r.withColumn("_s", F.filter(share, lambda x: x["s"] >= RENAME_SHARE))
+    beats = lambda y, x, mine, other: (y[mine] == x[mine]) & ((y["s"] > x["s"]) | ((y["s"] == x["s"]) & (y[other] < x[other])))
+    best = F.filter("_s", lambda x: ~F.exists("_s", lambda y: beats(y, x, "nuevo", "viejo") | beats(y, x, "viejo", "nuevo")))
+    return r.select(*_SIDES, F.explode(best).alias("x")).select(*_SIDES, F.col("x.nuevo").alias("campo"), F.col("x.viejo").alias("campo_antes"))
+
+
+def _shown(p: str) -> Column:
+    """A picture as text: kind, width, decimals, sign."""
+    return F.concat(F.col(f"{p}.kind"), F.lit("("), F.col(f"{p}.width"), F.lit(","), F.col(f"{p}.decimals"), F.lit(")"), F.when(F.col(f"{p}.signed"), "s").otherwise(""))
 
 
 def schema_changes(fields: DataFrame, lines: DataFrame) -> DataFrame:
-    """(archivo_id, antes, campo, campo_antes, cambio, detalle): each change of a file against its series' previous delivered period."""
+    """(archivo_id, antes, campo, campo_antes, cambio, imagen_antes, imagen, tipos_antes, tipos): each change of a file against its series' previous delivered period.
+
+    imagen is the declared picture, tipos the raw types that the file's values really have, from the path-type statistics;
+    null where the file has no such field, '' where it has no lines. A field whose values are blank, or without common
+    lines, is never a rename: it is removed and added. Empty tables give no rows."""
     lists = checkpointed(field_lists(fields))  # read by every part of the comparison
-    got = deliveries(lists).where("antes IS NOT NULL").select("archivo_id", "antes")
-    pic = F.struct("kind", "signed", "decimals", "width")
-    own = lists.select("archivo_id", "campo", pic.alias("p"))
-    new = got.join(own, "archivo_id").withColumnRenamed("p", "n")
-    old = got.join(own.withColumnRenamed("archivo_id", "antes"), "antes").withColumnRenamed("p", "o")
-    both = checkpointed(new.join(old, ["archivo_id", "antes", "campo"], "full").where("o IS NULL OR n IS NULL OR n <> o"))
-    added = both.where("o IS NULL").select("archivo_id", "antes", F.col("campo").alias("nuevo"), F.col("n").alias("p"))
-    removed = both.where("n IS NULL").select("archivo_id", "antes", F.col("campo").alias("viejo"), F.col("o").alias("p"))
-    pairs = added.join(removed, ["archivo_id", "antes", "p"]).select("archivo_id", "antes", "nuevo", "viejo")
-    moved = renames(pairs, lines, lists)
-    gone = moved.select("archivo_id", F.explode(F.array("nuevo", "viejo")).alias("campo"), F.lit(True).alias("_moved"))
-    rest = both.join(gone, ["archivo_id", "campo"], "left").where("_moved IS NULL")
-    typed = (F.col("n.kind") != F.col("o.kind")) | (F.col("n.signed") != F.col("o.signed")) | (F.col("n.decimals") != F.col("o.decimals"))
-    kind = F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(typed, "retyped").when(F.col("n.width") != F.col("o.width"), "resized")
-    show = lambda c: F.to_json(F.col(c))
-    rest = rest.withColumn("cambio", kind).where("cambio IS NOT NULL")
-    rest = rest.select("archivo_id", "antes", "campo", F.lit(None).cast("string").alias("campo_antes"), "cambio", F.concat_ws(" -> ", show("o"), show("n")).alias("detalle"))
-    moved = moved.select("archivo_id", "antes", F.col("nuevo").alias("campo"), F.col("viejo").alias("campo_antes"), F.lit("renamed").alias("cambio"), F.concat_ws(" -> ", "viejo", "nuevo").alias("detalle"))
-    return rest.unionByName(moved)
-
-
-def aliases(changes: DataFrame) -> dict[str, str]:
-    """Canonical name of every field that was ever renamed: the least name of those linked.
-
-    What comes to the driver is the vocabulary of field names, which the formats bound, not the data."""
-    links = changes.where("cambio = 'renamed'").select("campo", "campo_antes").distinct().collect()
-    root: dict[str, str] = {}
-
-    def find(x: str) -> str:
-        while root.get(x, x) != x:
-            x = root[x]
-        return x
-
-    for a, b in sorted((r[0], r[1]) for r in links):
-        a, b = sorted((find(a), find(b)))
-        root[b] = a
-        root.setdefault(a, a)
-    return {x: find(x) for x in root}
+    pairs = checkpointed(deliveries(lists).where("antes IS NOT NULL").select(*_SIDES))  # two numbers a delivery
+    seen = path_statistics(path_values(lines, lists))
+    types = F.array_join(F.array(*[F.when(F.col(t) > 0, F.lit(t)) for t in RAW_TYPES]), "|")
+    stats = lists.select("archivo_id", "campo", F.struct("kind", "signed", "decimals", "width").alias("p")).join(seen, ["archivo_id", "campo"], "left")
+    stats = stats.select("archivo_id", "campo", F.struct("p", F.coalesce(types, F.lit("")).alias("t")).alias("s"))
+    side = lambda new: F.max(F.when(F.col("_new") if new else ~F.col("_new"), F.col("s")))
+    both = _in_both_roles(stats, pairs).groupBy(*_SIDES, "campo").agg(side(True).alias("n"), side(False).alias("o"))
+    both = checkpointed(both.where("o IS NULL OR n IS NULL OR n.p <> o.p"))
+    lone = both.where("o IS NULL OR n IS NULL").groupBy(*_SIDES, F.coalesce("n.p", "o.p").alias("p"))
+    lone = lone.agg(F.collect_list(F.when(F.col("o").isNull(), F.col("campo"))).alias("nuevos"), F.collect_list(F.when(F.col("n").isNull(), F.col("campo"))).alias("viejos"))
+    moved = renames(lone.where((F.size("nuevos") > 0) & (F.size("viejos") > 0)), lines, lists)
+    ends = moved.select(*_SIDES, F.explode(F.array(F.struct(F.col("campo"), F.struct("campo", "campo_antes").alias("m")), F.struct(F.col("campo_antes").alias("campo"), F.struct("campo", "campo_antes").alias("m")))).alias("e")).select(*_SIDES, "e.*")
+    got = both.join(ends, [*_SIDES, "campo"], "left")
+    # the two halves of a rename fall together
+    rename = got.where("m IS NOT NULL").groupBy(*_SIDES, "m").agg(F.max("n").alias("n"), F.max("o").alias("o")).select(*_SIDES, "m.campo", "m.campo_antes", F.lit("renamed").alias("cambio"), "n", "o")
+    typed = (F.col("n.p.kind") != F.col("o.p.kind")) | (F.col("n.p.signed") != F.col("o.p.signed")) | (F.col("n.p.decimals") != F.col("o.p.decimals"))
+    kind = F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(typed, "retyped").otherwise("resized")
+    rest = got.where("m IS NULL").select(*_SIDES, "campo", F.lit(None).cast("string").alias("campo_antes"), kind.alias("cambio"), "n", "o")
+    all_ = rest.unionByName(rename)
+    return all_.select(*_SIDES, "campo", "campo_antes", "cambio", _shown("o.p").alias("imagen_antes"), _shown("n.p").alias("imagen"), F.col("o.t").alias("tipos_antes"), F.col("n.t").alias("tipos"))
+
+
+def aliases(changes: DataFrame, lists: DataFrame) -> tuple[dict[tuple[str, str], str], list[tuple[str, str, str]]]:
+    """Canonical name of every (letra, name) that was ever renamed, the least of those linked; and the links refused.
+
+    A rename holds for its record type (letra), so that its series share a column, but names that any file of that type
+    has together are different fields: a link that would join two of them is refused and reported as (letra, name, former
+    name). What comes to the driver is the vocabulary of field names and the sets of them that occur together, which the
+    formats bound, not the data."""
+    of = lists.select("archivo_id", "letra").distinct()
+    renamed = changes.where("cambio = 'renamed'").select("archivo_id", "campo", "campo_antes").join(of, "archivo_id").select("letra", "campo", "campo_antes").distinct()
+    links = sorted((r[0] or "", r[1], r[2]) for r in renamed.collect())
+    words = renamed.select("letra", F.explode(F.array("campo", "campo_antes")).alias("campo")).distinct()
+    held = lists.select("archivo_id", "letra", "campo").join(words, ["letra", "campo"], "left_semi")
+    sets = held.groupBy("archivo_id", "letra").agg(F.array_sort(F.collect_set("campo")).alias("s")).select("letra", "s").where(F.size("s") > 1).distinct()
+    apart: dict[tuple[str, str], set[str]] = {}
+    for r in sets.collect():
+        for c in r["s"]:
+            apart.setdefault((r["letra"] or "", c), set()).update(x for x in r["s"] if x != c)
+    group = {(x, c): {c} for x, a, b in links for c in (a, b)}
+    refused = []
+    for x, a, b in links:
+        one, two = group[x, a], group[x, b]
+        if one is two:
+            continue
+        if any(apart.get((x, c), set()) & two for c in one):
+            refused.append((x, a, b))
+            continue
+        one |= two
+        for c in two:
+            group[x, c] = one
+    return {k: min(v) for k, v in group.items()}, refused
 
 
 def _typed(v: Column, kind: str) -> Column:
@@ -182,29 +241,31 @@ def _typed(v: Column, kind: str) -> Column:
     return F.nullif(t, F.lit(""))
 
 
+#: Columns of the table that no field may be called.
+OWN = ("archivo_id", "line_no", "serie_id", "letra", "periodo", "_fallidos")
+
+
 def one_table(fields: DataFrame, lines: DataFrame, changes: DataFrame | None = None) -> DataFrame:
     """All lines of all files as one table: a typed column for each canonical field, and `_fallidos`, the fields whose cast failed.
 
-    A field's type follows from all files' path-type statistics: date, number, else text. A field that a file lacks is null."""
+    A field's type follows from all files' path-type statistics: date, number, else text. A field that a file lacks is null;
+    names that one file has together keep a column each (see aliases). A field called as one of OWN gets `campo_` before its
+    name. Empty tables give no rows."""
     lists = checkpointed(field_lists(fields))
-    known = aliases(schema_changes(fields, lines) if changes is None else changes)
-    values = checkpointed(path_values(lines, lists))  # read for the statistics and for the table; a filter on the table then doesn't cut lines again
-    stats = path_types(values).groupBy("campo", "tipo").agg(F.sum("filas").alias("n")).collect()  # vocabulary x types
-    seen: dict[str, dict[str, int]] = {}
-    for r in stats:
-        if r["tipo"] != "empty":
-            c = seen.setdefault(known.get(r["campo"], r["campo"]), {})
-            c[r["tipo"]] = c.get(r["tipo"], 0) + r["n"]
-    names = sorted({known.get(r["campo"], r["campo"]) for r in stats})
+    known, _ = aliases(schema_changes(fields, lines) if changes is None else changes, lists)
+    files = lists.select("archivo_id", "serie_id", "letra", "periodo").distinct()
+    values = path_values(lines, lists).join(files, "archivo_id")
+    if known:
+        to = F.create_map(*[F.lit(x) for (letter, c), n in sorted(known.items()) if c != n for x in (f"{letter}|{c}", n)])
+        values = values.withColumn("valores", F.transform_keys("valores", lambda k, _: F.coalesce(F.try_element_at(to, F.concat_ws("|", F.coalesce("letra", F.lit("")), k)), k)))
+    values = checkpointed(values)  # read for the statistics and for the table; a filter on the table then doesn't cut lines again
+    sums = path_statistics(values).groupBy("campo").agg(*[F.sum(t).alias(t) for t in RAW_TYPES]).collect()  # vocabulary
     kinds = {}
-    for n in names:
-        c = seen.get(n, {})
-        all_ = sum(c.values())
-        share = lambda *ts: sum(c.get(t, 0) for t in ts) >= TYPE_SHARE * all_ > 0  # noqa: E731, B023
-        kinds[n] = "date" if share("date8", "iso") else "number" if share("int", "signed", "date8") else "text"
-    members = {n: [n, *sorted(k for k, v in known.items() if v == n and k != n)] for n in names}
-    pick = {n: F.coalesce(*[F.try_element_at("valores", F.lit(m)) for m in ms]) for n, ms in members.items()}
-    cols = [_typed(pick[n], kinds[n]).alias(n.lower()) for n in names]
-    bad = F.array_compact(F.array(*[F.when((F.trim(pick[n]["v"]) != "") & _typed(pick[n], kinds[n]).isNull(), F.lit(n)) for n in names])) if names else F.array().cast(T.ArrayType(T.StringType()))
-    files = lists.select("archivo_id", "serie_id", "periodo").distinct()
-    return values.select("archivo_id", "line_no", *cols, bad.alias("_fallidos")).join(small(files), "archivo_id")
+    for r in sorted(sums):
+        filled = sum(r[t] for t in RAW_TYPES if t != "empty")
+        share = lambda *ts: sum(r[t] for t in ts) >= TYPE_SHARE * filled > 0  # noqa: E731, B023
+        kinds[r["campo"]] = "date" if share("date8", "iso") else "number" if share("int", "signed", "date8") else "text"
+    pick = {n: F.try_element_at("valores", F.lit(n)) for n in kinds}
+    cols = [_typed(pick[n], k).alias(f"campo_{n.lower()}" if n.lower() in OWN else n.lower()) for n, k in kinds.items()]
+    bad = F.array_compact(F.array(*[F.when((F.trim(pick[n]["v"]) != "") & _typed(pick[n], k).isNull(), F.lit(n)) for n, k in kinds.items()])) if kinds else F.array().cast(T.ArrayType(T.StringType()))
+    return values.select("archivo_id", "line_no", *cols, bad.alias("_fallidos"), "serie_id", "letra", "periodo")

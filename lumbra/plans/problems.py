@@ -63,6 +63,14 @@ def p3_types(spark: SparkSession, folder: str) -> DataFrame:
     return drift.path_types(drift.path_values(table(spark, folder, "cmf_v2024_linea"), lists))
 
 
+def p3_aliases(spark: SparkSession, folder: str) -> DataFrame:
+    """(letra, campo, canonico, conflicto): the names that the table joins, and with conflicto the links refused because one file has both names."""
+    fields, lines = table(spark, folder, "cmf_v2024_campo"), table(spark, folder, "cmf_v2024_linea")
+    known, refused = drift.aliases(drift.schema_changes(fields, lines), drift.field_lists(fields))
+    rows = [(x, c, n, False) for (x, c), n in sorted(known.items())] + [(x, a, b, True) for x, a, b in refused]
+    return spark.createDataFrame(rows, "letra string, campo string, canonico string, conflicto boolean")
+
+
 def _amounts(spark: SparkSession, folder: str) -> DataFrame:
     return units.with_units(units.stacked(table(spark, folder, "fact_derivado"), table(spark, folder, "v_renta_fija_clasificada")))
 
@@ -92,7 +100,7 @@ def p7_changes(spark: SparkSession, folder: str) -> DataFrame:
     return _positions(spark, folder).select("periodo", "rut_compania", "folio_operacion", "cambio", "nocional_m", F.col("nocional_m_prev").alias("nocional_prev_m"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_attributes, p2_found, p2_rejected, p2_loaded_control, p2_loaded_names, p3_found, p3_changes, p3_table, p3_types, p4_found, p4_converted, p7_found, p7_changes)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_attributes, p2_found, p2_rejected, p2_loaded_control, p2_loaded_names, p3_found, p3_changes, p3_table, p3_types, p3_aliases, p4_found, p4_converted, p7_found, p7_changes)}
 
 _P1 = """
 WITH e AS (SELECT DISTINCT evento_id, ts, rut_compania, folio_operacion, item_operacion FROM evento_mesa WHERE ts IS NOT NULL),
@@ -157,32 +165,44 @@ g AS (
   SELECT *, CASE WHEN starts_with(body, '9') THEN '9' ELSE 'X' END AS kind, coalesce({_PLACES.format("split_part(body, 'V', 2)")}, 0) AS decimals,
     coalesce({_PLACES.format("split_part(body, 'V', 1)")}, 0) + coalesce({_PLACES.format("split_part(body, 'V', 2)")}, 0) + signed::INT AS width FROM f),
 w AS (SELECT *, 1 + coalesce(sum(width) OVER (PARTITION BY archivo_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM g),
+li AS (SELECT DISTINCT archivo_id, line_no, raw FROM cmf_v2024_linea),
+va AS (SELECT w.archivo_id, w.campo, line_no, substr(raw, w.at::BIGINT, w.width::BIGINT) AS v FROM li JOIN w USING (archivo_id)),
+ty AS (
+  SELECT archivo_id, campo, CASE WHEN trim(v) = '' THEN 'empty' WHEN regexp_matches(trim(v), '^(19|20)[0-9]{{2}}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$') THEN 'date8'
+    WHEN regexp_matches(trim(v), '^(19|20)[0-9]{{2}}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$') THEN 'iso' WHEN regexp_matches(trim(v), '^[0-9]+$') THEN 'int' WHEN regexp_matches(trim(v), '^[-+][0-9]+$') THEN 'signed' ELSE 'text' END AS tipo, count(*) AS filas
+  FROM va GROUP BY ALL),
+tx AS (SELECT archivo_id, campo, string_agg(tipo, '|' ORDER BY list_position(['empty', 'date8', 'iso', 'int', 'signed', 'text'], tipo)) AS tipos FROM ty GROUP BY ALL),
 l AS (SELECT serie_id, periodo, max(struct_pack(d := d, a := archivo_id)).a AS archivo_id FROM g GROUP BY ALL),
 m AS (SELECT *, lag(archivo_id) OVER (PARTITION BY serie_id ORDER BY periodo) AS antes FROM l),
-n AS (SELECT m.archivo_id, m.antes, w.campo, w.kind, w.signed, w.decimals, w.width, w.at FROM m JOIN w USING (archivo_id) WHERE antes IS NOT NULL),
-o AS (SELECT m.archivo_id, m.antes, w.campo, w.kind, w.signed, w.decimals, w.width, w.at FROM m JOIN w ON w.archivo_id = m.antes),
+y AS (SELECT archivo_id AS f, campo, kind, signed, decimals, width, kind || '(' || width || ',' || decimals || ')' || CASE WHEN signed THEN 's' ELSE '' END AS imagen, coalesce(tipos, '') AS tipos FROM w LEFT JOIN tx USING (archivo_id, campo)),
+n AS (SELECT archivo_id, antes, y.* FROM m JOIN y ON f = archivo_id WHERE antes IS NOT NULL),
+o AS (SELECT archivo_id, antes, y.* FROM m JOIN y ON f = antes),
 add AS (SELECT * FROM n ANTI JOIN o USING (archivo_id, campo)),
 rem AS (SELECT * FROM o ANTI JOIN n USING (archivo_id, campo)),
-li AS (SELECT DISTINCT archivo_id, line_no, raw FROM cmf_v2024_linea),
+full_values AS (SELECT archivo_id AS f, campo, line_no, v FROM va WHERE trim(v) <> ''),
+rival AS (SELECT a.archivo_id, a.antes, a.campo AS nuevo, r.campo AS viejo FROM add a JOIN rem r USING (archivo_id, imagen)),
+common AS (SELECT DISTINCT p.archivo_id, x.line_no FROM (SELECT DISTINCT archivo_id, antes FROM rival) p JOIN li x ON x.archivo_id = p.archivo_id JOIN li z ON z.archivo_id = p.antes AND z.line_no = x.line_no),
 sh AS (
-  SELECT a.archivo_id, a.campo AS nuevo, r.campo AS viejo, avg((substr(x.raw, a.at::BIGINT, a.width::BIGINT) = substr(y.raw, r.at::BIGINT, r.width::BIGINT))::INT) AS igual
-  FROM add a JOIN rem r ON a.archivo_id = r.archivo_id AND a.kind = r.kind AND a.signed = r.signed AND a.decimals = r.decimals AND a.width = r.width
-  JOIN li x ON x.archivo_id = a.archivo_id JOIN li y ON y.archivo_id = r.antes AND x.line_no = y.line_no GROUP BY ALL),
+  SELECT p.archivo_id, nuevo, viejo, sum((i.v = j.v)::INT) / greatest(count(i.v), count(j.v)) AS igual
+  FROM rival p JOIN common c USING (archivo_id) LEFT JOIN full_values i ON i.f = p.archivo_id AND i.campo = nuevo AND i.line_no = c.line_no LEFT JOIN full_values j ON j.f = p.antes AND j.campo = viejo AND j.line_no = c.line_no GROUP BY ALL),
 rn AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY archivo_id, nuevo ORDER BY igual DESC, viejo) AS a, row_number() OVER (PARTITION BY archivo_id, viejo ORDER BY igual DESC, nuevo) AS b
-  FROM sh WHERE igual >= 0.5) WHERE a = 1 AND b = 1)
-SELECT archivo_id, nuevo AS campo, 'renamed' AS cambio FROM rn
-UNION ALL SELECT archivo_id, campo, 'added' FROM add WHERE (archivo_id, campo) NOT IN (SELECT (archivo_id, nuevo) FROM rn)
-UNION ALL SELECT archivo_id, campo, 'removed' FROM rem WHERE (archivo_id, campo) NOT IN (SELECT (archivo_id, viejo) FROM rn)
-UNION ALL SELECT archivo_id, campo, CASE WHEN (n.kind, n.signed, n.decimals) <> (o.kind, o.signed, o.decimals) THEN 'retyped' ELSE 'resized' END
-  FROM n JOIN o USING (archivo_id, campo) WHERE (n.kind, n.signed, n.decimals, n.width) <> (o.kind, o.signed, o.decimals, o.width)"""
+  FROM sh WHERE igual >= 0.5) WHERE a = 1 AND b = 1),
+ch AS (
+  SELECT a.archivo_id, a.antes, a.campo, viejo AS campo_antes, 'renamed' AS cambio, o.imagen AS imagen_antes, a.imagen, o.tipos AS tipos_antes, a.tipos FROM rn JOIN add a ON a.archivo_id = rn.archivo_id AND a.campo = nuevo JOIN o ON o.archivo_id = rn.archivo_id AND o.campo = viejo
+  UNION ALL SELECT archivo_id, antes, campo, NULL, 'added', NULL, imagen, NULL, tipos FROM add WHERE (archivo_id, campo) NOT IN (SELECT (archivo_id, nuevo) FROM rn)
+  UNION ALL SELECT archivo_id, antes, campo, NULL, 'removed', imagen, NULL, tipos, NULL FROM rem WHERE (archivo_id, campo) NOT IN (SELECT (archivo_id, viejo) FROM rn)
+  UNION ALL SELECT n.archivo_id, n.antes, n.campo, NULL, CASE WHEN (n.kind, n.signed, n.decimals) <> (o.kind, o.signed, o.decimals) THEN 'retyped' ELSE 'resized' END, o.imagen, n.imagen, o.tipos, n.tipos
+  FROM n JOIN o USING (archivo_id, campo) WHERE n.imagen <> o.imagen)"""
 
 ORACLE: dict[str, str] = {
     "p1_found": _P1.format("evento_id, zip_origen, source_file, line_no"),
     "p1_attributes": _P1.format("evento_id, zip_origen, source_file, line_no, clasificacion_riesgo, nocional_m, contraparte_nombre"),
     "p2_found": _P2,
     "p2_loaded_control": _P2_CONTROL,
-    "p3_found": _P3,
+    "p3_found": _P3 + " SELECT archivo_id, campo, cambio FROM ch",
+    "p3_changes": _P3 + " SELECT * FROM ch",
+    "p3_types": _P3 + " SELECT archivo_id, campo, tipo, filas FROM ty",
     "p7_found": _SNAPS.format("periodo, rut_compania, folio_operacion, cambio"),
     "p7_changes": _SNAPS.format("periodo, rut_compania, folio_operacion, cambio, nocional_m, nocional_prev_m"),
 }

@@ -7,8 +7,9 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Largest optimizer estimate, in bytes, of a side that is broadcast explicitly.
 BROADCAST_LIMIT = 32 << 20
@@ -40,7 +41,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of the size of a plan's output; costs no job."""
+    """The optimizer's estimate of the size of a plan's output; costs no job. It says nothing of columns that hold many values."""
+    if any(isinstance(f.dataType, T.ArrayType | T.MapType) for f in df.schema):
+        return UNKNOWN_BYTES
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
@@ -87,14 +90,24 @@ def ship(spark: SparkSession) -> None:
     sc._lumbra_shipped = True
 
 
-#: Rows of a materialised side that may be broadcast after counting it.
-BROADCAST_ROWS = 200_000
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes: the bytes of texts, what nested values take as JSON, 16 for anything else."""
+    size = F.lit(16).cast("long")
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        elif isinstance(f.dataType, T.ArrayType | T.MapType | T.StructType):
+            size = size + F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) * 2
+        else:
+            size = size + 16
+    return size
 
 
-def counted_small(df: DataFrame, rows: int = BROADCAST_ROWS, written: bool = False) -> DataFrame:
-    """Counts a side and marks it for broadcast only if it has at most `rows` rows; materialises it before, unless it is a part of something written."""
+def counted_small(df: DataFrame, limit: int = BROADCAST_LIMIT, written: bool = False) -> DataFrame:
+    """Measures a side and marks it for broadcast only if its rows take at most `limit` bytes; materialises it before, unless it is a part of something written."""
     df = df if written else checkpointed(df)
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= limit else df
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -38,7 +38,13 @@ def _held(df: DataFrame, path: str, partitions: tuple[str, ...]) -> DataFrame |
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(p)) and any(x.isDirectory() for x in fs.listStatus(p))
+    if not fs.exists(p):
+        return False
+    found = fs.listFiles(p, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
 
 
 def _overwrite(df: DataFrame, path: str, partitions: tuple[str, ...]) -> None:
