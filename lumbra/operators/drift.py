@@ -59,11 +59,16 @@ def field_lists(fields: DataFrame) -> DataFrame:
 
 
 def layouts(lists: DataFrame) -> DataFrame:
-    """One row per file: its fields in order, each with its offset. A file's fields are few and fixed by its format."""
+    """One row per file: `_names`, its fields in order, and `_cuts`, where each lies. A file's fields are few and fixed by its format.
+
+    A name that a list has twice keeps its first field."""
     one = F.array_sort(F.collect_list(F.struct("pos", "campo", "kind", "signed", "decimals", "width"))).alias("_f")
-    w = lists.groupBy("archivo_id").agg(one)
-    start = F.transform(F.sequence(F.lit(1), F.size("_f")), lambda i: F.aggregate(F.slice("_f", 1, i - 1), F.lit(1), lambda n, x: n + x.width))
-    return w.select("archivo_id", F.arrays_zip(F.col("_f"), start.alias("_at")).alias("_layout"))
+    start = lambda acc, x: F.struct((acc["at"] + x["width"]).alias("at"), F.concat(acc["out"], F.array(F.struct(x["campo"].alias("campo"), acc["at"].alias("at"), x["width"].alias("width"), x["kind"].alias("kind"), x["decimals"].alias("decimals")))).alias("out"))
+    empty = F.struct(F.lit(1).alias("at"), F.expr("CAST(array() AS ARRAY<STRUCT<campo: STRING, at: INT, width: INT, kind: STRING, decimals: INT>>)").alias("out"))
+    w = lists.groupBy("archivo_id").agg(one).select("archivo_id", F.aggregate("_f", empty, start)["out"].alias("_all"))
+    w = w.withColumn("_every", F.transform("_all", lambda x: x["campo"]))
+    w = w.withColumn("_cuts", F.filter("_all", lambda x, i: F.array_position(F.col("_every"), x["campo"]) == i + 1))
+    return w.select("archivo_id", F.transform("_cuts", lambda x: x["campo"]).alias("_names"), "_cuts")
 
 
 #: What a value looks like, whatever its picture says: AAAAMMDD, AAAA-MM-DD, digits, signed digits, anything else.
@@ -88,20 +93,8 @@ def path_values(lines: DataFrame, lists: DataFrame) -> DataFrame:
 
     A line shorter than its list has empty values at its end; lines of files without a list are left out."""
     at = lines.select("archivo_id", "line_no", "raw").distinct().join(layouts(lists), "archivo_id")
-    cut = F.transform(
-        "_layout",
-        lambda x: F.struct(
-            x["_f"]["campo"].alias("campo"),
-            F.struct(F.substring(F.col("raw"), x["_at"], x["_f"]["width"]).alias("v"), x["_f"]["kind"].alias("kind"), x["_f"]["decimals"].alias("decimals")).alias("c"),
-        ),
-    )
-    # a name that a list has twice keeps its first field
-    return at.select("archivo_id", "line_no", F.map_from_entries(_first_of_name(cut)).alias("valores"))
-
-
-def _first_of_name(entries: Column) -> Column:
-    names = F.transform(entries, lambda e: e["campo"])
-    return F.filter(entries, lambda e, i: F.array_position(names, e["campo"]) == i + 1)
+    value = lambda x: F.struct(F.substring(F.col("raw"), x["at"], x["width"]).alias("v"), x["kind"].alias("kind"), x["decimals"].alias("decimals"))
+    return at.select("archivo_id", "line_no", F.map_from_arrays("_names", F.transform("_cuts", value)).alias("valores"))
 
 
 def path_statistics(values: DataFrame) -> DataFrame:
