@@ -1,16 +1,15 @@
 """Quantities recorded in different units.
 
-The distinct spellings of units, in unit columns, in text amounts and in remarks, are mapped to canonical
-units: a character n-gram inverted index over the known spellings proposes candidates, a weighted edit
-distance verifies them. The resulting alias dictionary is joined to all rows. Rows that state no unit get
-that of their file if the file as a whole plainly isn't in the norm's unit.
+The distinct spellings of units, in unit columns, in text amounts and in remarks, are cut into words. A character
+n-gram inverted index over the known words proposes meanings for each distinct word, a weighted edit distance verifies
+them, and near ties between different meanings are refused. A spelling's scale and currency are put together from its
+words, so spellings that no list holds are read too; those that can't be read are reported. The resulting alias
+dictionary is joined to all rows. Rows that state no unit get that of their file if the file as a whole plainly isn't
+in the norm's unit.
 """
 
 from __future__ import annotations
 
-import math
-import re
-import unicodedata
 from functools import reduce
 
 import pandas as pd
@@ -21,43 +20,50 @@ from pyspark.sql import types as T
 from lumbra.session import checkpointed, counted_small, ship
 
 NORM = "MCLP"
-# Known spellings of each unit, and remarks that state one or none.
-SPELLINGS: dict[str, list[str]] = {
-    "MCLP": ["M$", "MCLP", "M CLP", "miles de pesos", "miles $", "mil pesos", "thousand pesos", "CLP miles", "miles CLP", "kCLP"],
-    "CLP": ["$", "CLP", "peso", "pesos", "pesos chilenos", "en pesos", "single pesos", "$ unidades"],
-    "MMCLP": ["MM$", "MMCLP", "MM CLP", "CLP mm", "millones", "millones de pesos", "mill. $", "MM de pesos", "million pesos", "CLP millions", "millones $", "mill. pesos"],
-    "MUSD": ["MUSD", "kUSD", "USD k", "USD (miles)", "US$ miles", "miles US$", "miles de dólares", "USD thousand", "thousand USD", "miles USD", "M US$", "mil dólares"],
-    "UF": ["UF", "U.F.", "Unid. Fomento", "unidades de fomento", "unidad de fomento"],
-}
-REMARKS: dict[str, list[str]] = {
-    "MCLP": ["amounts in thousand pesos as required", "cifra en miles de pesos, según norma"],
-    "CLP": [
-        "valor sin dividir por mil (pesos)", "monto informado en pesos, no en miles", "amount stated in single pesos",
-        "importe en $ unidades", "OJO: el monto viene en pesos", "cifra en pesos chilenos completos",
-    ],
-    "MMCLP": ["valor informado en MM de pesos", "amount in CLP millions", "cifras en MM$", "importe en millones de pesos", "monto abreviado: millones de pesos"],
-    "MUSD": ["valor en dólares (miles), falta llevar a pesos", "importe en US$ miles, sin convertir", "monto en miles de dólares", "amount stated in thousand USD"],
-    "UF": ["valor sin convertir, en U.F.", "amount left in UF", "monto expresado en UF", "cantidad de UF, no pesos", "importe en unidades de fomento"],
-    "": [
-        "sin observaciones", "comisión de USD 9 pagada al cierre", "se revisó contra papeleta", "spot en pesos según mesa",
-        "contrato marco firmado", "pendiente confirmación de la contraparte", "cobertura de pasivos en UF",
-        "precio pactado en pesos por dólar", "garantía constituida en UF, informada aparte",
-    ],
-}
-#: Words that say that a remark is about the amount itself.
-AMOUNT_WORDS = ("monto", "montos", "cifra", "cifras", "valor", "valores", "importe", "importes", "cantidad", "amount", "amounts", "value")
-#: Length of the grams of the inverted index, and the greatest edit cost per character of the known spelling.
-GRAM, MAX_COST = 2, 0.2
+# Words of currencies and of scales (powers of ten), words that say nothing, and words that deny what follows.
+CURRENCIES: dict[str, list[str]] = {
+    "CLP": ["$", "clp", "peso", "pesos"],
+    "USD": ["usd", "us$", "u$s", "u$d", "dolar", "dolares", "dollar", "dollars"],
+    "UF": ["uf", "ufs", "fomento"],
+}
+SCALES: dict[int, list[str]] = {
+    0: ["unid", "unidad", "unidades", "unit", "units", "single", "entero", "enteros"],
+    3: ["m", "k", "mil", "miles", "thousand", "thousands"],
+    6: ["mm", "mill", "millon", "millones", "million", "millions"],
+    9: ["mmm", "billion", "billions"],
+}
+SILENT = ("de", "del", "en", "of", "in", "la", "los", "chileno", "chilenos", "chilean", "americano", "americanos", "american", "us")
+DENIAL = ("no", "not", "sin", "falta", "without", "ni", "nunca")
+#: Words that say that a remark is about the amount itself.
+AMOUNT_WORDS = (
+    "monto", "montos", "cifra", "cifras", "valor", "valores", "importe", "importes", "cantidad", "cantidades", "amount", "amounts", "value", "values", "figure", "figures",
+    "expresado", "expresados", "reported", "stated", "expressed",
+)
+#: Prefix of a unit's name by its power of ten.
+PREFIX = {0: "", 3: "M", 6: "MM", 9: "MMM"}
+#: Short forms that join scale and currency in one word are made of these.
+FUSED_SCALES, FUSED_CURRENCIES = {"m": 3, "k": 3, "mm": 6, "mmm": 9}, {"clp": "CLP", "usd": "USD", "uf": "UF"}
+#: Length of the grams of the inverted index, the edit cost per character of the known word below which a typo counts, and the lead it needs over another meaning.
+GRAM, MAX_COST, LEAD = 2, 0.2, 0.1
+#: Least letters of a known word for which typos count.
+LEAST_FUZZY = 4
 #: Orders of magnitude between a file's mean amount and the norm's from which the file plainly differs, and the share of its lines with the other unit's shape.
 FILE_STEP, FILE_SHARE = 1.5, 0.8
 
+# Accented letters.
+_ACCENTED, _PLAIN = "áàâãäéèêëíìîïóòôõöúùûüñç", "aaaaaeeeeiiiiooooouuuunc"
 
-def fold(s: str) -> str:
-    """Lower case, no accents, digits as one 9, single blanks, no dots or hyphens at the ends."""
-    s = "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)).lower()
-    s = re.sub(r"\d+", "9", s)
-    s = re.sub(r"(?<=\w)\.(?=\w\.?\b)", "", s)  # u.f. -> uf
-    return re.sub(r"\s+", " ", s).strip(" .-\t")
+
+def folded(c: Column) -> Column:
+    """Lower case, no accents, numbers as 9, single blanks, abbreviations of letters (u.f.) as one word."""
+    t = F.regexp_replace(F.translate(F.lower(c), _ACCENTED, _PLAIN), "[\\u0300-\\u036f]", "")
+    t = F.regexp_replace(F.regexp_replace(t, r"\d+", "9"), r"(?<=\b[a-z])\.(?=[a-z]\b)", "")
+    return F.trim(F.regexp_replace(t, r"\s+", " "))
+
+
+def words_of(c: Column) -> Column:
+    """Words, currency signs and the marks that divide a remark, of a folded text."""
+    return F.regexp_extract_all(c, F.lit(r"(us\$|u\$[sd]|\$|[a-z]+|[(),;:])"), F.lit(1))
 
 
 #: Characters that an edit may add or drop cheaply.
@@ -82,60 +88,104 @@ def edit_cost(a: str, b: str) -> float:
     return before[-1]
 
 
-def grams(s: str) -> list[str]:
-    s = f"^{s}$"
-    return sorted({s[i : i + GRAM] for i in range(len(s) - GRAM + 1)})
+def meanings() -> dict[str, str]:
+    """Meaning of each known word: `exponent|currency`, one of them empty for a word of one kind; '' for a silent one."""
+    out = {w: f"|{c}" for c, ws in CURRENCIES.items() for w in ws} | {w: f"{e}|" for e, ws in SCALES.items() for w in ws}
+    out |= {w: "" for w in SILENT}
+    for s, e in FUSED_SCALES.items():
+        for c, cur in FUSED_CURRENCIES.items():
+            out[s + c] = out[c + s] = f"{e}|{cur}"
+    return out
 
 
-def _known() -> list[tuple[str, str, str]]:
-    out = [("unit", fold(s), u) for u, ss in SPELLINGS.items() for s in ss]
-    return out + [("remark", fold(s), u) for u, ss in REMARKS.items() for s in ss]
+def _grams(c: Column) -> Column:
+    s = F.concat(F.lit("^"), c, F.lit("$"))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(s) - GRAM + 1), lambda i: F.substring(s, i, GRAM)))
 
 
-def _stated(remark: str) -> str:
-    """Unit of an unknown remark: the longest known spelling in its main clause, if that clause is about the amount."""
-    words = re.findall(r"[a-z]+", remark)
-    if not set(words[:4]) & set(AMOUNT_WORDS):
-        return ""
-    main = re.split(r"[,;]| no | falta ", remark)[0]
-    hits = [(len(s), u) for k, s, u in _known() if k == "unit" and re.search(rf"(?<![\w$]){re.escape(s)}(?![\w$])", main)]
-    return max(hits)[1] if hits else ""
+def word_meanings(words: DataFrame) -> DataFrame:
+    """(w, m): meaning of each distinct word that is known, or a typo of known words of one meaning. Unknown words have no row.
+
+    Candidates share grams with a known word through the inverted index; a cost below MAX_COST a character counts, and one of
+    another meaning within LEAD of it refuses the word. The known words are a fixed list, so the index is a small broadcast."""
+    spark = words.sparkSession
+    known = spark.createDataFrame(sorted(meanings().items()), "_known string, m string")
+    exact = words.join(F.broadcast(known), F.col("w") == F.col("_known")).select("w", "m")
+    index = known.where(F.length("_known") >= LEAST_FUZZY).withColumn("_g", F.explode(_grams(F.col("_known"))))
+    # a typo changes few letters, so a word of another length has no candidates
+    rest = words.where(F.length("w").between(LEAST_FUZZY - 1, 30)).join(F.broadcast(known), F.col("w") == F.col("_known"), "left_anti").withColumn("_g", F.explode(_grams(F.col("w"))))
+    cand = rest.join(F.broadcast(index), "_g").where(F.abs(F.length("w") - F.length("_known")) <= F.length("_known") * MAX_COST).groupBy("w", "_known", "m").agg(F.count(F.lit(1)).alias("_shared"))
+
+    @F.pandas_udf(T.DoubleType())
+    def cost(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([edit_cost(x, y) / len(y) for x, y in zip(a, b)], dtype="float64")
+
+    cand = cand.where("_shared >= 2").withColumn("c", cost("w", "_known")).where(F.col("c") < MAX_COST + LEAD)
+    best = cand.groupBy("w", "m").agg(F.min("c").alias("c")).groupBy("w").agg(F.slice(F.array_sort(F.collect_list(F.struct("c", "m"))), 1, 2).alias("b"))  # meanings are few
+    clear = (F.size("b") == 1) | (F.get("b", F.lit(1))["c"] - F.get("b", F.lit(0))["c"] >= LEAD)
+    return exact.unionByName(best.where((F.get("b", F.lit(0))["c"] < MAX_COST) & clear).select("w", F.get("b", F.lit(0))["m"].alias("m")))
+
+
+def compose(kind: str, words: list[str], found: list[str | None]) -> str | None:
+    """Unit of a spelling from its words and their meanings (null: unknown word).
+
+    A unit spelling must be known word by word; a remark must speak of the amount in its first words, and what follows a
+    denial up to the next mark doesn't count. Two currencies or two scales are a contradiction, except thousands of millions.
+    Without a currency a scale is one of pesos. null: not to be read; '' for a remark that states none."""
+    none = "" if kind == "remark" else None
+    if kind == "remark" and not set([w for w in words if w.isalpha()][:4]) & set(AMOUNT_WORDS):
+        return none
+    scales, currencies, denied = [], [], False
+    for i, (w, m) in enumerate(zip(words, found)):
+        if w in "(),;:":
+            denied = False
+            continue
+        if kind == "remark" and w in DENIAL:
+            denied = True
+        if denied or m == "":
+            continue
+        if m is None:
+            if kind == "unit":
+                return None
+            continue
+        scale, currency = m.split("|")
+        if w in ("m", "k"):  # a letter alone is a scale only beside a currency
+            near = [found[j] for j in range(max(0, i - 2), min(len(words), i + 3)) if j != i and words[j] not in SILENT]
+            if not any(x and x.split("|")[1] for x in near):
+                if kind == "unit":
+                    return None
+                continue
+        if scale:
+            scales.append(int(scale))
+        if currency:
+            currencies.append(currency)
+    size = [s for s in scales if s]
+    if size == [3, 6]:
+        size = [9]
+    if len(set(size)) > 1 or len(set(currencies)) > 1 or not (size or currencies):
+        return none
+    return PREFIX[size[0] if size else 0] + (currencies[0] if currencies else "CLP")
 
 
 def alias_dictionary(spellings: DataFrame) -> DataFrame:
-    """(tipo, grafia, unidad, costo) for distinct (tipo, grafia): tipo is unit or remark.
+    """(tipo, grafia, unidad) of distinct (tipo, grafia), grafia being folded: tipo is unit or remark.
 
-    Candidates share grams with a known spelling through the inverted index; the cheapest edit within
-    MAX_COST a character wins, ties by unit name. unidad is '' if a remark states none, null if a unit
-    spelling is unknown. The known spellings are a fixed list, so the index is a small broadcast."""
+    unidad is '' if a remark states none, null if a unit spelling can't be read. Words are looked up once each, however
+    many spellings have them."""
     spark = spellings.sparkSession
     ship(spark)
-    folded = F.pandas_udf(lambda s: s.map(lambda x: fold(x)), T.StringType())
-    listed = F.pandas_udf(lambda s: s.map(grams), T.ArrayType(T.StringType()))
-    # folding first: what differs in case, accents, digits or blanks is one entry
-    own = spellings.select("tipo", "grafia", folded("grafia").alias("_s"))
-    distinct = own.select("tipo", "_s").distinct()
-    index = spark.createDataFrame([(k, g, s, u, len(grams(s))) for k, s, u in _known() for g in grams(s)], "tipo string, _g string, _known string, unidad string, _n int")
-    cand = distinct.withColumn("_g", F.explode(listed("_s"))).join(F.broadcast(index), ["tipo", "_g"])
-    cand = cand.groupBy("tipo", "_s", "_known", "unidad").agg(F.count(F.lit(1)).alias("_shared"), F.first("_n").alias("_n"))
-    cand = cand.where(F.col("_shared") * 2 >= F.least(F.col("_n"), F.lit(4)))
-
-    @F.pandas_udf(T.DoubleType())
-    def cost(a: pd.Series, b: pd.Series) -> pd.Series:
-        heavy = lambda s: len(s) - sum(map(s.count, LIGHT))
-        # an edit costs at least the difference of the heavy characters, so a long remark needs no distance to a short spelling
-        far = lambda x, y: abs(heavy(x) - heavy(y)) > MAX_COST * max(1, heavy(y))
-        return pd.Series([math.inf if far(x, y) else edit_cost(x, y) / max(1, heavy(y)) for x, y in zip(a, b)])
+    own = spellings.select("tipo", "grafia").distinct().withColumn("_ws", words_of(F.col("grafia")))
+    long = checkpointed(own.select("tipo", "grafia", F.posexplode("_ws").alias("i", "w")))
+    known = word_meanings(long.select("w").distinct())
+    read = long.join(known, "w", "left").groupBy("tipo", "grafia").agg(F.array_sort(F.collect_list(F.struct("i", "w", "m"))).alias("_x"))
 
     @F.pandas_udf(T.StringType())
-    def stated(s: pd.Series) -> pd.Series:
-        return s.map(_stated)
+    def unit(kind: pd.Series, ws: pd.Series, ms: pd.Series) -> pd.Series:
+        return pd.Series([compose(k, list(w), list(m)) for k, w, m in zip(kind, ws, ms)], dtype=object)
 
-    best = cand.withColumn("costo", cost("_s", "_known")).where(F.col("costo") <= MAX_COST)
-    best = best.groupBy("tipo", "_s").agg(F.min(F.struct("costo", "unidad")).alias("_b"))
-    out = distinct.join(best, ["tipo", "_s"], "left")
-    unit = F.coalesce(F.col("_b.unidad"), F.when(F.col("tipo") == "remark", stated("_s")))
-    return own.join(out.select("tipo", "_s", unit.alias("unidad"), F.col("_b.costo").alias("costo")), ["tipo", "_s"]).select("tipo", "grafia", "unidad", "costo")
+    got = read.withColumn("unidad", unit("tipo", F.transform("_x", lambda x: x["w"]), F.transform("_x", lambda x: x["m"]))).select("tipo", "grafia", "unidad")
+    empty = own.where(F.size("_ws") == 0).select("tipo", "grafia", F.when(F.col("tipo") == "remark", "").alias("unidad"))
+    return got.unionByName(empty)
 
 
 _NUMBER = r"\d[\d.,]*\d|\d"
@@ -175,37 +225,40 @@ def stacked(derivatives: DataFrame, bonds: DataFrame) -> DataFrame:
 
 
 def _spelled(rows: DataFrame) -> DataFrame:
-    """Rows with an amount, their number and the spellings that may tell its unit."""
+    """Rows with an amount, their number, and the folded spelling that may tell its unit: `_g` of the kind `_t`."""
     has_text = F.col("monto").isNull() & F.col("texto").isNotNull()
     blank = lambda c: F.nullif(F.trim(c), F.lit(""))
-    rows = rows.withColumn("_unit", F.coalesce(F.when(has_text, blank(spelled_unit(F.col("texto")))), blank(F.col("unidad_col"))))
-    rows = rows.withColumn("monto", F.when(has_text, spelled_number(F.col("texto"))).otherwise(F.col("monto")))
-    return rows.withColumn("_remark", blank(F.regexp_replace("glosa", r"\d+", "9"))).where(F.col("monto").isNotNull() & ~F.isnan("monto"))
+    unit = folded(F.coalesce(F.when(has_text, blank(spelled_unit(F.col("texto")))), blank(F.col("unidad_col"))))
+    rows = rows.withColumn("_u", unit).withColumn("monto", F.when(has_text, spelled_number(F.col("texto"))).otherwise(F.col("monto")))
+    rows = rows.where(F.col("monto").isNotNull() & ~F.isnan("monto")).withColumn("_g", F.coalesce("_u", blank(folded(F.col("glosa")))))
+    return rows.withColumn("_t", F.when(F.col("_u").isNotNull(), "unit").when(F.col("_g").isNotNull(), "remark")).drop("_u")
 
 
 def with_units(rows: DataFrame) -> DataFrame:
-    """rows (see stacked) with `unidad` and `origen_unidad`: unit, remark, file or norm. Rows without an amount are left out.
+    """rows (see stacked) with `unidad` and `origen_unidad`: unit, remark, file, norm or unknown. Rows without an amount are left out.
 
-    A unit column or the text of the amount goes before the remark; an unknown unit spelling counts as none.
-    Null amounts, NaN and texts without a number are no amounts. Empty tables give no rows."""
+    A unit column or the text of the amount goes before the remark. A unit spelling that can't be read has no unit (null) and
+    origin `unknown`: nothing is assumed of it. Null amounts, NaN and texts without a number are no amounts. Empty tables give
+    no rows. One pass over the rows gathers the spellings and the statistics of files, another joins the results."""
     spelled = _spelled(rows)
-    units = spelled.where("_unit IS NOT NULL").select(F.lit("unit").alias("tipo"), F.col("_unit").alias("grafia")).distinct()
-    remarks = spelled.where("_unit IS NULL AND _remark IS NOT NULL").select(F.lit("remark").alias("tipo"), F.col("_remark").alias("grafia")).distinct()
-    dictionary = checkpointed(alias_dictionary(units.unionByName(remarks)))
-    by_unit = counted_small(dictionary.where("tipo = 'unit' AND unidad IS NOT NULL").select(F.col("grafia").alias("_unit"), F.col("unidad").alias("_u")), written=True)
-    by_remark = counted_small(dictionary.where("tipo = 'remark' AND unidad <> ''").select(F.col("grafia").alias("_remark"), F.col("unidad").alias("_r")), written=True)
-    got = spelled.join(by_unit, "_unit", "left").join(by_remark, "_remark", "left")
-    got = got.withColumn("_stated", F.coalesce("_u", F.when(F.col("_unit").isNull(), F.col("_r"))))
-
-    size = F.log10(F.abs("monto"))
-    level = F.avg(F.when((F.col("_stated") == NORM) & (F.col("monto") != 0), size))
-    unstated = F.col("_stated").isNull() & (F.col("monto") != 0)
-    ones = lambda c: F.avg(F.when(unstated, c.cast("double")))
+    live = F.col("monto") != 0
+    ones = lambda c: F.sum(F.when(live, c.cast("double")))
+    m = F.col("monto")
+    parts = spelled.groupBy("tabla", "zip_origen", "source_file", "_t", "_g").agg(
+        F.count(F.when(live, 1)).alias("_n"), ones(F.log10(F.abs("monto"))).alias("_size"), ones(m % 1000 == 0).alias("_thousands"), ones(m % 1 != 0).alias("_broken"),
+        ones(F.abs(m * 100 - F.round(m * 100)) < 1e-4).alias("_cents"),
+    )
+    parts = checkpointed(parts)
+    dictionary = checkpointed(alias_dictionary(parts.where("_t IS NOT NULL").select(F.col("_t").alias("tipo"), F.col("_g").alias("grafia"))))
+    stated = dictionary.where("tipo = 'unit' OR unidad <> ''").select(F.col("tipo").alias("_t"), F.col("grafia").alias("_g"), F.coalesce("unidad", F.lit("?")).alias("_stated"))
+    stated = counted_small(stated, written=True)
+
+    got = parts.join(stated, ["_t", "_g"], "left")
+    is_norm, unstated = F.col("_stated") == NORM, F.col("_stated").isNull()
+    part = lambda keep, c: F.sum(F.when(keep, F.col(c)))
     files = got.groupBy("tabla", "zip_origen", "source_file").agg(
-        F.count(F.when(unstated, 1)).alias("_n"), ones(size).alias("_size"), ones(F.col("monto") % 1000 == 0).alias("_thousands"),
-        ones(F.col("monto") % 1 != 0).alias("_broken"), ones(F.abs(F.col("monto") * 100 - F.round(F.col("monto") * 100)) < 1e-4).alias("_cents"),
-        F.sum(F.when((F.col("_stated") == NORM) & (F.col("monto") != 0), size)).alias("_norm_sum"),
-        F.count(F.when((F.col("_stated") == NORM) & (F.col("monto") != 0), 1)).alias("_norm_n"),
+        part(unstated, "_n").alias("_n"), *[F.try_divide(part(unstated, c), part(unstated, "_n")).alias(c) for c in ("_size", "_thousands", "_broken", "_cents")],
+        part(is_norm, "_size").alias("_norm_sum"), part(is_norm, "_n").alias("_norm_n"),
     )
     files = checkpointed(files)
     level = F.broadcast(files.groupBy("tabla").agg(F.try_divide(F.sum("_norm_sum"), F.sum("_norm_n")).alias("_norm")))  # one row a table
@@ -217,20 +270,23 @@ def with_units(rows: DataFrame) -> DataFrame:
         .when((off <= -FILE_STEP) & (F.col("_broken") >= FILE_SHARE), "MMCLP")
     )
     odd = files.where("_n > 0").join(level, "tabla").withColumn("_f", file_unit).where("_f IS NOT NULL").select("tabla", "zip_origen", "source_file", "_f")
-    got = got.join(counted_small(odd, written=True), ["tabla", "zip_origen", "source_file"], "left")
-    unit = F.coalesce("_stated", "_f", F.lit(NORM))
-    origin = F.when(F.col("_u").isNotNull(), "unit").when(F.col("_stated").isNotNull(), "remark").when(F.col("_f").isNotNull(), "file").otherwise("norm")
-    return got.withColumn("unidad", unit).withColumn("origen_unidad", origin).drop("_unit", "_remark", "_u", "_r", "_stated", "_f")
+    out = spelled.join(stated, ["_t", "_g"], "left").join(counted_small(odd, written=True), ["tabla", "zip_origen", "source_file"], "left")
+    unknown = F.col("_stated") == "?"
+    unit = F.when(~F.coalesce(unknown, F.lit(False)), F.coalesce("_stated", "_f", F.lit(NORM)))
+    origin = F.when(unknown, "unknown").when(F.col("_stated").isNotNull(), F.col("_t")).when(F.col("_f").isNotNull(), "file").otherwise("norm")
+    return out.withColumn("unidad", unit).withColumn("origen_unidad", origin).drop("_t", "_g", "_stated", "_f")
 
 
 def in_norm_units(rows: DataFrame, closes: DataFrame) -> DataFrame:
     """rows of with_units with `monto_norma`: the amount in thousands of pesos, at the close of its period.
 
     closes: serie (UF, USD), periodo, valor in pesos per unit; one value a month, so a few rows a series.
-    An amount in UF or dollars of a period without a close is null."""
+    An amount without a unit, or in UF or dollars of a period without a close, is null."""
     closes = closes.groupBy(F.col("periodo").alias("periodo_informacion")).agg(
         F.max(F.when(F.upper("serie") == "UF", F.col("valor"))).alias("_uf"), F.max(F.when(F.upper("serie") == "USD", F.col("valor"))).alias("_usd")
     )
     u, m = F.col("unidad"), F.col("monto")
-    value = reduce(lambda a, x: a.when(u == x[0], x[1]), [("CLP", m / 1000), ("MMCLP", m * 1000), ("MUSD", m * F.col("_usd")), ("UF", m * F.col("_uf") / 1000)], F.when(u == NORM, m))
-    return rows.join(counted_small(closes, written=True), "periodo_informacion", "left").withColumn("monto_norma", value).drop("_uf", "_usd")
+    price = {"CLP": F.lit(1.0), "USD": F.col("_usd"), "UF": F.col("_uf")}
+    every = [(p + c, m * (10.0**e / 1000) * v if e >= 3 else m * v / 1000) for e, p in PREFIX.items() for c, v in price.items()]
+    value = reduce(lambda a, x: a.when(u == x[0], x[1]), every, F.when(u == NORM, m))
+    return rows.join(counted_small(closes), "periodo_informacion", "left").withColumn("monto_norma", value).drop("_uf", "_usd")

@@ -214,22 +214,35 @@ _UNITS = {
     "MUSD": ("musd", "kusd", "usd k", "usd (miles)", "us$ miles", "miles us$", "miles de dolares"),
     "UF": ("uf", "unid fomento", "unidades de fomento"),
 }
+#: Remarks of the test data that state a unit, without accents and full stops.
+_REMARKS = {
+    "MCLP": ("amounts in thousand pesos as required", "cifra en miles de pesos, segun norma"),
+    "CLP": ("valor sin dividir por mil (pesos)", "monto informado en pesos, no en miles", "amount stated in single pesos", "importe en $ unidades", "ojo: el monto viene en pesos", "cifra en pesos chilenos completos"),
+    "MMCLP": ("valor informado en mm de pesos", "amount in clp millions", "cifras en mm$", "importe en millones de pesos", "monto abreviado: millones de pesos"),
+    "MUSD": ("valor en dolares (miles), falta llevar a pesos", "importe en us$ miles, sin convertir", "monto en miles de dolares", "amount stated in thousand usd"),
+    "UF": ("valor sin convertir, en uf", "amount left in uf", "monto expresado en uf", "cantidad de uf, no pesos", "importe en unidades de fomento"),
+}
 _CASE = lambda col, words: "CASE " + " ".join(f"WHEN {col} IN ({', '.join(repr(w) for w in ws)}) THEN '{u}'" for u, ws in words.items()) + " END"
 _FOLDED = "lower(replace(strip_accents({}), '.', ''))"
-_REMARKED = {u: tuple(w.lower().translate(str.maketrans("áéíóúñ", "aeioun", ".")) for w in ws) for u, ws in units.REMARKS.items() if u}
 #: Known spellings only: a fuzzy match has no SQL, but the test data holds no other spelling.
 _P4 = f"""
 WITH x AS (
-  SELECT 'fact_derivado' AS tabla, zip_origen, source_file, line_no, nocional_m AS monto, unidad_monto AS u, nocional_texto AS t, glosa FROM fact_derivado
-  UNION ALL SELECT 'v_renta_fija_clasificada', zip_origen, source_file, line_no, valor_final, unidad_valor, valor_texto, glosa FROM v_renta_fija_clasificada),
-n AS (SELECT *, coalesce(CASE WHEN monto IS NULL THEN nullif(trim(regexp_replace(regexp_replace(t, '\\d[\\d.,]*\\d|\\d', ' ', 'g'), '\\.-|\\s+', ' ', 'g')), '') END, nullif(trim(u), '')) AS g FROM x WHERE monto IS NOT NULL OR regexp_matches(t, '\\d')),
-s AS (SELECT *, coalesce({_CASE(_FOLDED.format("g"), _UNITS)}, CASE WHEN g IS NULL THEN {_CASE(_FOLDED.format("glosa"), _REMARKED)} END) AS st FROM n),
-r AS (SELECT tabla, avg(log10(monto)) AS ref FROM s WHERE st = 'MCLP' AND monto > 0 GROUP BY 1),
+  SELECT 'fact_derivado' AS tabla, periodo_informacion, zip_origen, source_file, line_no, nocional_m AS filed, unidad_monto AS u, nocional_texto AS t, glosa FROM fact_derivado
+  UNION ALL SELECT 'v_renta_fija_clasificada', periodo_informacion, zip_origen, source_file, line_no, valor_final, unidad_valor, valor_texto, glosa FROM v_renta_fija_clasificada),
+z AS (SELECT *, regexp_extract(t, '(\\d[\\d.,]*\\d|\\d)', 1) AS num, regexp_matches(lower(t), '(\\d\\s*k|\\bmm)\\s*$') AS english FROM x),
+n AS (
+  SELECT * EXCLUDE (num, english), coalesce(filed, TRY_CAST(CASE WHEN contains(num, '.') AND contains(num, ',') THEN CASE WHEN strpos(reverse(num), '.') < strpos(reverse(num), ',') THEN replace(num, ',', '') ELSE replace(replace(num, '.', ''), ',', '.') END
+      WHEN english OR regexp_matches(num, '^(\\d+\\.\\d{{1,2}}|\\d+\\.\\d{{4,}}|0\\.\\d+|\\d{{1,3}}(,\\d{{3}}){{2,}})$') THEN replace(num, ',', '') ELSE replace(replace(num, '.', ''), ',', '.') END AS DOUBLE)) AS monto,
+    coalesce(CASE WHEN filed IS NULL THEN nullif(trim(regexp_replace(regexp_replace(t, '\\d[\\d.,]*\\d|\\d', ' ', 'g'), '\\.-|\\s+', ' ', 'g')), '') END, nullif(trim(u), '')) AS g FROM z WHERE filed IS NOT NULL OR num <> ''),
+s AS (SELECT *, {_CASE(_FOLDED.format("g"), _UNITS)} AS by_unit, coalesce({_CASE(_FOLDED.format("g"), _UNITS)}, CASE WHEN g IS NULL THEN {_CASE(_FOLDED.format("glosa"), _REMARKS)} END) AS st FROM n),
+r AS (SELECT tabla, avg(log10(abs(monto))) AS ref FROM s WHERE st = 'MCLP' AND monto <> 0 GROUP BY 1),
 f AS (
   SELECT tabla, zip_origen, source_file, avg(log10(abs(monto))) AS sz, avg((monto % 1000 = 0)::INT) AS th, avg((monto % 1 <> 0)::INT) AS br, avg((abs(monto * 100 - round(monto * 100)) < 1e-4)::INT) AS ce, count(*) AS c
   FROM s WHERE st IS NULL AND monto <> 0 GROUP BY 1, 2, 3),
 o AS (
   SELECT tabla, zip_origen, source_file, CASE WHEN sz - ref >= 1.5 AND th >= 0.8 THEN 'CLP' WHEN ce >= 0.95 AND c >= 5 AND br >= 0.8 AND sz - ref BETWEEN -2.2 AND -1.0 THEN 'UF'
-    WHEN ce >= 0.95 AND c >= 5 AND br >= 0.8 AND sz - ref < -2.2 THEN 'MUSD' WHEN sz - ref <= -1.5 AND br >= 0.8 THEN 'MMCLP' END AS fu FROM f JOIN r USING (tabla))
-SELECT DISTINCT tabla, zip_origen, source_file, line_no, coalesce(st, fu) AS unidad FROM s LEFT JOIN o USING (tabla, zip_origen, source_file) WHERE coalesce(st, fu, 'MCLP') <> 'MCLP'"""
-ORACLE["p4_found"] = _P4
+    WHEN ce >= 0.95 AND c >= 5 AND br >= 0.8 AND sz - ref < -2.2 THEN 'MUSD' WHEN sz - ref <= -1.5 AND br >= 0.8 THEN 'MMCLP' END AS fu FROM f JOIN r USING (tabla)),
+a AS (SELECT *, coalesce(st, fu, 'MCLP') AS unidad, CASE WHEN by_unit IS NOT NULL THEN 'unit' WHEN st IS NOT NULL THEN 'remark' WHEN fu IS NOT NULL THEN 'file' ELSE 'norm' END AS origen_unidad FROM s LEFT JOIN o USING (tabla, zip_origen, source_file))"""
+ORACLE["p4_found"] = _P4 + " SELECT DISTINCT tabla, zip_origen, source_file, line_no, unidad FROM a WHERE unidad <> 'MCLP'"
+ORACLE["p4_converted"] = _P4 + """, k AS (SELECT periodo AS periodo_informacion, max(CASE WHEN serie = 'UF' THEN valor END) AS uf, max(CASE WHEN serie = 'USD' THEN valor END) AS usd FROM serie_cierre GROUP BY 1)
+SELECT tabla, zip_origen, source_file, line_no, monto, unidad, origen_unidad, CASE unidad WHEN 'MCLP' THEN monto WHEN 'CLP' THEN monto / 1000 WHEN 'MMCLP' THEN monto * 1000 WHEN 'MUSD' THEN monto * usd WHEN 'UF' THEN monto * uf / 1000 END AS monto_norma FROM a LEFT JOIN k USING (periodo_informacion)"""

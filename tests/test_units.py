@@ -10,22 +10,47 @@ def _rows(spark, rows):
     return spark.createDataFrame([("t", 202501, "z", f, i, m, u, t, g, "clash", 1) for i, (f, m, u, t, g) in enumerate(rows)], S).drop("unidad", "_u")
 
 
+def _read(spark, kind, cases):
+    df = spark.createDataFrame([(kind, k) for k in cases], "tipo string, _k string").withColumn("grafia", units.folded(F.col("_k")))
+    got = {r["grafia"]: r["unidad"] for r in units.alias_dictionary(df.select("tipo", "grafia")).collect()}
+    return {r["_k"]: got[r["grafia"]] for r in df.collect()}
+
+
 def test_spellings_and_typos(spark):
     cases = {
         "MM$": "MMCLP", "mm $": "MMCLP", "M$": "MCLP", "$": "CLP", "US$ Miles": "MUSD", "miles de dolares": "MUSD", "unidades de fometno": "UF", "Millones de  Pesos": "MMCLP", "milones de pesos": "MMCLP",
         "miles de peso": "MCLP", "u.f.": "UF", "bananas": None, "XYZ": None,
     }
-    df = spark.createDataFrame([("unit", k) for k in cases], "tipo string, grafia string")
-    assert {r["grafia"]: r["unidad"] for r in units.alias_dictionary(df).collect()} == cases
+    assert _read(spark, "unit", cases) == cases
+
+
+def test_spellings_that_no_list_holds(spark):
+    """Scale and currency are read apart; what contradicts itself, nearly ties or isn't known is reported, not guessed."""
+    cases = {
+        "thousand UF": "MUF", "billion pesos": "MMMCLP", "miles de millones de pesos": "MMMCLP", "thousands of pesos": "MCLP", "miles de pesos chilenos": "MCLP", "millones de $": "MMCLP", "CLP thousand": "MCLP", "US$ M": "MUSD",
+        "Thousands of US dollars": "MUSD", "millones de dólares": "MMUSD", "dólares": "USD", "U$S": "USD", "kCLP": "MCLP", "clpmm": "MMCLP", "tousand pesos": "MCLP", "dollras (thousands)": "MUSD", "unidad de fomento": "UF",
+        "mills de pesos": None, "pesos o dólares": None, "miles millones mil": None, "M": None, "euros": None, "miles de euros": None, "-": None,
+    }
+    assert _read(spark, "unit", cases) == cases
+
+
+def test_unknown_units_are_reported(spark):
+    rows = _rows(spark, [("f", 5.0, "miles de euros", None, "cifra en UF"), ("f", 6.0, "M$", None, None)])
+    closes = spark.createDataFrame([("UF", 202501, 38000.0)], "serie string, periodo int, valor double")
+    got = {r["line_no"]: (r["unidad"], r["origen_unidad"], r["monto_norma"]) for r in units.in_norm_units(units.with_units(rows), closes).collect()}
+    assert got == {0: (None, "unknown", None), 1: ("MCLP", "unit", 6.0)}
+    big = _rows(spark, [("f", 2.0, "MMUSD", None, None), ("f", 3.0, "thousand UF", None, None), ("f", 4.0, "billion pesos", None, None)])
+    closes = spark.createDataFrame([("UF", 202501, 38000.0), ("USD", 202501, 950.0)], "serie string, periodo int, valor double")
+    assert {r["line_no"]: r["monto_norma"] for r in units.in_norm_units(units.with_units(big), closes).collect()} == {0: 1_900_000.0, 1: 114_000.0, 2: 4_000_000.0}
 
 
 def test_remarks(spark):
     cases = {
         "cobertura de pasivos en UF": "", "importe en US$ miles, sin convertir": "MUSD", "cantidad de UF, no pesos": "UF", "monto informado en pesos, no en miles": "CLP", "comisión de USD 12 pagada al cierre": "",
         "monto en unidades de fomento": "UF", "los montos vienen en MM$": "MMCLP", "valor dado en miles de dólares (ver nota)": "MUSD", "llamar al cliente": "", "monto según mesa " + "muy " * 500 + "revisado en millones de pesos": "MMCLP",
+        "amount in thousands": "MCLP", "reported in US dollars (thousands)": "MUSD", "valor sin dividir por mil (pesos)": "CLP", "precio pactado en pesos por dólar": "", "monto en milones de pesos": "MMCLP", "valor en pesos y en dólares": "",
     }
-    df = spark.createDataFrame([("remark", k) for k in cases], "tipo string, grafia string")
-    assert {r["grafia"]: r["unidad"] for r in units.alias_dictionary(df).collect()} == cases
+    assert _read(spark, "remark", cases) == cases
 
 
 @pytest.mark.parametrize(
