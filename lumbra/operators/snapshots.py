@@ -1,10 +1,11 @@
 """What changed between full snapshots: Merkle-tree digests compared top-down, rows only where leaves differ.
 
-Keys of a snapshot fall into hash ranges (leaves); a leaf's digest adds up its rows' hashes, so it is
-a map-side combined aggregate; inner digests hash their children in order. Consecutive snapshots of an
-owner are compared at the root, then at the inner nodes of unequal roots, then at the leaves of unequal
-nodes; only rows of unequal leaves are joined by key. Work on rows follows what changed, not what exists,
-and no group larger than a leaf's rows of one snapshot ever meets in one task.
+Keys of a snapshot fall into hash ranges (leaves), as many as keep a leaf at some rows, whatever the snapshot's size; a
+leaf's digest adds up its rows' hashes, so it is a map-side combined aggregate over the rows, made once and written.
+Inner digests hash their children in order, level by level up to the root. Consecutive snapshots of an owner are
+compared at the root, then at the children of unequal nodes only, down to the leaves; rows are read again and compared
+only in unequal leaves. Work on rows follows what changed, not what exists, and no group larger than a leaf's rows of
+one snapshot ever meets in one task.
 """
 
 from __future__ import annotations
@@ -14,37 +15,58 @@ from pyspark.sql import functions as F
 
 from lumbra.session import checkpointed
 
-#: Children of an inner node, and inner nodes of a tree.
-FANOUT = 16
+#: Children of an inner node, rows that a leaf should hold, and most levels (leaves beyond 2^40 gain nothing).
+FANOUT, LEAF_ROWS, MOST_LEVELS = 16, 64, 10
 
 
-def _leaf(key: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(FANOUT * FANOUT)).cast("int")
+def levels_for(rows: int) -> int:
+    """Levels below the root, so that a leaf of a snapshot of so many rows holds about LEAF_ROWS."""
+    d = 1
+    while d < MOST_LEVELS and FANOUT**d * LEAF_ROWS < rows:
+        d += 1
+    return d
 
 
-def digest_tree(rows: DataFrame, owner: list[str], key: list[str], content: list[Column]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Root, inner and leaf digests of each snapshot (owner columns). rows: one row a key."""
-    h = F.xxhash64(*key, *content)
-    h2 = F.hash(*key, *content).cast("long")
-    leaf = rows.select(*owner, _leaf(key).alias("_leaf"), h.alias("_h"), h2.alias("_h2"))
-    leaf = leaf.groupBy(*owner, "_leaf").agg(
+def _leaf(key: list[str], levels: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(FANOUT**levels))
+
+
+def leaf_digests(rows: DataFrame, owner: list[str], key: list[str], content: list[Column], levels: int) -> DataFrame:
+    """(owner columns, _node, _digest): one row a leaf of a snapshot. rows: one row a key."""
+    h, h2 = F.xxhash64(*key, *content), F.hash(*key, *content).cast("long")
+    leaf = rows.select(*owner, _leaf(key, levels).alias("_node"), h.alias("_h"), h2.alias("_h2"))
+    return leaf.groupBy(*owner, "_node").agg(
         F.xxhash64(F.count(F.lit(1)), F.bit_xor("_h"), F.sum(F.col("_h").bitwiseAND(F.lit((1 << 40) - 1))), F.sum("_h2")).alias("_digest")
     )
-    node = leaf.groupBy(*owner, F.floor(F.col("_leaf") / FANOUT).cast("int").alias("_node")).agg(
-        F.xxhash64(F.array_sort(F.collect_list(F.struct("_leaf", "_digest")))).alias("_digest")
-    )
-    root = node.groupBy(*owner).agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("_node", "_digest")))).alias("_digest"))
-    return root, node, leaf
 
 
-def _unequal(digests: DataFrame, pairs: DataFrame, owner: str, when: str, level: str | None) -> DataFrame:
-    """Pairs of snapshots, with the ranges of this level whose digests differ."""
-    at = [level] if level else []
-    held = [c for c in at if c in pairs.columns]
-    new = pairs.join(digests.withColumnRenamed("_digest", "_new"), [owner, when, *held])
-    old = pairs.join(digests.select(owner, F.col(when).alias("_before"), *at, F.col("_digest").alias("_old")), [owner, "_before", *held])
-    keys = [owner, when, "_before", *at]
-    return new.select(*keys, "_new").join(old.select(*keys, "_old"), keys, "full").where(~F.col("_new").eqNullSafe(F.col("_old"))).select(*keys)
+def _parents(digests: DataFrame, owner: list[str]) -> DataFrame:
+    """Digests of the level above; FANOUT children a node at most."""
+    up = digests.select(*owner, F.floor(F.col("_node") / FANOUT).alias("_up"), F.struct("_node", "_digest").alias("_d"))
+    return up.groupBy(*owner, "_up").agg(F.xxhash64(F.array_sort(F.collect_list("_d"))).alias("_digest")).withColumnRenamed("_up", "_node")
+
+
+def unequal_leaves(leaves: DataFrame, owner: str, when: str, levels: int) -> DataFrame:
+    """(owner, when, _before, _node): the leaves in which a snapshot differs from the owner's snapshot before it, found from the root down."""
+    order = Window.partitionBy(owner).orderBy(when)  # one row a snapshot
+    pairs = leaves.select(owner, when).distinct().withColumn("_before", F.lag(when).over(order)).where("_before IS NOT NULL")
+    pairs = checkpointed(pairs)
+    tree = [leaves]
+    for _ in range(levels):
+        tree.append(_parents(tree[-1], [owner, when]))
+    left = None
+    at = [owner, when, "_before"]
+    for digests in reversed(tree):
+        # each digest once as the later and once as the earlier of a pair; one aggregate compares them
+        both = digests.join(pairs, [owner, when]).select(*at, "_node", F.col("_digest").alias("_new"), F.lit(None).cast("long").alias("_old"))
+        old = digests.withColumnRenamed(when, "_before").join(pairs, [owner, "_before"]).select(*at, "_node", F.lit(None).cast("long").alias("_new"), F.col("_digest").alias("_old"))
+        both = both.unionByName(old)
+        if left is not None:
+            up = left.withColumnRenamed("_node", "_up")
+            both = both.withColumn("_up", F.floor(F.col("_node") / FANOUT)).join(up, [*at, "_up"], "left_semi").drop("_up")
+        both = both.groupBy(*at, "_node").agg(F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+        left = both.where("NOT _new <=> _old").select(*at, "_node")
+    return left
 
 
 def consecutive_changes(
@@ -58,23 +80,17 @@ def consecutive_changes(
 ) -> DataFrame:
     """(when, owner, key, cambio, shown columns now and as *_prev) for each key added, removed or changed since the owner's previous snapshot.
 
-    snaps: one row per owner, when and key, already normalised. content: what the digests cover, at least as
+    snaps: one row per owner, when and key, already normalised and written. content: what the digests cover, at least as
     fine as the test `changed`, which reads columns n.* and o.*. An owner's first snapshot gives no rows. An
     empty table gives no rows. A null key never occurs here: the caller drops it.
     """
-    root, node, leaf = digest_tree(snaps, [owner, when], [key], content)
-    order = Window.partitionBy(owner).orderBy(when)  # one row a snapshot
-    pairs = snaps.select(owner, when).distinct().withColumn("_before", F.lag(when).over(order)).where("_before IS NOT NULL")
-    roots = _unequal(root, pairs, owner, when, None)
-    nodes = _unequal(node, roots, owner, when, "_node")
-    below = leaf.withColumn("_node", F.floor(F.col("_leaf") / FANOUT).cast("int"))
-    # the leaves of unequal nodes; the node is a function of the leaf and only prunes here
-    cand = nodes.withColumn("_leaf", F.explode(F.sequence(F.col("_node") * FANOUT, F.col("_node") * FANOUT + FANOUT - 1))).drop("_node")
-    leaves = _unequal(below.drop("_node"), cand, owner, when, "_leaf")
-    rows = snaps.withColumn("_leaf", _leaf([key]))
-    new = rows.join(leaves, [owner, when, "_leaf"]).select(owner, when, key, F.struct(*shown).alias("n"))
-    old = rows.withColumnRenamed(when, "_before").join(leaves, [owner, "_before", "_leaf"]).select(owner, when, key, F.struct(*shown).alias("o"))
-    both = new.join(old, [owner, when, key], "full")
+    largest = snaps.groupBy(owner, when).count().agg(F.max("count")).first()[0] or 0
+    levels = levels_for(largest)
+    leaves = checkpointed(unequal_leaves(checkpointed(leaf_digests(snaps, [owner, when], [key], content, levels)), owner, when, levels))
+    rows = snaps.select(owner, when, key, F.struct(*shown).alias("_r"), _leaf([key], levels).alias("_node"))
+    new = rows.join(leaves, [owner, when, "_node"]).select(owner, when, key, F.col("_r").alias("_n"), F.lit(None).cast(rows.schema["_r"].dataType).alias("_o"))
+    old = rows.withColumnRenamed(when, "_before").join(leaves, [owner, "_before", "_node"]).select(owner, when, key, F.lit(None).cast(rows.schema["_r"].dataType).alias("_n"), F.col("_r").alias("_o"))
+    both = new.unionByName(old).groupBy(owner, when, key).agg(F.max("_n").alias("n"), F.max("_o").alias("o"))
     cambio = F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(changed, "changed")
     both = both.withColumn("cambio", cambio).where("cambio IS NOT NULL")
     return both.select(when, owner, key, "cambio", *[F.col(f"n.{c}").alias(c) for c in shown], *[F.col(f"o.{c}").alias(f"{c}_prev") for c in shown])
@@ -105,7 +121,7 @@ NOTIONAL_STEP = 0.001
 
 def position_changes(positions: DataFrame) -> DataFrame:
     """Positions that came, went or changed since the company's previous delivered month, with both notionals."""
-    snaps = checkpointed(clean_positions(positions))  # read five times: by three levels of digests, the pairs and the rows
+    snaps = checkpointed(clean_positions(positions))  # read by the count, the digests and the rows
     # equal to the nearest step means a difference within the step, so the digest is never coarser than the test
     content = [F.round(F.col("nocional_m") / NOTIONAL_STEP).cast("decimal(38,0)").cast("string"), F.col("fecha_vencimiento"), F.col("moneda"), F.col("contraparte_key")]
     content = [F.coalesce(c.cast("string"), F.lit("\0")) for c in content]

@@ -51,10 +51,12 @@ def test_random_against_brute_force(spark):
 
 
 def test_digests_prune(spark):
-    rows = [(p, D(2025, 6, 1), 1, str(f), "A", "UF", None, float(f) + (p == 202502 and f == 7)) for p in (202501, 202502) for f in range(500)]
-    snaps = snapshots.clean_positions(_df(spark, rows))
-    _, _, leaf = snapshots.digest_tree(snaps, ["rut_compania", "periodo"], ["folio_operacion"], [snaps["nocional_m"]])
-    by = {}
-    for x in leaf.collect():
-        by.setdefault(x["_leaf"], set()).add(x["_digest"])
-    assert sum(len(v) == 2 for v in by.values()) == 1
+    """One changed row of 5,000 makes one leaf unequal, at every depth of the tree."""
+    rows = [(p, D(2025, 6, 1), 1, str(f), "A", "UF", None, float(f) + (p == 202502 and f == 7)) for p in (202501, 202502) for f in range(5000)]
+    snaps = snapshots.clean_positions(_df(spark, rows)).cache()
+    assert [snapshots.levels_for(n) for n in (0, 1024, 1025, 10**9)] == [1, 1, 2, 6]
+    for levels in (1, 2, 4):
+        leaves = snapshots.leaf_digests(snaps, ["rut_compania", "periodo"], ["folio_operacion"], [snaps["nocional_m"]], levels)
+        got = snapshots.unequal_leaves(leaves, "rut_compania", "periodo", levels).collect()
+        assert [(r["rut_compania"], r["periodo"], r["_before"]) for r in got] == [(1, 202502, 202501)]
+    assert _got(_df(spark, rows)) == {(202502, 1, 7, "changed")}
