@@ -82,10 +82,11 @@ def packed(items: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_
     items = items.select("doc_id", F.col("n_tokens").cast("long").alias("n")).where("n > 0")
     parts = items.withColumn("parte", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / cap))))
     parts = parts.select("doc_id", "parte", (F.col("parte") * cap).alias("desde"), F.least(cap, F.col("n") - F.col("parte") * cap).alias("n_tokens"))
-    parts = checkpointed(parts)  # sizes are computed once, not for the count and the packing
+    # written before use, so sizes are computed once, and the number that tells repeated rows apart stays as it is
+    parts = checkpointed(parts.withColumn("_row", F.monotonically_increasing_id()))
     n = parts.where(F.col("n_tokens") < cap).count()
     shards = max(1, -(-n // shard_items))
-    whole = parts.where(F.col("n_tokens") == cap).select("doc_id", "parte", "desde", "n_tokens", F.concat_ws("-", F.lit("w"), "doc_id", "parte").alias("contenedor"))
+    whole = parts.where(F.col("n_tokens") == cap).select("doc_id", "parte", "desde", "n_tokens", F.concat_ws("-", F.lit("w"), "_row").alias("contenedor"))
     schema = "doc_id long, parte long, desde long, n_tokens long, contenedor string"
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -93,7 +94,7 @@ def packed(items: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_
         bins = best_fit_decreasing(rows["n_tokens"].to_numpy(), capacity)
         return rows[["doc_id", "parte", "desde", "n_tokens"]].assign(contenedor=[f"s{key[0]}-{b}" for b in bins])
 
-    rest = parts.where(F.col("n_tokens") < cap).withColumn("_shard", F.pmod(F.xxhash64("doc_id", "parte"), F.lit(shards)))
+    rest = parts.where(F.col("n_tokens") < cap).withColumn("_shard", F.pmod(F.xxhash64("doc_id", "parte", "_row"), F.lit(shards)))
     return rest.groupBy("_shard").applyInPandas(pack, schema).unionByName(whole)
 
 

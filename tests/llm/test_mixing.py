@@ -41,6 +41,30 @@ def test_shares_repeats_and_copies(spark):
     assert sorted(map(tuple, m.collect())) == sorted(map(tuple, mixing.mixed(_docs(spark, rows), goal, shard_tokens=20_000).collect()))
 
 
+def test_more_shards_than_the_driver_plans(spark, monkeypatch):
+    """Few blocks and groups, so that groups divide their finer blocks and the last block is cut in ranges: shares, repeats and shard sizes hold."""
+    monkeypatch.setattr(mixing, "BLOCKS", 8)
+    monkeypatch.setattr(mixing, "GROUPS", 4)
+    monkeypatch.setattr(mixing, "CUT_ROWS", 50)
+    rows = [(i, f"a{i}", "a", 100 + i % 7, "x") for i in range(6000)] + [(10_000 + i, f"b{i}", "b", 90, "x") for i in range(900)]
+    goal = spark.createDataFrame([("a", 0.8, 1), ("b", 0.2, 3)], GOAL)
+    m = mixing.mixed(_docs(spark, rows), goal, shard_tokens=10_000)
+    got = {r["source"]: r for r in mixing.shares(m, goal).collect()}
+    assert got["a"]["parte"] == pytest.approx(0.8, abs=0.002) and got["a"]["usos"] == 1 and got["b"]["usos"] <= 3
+    per = m.groupBy("shard").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"), F.max("orden").alias("o")).collect()
+    assert len(per) > 40 and all(r["n"] == r["o"] for r in per) and max(r["t"] for r in per) < 20_000
+    assert m.select("doc_id", "repeticion").distinct().count() == m.count()
+    with pytest.raises(ValueError):
+        monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
+        mixing.mixed(_docs(spark, rows), goal)
+
+
+def test_the_bound_of_sources_counts_no_null(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
+    goal = spark.createDataFrame([(None, 1.0, 1), ("a", 1.0, 1)], GOAL)
+    assert mixing.mixed(_docs(spark, [(1, "t", "a", 5, "x"), (2, "u", None, 5, "x")]), goal).count() == 1
+
+
 def test_empty(spark):
     goal = spark.createDataFrame([("a", 1.0, 1)], GOAL)
     assert mixing.mixed(_docs(spark, []), goal).count() == 0

@@ -43,6 +43,12 @@ def test_round_trip(spark):
     assert packing.packed(spark.createDataFrame([], "doc_id long, n_tokens long")).count() == 0
 
 
+def test_repeated_rows_have_places_of_their_own(spark):
+    rows = [(1, 2048), (1, 2048), (2, 5000), (2, 5000), (3, 1500), (3, 1500)]
+    a = packing.packed(spark.createDataFrame(rows, "doc_id long, n_tokens long")).groupBy("contenedor").agg(F.sum("n_tokens").alias("t")).collect()
+    assert max(r["t"] for r in a) <= 2048 and sum(r["t"] for r in a) == sum(n for _, n in rows)
+
+
 def test_documents_fill(spark, data):
     docs = tokens.sized(spark.read.parquet(f"{data}/documents.parquet")).select("doc_id", "n_tokens")
     got = packing.fill(packing.packed(docs)).first()
