@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbra.session import checkpointed
+from lumbra.session import checkpointed, counted_small
 
 #: Share of the filled values on common lines that are equal, from which a vanished and a new field are one field renamed.
 RENAME_SHARE = 0.5
@@ -53,9 +53,11 @@ def picture(c: Column) -> dict[str, Column]:
 def field_lists(fields: DataFrame) -> DataFrame:
     """One row per file and field: names and pictures normalised; repeated rows fall together.
 
-    Rows without archivo_id, pos or a name are left out; an unreadable picture has width 0."""
-    f = fields.select("archivo_id", "serie_id", "letra", "periodo", "fecha_descarga", "pos", field_name(F.col("campo")).alias("campo"), *[x.alias(n) for n, x in picture(F.coalesce("pic", F.lit(""))).items()])
-    return f.dropna(subset=["archivo_id", "pos", "campo"]).distinct()
+    Rows without archivo_id, pos or a name are left out; an unreadable picture has width 0. Each way of writing a field is
+    read once, however many files have it."""
+    written = fields.select("archivo_id", "serie_id", "letra", "periodo", "fecha_descarga", "pos", F.col("campo").alias("_c"), F.coalesce("pic", F.lit("")).alias("_p")).dropna(subset=["archivo_id", "pos", "_c"])
+    ways = written.select("_c", "_p").distinct().select("_c", "_p", field_name(F.col("_c")).alias("campo"), *[x.alias(n) for n, x in picture(F.col("_p")).items()])
+    return written.join(counted_small(ways), ["_c", "_p"]).drop("_c", "_p").distinct()
 
 
 def layouts(lists: DataFrame) -> DataFrame:
