@@ -1,10 +1,11 @@
 """Variant spellings of names typed by people.
 
-Distinct spellings are read into parts: line of business, or given name, and the name's own words. Phonetic codes
+Distinct spellings are read into parts: line of business, or given name, and all of the name's own words. Phonetic codes
 of the sorted words give blocking keys; spellings that share a key are compared by Jaro-Winkler similarity of their
-words, a nickname table standing for given names; accepted pairs are clustered by connected components. Spellings
-with all their words settle the clusters first; one that has only an initial of a word, or no given name, joins a
-cluster only if the clusters it fits are one. Those that fit no full spelling form clusters of their own.
+words, in either order of the first two, a nickname table standing for given names; accepted pairs are clustered by
+connected components. Spellings with all their words settle the clusters first; a cluster that lacks further words joins
+the one it fits, if that is one; then a spelling that has only an initial of a word, or no given name, joins a cluster
+only if the clusters it fits are one. Those that fit no full spelling form clusters of their own.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumbra.llm.encoding import repair
@@ -51,7 +52,12 @@ NICKNAMES: dict[str, str] = {
 }
 GIVEN = frozenset(NICKNAMES.values())
 TITLES = frozenset("DON DONA DR DRA SR SRA".split())
-LEGAL = frozenset("SA AG SPA LTDA LIMITADA NA ANONIMA".split())
+# Legal forms; words of organisations that the lines of business leave open, each a line of its own where it stands unabridged.
+LEGAL = frozenset("SA AG SPA LTDA LIMITADA NA ANONIMA PLC INC LLC LTD LP GMBH SE NV BV SAS SRL EIRL SARL CORP LIMITED".split())
+GENERAL = frozenset(
+    "HOSPITAL CLINICA CLINIC UNIVERSIDAD UNIVERSITY UNIVERSIDADE COLEGIO SCHOOL ESCUELA INSTITUTO INSTITUTE FUNDACION FOUNDATION FUNDACAO CORPORACION CORPORATION ASOCIACION ASSOCIATION MUNICIPALIDAD MINISTERIO "
+    "CAJA CAIXA FONDO FUND CONSTRUCTORA CONSTRUTORA INMOBILIARIA COMERCIAL INDUSTRIAS INDUSTRIES MINERA MINING TRANSPORTES HOLDING HOLDINGS GROUP GRUPO TRUST PARTNERS COMPANY EMPRESA EMPRESAS INSURANCE ENERGIA ENERGY".split()
+)
 LINKING = frozenset("DE DA DO DEL LA".split())
 #: Least Jaro-Winkler similarity of each word, and least mean over the words.
 LEAST_WORD, LEAST_MEAN = 0.82, 0.90
@@ -107,16 +113,19 @@ def _near(t: str, w: str) -> bool:
     return len(t) >= 4 and abs(len(t) - len(w)) <= 2 and t[0] == w[0] and jaro_winkler(t, w) >= 0.92 or len(t) == 1 and w[0] == t
 
 
-@lru_cache(1)
-def _phrases() -> list[tuple[list[str], str]]:
-    out = [(p.split(), b) for b, ps in BUSINESS.items() for p in ps]
+def phrases(business: dict[str, list[str]]) -> list[tuple[list[str], str]]:
+    """(words, line of business), the longest first. business: lines with their short forms, such as a table gives."""
+    out = [(p.split(), b) for b, ps in business.items() for p in ps]
     return sorted(out, key=lambda x: (-len(x[0]), x[0]))
 
 
-def _business(tokens: list[str]) -> tuple[str | None, list[str]]:
-    """Line of business and the tokens without it. The most and longest matched words win."""
+_OWN = phrases(BUSINESS)
+
+
+def _business(tokens: list[str], known: list[tuple[list[str], str]]) -> tuple[str | None, list[str]]:
+    """Line of business and the tokens without it. The most and longest matched words win; without a line, a general word is one."""
     best = None
-    for words, name in _phrases():
+    for words, name in known:
         for i in range(len(tokens) - len(words) + 1):
             part = tokens[i : i + len(words)]
             if len(words) == 1:
@@ -130,16 +139,17 @@ def _business(tokens: list[str]) -> tuple[str | None, list[str]]:
     if best:
         return best[1], best[2]
     cut = tokens[:-1] if tokens and tokens[-1] == "D" else tokens  # the field may end within the phrase
-    for words, name in _phrases():
+    for words, name in known:
         for k in range(min(len(words), len(cut)) - 1, 0, -1):
             part = cut[-k:]
             if len(part[0]) >= 3 and len(words[0]) > 3 and all(map(_near, part, words)):
                 return name, cut[:-k]
-    return None, tokens
+    general = next((t for t in tokens if t in GENERAL), None)
+    return general, [t for i, t in enumerate(tokens) if general is None or i != tokens.index(general)]
 
 
-def read(spelling: str) -> tuple[str, str, str, str]:
-    """(kind, first, word 1, word 2): kind is a line of business, ORG or P; first is a person's canonical given name or initial."""
+def read(spelling: str, known: list[tuple[list[str], str]] | None = None) -> tuple[str, str, str, str, str]:
+    """(kind, first, word 1, word 2, further words): kind is a line of business, ORG or P; first is a person's canonical given name or initial."""
     s = fold(spelling)
     s = re.sub(r"\bC\W+DE\W+B\b", "CDEB", s)
     s = re.sub(r"\bAHORRO\W+[YE]\W+", "AHORRO ", s)
@@ -148,7 +158,7 @@ def read(spelling: str) -> tuple[str, str, str, str]:
     s = re.sub(r"\bS\W+P\W+A\W*$", " ", s)
     tokens = [t for t in re.findall(r"[A-Z?]+", re.sub(r"\d+", " ", s)) if t not in LINKING]
     comma = s.split(",")[0] if "," in s else ""
-    name, rest = _business(tokens)
+    name, rest = _business(tokens, _OWN if known is None else known)
     if name is None and "SOCIEDAD" in tokens and "ANONIMA" in tokens:
         rest = [t for t in tokens if t not in ("SOCIEDAD", "ANONIMA")]
     legal = [t for t in rest if t in LEGAL]
@@ -158,7 +168,9 @@ def read(spelling: str) -> tuple[str, str, str, str]:
         long = [t for t in rest if len(t) > 1]
         first = long[0] if long else (rest[0] if rest else "")
         after = rest[rest.index(first) + 1 :] if first else []
-        return name or "ORG", "", *_cut_marked(spelling, tokens, first, after[0] if after else "")
+        if len(after) > 1 and after[-1] == tokens[-1] and len(spelling) >= WIDTH and any(f.startswith(after[-1]) for f in (*LEGAL, "SOCIEDAD")):
+            after.pop()  # the field ended within the legal form
+        return name or "ORG", "", *_cut_marked(spelling, tokens, [first, *after[:1], *[t for t in after[1:] if len(t) > 1]])
     rest = [t for t in rest if t not in TITLES]
     given, long, initials = [], [], []
     for i, t in enumerate(rest):
@@ -183,15 +195,17 @@ def read(spelling: str) -> tuple[str, str, str, str]:
             second = later[0][1]
             initials.remove(later[0])
     named = sorted(given + initials)
-    return "P", named[0][1] if named else "", *_cut_marked(spelling, tokens, first, second)
+    return "P", named[0][1] if named else "", *_cut_marked(spelling, tokens, [first, second, *[t for _, t in long[2:]]])
 
 
-def _cut_marked(spelling: str, tokens: list[str], one: str, two: str) -> tuple[str, str]:
-    """The words, marked if the last one ends where the field does."""
-    last = two or one
-    if len(last) < 2 or len(spelling) < WIDTH or tokens[-1] != last or not (spelling[-1].isalpha() or ord(spelling[-1]) > 127):
-        return one, two
-    return (one, two + CUT) if two else (one + CUT, two)
+def _cut_marked(spelling: str, tokens: list[str], words: list[str]) -> tuple[str, str, str]:
+    """The first word, the second, and the others joined; the last one is marked if it ends where the field does."""
+    words = [*words, "", ""][: max(2, len(words))]
+    at = max((i for i, w in enumerate(words) if w), default=0)
+    last = words[at]
+    if len(last) > 1 and len(spelling) >= WIDTH and tokens[-1] == last and (spelling[-1].isalpha() or ord(spelling[-1]) > 127):
+        words[at] += CUT
+    return words[0], words[1], " ".join(words[2:])
 
 
 _VOWELS = str.maketrans("", "", "AEIOUH?" + CUT)
@@ -211,7 +225,7 @@ def _reduced(code: str) -> list[str]:
     return sorted({code, *(code[:i] + code[i + 1 :] for i in range(len(code)))} if len(code) > 2 else {code})
 
 
-def keys(kind: str, first: str, one: str, two: str) -> list[str]:
+def keys(kind: str, first: str, one: str, two: str, rest: str = "") -> list[str]:
     """Blocking keys: a word's reduced codes with the kind and, of persons, the initial sound of the other word, or nothing, for who is filed with one surname."""
     out = []
     for a, b in ((one, two), (two, one)):
@@ -223,13 +237,38 @@ def keys(kind: str, first: str, one: str, two: str) -> list[str]:
 
 def shape(p: tuple) -> tuple:
     """Which parts are there, and how: a word of over three letters, shorter, cut or none; a given name, its initial or none."""
-    return p[0], min(len(p[1]), 2) if p[0] == "P" else 0, *((w.endswith(CUT), min(len(w), 4)) for w in p[2:])
+    return p[0], min(len(p[1]), 2) if p[0] == "P" else 0, *((w.endswith(CUT), min(len(w), 4)) for w in p[2:4]), len(p[4].split())
+
+
+def _same_words(pairs: list[tuple[str, str]]) -> tuple[int, list[float]]:
+    """(strength, similarities) of words that stand at the same places: 2 all full, 1 as far as initials, cut or missing words tell, 0 different."""
+    strength, sims = 2, []
+    for x, y in pairs:
+        ends = [len(w) - 1 for w in (x, y) if w.endswith(CUT)]
+        if ends:  # compared as far as the field reached
+            x, y, strength = x[: min(ends)], y[: min(ends)], 1
+        if len(x) > 3 and len(y) > 3:
+            sim = jaro_winkler(x, y)
+            if sim < LEAST_WORD:
+                return 0, []
+            sims.append(sim)
+        elif x and y and not (x.startswith(y) or y.startswith(x) or "?" in (x[0], y[0])):
+            return 0, []
+        else:
+            strength = 1
+    return strength, sims
+
+
+def _enough(strength: int, sims: list[float]) -> tuple[int, float]:
+    mean = sum(sims) / len(sims) if sims else 0.0
+    return (strength, mean) if strength and sims and mean >= (LEAST_MEAN if len(sims) > 1 else LEAST_ONLY) else (0, 0.0)
 
 
 def alike(a: tuple, b: tuple) -> tuple[int, float]:
-    """(strength, similarity); strength 2: the same by full words, 1: as far as initials or missing parts tell, 0: different.
+    """(strength, similarity); strength 2: the same by full words, 4: by full words, but one side lacks further words, 1: as far
+    as initials or missing parts tell, 0: different.
 
-    Sides are (kind, first, one, two)."""
+    Sides are (kind, first, one, two, rest). The first two words may stand in the other order if all are full."""
     if a[0] != b[0]:
         return 0, 0.0
     strength = 2
@@ -242,22 +281,19 @@ def alike(a: tuple, b: tuple) -> tuple[int, float]:
             return 0, 0.0
         else:
             strength = 1
-    sims = []
-    for x, y in ((a[2], b[2]), (a[3], b[3])):
-        ends = [len(w) - 1 for w in (x, y) if w.endswith(CUT)]
-        if ends:  # compared as far as the field reached
-            x, y, strength = x[: min(ends)], y[: min(ends)], 1
-        if len(x) > 3 and len(y) > 3:
-            sim = jaro_winkler(x, y)
-            if sim < LEAST_WORD:
-                return 0, 0.0
-            sims.append(sim)
-        elif x and y and not (x.startswith(y) or y.startswith(x) or "?" in (x[0], y[0])):
-            return 0, 0.0
-        else:
-            strength = 1
-    mean = sum(sims) / len(sims) if sims else 0.0
-    return (strength, mean) if sims and mean >= (LEAST_MEAN if len(sims) > 1 else LEAST_ONLY) else (0, 0.0)
+    got = _enough(*_same_words([(a[2], b[2]), (a[3], b[3])]))
+    if not got[0] and min(map(len, (*a[2:4], *b[2:4]))) > 3:
+        got = _enough(*_same_words([(a[2], b[3]), (a[3], b[2])]))
+    if not got[0] or not (a[4] or b[4]):
+        return (min(strength, got[0]), got[1]) if got[0] else (0, 0.0)
+    mine, its = a[4].split(), b[4].split()
+    further, sims = _same_words(list(zip(mine, its)))
+    if not further:
+        return 0, 0.0
+    strength = min(strength, got[0], further)
+    if len(mine) != len(its) and strength == 2:
+        strength = 4
+    return strength, (got[1] * 2 + sum(sims)) / (2 + len(sims))
 
 
 def is_full(p: tuple) -> bool:
@@ -265,53 +301,59 @@ def is_full(p: tuple) -> bool:
     return len(p[2]) > 3 and len(p[3]) > 3 and CUT not in p[2] + p[3] and (p[0] != "P" or len(p[1]) > 1)
 
 
-PARTS = "kind string, first string, one string, two string"
+PARTS = "kind string, first string, one string, two string, rest string"
+COLUMNS = ["kind", "first", "one", "two", "rest"]
 
 
-def _read_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        got = [read(x) for x in b["nombre"]]
-        yield pd.DataFrame({"nombre_id": b["nombre_id"], **{c: [g[i] for g in got] for i, c in enumerate(("kind", "first", "one", "two"))}})
+def _read_all(known: list[tuple[list[str], str]]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [read(x, known) for x in b["nombre"]]
+            yield pd.DataFrame({"nombre_id": b["nombre_id"], **{c: [g[i] for g in got] for i, c in enumerate(COLUMNS)}})
+
+    return run
 
 
 def _keys_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        parts = list(zip(b["kind"], b["first"], b["one"], b["two"]))
+        parts = list(zip(*(b[c] for c in COLUMNS)))
         ks = [keys(*p) for p in parts]
         n = [len(k) for k in ks]
-        yield pd.DataFrame({"_key": [k for own in ks for k in own], "_id": np.repeat(b["_id"].to_numpy(), n), **{c: np.repeat(b[c].to_numpy(dtype=object), n) for c in ("kind", "first", "one", "two")}})
+        yield pd.DataFrame({"_key": [k for own in ks for k in own], "_id": np.repeat(b["_id"].to_numpy(), n), **{c: np.repeat(b[c].to_numpy(dtype=object), n) for c in COLUMNS}})
 
 
-def _nearest(words: list[str]):
-    """f(j): an upper bound of the Jaro-Winkler similarity of word j with each word before it, from letter counts and the first four letters."""
-    size = np.array([len(w) for w in words])
-    bag = np.array([[w.count(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ?"] for w in words], dtype=np.int16)
-    lead = np.array([[ord(c) for c in w[:4].ljust(4)] for w in words])
+class _Letters:
+    """Letter counts and first letters of words, for an upper bound of their Jaro-Winkler similarities."""
 
-    def bound(j: int) -> np.ndarray:
-        common = np.minimum(bag[:j, :26], bag[j, :26]).sum(axis=1) + bag[:j, 26] + bag[j, 26]
-        k = np.minimum(common, np.minimum(size[:j], size[j]))
-        jaro = (k / size[:j] + k / size[j] + 1) / 3
-        return jaro + 0.1 * np.cumprod(lead[:j] == lead[j], axis=1).sum(axis=1) * (1 - jaro)
+    def __init__(self, words: list[str]):
+        self.size = np.array([len(w) for w in words])
+        self.bag = np.array([[w.count(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ?"] for w in words], dtype=np.int16)
+        self.lead = np.array([[ord(c) for c in w[:4].ljust(4)] for w in words])
 
-    return bound
+    def bound(self, j: int, its: _Letters) -> np.ndarray:
+        """Bound of the similarity of word j of `its` with each of these words before place j."""
+        common = np.minimum(self.bag[:j, :26], its.bag[j, :26]).sum(axis=1) + self.bag[:j, 26] + its.bag[j, 26]
+        k = np.minimum(common, np.minimum(self.size[:j], its.size[j]))
+        jaro = (k / self.size[:j] + k / its.size[j] + 1) / 3
+        return jaro + 0.1 * np.cumprod(self.lead[:j] == its.lead[j], axis=1).sum(axis=1) * (1 - jaro)
 
 
 def _before(full: list[tuple]):
-    """f(j): places before j of the full spellings that may be alike to the one at j."""
+    """f(j): places before j of the full spellings that may be alike to the one at j, in either order of their words."""
     if len(full) < 50:
         return range
-    one, two = (_nearest([p[c] for _, p, _ in full]) for c in (2, 3))
+    one, two = (_Letters([p[c] for _, p, _ in full]) for c in (2, 3))
 
     def places(j: int) -> list[int]:
-        x, y = one(j) + 1e-9, two(j) + 1e-9
-        return np.flatnonzero((x >= LEAST_WORD) & (y >= LEAST_WORD) & (x + y >= 2 * LEAST_MEAN)).tolist()
+        fits = lambda x, y: (x >= LEAST_WORD - 1e-9) & (y >= LEAST_WORD - 1e-9) & (x + y >= 2 * LEAST_MEAN - 1e-9)
+        return np.flatnonzero(fits(one.bound(j, one), two.bound(j, two)) | fits(one.bound(j, two), two.bound(j, one))).tolist()
 
     return places
 
 
 def _link_block(members: list[tuple]) -> list[tuple]:
-    """(a, b, strength, sim): spanning strong links, and for each abbreviation its link into each local cluster that may be its best.
+    """(a, b, strength, sim): spanning strong links, for each abbreviation its link into each local cluster that may be its best, and with
+    strength 4 links of full spellings to such with more words, one a pair of local clusters.
 
     Abbreviations that fit no full spelling here are linked, with strength 3, to those that have the same parts.
 
@@ -326,7 +368,7 @@ def _link_block(members: list[tuple]) -> list[tuple]:
     across = len({m[2] for m in members}) > 1
     full = [m for m in members if is_full(m[1])]
     before = _before(full)
-    out = []
+    out, more = [], []
     for j, (b, q, t) in enumerate(full):
         for i in before(j):
             a, p, u = full[i]
@@ -336,6 +378,12 @@ def _link_block(members: list[tuple]) -> list[tuple]:
                     x, y = sorted((find(a), find(b)))
                     root[y] = x
                     out.append((a, b, 2, sim))
+                elif strength == 4:
+                    more.append((a, b, sim) if len(p[4].split()) > len(q[4].split()) else (b, a, sim))
+    longer: dict[tuple, tuple] = {}
+    for a, b, sim in more:
+        longer[find(a), find(b)] = max(longer.get((find(a), find(b)), (0.0, 0, 0)), (sim, -a, -b))
+    out += [(-a, -b, 4, sim) for sim, a, b in longer.values()]
     alone: dict[tuple, list] = {}
     for b, q, t in members:
         if is_full(q):
@@ -361,7 +409,7 @@ def _link_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     key, members, out = None, [], []
     cols = ["a", "b", "strength", "sim"]
     for b in batches:
-        for k, i, t, *p in zip(b["_key"], b["_id"], b["_share"], b["kind"], b["first"], b["one"], b["two"]):
+        for k, i, t, *p in zip(b["_key"], b["_id"], b["_share"], *(b[c] for c in COLUMNS)):
             if k != key:
                 out += _link_block(members) if len(members) > 1 else []
                 key, members = k, []
@@ -394,18 +442,27 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(edges.select(F.col("u").alias("_id"), F.col("v").alias("_v")), "_id", "left").select("_id", F.coalesce("_v", "_id").alias("label"))
 
 
-def link_spellings(spellings: DataFrame) -> DataFrame:
+def _clear_best(weak: DataFrame, of: str) -> DataFrame:
+    """(of, to): the best cluster `to` of each `of`, if it leads the next by MARGIN; of the rows only the two best of each are kept."""
+    rank = F.row_number().over(Window.partitionBy(of).orderBy(F.desc("sim"), "to"))
+    best = weak.groupBy(of, "to").agg(F.max("sim").alias("sim")).withColumn("_k", rank).where("_k <= 2")
+    best = best.groupBy(of).agg(F.max(F.when(F.col("_k") == 1, F.struct("sim", "to"))).alias("x"), F.max(F.when(F.col("_k") == 2, F.col("sim"))).alias("y"))
+    return best.where(F.col("y").isNull() | (F.col("x.sim") - F.col("y") >= MARGIN)).select(of, F.col("x.to").alias("to"))
+
+
+def link_spellings(spellings: DataFrame, business: dict[str, list[str]] | None = None) -> DataFrame:
     """(nombre_id, entidad): the entity of each distinct spelling, named by the least nombre_id of its settled spellings.
 
-    spellings: nombre_id, nombre. Null names and ids are left out; of rows with one id the least name counts. Spellings
+    spellings: nombre_id, nombre. business: lines of business with their short forms, such as a table gives; BUSINESS if none
+    is given. Null names and ids are left out; of rows with one id the least name counts. Spellings
     that read alike fall together before any comparison, so repeats and case or accent variants cost nothing further.
-    An abbreviation that fits two clusters nearly equally well stays alone; those that fit none are linked with each other if
+    An abbreviation, or a cluster without the further words of two others, that fits both nearly equally well stays alone; those that fit none are linked with each other if
     they have the same parts, so an entity without a full spelling is one too. Empty input gives no rows."""
     spark = spellings.sparkSession
     ship(spark)
     one = spellings.select(F.col("nombre_id").cast("long").alias("nombre_id"), F.col("nombre").cast("string").alias("nombre")).dropna().groupBy("nombre_id").agg(F.min("nombre").alias("nombre"))
-    read_rows = checkpointed(one.repartition(buckets_for(spellings)).mapInPandas(_read_all, f"nombre_id long, {PARTS}"))
-    parts = ["kind", "first", "one", "two"]
+    read_rows = checkpointed(one.repartition(buckets_for(spellings)).mapInPandas(_read_all(_OWN if business is None else phrases(business)), f"nombre_id long, {PARTS}"))
+    parts = COLUMNS
     reps = read_rows.groupBy(*parts).agg(F.min("nombre_id").alias("_id"))
     member = f"_key string, _id long, {PARTS}"
     keyed = checkpointed(reps.mapInPandas(_keys_all, member))
@@ -427,11 +484,15 @@ def link_spellings(spellings: DataFrame) -> DataFrame:
     among = links.where("strength = 3")
     for side in ("a", "b"):
         among = among.join(fits, F.col(side) == F.col("_fits"), "left_anti")
-    label = checkpointed(components(reps.select("_id"), links.where("strength = 2").unionByName(among)))
-    weak = links.where("strength = 1").join(label.withColumnsRenamed({"_id": "a", "label": "to"}), "a").groupBy("b", "to").agg(F.max("sim").alias("sim"))
-    best = weak.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "to")), asc=False), 1, 2).alias("t"))
-    settled = best.where((F.size("t") == 1) | (F.get("t", F.lit(0))["sim"] - F.get("t", F.lit(1))["sim"] >= MARGIN))
-    settled = settled.select(F.col("b").alias("_id"), F.get("t", F.lit(0))["to"].alias("_to"))
+    strong = links.where("strength = 2").unionByName(among).select("a", "b")
+    label = checkpointed(components(reps.select("_id"), strong))
+    as_label = lambda side, name: label.withColumnsRenamed({"_id": side, "label": name})
+    lacking = links.where("strength = 4").join(as_label("a", "to"), "a").join(as_label("b", "from"), "b").where("to <> from")
+    joined = checkpointed(_clear_best(lacking, "from"))
+    if not joined.isEmpty():
+        label = checkpointed(components(reps.select("_id"), label.select(F.col("_id").alias("a"), F.col("label").alias("b")).unionByName(joined.select(F.col("from").alias("a"), F.col("to").alias("b")))))
+    weak = links.where("strength = 1").join(as_label("a", "to"), "a")
+    settled = _clear_best(weak, "b").select(F.col("b").alias("_id"), F.col("to").alias("_to"))
     final = label.join(settled, "_id", "left").select("_id", F.coalesce("_to", "label").alias("entidad"))
     ids = read_rows.join(reps, parts).select("nombre_id", "_id")
     return ids.join(final, "_id").select("nombre_id", "entidad")

@@ -25,14 +25,14 @@ from pyspark.sql import functions as F
 from lumbra.session import ship, spread
 
 #: Documents of the training sample, labelled passages kept of it, share of hosts held out.
-SAMPLE_DOCUMENTS, SAMPLE_PASSAGES, HELD_OUT = 20_000, 60_000, 0.25
+SAMPLE_DOCUMENTS, SAMPLE_PASSAGES, HELD_OUT = 20_000, 30_000, 0.25
 #: Hashed features as a power of two, passes, step, L2 penalty, least threshold.
 BITS, PASSES, STEP, PENALTY, THRESHOLD = 18, 10, 0.5, 2e-5, 0.5
 FEATURES = 1 << BITS
 #: Share of the passages without any sign that are kept as ordinary; share of words that are unseen in copies of ordinary and of residue passages.
 ORDINARY_SHARE, UNSEEN, MOSTLY = 0.08, 0.9, 0.75
-#: Characters that are handled at a time.
-CHUNK = 1 << 20
+#: Characters, and passages of the sample, that are handled at a time.
+CHUNK, WHOLES = 1 << 20, 4_000
 SEED = 7
 
 # Marks by which templates hold a place open.
@@ -313,7 +313,7 @@ def rows_of(c: Cut, unseen: np.ndarray | None = None, rng: np.random.Generator |
         idx.append(i[keep])
         who.append(owner[keep])
     who = np.concatenate(who)
-    return np.concatenate(idx)[np.argsort(who, kind="stable")], np.bincount(who, minlength=len(c))
+    return np.concatenate(idx)[np.argsort(who, kind="stable")].astype(np.int32), np.bincount(who, minlength=len(c))
 
 
 def train(idx: np.ndarray, n: np.ndarray, labels: np.ndarray, seed: int = SEED) -> Model:
@@ -405,6 +405,12 @@ def _unseen(host: str) -> bool:
     return zlib.crc32(host.encode()) % 100 < 100 * HELD_OUT
 
 
+def _wholes(texts: list[str]) -> Iterator[Cut]:
+    """Texts as one passage each, WHOLES at a time."""
+    for i in range(0, len(texts), WHOLES):
+        yield cut(texts[i : i + WHOLES], whole=True)
+
+
 def _examples(s: pd.DataFrame, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features and labels of the passages, and of copies whose words are unseen and which are ordinary: what a model doesn't know is no residue.
 
@@ -412,13 +418,15 @@ def _examples(s: pd.DataFrame, seed: int) -> tuple[np.ndarray, np.ndarray, np.nd
     keeps a quarter of its words, so that a word alone, or a sentence's form, tells nothing."""
     rng = np.random.default_rng(seed)
     ps, y = s["p"].tolist(), s["y"].to_numpy()
-    c = cut(ps, whole=True)
-    parts, labels = [rows_of(c)], [y[c.doc]]
+    parts, labels, at = [], [], 0
+    for c in _wholes(ps):
+        parts.append(rows_of(c))
+        labels.append(y[c.doc + at])
+        at += WHOLES
     plain = [p for p, k in zip(ps, y) if not k]
     short = [" ".join(p.split()[: int(rng.integers(2, 16))]).rstrip(".,;:") + "." for p in plain]
     for texts, share in ((plain, UNSEEN), (short, UNSEEN), ([p for p, k in zip(ps, y) if k and not _SLOTS.search(p)], MOSTLY)):
-        c = cut(texts, whole=True)
-        if len(c):
+        for c in _wholes(texts):
             parts.append(rows_of(c, c.words & (rng.random(len(c.words)) < share), rng))
             labels.append(np.zeros(len(c), y.dtype))
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate(labels)
@@ -433,9 +441,9 @@ def fitted(documents: DataFrame, host: str = "rut_compania") -> tuple[Model, pd.
     model = train(*_examples(use, SEED)) if len(use) else train(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     held = s[s["held"]]
     if len(held) and held["y"].any():
-        c = cut(held["p"].tolist(), whole=True)
         z = np.zeros(len(held))
-        z[c.doc] = model.score(c)
+        for i, c in enumerate(_wholes(held["p"].tolist())):
+            z[c.doc + i * WHOLES] = model.score(c)
         s.loc[s["held"], "puntaje"] = z
         y = held["y"].to_numpy() == 1
         grid = np.linspace(THRESHOLD, 0.95, 46)

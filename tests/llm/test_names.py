@@ -108,8 +108,42 @@ def test_hot_blocks_compare_every_pair(spark, monkeypatch):
 def test_bound_of_similarity_holds():
     r = random.Random(3)
     words = ["".join(r.choice("ABEKLMNRT?") for _ in range(r.randint(4, 9))) for _ in range(150)]
-    bound = N._nearest(words)
-    assert all(u >= N.jaro_winkler(words[i], words[j]) - 1e-9 for j in range(150) for i, u in enumerate(bound(j)))
+    letters = N._Letters(words)
+    assert all(u >= N.jaro_winkler(words[i], words[j]) - 1e-9 for j in range(150) for i, u in enumerate(letters.bound(j, letters)))
+
+
+@pytest.mark.parametrize("hot", [1, 20, 2000])
+def test_every_kind_of_spelling_whatever_the_block(spark, monkeypatch, hot):
+    """Further words, words in another order, initials, missing and cut words, several kinds of organisation, in blocks split at any size."""
+    groups = [
+        ["Banco Kemaferple Tapelquehue Norandino", "BCO KEMAFERPLE TAPELQUHUE NORANDINO SA", "Banco Kemaferpel Tapelquehue Norandno"],
+        ["Banco Kemaferple Tapelquehue Surcolina", "bco. kemaferple tapelquehue surcolina"],
+        ["Banco Kemaferple Tapelquehue"],  # fits both of the above
+        ["Banco Velmisote Quirandopa", "Banco Quirandopa Velmisote", "BCO. QUIRANDOPA VELMISTE S.A.", "Banco Velmisote Q."],
+        ["Banco Renorundor Jiquenici Oriental", "Banco Renorundor Jiquenici", "Banco Renorundor J.", "Banco Renorundor"],
+        ["Hospital Kemaferple Tapelquehue", "HOSPITAL KEMAFERPLE TAPELQUHUE"],
+        ["Universidad Kemaferple Tapelquehue", "Universidad Tapelquehue Kemaferple"],
+        ["Kemaferple Tapelquehue Mining plc", "KEMAFERPLE TAPELQUEHUE MINING"],
+        ["Banco Falandoro T.", "Banco Falandroo T."],
+        ["Graciela Ketobavó Talupledrá", "Talupledrá Ketobavó, Graciela", "G. Ketobavó Talupledrá"],
+        ["Pedro Ketobavó Talupledrá Norandino", "PEDRO KETOBAVO TALUPLEDRA NORANDINO"],
+        ["Pedro Ketobavó Talupledrá Surcolina"],
+    ]
+    monkeypatch.setattr(N, "HOT_KEY", hot)
+    got = _link(spark, [t for g in groups for t in g])
+    start, want = 0, {}
+    for g in groups:
+        want |= {start + i: start for i in range(len(g))}
+        start += len(g)
+    same = lambda d: {frozenset(k for k in d if d[k] == v) for v in set(d.values())}
+    assert same(got) == same(want)
+
+
+def test_lines_of_business_from_a_table(spark):
+    texts = ["Panificadora Kemaferple Tapelquehue", "PANIF. KEMAFERPLE TAPELQUEHUE", "Banco Kemaferple Tapelquehue"]
+    df = spark.createDataFrame(list(enumerate(texts)), "nombre_id long, nombre string")
+    got = {r["nombre_id"]: r["entidad"] for r in N.link_spellings(df, {"PANIFICADORA": ["PANIFICADORA", "PANIF"], "BANCO": ["BANCO"]}).collect()}
+    assert got == {0: 0, 1: 0, 2: 2}
 
 
 def test_several_consonants_missing_and_names_cut_at_the_field(spark):
