@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumbra.functions.text import clean
 
@@ -25,12 +26,25 @@ def tolerant(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "").try_cast("double")
 
 
+def decimal_only(df: DataFrame, name: str, precision: int = 38, scale: int = 6) -> Column:
+    """A column as a decimal if it is a number; text, dates, truth values and NaN are null."""
+    kind = df.schema[name].dataType
+    c = F.col(name)
+    return c.try_cast(f"decimal({precision},{scale})") if isinstance(kind, T.NumericType) else F.lit(None).cast(f"decimal({precision},{scale})")
+
+
+def first_rate(columns: list[str]) -> Column:
+    """struct(valor, etiqueta, origen) of the first column whose text holds a number; null if none does."""
+    return F.coalesce(*[F.when(rate_value(F.col(c)).isNotNull(), F.struct(rate_value(F.col(c)).alias("valor"), rate_label(F.col(c)).alias("etiqueta"), F.lit(c).alias("origen"))) for c in columns])
+
+
 def spanish_amount(c: Column) -> Column:
     """39.643,59 -> 39643.59"""
     t = F.regexp_replace(F.regexp_replace(c, r"[^0-9,.\-]", ""), r"\.", "")
     return F.translate(t, ",", ".").try_cast("decimal(20,4)")
 
 
+# Fixed value: a number within a rate written as text.
 _RATE = r"(-?\d+(?:[.,]\d+)?)"
 
 
@@ -40,7 +54,8 @@ def rate_value(c: Column) -> Column:
 
 
 def rate_label(c: Column) -> Column:
-    return F.upper(clean(F.regexp_replace(F.regexp_replace(c, _RATE, " "), "[^A-Za-z_]+", " ")))
+    """The words of a rate written as text, in capitals; null if it has none: FIJA 5.11 -> FIJA."""
+    return F.upper(F.nullif(F.array_join(F.regexp_extract_all(c, F.lit("([A-Za-z_]+)"), F.lit(1)), " "), F.lit("")))
 
 
 def is_fixed(label: Column) -> Column:

@@ -22,6 +22,14 @@ def between(column: str, low, high, least, most) -> Column | None:
     return None if low <= least and high >= most else F.col(column).between(F.lit(low), F.lit(high))
 
 
+def renamed(predicates: dict, aliases: dict[str, str]) -> dict:
+    """Selections under the physical names that a view has for them: (name, chosen, universe) or (name, low, high, least, most) become predicates.
+
+    aliases: name of the filter -> column of the view; a name that isn't in it is the column's."""
+    make = {2: among, 4: between}
+    return {aliases.get(n, n): make[len(args)](aliases.get(n, n), *args) for n, args in predicates.items()}
+
+
 def narrowed(df: DataFrame, predicates: dict[str, Column | None]) -> tuple[DataFrame, list[str]]:
     """(df, omitted): all predicates whose column df has; the others are reported, not applied."""
     held = {c: p for c, p in predicates.items() if p is not None}

@@ -6,39 +6,60 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumbra.functions.numbers import exact_sum
+from lumbra.session import checkpointed
 
 
-#: Value ranges that a global ranking is split into.
-RANGES = 64
+def ordered(df: DataFrame, order: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """(df with `_id`, offsets): rows range-partitioned and sorted by `order`; `_id` numbers them within their partition, offsets
+    (`_part`, `_before`) tell how many rows lie in the partitions before, one row a partition.
+
+    Spark samples the order to balance the partitions, equal values being divided by what follows them, so no task sorts more
+    than its part. The result is written, so that numbers and offsets belong together."""
+    r = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    parts = r.groupBy(F.shiftright("_id", 33).alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    return r, parts.select("_part", (F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_part")) - F.col("_n")).alias("_before"))
+
+
+def _placed(r: DataFrame, offsets: DataFrame) -> DataFrame:
+    """r with `_rank`, counted from 1, in place of `_id`."""
+    at = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return r.withColumn("_part", F.shiftright("_id", 33)).join(F.broadcast(offsets), "_part").withColumn("_rank", at.cast("long")).drop("_part", "_before", "_id")
 
 
 def global_rank(df: DataFrame, value: str, key: str, descending: bool = False) -> DataFrame:
-    """df with `_rank`: exact position by value, nulls last, ties by key.
-
-    Rows are ranked inside value ranges, whose edges are approximate quantiles, and shifted by the number of rows in the
-    ranges before; so no task sorts the whole table. A value lies in one range, however often it occurs."""
-    step = [i / RANGES for i in range(1, RANGES)]
-    edges = df.agg(F.percentile_approx(value, step, 1000).alias("e")).first()["e"] or []  # RANGES - 1 numbers
-    inside = F.lit(0)
-    for e in sorted(set(edges)):
-        inside = inside + F.when(F.col(value) >= F.lit(e), 1).otherwise(0)
-    last = F.lit(len(edges) + 1)
-    r = df.withColumn("_range", F.when(F.col(value).isNull(), last).otherwise(-inside if descending else inside))
-    counts = r.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_range")) - F.col("_n")).drop("_n")  # RANGES + 1 rows
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    own = F.row_number().over(Window.partitionBy("_range").orderBy(order, F.asc_nulls_last(key)))
-    return r.withColumn("_own", own).join(F.broadcast(before), "_range").withColumn("_rank", (F.col("_own") + F.col("_before")).cast("long")).drop("_range", "_own", "_before")
+    """df with `_rank`: exact position by value, ties by key; null values come last, null keys last among equals. Rows equal in both are in any order."""
+    first = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+    return _placed(*ordered(df, [first, F.asc_nulls_last(key)]))
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """(by, one column a share): exact quantiles of the values of each group, interpolated between neighbours; nulls and NaN don't count.
+
+    Groups lie one after another in the order of all rows, so a quantile is a place in it: only the rows at those places are
+    picked, and no group's values ever meet in one task."""
+    live = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
+    r = _placed(*ordered(live, [*[F.asc_nulls_first(b) for b in by], F.asc("_v")]))
+    n = r.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_rank").alias("_start"))  # combined before its shuffle
+    place = {c: F.col("_start") + (F.col("_n") - 1) * F.lit(q) for c, q in shares.items()}
+    want = n.select(*by, *[p.alias(c) for c, p in place.items()])
+    picks = want.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("at"), x.alias("_rank")) for c in shares for x in (F.floor(c), F.ceil(c))])).alias("x")).select(*by, "x.*").distinct()
+    got = r.select("_rank", "_v").join(picks, "_rank")
+    weight = F.when(F.col("_rank") == F.floor("at"), 1 - (F.col("at") - F.floor("at"))).otherwise(F.col("at") - F.floor("at"))
+    return got.groupBy(*by).agg(*[F.sum(F.when(F.col("c") == c, F.col("_v") * weight)).alias(c) for c in shares])
 
 
 def positive_rank(df: DataFrame, value: str, key: str, by: list[str] | None = None) -> DataFrame:
-    """df with `puesto`: 1 to n among positive values, ties by key; null for the others. df is an aggregate with one row a key."""
-    live = F.when(F.col(value) > 0, F.col(value))
+    """df with `puesto`: 1 to n among positive values, ties by key; null for the others, which aren't sorted. df is an aggregate with one row a key."""
+    live = F.col(value) > 0
+    rest = df.where(~F.coalesce(live, F.lit(False))).withColumn("puesto", F.lit(None).cast("int"))
     if not by:
-        r = global_rank(df.withColumn("_v", live), "_v", key, descending=True)
-        return r.withColumn("puesto", F.when(F.col(value) > 0, F.col("_rank").cast("int"))).drop("_v", "_rank")
-    w = Window.partitionBy(*by).orderBy(live.desc_nulls_last(), F.asc_nulls_last(key))
-    return df.withColumn("puesto", F.when(F.col(value) > 0, F.row_number().over(w)))
+        return global_rank(df.where(live), value, key, descending=True).withColumnRenamed("_rank", "puesto").withColumn("puesto", F.col("puesto").cast("int")).unionByName(rest)
+    r, offsets = ordered(df.where(live), [*[F.asc_nulls_first(b) for b in by], F.desc(value), F.asc_nulls_last(key)])
+    r = _placed(r, offsets)
+    start = r.groupBy(*[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)]).agg((F.min("_rank") - 1).alias("_start"))
+    same = [F.col(b).eqNullSafe(F.col(f"_by{i}")) for i, b in enumerate(by)]
+    r = r.join(start, same).select(*df.columns, (F.col("_rank") - F.col("_start")).cast("int").alias("puesto"))
+    return r.unionByName(rest)
 
 
 def pinned_top(df: DataFrame, key: str, value: str, n: int, pin: str) -> DataFrame:

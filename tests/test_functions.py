@@ -50,10 +50,17 @@ def test_rates(spark):
     assert _one(spark, numbers.least_positive(F.lit(0.0), F.lit(5.0), F.lit(9.0))) == 5.0
 
 
+def test_decimals_and_first_rates(spark):
+    df = spark.createDataFrame([(1.5, "2", True, dt.date(2025, 1, 1), "s/i", "SOFR 4,5", None), (float("nan"), "2", None, None, None, "", "FIJA 3")], "a double, b string, c boolean, d date, x string, y string, z string")
+    got = df.select(*[numbers.decimal_only(df, c).cast("double").alias(c) for c in "abcd"], numbers.first_rate(["x", "y", "z"]).alias("r")).collect()
+    assert [tuple(r)[:4] for r in got] == [(1.5, None, None, None), (None, None, None, None)]
+    assert [tuple(r["r"]) for r in got] == [(4.5, "SOFR", "y"), (3.0, "FIJA", "z")]
+
+
 def test_labels(spark):
     assert [_one(spark, labels.band(F.lit(x).cast("double"), labels.MATURITY)) for x in (-1, 0, 0.25, 12, None)] == ["vencido", "0-3m", "3-12m", "10a+", None]
     assert [_one(spark, labels.band(F.lit(x), labels.ORIGINAL, "right")) for x in (31, 32, 9000)] == ["Hasta 1M", "1-3M", "Más de 20A"]
     assert _one(spark, labels.prefix_class(F.lit("CFIX"), {"CF": "a", "CFI": "b"}, "z")) == "b"
     assert [_one(spark, text.currency(F.lit(x))) for x in (" prom", "$$", "", "uf ")] == ["USD", "CLP", None, "UF"]
-    assert _one(spark, text.month_label(F.lit(202608))) == "ago-26"
+    assert _one(spark, text.month_label(F.lit(202608))) == "ago-26" and _one(spark, text.month_title(F.lit(202608))) == "Ago-2026"
     assert _one(spark, text.pair(F.lit("CLP"), F.lit("UF"))) == "UF/CLP" and _one(spark, text.pair(F.lit("ZZZ"), F.lit("AAA"))) == "AAA/ZZZ"

@@ -62,6 +62,8 @@ def test_filters(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "x int, y string")
     assert filters.narrowed(df, {"y": filters.among("y", ["a", "b"], ["a", "b"])})[0].count() == 3
     assert filters.narrowed(df, {"y": filters.among("y", [], ["a"])})[0].count() == 0
+    named = filters.renamed({"numero": (2, 3, 1, 9), "letra": (["a", "b"], ["a", "b", "c"]), "otra": (["a"], ["a", "b"])}, {"numero": "x", "letra": "y"})
+    assert [r["x"] for r in filters.narrowed(df, named)[0].collect()] == [2] and filters.narrowed(df, named)[1] == ["otra"]
     got, omitted = filters.narrowed(df, {"x": filters.between("x", 2, 9, 1, 9), "z": F.lit(False)})
     assert got.count() == 2 and omitted == ["z"]
 
@@ -122,6 +124,26 @@ def test_global_rank_with_ties_nulls_and_a_hot_value(spark):
     assert ranking.global_rank(df.limit(0), "v", "k").count() == 0
 
 
+def test_quantiles_and_ranks_by_group_against_brute_force(spark):
+    import random
+
+    import numpy as np
+
+    r = random.Random(5)
+    rows = [(r.choice(["a", "b", "b", "b", None]), f"k{i}", r.choice([None, float("nan"), 7.0, 7.0, round(r.uniform(-9, 9), 2)])) for i in range(400)] + [("solo", "z", 3.0)]
+    df = spark.createDataFrame(rows, "g string, k string, v double")
+    got = {x["g"]: (x["p25"], x["mediana"]) for x in ranking.quantiles(df, ["g"], "v", {"p25": 0.25, "mediana": 0.5}).collect()}
+    for g in ("a", "b", "solo"):
+        own = [v for h, _, v in rows if h == g and v is not None and v == v]
+        assert got[g] == pytest.approx(tuple(np.quantile(own, [0.25, 0.5])))
+    places = {(x["g"], x["k"]): x["puesto"] for x in ranking.positive_rank(df.where("NOT isnan(v) OR v IS NULL"), "v", "k", ["g"]).collect()}
+    for g in ("a", "b", None):
+        own = sorted((k for h, k, v in rows if h == g and v is not None and v > 0), key=lambda k: (-dict((k, v) for _, k, v in rows)[k], k))
+        assert [places[g, k] for k in own] == list(range(1, len(own) + 1))
+    assert all(places[g, k] is None for g, k, v in rows if v is None or v <= 0)
+    assert ranking.quantiles(df.limit(0), ["g"], "v", {"x": 0.5}).count() == 0
+
+
 def test_mutual_nearest_against_brute_force(spark):
     import random
 
