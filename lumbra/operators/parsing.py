@@ -192,13 +192,13 @@ def _number(v: Column, sign: bool) -> Column:
     return F.coalesce(F.when(v.startswith("-"), -body).otherwise(body) if sign else body, n)
 
 
-def loaded_control(lines: DataFrame) -> DataFrame:
-    """The detail lines of the control format that load, with typed amounts; repeats once."""
+def loaded_control(lines: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """The detail lines of the control format that load, with typed amounts and the columns `more` of the lines; repeats once."""
     got = split_rows(lines).where((F.col("_motivo").isNull()) & (F.col("formato") == "C") & F.col("raw").startswith("2"))
     v = CONTROL.values(F.col("raw"), "2")
     cols = [F.trim(v.pop("TIPO_DE_INVERSION")).alias("tipo_inversion")]
     cols += [_number(c, n != "VALOR_FINAL").alias(n.lower()) for n, c in v.items()]
-    return got.select("zip_origen", "source_file", "line_no", *cols).distinct()
+    return got.select("zip_origen", "source_file", "line_no", *more, *cols).distinct()
 
 
 def loaded_names(lines: DataFrame) -> DataFrame:

@@ -26,6 +26,14 @@ def current(fact: DataFrame, publications: DataFrame, period: str = "periodo_inf
     return fact.join(small(publications.where("recencia = 1").select(period, archive)), [period, archive], "left_semi")
 
 
+def only_once(df: DataFrame, key: list[str]) -> DataFrame:
+    """df itself if its key is unique, else a ValueError that names a repeated key; found by one aggregate."""
+    twice = df.groupBy(*key).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"repeated key: {twice[0].asDict()}")
+    return df
+
+
 def latest_attribute(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """(key, value): the value of the latest row that has one; ties by the greater value."""
     return rows.where(F.col(value).isNotNull() & F.col(order).isNotNull()).groupBy(key).agg(F.max(F.struct(order, value)).alias("_m")).select(key, F.col(f"_m.{value}").alias(value))

@@ -28,6 +28,17 @@ def first_fitting(rule: str, candidates: list[Column]) -> Column:
     return out.otherwise(candidates[0])
 
 
+def agreement(controls: dict[str, tuple[DataFrame, DataFrame]], tolerance: float = 0.0) -> DataFrame:
+    """(control, izquierda, derecha, iguales): totals that should agree, each side a DataFrame of one row and one number from its own source.
+
+    A missing side agrees with nothing."""
+    out = None
+    for name, (a, b) in controls.items():
+        row = a.toDF("izquierda").join(b.toDF("derecha"), F.lit(True)).select(F.lit(name).alias("control"), F.col("izquierda").cast("double"), F.col("derecha").cast("double"))
+        out = row if out is None else out.unionByName(row)
+    return out.withColumn("iguales", F.coalesce(F.abs(F.col("izquierda") - F.col("derecha")) <= tolerance, F.lit(False)))
+
+
 def judged(records: DataFrame, checks: list[Column]) -> DataFrame:
     """records with `checks`, `veredicto` (pass, quarantine, unverified) and `motivos`. Nothing is dropped: both are filters of this one."""
     df = records.withColumn("checks", F.array(*checks)) if checks else records.withColumn("checks", F.expr("CAST(array() AS ARRAY<STRUCT<rule: STRING, ok: BOOLEAN, expected: DOUBLE, observed: DOUBLE>>)"))

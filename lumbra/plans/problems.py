@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -132,6 +133,47 @@ SELECT DISTINCT zip_origen, source_file, line_no, trim(substr(raw, 2, 3)) AS tip
   {", ".join(_AMOUNT.format(f"substr(raw, {41 + 14 * i}, 14)", f"monto_{i + 3}") for i in range(7))}
 FROM parsed_record WHERE {_RECORDS} AND formato = 'C' AND starts_with(raw, '2') AND length(raw) = 138 AND regexp_matches(raw, '{_CONTROL}')"""
 
+_ANY = '(?:"(?:[^"]|"")*"|[^",]*)'
+_FIELDS = ("lei", "estado_lei", "nombre_legal", "pais", "categoria", "estado_entidad")
+#: The pattern of each column.
+_COLUMNS = re.findall(r"""\(\[A-Z0-9\]\{20\}.*?"\)|\(\(ISSUED.*?"\)|\("\(\[\^"\].*?\*\)|\(\[A-Z\]\{2\}.*?"\)|\(\(GENERAL.*?"\)|\(\(ACTIVE.*?"\)""", _LEGAL)
+_NAMED = [f"regexp_extract(raw, '^{','.join(f'({_ANY})' for _ in _FIELDS)}$', {i})" for i in range(1, 7)]
+_P2_NAMES = f"""
+SELECT DISTINCT zip_origen, source_file, line_no, {", ".join(f"nullif(CASE WHEN starts_with({v}, '{chr(34)}') THEN replace(substr({v}, 2, length({v}) - 2), '{chr(34) * 2}', '{chr(34)}') ELSE {v} END, '') AS {n}" for n, v in zip(_FIELDS, _NAMED))}
+FROM parsed_record WHERE {_RECORDS} AND formato = 'L' AND regexp_matches(raw, '{_LEGAL}')"""
+
+
+def _first_wrong() -> str:
+    """CASE branches that name the first column or field of a rejected record."""
+    num = lambda w: f"([-+ 0-9,][0-9,]{{{w - 1}}}| {{{w}}})"
+    dig = lambda w: f"([0-9,]{{{w}}}| {{{w}}})"
+    anything = lambda w: f"(?s:.{{{w}}})"
+    codes = {
+        "1": [("RUT", 9, dig(9)), ("VERIFICADOR", 1, anything(1)), ("NOMBRE", 60, anything(60)), ("PERIODO", 6, "[0-9,]{4}([0,][1-9]|1[0-2,])")],
+        "2": [("TIPO_DE_INVERSION", 3, anything(3)), ("VALOR_FINAL", 12, dig(12)), ("MONTO_1", 12, num(12)), ("MONTO_2", 12, num(12)), *[(f"MONTO_{i}", 14, num(14)) for i in range(3, 10)]],
+        "3": [("TOTAL_REGISTROS", 6, dig(6))],
+    }
+    out = ["WHEN formato = 'C' AND length(raw) <> 138 THEN 'length: ' || length(raw)", "WHEN formato = 'C' AND substr(raw, 1, 1) NOT IN ('1', '2', '3') THEN 'record code: ' || substr(raw, 1, 1)"]
+    for code, fields in codes.items():
+        pattern, at = f"^{code}", 2
+        for name, width, p in fields:
+            pattern += p
+            out.append(f"WHEN formato = 'C' AND substr(raw, 1, 1) = '{code}' AND NOT regexp_matches(raw, '{pattern}') THEN '{name}: ' || substr(raw, {at}, {width})")
+            at += width
+    out.append(f"WHEN formato = 'L' AND NOT regexp_matches(raw, '^{_ANY}(,{_ANY})*$') THEN 'quoting'")
+    out.append(f"WHEN formato = 'L' AND length(regexp_extract_all(raw, '(?:^|,){_ANY}')) <> 6 THEN 'columns: ' || length(regexp_extract_all(raw, '(?:^|,){_ANY}'))")
+    pattern = "^"
+    for i, (name, p) in enumerate(zip(_FIELDS, _COLUMNS)):
+        pattern += p + ("," if i < 5 else "$")
+        out.append(f"WHEN formato = 'L' AND NOT regexp_matches(raw, '{pattern}') THEN '{name}'")
+    return " ".join(out)
+
+
+_P2_REJECTED = f"""
+SELECT DISTINCT periodo_informacion, fecha_descarga, zip_origen, source_file, line_no, rut_compania, formato AS archivo, CASE WHEN formato = 'C' THEN substr(raw, 1, 1) END AS record_type, 'rejected' AS veredicto,
+  CASE WHEN formato IS NULL THEN 'format: null' WHEN formato NOT IN ('C', 'L') THEN 'format: ' || formato {_first_wrong()} ELSE 'row' END AS motivos, raw
+FROM parsed_record WHERE {_RECORDS} AND NOT coalesce(CASE formato WHEN 'C' THEN length(raw) = 138 AND regexp_matches(raw, '{_CONTROL}') WHEN 'L' THEN regexp_matches(raw, '{_LEGAL}') END, false)"""
+
 _SNAPS = """
 WITH p AS (
   SELECT periodo, rut_compania, TRY_CAST(regexp_replace(folio_operacion, '\\s+', '', 'g') AS BIGINT) AS folio_operacion, coalesce(fecha_descarga, DATE '1900-01-01') AS d,
@@ -200,6 +242,8 @@ ORACLE: dict[str, str] = {
     "p1_attributes": _P1.format("evento_id, zip_origen, source_file, line_no, clasificacion_riesgo, nocional_m, contraparte_nombre"),
     "p2_found": _P2,
     "p2_loaded_control": _P2_CONTROL,
+    "p2_loaded_names": _P2_NAMES,
+    "p2_rejected": _P2_REJECTED,
     "p3_found": _P3 + " SELECT archivo_id, campo, cambio FROM ch",
     "p3_changes": _P3 + " SELECT * FROM ch",
     "p3_types": _P3 + " SELECT archivo_id, campo, tipo, filas FROM ty",

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lumbra.functions import dates, identifiers, labels, numbers, text
 from lumbra.functions.numbers import exact_sum
-from lumbra.operators import cohorts, filters, flows, parsing, publications, ranking, reconcile, resolve, rules, series, snapshots
+from lumbra.operators import cohorts, filters, flows, identity, parsing, publications, ranking, reconcile, resolve, rules, series, snapshots, units
+from lumbra.plans import problems
 from lumbra.session import checkpointed, small, table
 from lumbra.sources import files
 from lumbra.streaming import landing
@@ -190,8 +191,18 @@ def month_close(s, d):
     return series.month_close(table(s, d, "events"), "ts", "value")
 
 
-@query("SELECT c_custkey, f.p AS primero, f.d AS desde, l.p AS ultimo, l.d AS hasta FROM (SELECT o_custkey AS c_custkey, min(struct_pack(d := o_orderdate, k := o_orderkey, p := o_orderpriority)) AS f, max(struct_pack(d := o_orderdate, k := o_orderkey, p := o_orderpriority)) AS l FROM orders GROUP BY 1)")
+@query("WITH " + _SNAP + ", edge AS (SELECT min(periodo) AS a, max(periodo) AS z FROM snap) SELECT x.rut_compania, x.folio_operacion, x.nocional_m AS primero, y.nocional_m AS ultimo FROM snap x JOIN snap y ON x.rut_compania = y.rut_compania AND x.folio_operacion = y.folio_operacion WHERE x.periodo = (SELECT a FROM edge) AND y.periodo = (SELECT z FROM edge)")
 def history_one_to_one(s, d):
+    """First snapshot against the last, one row a position in each, which is asserted."""
+    v = checkpointed(_snap(s, d))
+    edge = v.agg(F.min("periodo").alias("a"), F.max("periodo").alias("z"))  # one row
+    key = ["rut_compania", "folio_operacion"]
+    side = lambda at, name: publications.only_once(v.join(F.broadcast(edge), C("periodo") == C(at)).select(*key, C("nocional_m").alias(name)), key)
+    return side("a", "primero").join(side("z", "ultimo"), key)
+
+
+@query("SELECT c_custkey, f.p AS primero, f.d AS desde, l.p AS ultimo, l.d AS hasta FROM (SELECT o_custkey AS c_custkey, min(struct_pack(d := o_orderdate, k := o_orderkey, p := o_orderpriority)) AS f, max(struct_pack(d := o_orderdate, k := o_orderkey, p := o_orderpriority)) AS l FROM orders GROUP BY 1)")
+def first_and_last(s, d):
     r = F.struct(C("o_orderdate").alias("d"), C("o_orderkey").alias("k"), C("o_orderpriority").alias("p"))
     g = table(s, d, "orders").groupBy(C("o_custkey").alias("c_custkey")).agg(F.min(r).alias("f"), F.max(r).alias("l"))
     return g.select("c_custkey", C("f.p").alias("primero"), C("f.d").alias("desde"), C("l.p").alias("ultimo"), C("l.d").alias("hasta"))
@@ -203,9 +214,20 @@ def outer_periods(s, d):
     return a.join(table(s, d, "lineitem").groupBy(dates.period_of(C("l_shipdate")).alias("periodo")).agg(exact_sum(C("l_extendedprice")).alias("enviado")), "periodo", "full")
 
 
-@query("SELECT e.evento_id, tipo FROM (SELECT DISTINCT evento_id, coalesce(tipo_evento, CASE WHEN item_operacion = '001' THEN 'principal' END, 'otro') AS tipo FROM evento_mesa) e")
+_REGISTRY = "SELECT TRY_CAST(regexp_extract(entidad_id, '^RUT (\\\\d+)-', 1) AS BIGINT) AS rut, min(entidad_nombre) AS nombre FROM contrapartes WHERE entidad_tipo_id = 'RUT' GROUP BY 1"
+
+
+@query(f"""WITH ids AS (SELECT rut FROM cmf_v2024 UNION SELECT rut_compania FROM cmf_v2024 UNION SELECT emisor_rut FROM v_renta_fija_clasificada), reg AS ({_REGISTRY.replace(chr(92) * 2, chr(92))}), com AS (SELECT rut_compania AS rut, min(nombre) AS nombre FROM dim_compania GROUP BY 1), emi AS (SELECT emisor_rut AS rut, min(emisor_nombre) AS nombre FROM v_renta_fija_clasificada GROUP BY 1)
+  SELECT ids.rut, coalesce(reg.nombre, com.nombre, emi.nombre) AS nombre, CASE WHEN reg.nombre IS NOT NULL THEN 'registro' WHEN com.nombre IS NOT NULL THEN 'compania' WHEN emi.nombre IS NOT NULL THEN 'emisor' END AS fuente FROM ids LEFT JOIN reg USING (rut) LEFT JOIN com USING (rut) LEFT JOIN emi USING (rut) WHERE ids.rut IS NOT NULL""")
 def priority_lookup(s, d):
-    return table(s, d, "evento_mesa").select("evento_id", F.coalesce("tipo_evento", F.when(C("item_operacion") == "001", "principal"), F.lit("otro")).alias("tipo")).distinct()
+    """Names of tax ids from three sources, the registry before the companies before the issuers' own, with the source."""
+    n, b = table(s, d, "cmf_v2024"), table(s, d, "v_renta_fija_clasificada")
+    ids = n.select("rut").union(n.select("rut_compania")).union(b.select("emisor_rut")).where("rut IS NOT NULL").distinct()
+    named = lambda df, rut, name, alias: df.select(rut.alias("rut"), name.alias("x")).where("rut IS NOT NULL").groupBy("rut").agg(F.min("x").alias(alias))
+    reg = named(table(s, d, "contrapartes").where("entidad_tipo_id = 'RUT'"), F.regexp_extract("entidad_id", r"^RUT (\d+)-", 1).try_cast("bigint"), C("entidad_nombre"), "registro")
+    got = ids.join(reg, "rut", "left").join(small(named(table(s, d, "dim_compania"), C("rut_compania"), C("nombre"), "compania")), "rut", "left").join(named(b, C("emisor_rut"), C("emisor_nombre"), "emisor"), "rut", "left")
+    sources = ["registro", "compania", "emisor"]
+    return got.select("rut", F.coalesce(*sources).alias("nombre"), F.coalesce(*[F.when(C(x).isNotNull(), F.lit(x)) for x in sources]).alias("fuente"))
 
 
 @query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > (SELECT CAST(last_day(CAST(min(o_orderdate) AS DATE)) AS TIMESTAMP) FROM orders)")
@@ -228,11 +250,44 @@ def kpi_row(s, d):
     return table(s, d, "lineitem").agg(F.count(F.lit(1)).alias("filas"), F.count_distinct("l_orderkey").alias("pedidos"), F.count_distinct("l_suppkey").alias("proveedores"), exact_sum(C("l_extendedprice")).alias("valor"), F.min("l_shipdate").alias("desde"), F.max("l_shipdate").alias("hasta"))
 
 
-@query(f"SELECT rut_compania, clase, fuente, {_dsum('v', 4)} AS monto FROM (SELECT rut_compania, producto AS clase, 'derivados' AS fuente, nocional_m AS v FROM fact_derivado UNION ALL SELECT rut_compania, tipo_instrumento, 'renta fija', valor_final FROM v_renta_fija_clasificada) GROUP BY 1, 2, 3")
+def _vp4() -> str:
+    return problems.ORACLE["p4_converted"].replace("SELECT tabla, zip_origen, source_file, line_no, monto, unidad, origen_unidad,", ", v AS (SELECT DISTINCT tabla, zip_origen, source_file, line_no,") + ")"
+
+
+_STOCK = _vp4() + ", " + _LINES.replace("lines AS (SELECT DISTINCT", "filed AS (SELECT DISTINCT") + f""",
+bond AS (SELECT DISTINCT periodo_informacion, zip_origen, source_file, line_no, rut_compania, ambito, tipo_instrumento FROM v_renta_fija_clasificada),
+stock AS (
+  SELECT periodo_informacion AS periodo, rut_compania, CASE WHEN tipo_instrumento LIKE 'CLEAS%' THEN 'Real Estate' ELSE 'Renta Fija' END AS clase, CASE WHEN ambito = 'EXTRANJERO' THEN 'renta fija extranjera' ELSE 'renta fija local' END AS fuente, {_dsum('monto_norma')} AS monto
+  FROM bond JOIN v USING (zip_origen, source_file, line_no) WHERE tabla = 'v_renta_fija_clasificada' GROUP BY ALL
+  UNION ALL SELECT periodo, rut_compania, 'Derivados', 'derivados', {_dsum('coalesce(mtm_activo_m, 0) - coalesce(mtm_pasivo_m, 0)')} FROM filed WHERE producto <> 'PACTO' GROUP BY ALL)"""
+
+
+def _stock(s: SparkSession, d: str) -> DataFrame:
+    """Stock of every period, company, class and source in thousands of pesos: each filed line of current publications once; leasing counts as real estate only."""
+    b = table(s, d, "v_renta_fija_clasificada").distinct()
+    rows = b.select(F.lit("v_renta_fija_clasificada").alias("tabla"), "periodo_informacion", "zip_origen", "source_file", "line_no", C("valor_final").alias("monto"), C("unidad_valor").alias("unidad_col"), C("valor_texto").alias("texto"), "glosa", "rut_compania", "ambito", "tipo_instrumento")
+    bonds = units.in_norm_units(units.with_units(rows), table(s, d, "serie_cierre"))
+    kind, source = labels.prefix_class(C("tipo_instrumento"), {"CLEAS": "Real Estate"}, "Renta Fija"), F.when(C("ambito") == "EXTRANJERO", "renta fija extranjera").otherwise("renta fija local")
+    key = ["periodo", "rut_compania", "clase", "fuente"]
+    bonds = bonds.select(C("periodo_informacion").alias("periodo"), "rut_compania", kind.alias("clase"), source.alias("fuente"), C("monto_norma").alias("v"))
+    net = _lines(s, d).where("producto <> 'PACTO'").select("periodo", "rut_compania", F.lit("Derivados").alias("clase"), F.lit("derivados").alias("fuente"), (F.coalesce("mtm_activo_m", F.lit(0.0)) - F.coalesce("mtm_pasivo_m", F.lit(0.0))).alias("v"))
+    return bonds.unionByName(net).groupBy(*key).agg(exact_sum(C("v")).alias("monto"))
+
+
+@query(_STOCK + " SELECT * FROM stock")
 def stock_by_class(s, d):
-    a = table(s, d, "fact_derivado").groupBy("rut_compania", C("producto").alias("clase")).agg(exact_sum(C("nocional_m"), 4).alias("monto")).withColumn("fuente", F.lit("derivados"))
-    b = table(s, d, "v_renta_fija_clasificada").groupBy("rut_compania", C("tipo_instrumento").alias("clase")).agg(exact_sum(C("valor_final"), 4).alias("monto")).withColumn("fuente", F.lit("renta fija"))
-    return a.unionByName(b)
+    return _stock(s, d)
+
+
+@query(_STOCK + f""", t AS (SELECT periodo, rut_compania, {_dsum("CASE WHEN clase = 'Renta Fija' THEN monto ELSE 0 END")} AS renta_fija, {_dsum("CASE WHEN clase = 'Derivados' THEN monto ELSE 0 END")} AS derivados, {_dsum("monto")} AS total FROM stock GROUP BY ALL),
+  c AS (SELECT periodo_informacion AS periodo, rut_compania, {_dsum("valor_final")} AS declarado FROM ({problems.ORACLE["p2_loaded_control"]}) JOIN (SELECT DISTINCT periodo_informacion, rut_compania, zip_origen, source_file, line_no FROM parsed_record) USING (zip_origen, source_file, line_no) GROUP BY ALL)
+  SELECT periodo, rut_compania, renta_fija, derivados, total, declarado, (total / nullif(declarado, 0) - 1) * 100 AS dif_pct FROM t FULL JOIN c USING (periodo, rut_compania)""")
+def stock_declared(s, d):
+    """Stock of each company and period, a column a class, against the total that its control lines declare."""
+    wide = ranking.pivoted(_stock(s, d), ["periodo", "rut_compania"], "clase", ["Renta Fija", "Derivados"], C("monto")).withColumnsRenamed({"Renta Fija": "renta_fija", "Derivados": "derivados"})
+    told = parsing.loaded_control(table(s, d, "parsed_record"), ("periodo_informacion", "rut_compania")).groupBy(C("periodo_informacion").alias("periodo"), "rut_compania").agg(exact_sum(C("valor_final")).alias("declarado"))
+    got = wide.join(told, ["periodo", "rut_compania"], "full")
+    return got.withColumn("dif_pct", (F.try_divide(C("total"), F.nullif("declarado", F.lit(0.0))) - 1) * 100)
 
 
 _STATUS = ["F", "O", "P", "Z"]
@@ -281,11 +336,13 @@ def distinct_tuple(s, d):
     return table(s, d, "fact_derivado").agg(F.count_distinct(F.struct("rut_compania", "folio_operacion")).alias("pares"), F.count_distinct("folio_operacion").alias("folios"))
 
 
-@query("SELECT n_name, median(x) AS mediana, quantile_cont(x, 0.25) AS p25, quantile_cont(x, 0.75) AS p75, stddev_samp(x) AS desvio, count(*) AS n FROM (SELECT n_name, l_extendedprice / l_quantity AS x FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey) GROUP BY 1")
+@query("SELECT n_name, median(x) AS mediana, quantile_cont(x, 0.25) AS p25, quantile_cont(x, 0.75) AS p75, stddev_samp(x) AS desvio, max(x) - min(x) AS rango, count(*) AS n FROM (SELECT n_name, l_extendedprice / l_quantity AS x FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey) WHERE x > 0 GROUP BY 1")
 def price_dispersion(s, d):
+    """Quantiles, deviation and spread of prices by nation; only positive prices, as they are shown on a log scale."""
     j = table(s, d, "lineitem").join(small(table(s, d, "supplier")), C("s_suppkey") == C("l_suppkey")).join(small(table(s, d, "nation")), C("n_nationkey") == C("s_nationkey"))
-    x = C("l_extendedprice") / C("l_quantity")
-    return j.groupBy("n_name").agg(F.median(x).alias("mediana"), F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.75).alias("p75"), F.stddev_samp(x).alias("desvio"), F.count(F.lit(1)).alias("n"))
+    j = j.select("n_name", (C("l_extendedprice") / C("l_quantity")).alias("x")).where("x > 0")
+    q = ranking.quantiles(j, ["n_name"], "x", {"mediana": 0.5, "p25": 0.25, "p75": 0.75})
+    return q.join(j.groupBy("n_name").agg(F.stddev_samp("x").alias("desvio"), (F.max("x") - F.min("x")).alias("rango"), F.count(F.lit(1)).alias("n")), "n_name")
 
 
 @query("SELECT l_returnflag, CAST(sum(CAST(l_discount * l_quantity AS DECIMAL(20,4))) AS DOUBLE) / CAST(sum(CAST(l_quantity AS DECIMAL(20,4))) AS DOUBLE) AS tasa, CAST(sum(CASE WHEN l_linestatus = 'O' THEN CAST(l_discount * l_quantity AS DECIMAL(20,4)) END) AS DOUBLE) / nullif(CAST(sum(CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS DECIMAL(20,4)) END) AS DOUBLE), 0) AS tasa_viva FROM lineitem GROUP BY 1")
@@ -338,11 +395,19 @@ def control_total(s, d):
     return p.groupBy("zip_origen", "source_file").agg(F.max(F.when(trailer, total)).cast("int").alias("declarado"), F.count_distinct(F.when(C("raw").startswith("2"), C("line_no"))).alias("contado"))
 
 
-@query("SELECT CASE WHEN raw IS NULL OR trim(raw) = '' THEN 'vacia' WHEN starts_with(raw, '#') THEN 'comentario' WHEN starts_with(raw, 'lei,estado') THEN 'encabezado' ELSE 'registro' END AS destino, formato, count(*) AS lineas FROM parsed_record GROUP BY 1, 2")
+@query(f"""WITH q AS (SELECT DISTINCT zip_origen, source_file, line_no FROM fact_cuarentena), r AS ({problems.ORACLE["p2_found"]})
+  SELECT CASE WHEN raw IS NULL OR trim(raw) = '' THEN 'vacia' WHEN starts_with(raw, '#') THEN 'comentario' WHEN lower(raw) = 'lei,estado_lei,nombre_legal,pais,categoria,estado_entidad' THEN 'encabezado' WHEN r.line_no IS NOT NULL THEN 'rechazada' WHEN q.line_no IS NOT NULL THEN 'cuarentena' ELSE 'cargada' END AS destino, formato, count(*) AS lineas
+  FROM parsed_record p LEFT JOIN q ON q.zip_origen = p.zip_origen AND q.source_file = p.source_file AND q.line_no = p.line_no LEFT JOIN r ON r.zip_origen = p.zip_origen AND r.source_file = p.source_file AND r.line_no = p.line_no GROUP BY 1, 2""")
 def line_accounting(s, d):
+    """Where every delivered line went: no record, rejected, quarantined by a check, or loaded."""
+    p, key = table(s, d, "parsed_record"), ["zip_origen", "source_file", "line_no"]
+    split = parsing.split_rows(p)
+    bad = split.where("_motivo IS NOT NULL").select(*key, F.lit(True).alias("_bad")).distinct()
+    held = table(s, d, "fact_cuarentena").select(*key, F.lit(True).alias("_held")).distinct()
     r = C("raw")
-    to = F.when(r.isNull() | (F.trim(r) == ""), "vacia").when(r.startswith("#"), "comentario").when(r.startswith("lei,estado"), "encabezado").otherwise("registro")
-    return table(s, d, "parsed_record").groupBy(to.alias("destino"), "formato").agg(F.count(F.lit(1)).alias("lineas"))
+    to = F.when(r.isNull() | (F.trim(r) == ""), "vacia").when(r.startswith("#"), "comentario").when(F.lower(r) == parsing.HEADER, "encabezado")
+    to = to.when(C("_bad"), "rechazada").when(C("_held"), "cuarentena").otherwise("cargada")
+    return p.join(bad, key, "left").join(held, key, "left").groupBy(to.alias("destino"), "formato").agg(F.count(F.lit(1)).alias("lineas"))
 
 
 @query("SELECT 'producto' AS eje, producto AS valor, count(*) AS n FROM fact_derivado GROUP BY 2 UNION ALL SELECT 'veredicto', veredicto, count(*) FROM fact_derivado GROUP BY 2 UNION ALL SELECT 'periodo', CAST(periodo_informacion AS VARCHAR), count(*) FROM fact_derivado GROUP BY 2")
@@ -353,12 +418,21 @@ def run_counters(s, d):
     return long.groupBy("eje", "valor").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"SELECT {_dsum('a')} AS por_estado, {_dsum('b')} AS por_prioridad, {_dsum('a')} = {_dsum('b')} AS iguales FROM (SELECT sum(CAST(o_totalprice AS DECIMAL(20,2))) AS a FROM orders) x, (SELECT sum(v) AS b FROM (SELECT o_orderpriority, sum(CAST(o_totalprice AS DECIMAL(20,2))) AS v FROM orders GROUP BY 1)) y")
+@query(f"""SELECT control, izquierda, derecha, abs(izquierda - derecha) <= 0.01 AS iguales FROM (
+  SELECT 'pedidos con cliente' AS control, (SELECT {_dsum("o_totalprice")} FROM orders) AS izquierda, (SELECT {_dsum("o_totalprice")} FROM orders JOIN customer ON c_custkey = o_custkey) AS derecha
+  UNION ALL SELECT 'lineas con pedido', (SELECT CAST(count(*) AS DOUBLE) FROM lineitem), (SELECT CAST(count(*) AS DOUBLE) FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+  UNION ALL SELECT 'pedidos contra lineas', (SELECT {_dsum("o_totalprice")} FROM orders), (SELECT {_dsum("l_extendedprice")} FROM lineitem))""")
 def cross_sheet_identity(s, d):
-    o = table(s, d, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(exact_sum(C("o_totalprice")).alias("v"))
-    a = o.groupBy("o_orderstatus").agg(exact_sum(C("v")).alias("v")).agg(exact_sum(C("v")).alias("por_estado"))
-    b = o.groupBy("o_orderpriority").agg(exact_sum(C("v")).alias("v")).agg(exact_sum(C("v")).alias("por_prioridad"))
-    return a.join(b, F.lit(True)).withColumn("iguales", C("por_estado") == C("por_prioridad"))  # one row each
+    """Totals that two sources should agree on; the last pair doesn't."""
+    o, li, cu = table(s, d, "orders"), table(s, d, "lineitem"), table(s, d, "customer")
+    total = lambda df, c: df.agg(exact_sum(C(c)).alias("x"))
+    n = lambda df: df.agg(F.count(F.lit(1)).alias("x"))
+    controls = {
+        "pedidos con cliente": (total(o, "o_totalprice"), total(o.join(cu.select("c_custkey"), C("c_custkey") == C("o_custkey")), "o_totalprice")),
+        "lineas con pedido": (n(li), n(li.select("l_orderkey").join(o.select("o_orderkey"), C("o_orderkey") == C("l_orderkey")))),
+        "pedidos contra lineas": (total(o, "o_totalprice"), total(li, "l_extendedprice")),
+    }
+    return rules.agreement(controls, 0.01)
 
 
 @query("WITH c AS (SELECT nombre_id, nombre, count(*) AS n FROM cmf_v2024 GROUP BY 1, 2), k AS (SELECT letra, nombre, sum(1) AS n FROM cmf_v2024 GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY letra ORDER BY n DESC, nombre) AS rn FROM k) SELECT letra, string_agg(nombre, ' | ' ORDER BY rn) AS frecuentes FROM r WHERE rn <= 4 GROUP BY 1")
@@ -564,13 +638,17 @@ _register(
     f"SELECT DISTINCT {_KEY3}, CASE WHEN tir_mercado <> 0 OR 5.0 <> 0 THEN ((1 + 5.0 / 100) / (1 + tir_mercado / 100) - 1) * 100 END AS breakeven, round(CASE WHEN abs(y) < 1e-9 THEN 10 / (1 + y) ELSE ((1 + y) / y - (1 + y + 10 * (0.04 - y)) / (0.04 * (pow(1 + y, 10) - 1) + y)) / (1 + y) END, 6) AS duracion, (valor_final / 1000 - 1) * 100 AS sobre, least(CASE WHEN valor_final > 0 THEN valor_final END, 50000) AS menor, abs(valor_final - 1000) / 1000 AS dif FROM (SELECT *, coalesce(nullif(tir_mercado, 0), 4.0) / 100 AS y FROM v_renta_fija_clasificada)",
 )
 _register("amount_cl", lambda s, d: table(s, d, "fact_derivado").where("nocional_texto IS NOT NULL").select("nocional_texto", numbers.spanish_amount(F.regexp_extract("nocional_texto", "([0-9.,]*[0-9])", 1)).cast("double").alias("monto")).distinct(), "SELECT DISTINCT nocional_texto, CAST(TRY_CAST(replace(replace(regexp_extract(nocional_texto, '([0-9.,]*[0-9])', 1), '.', ''), ',', '.') AS DECIMAL(20,4)) AS DOUBLE) AS monto FROM fact_derivado WHERE nocional_texto IS NOT NULL")
-_register("month_label", lambda s, d: table(s, d, "fact_derivado").select("periodo_informacion", text.month_label(C("periodo_informacion")).alias("etiqueta")).distinct(), "SELECT DISTINCT periodo_informacion, ['ene','feb','mar','abr','may','jun','jul','ago','sep','oct','nov','dic'][periodo_informacion % 100] || '-' || lpad(CAST(periodo_informacion // 100 % 100 AS VARCHAR), 2, '0') AS etiqueta FROM fact_derivado")
+_register("month_label", lambda s, d: table(s, d, "fact_derivado").select("periodo_informacion", text.month_label(C("periodo_informacion")).alias("etiqueta"), text.month_title(C("periodo_informacion")).alias("titulo")).distinct(), "SELECT DISTINCT periodo_informacion, ['Ene','Feb','Mar','Abr','May','Jun','Jul','Ago','Sep','Oct','Nov','Dic'][periodo_informacion % 100] || '-' || (periodo_informacion // 100) AS titulo, ['ene','feb','mar','abr','may','jun','jul','ago','sep','oct','nov','dic'][periodo_informacion % 100] || '-' || lpad(CAST(periodo_informacion // 100 % 100 AS VARCHAR), 2, '0') AS etiqueta FROM fact_derivado")
 _register("pair_canonical", lambda s, d: table(s, d, "fact_derivado").select(text.currency(C("moneda")).alias("a")).where("a IS NOT NULL").distinct().select("a", text.pair(C("a"), F.lit("USD")).alias("par")), "WITH x AS (SELECT DISTINCT CASE upper(trim(moneda)) WHEN 'PROM' THEN 'USD' WHEN '$$' THEN 'CLP' WHEN '' THEN NULL ELSE upper(trim(moneda)) END AS a FROM fact_derivado WHERE moneda IS NOT NULL) SELECT a, CASE WHEN a IN ('UF', 'USD') THEN a || '/USD' ELSE 'USD/' || a END AS par FROM x WHERE a IS NOT NULL")
 _register("slug", lambda s, d: table(s, d, "fact_derivado").select("zip_origen", text.slug(C("zip_origen")).alias("slug")).distinct(), "SELECT DISTINCT zip_origen, regexp_replace(zip_origen, '[^A-Za-z0-9]+', '_', 'g') AS slug FROM fact_derivado")
 _register("flag_list", lambda s, d: table(s, d, "orders").select("o_orderkey", text.flags({"final": F.when(C("o_orderstatus") == "F", "S"), "caro": F.when(C("o_totalprice") > 200000, "S").otherwise("N")}).alias("marcas")), "SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderstatus = 'F' THEN 'final' END, CASE WHEN o_totalprice > 200000 THEN 'caro' END) AS marcas FROM orders")
 _register("index_label", lambda s, d: table(s, d, "events").select("event_type").distinct().select("event_type", text.floating_index(F.concat(F.lit("TAB"), C("event_type")), F.lit("ICP CLP")).alias("a"), text.floating_index(F.lit("FIJA"), F.lit("fija")).alias("b"), text.floating_index(F.lit(None).cast("string"), F.lit(None).cast("string")).alias("c")), "SELECT DISTINCT event_type, 'Camara' AS a, 'Fija contra Fija' AS b, 'SIN_DETERMINAR' AS c FROM events")
 _register("fixed_width_roundtrip", lambda s, d: table(s, d, "orders").select("o_orderkey", F.concat(F.lpad(C("o_orderkey").cast("string"), 10, "0"), F.rpad("o_orderstatus", 5, " "), F.lpad((C("o_totalprice") * 100).cast("decimal(20,0)").cast("string"), 17, "0"), F.date_format("o_orderdate", "yyyyMMdd")).alias("raw")).select("o_orderkey", numbers.filed_number(F.substring("raw", 1, 10), 10).alias("clave"), text.clean(F.substring("raw", 11, 5)).alias("estado"), numbers.filed_number(F.substring("raw", 16, 17), 17, 2).cast("double").alias("precio"), dates.filed_date(F.substring("raw", 33, 8)).alias("fecha")), "SELECT o_orderkey, o_orderkey AS clave, o_orderstatus AS estado, CAST(CAST(o_totalprice AS DECIMAL(20,2)) AS DOUBLE) AS precio, CAST(o_orderdate AS DATE) AS fecha FROM orders")
-_register("token_match", lambda s, d: table(s, d, "dim_compania").select("nombre", text.acronym(C("nombre")).alias("sigla"), F.array_join(F.array_sort(text.content_words(C("nombre"))), " ").alias("palabras"), text.same_name(C("nombre"), F.lit("Seguros Generales")).alias("igual")).distinct(), None)
+_WORDS = "list_distinct(list_filter(string_split_regex(regexp_replace(upper(coalesce({}, '')), '[^A-Z0-9 ]', ' ', 'g'), ' +'), lambda w: length(w) > 2 AND NOT list_contains([" + ", ".join(f"'{w}'" for w in text.EMPTY_WORDS) + "], w)))"
+_INITIALS = "list_aggregate(list_transform(list_filter(string_split_regex(regexp_replace(upper(nombre), '[^A-Z0-9 ]', ' ', 'g'), ' +'), lambda w: w <> '' AND NOT list_contains([" + ", ".join(f"'{w}'" for w in text.ACRONYM_SKIP) + "], w)), lambda w: w[1]), 'string_agg', '')"
+_TOKENS = f"""SELECT DISTINCT nombre, coalesce(sigla, '') AS sigla, array_to_string(list_sort(ws), ' ') AS palabras, list_has_any(ws, ['SEGUROS', 'GENERALES']) OR length(list_filter(ws, lambda w: length(w) >= 4 AND contains('GENERALESSEGUROS', w))) > 0
+  OR contains(array_to_string(list_sort(ws), ''), 'SEGUROS') OR contains(array_to_string(list_sort(ws), ''), 'GENERALES') OR length(sigla) >= 3 AND list_contains(['SEGUROS', 'GENERALES'], sigla) AS igual FROM (SELECT nombre, {_WORDS.format('nombre')} AS ws, {_INITIALS} AS sigla FROM dim_compania)"""
+_register("token_match", lambda s, d: table(s, d, "dim_compania").select("nombre", text.acronym(C("nombre")).alias("sigla"), F.array_join(F.array_sort(text.content_words(C("nombre"))), " ").alias("palabras"), text.same_name(C("nombre"), F.lit("Seguros Generales")).alias("igual")).distinct(), _TOKENS)
 
 
 # ---------------------------------------------------------------- rules
@@ -621,13 +699,22 @@ def package_match(s, d):
     return g("F", "izquierda").join(g("O", "derecha"), "paquete", "full").withColumn("iguales", C("izquierda") == C("derecha"))
 
 
-@query("""WITH n AS (SELECT lei, nombre_id, count(*) AS c FROM cmf_v2024 WHERE lei IS NOT NULL GROUP BY 1, 2), f AS (SELECT lei, nombre_id, c, row_number() OVER (PARTITION BY lei ORDER BY c DESC, nombre_id) AS rn, count(*) OVER (PARTITION BY lei) AS grafias FROM n)
-  SELECT lei, nombre_id, c AS veces, grafias, grafias > 1 AS alerta FROM f WHERE rn = 1""")
+_MOD11 = "CASE x WHEN 11 THEN '0' WHEN 10 THEN 'K' ELSE CAST(x AS VARCHAR) END"
+_LEI_OK = "regexp_matches(l, '^[A-Z0-9]{18}[0-9]{2}$') AND CAST(list_reduce(list_transform(string_split(l, ''), lambda c: CASE WHEN regexp_matches(c, '[A-Z]') THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), lambda a, b: CAST((CAST(a AS BIGINT) * CASE WHEN length(b) = 2 THEN 100 ELSE 10 END + CAST(b AS BIGINT)) % 97 AS VARCHAR)) AS BIGINT) = 1"
+
+
+@query(f"""WITH b AS (SELECT registro_id, coalesce(rut, 0) AS r, upper(trim(coalesce(verificador, ''))) AS v, nullif(nullif(upper(trim(coalesce(lei, ''))), ''), '0') AS l, trim(coalesce(nombre, '')) AS n FROM cmf_v2024),
+  k AS (SELECT *, 11 - list_sum(list_transform(range(0, length(CAST(r AS VARCHAR))), lambda i: CAST(reverse(CAST(r AS VARCHAR))[i + 1] AS INT) * (2 + i % 6))) % 11 AS x,
+    regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace({_FOLD.format('n')}, '\\b\\d{{6,}}-?[0-9K]?\\b', ' ', 'g'), '[^A-Z0-9 ]+', ' ', 'g'), '\\s+', ' ', 'g')), '([^ ])( ({_ENDS}))+$', '\\1') AS norm FROM b),
+  t AS (SELECT *, CASE WHEN r > 0 THEN CASE WHEN {_MOD11} = v THEN 'RUT' ELSE 'RUT invalido' END WHEN l IS NOT NULL THEN CASE WHEN {_LEI_OK} THEN 'LEI' ELSE 'LEI invalido' END ELSE 'Sin RUT ni LEI' END AS tipo FROM k),
+  e AS (SELECT *, CASE WHEN starts_with(tipo, 'RUT') THEN tipo || ' ' || r || '-' || coalesce(nullif(v, ''), '?') WHEN starts_with(tipo, 'LEI') THEN tipo || ' ' || l ELSE 'NOMBRE ' || coalesce(nullif(norm, ''), '(vacio)') END AS entidad FROM t),
+  f AS (SELECT entidad, n AS usual FROM (SELECT entidad, n, count(*) AS c FROM e GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY entidad ORDER BY c DESC, n) = 1),
+  m AS (SELECT norm, count(DISTINCT l) AS leis FROM e WHERE l IS NOT NULL AND r = 0 GROUP BY 1)
+  SELECT registro_id, tipo, entidad, usual AS nombre, concat_ws(';', CASE WHEN tipo = 'LEI invalido' THEN 'lei_invalido' END, CASE WHEN tipo = 'RUT invalido' THEN 'rut_invalido' END, CASE WHEN tipo = 'Sin RUT ni LEI' THEN 'sin_identificador' END, CASE WHEN starts_with(tipo, 'LEI') AND leis > 1 THEN 'nombre_con_varios_lei' END) AS alertas
+  FROM e JOIN f USING (entidad) LEFT JOIN m USING (norm)""")
 def legal_id(s, d):
-    n = table(s, d, "cmf_v2024").where("lei IS NOT NULL").groupBy("lei", "nombre_id").agg(F.count(F.lit(1)).alias("veces"))
-    w = Window.partitionBy("lei")
-    got = n.withColumn("_r", F.row_number().over(w.orderBy(F.desc("veces"), "nombre_id"))).withColumn("grafias", F.count(F.lit(1)).over(w)).where("_r = 1")
-    return got.select("lei", "nombre_id", "veces", "grafias", (C("grafias") > 1).alias("alerta"))
+    """Legal identity of every filed record, by tax id, LEI or name, and what is odd about it."""
+    return identity.identified(table(s, d, "cmf_v2024"), ["registro_id"])
 
 
 # ---------------------------------------------------------------- composites
@@ -657,9 +744,11 @@ def origination(s, d):
     return j.groupBy(dates.period_of(C("o_orderdate")).alias("mes"), "c_mktsegment", "n_name").agg(F.count(F.lit(1)).alias("n"), exact_sum(C("o_totalprice")).alias("monto"))
 
 
-@query("WITH " + _MATRIX + f" SELECT banco, cliente, {_dsum('abs(monto)')} AS flujo FROM m GROUP BY 1, 2")
+@query(f"WITH {_SNAP} SELECT periodo, CASE WHEN moneda IN ('UF', 'USD', 'EUR') THEN moneda || '/CLP' WHEN moneda = 'CLP' OR moneda = '$$' THEN 'CLP/CLP' WHEN moneda = 'PROM' THEN 'USD/CLP' ELSE 'CLP/' || moneda END AS par, producto, {_dsum('abs(nocional_m)')} AS flujo, count(*) AS n FROM snap WHERE moneda IS NOT NULL AND moneda <> '' GROUP BY ALL")
 def currency_flow(s, d):
-    return _matrix(s, d).groupBy("banco", "cliente").agg(exact_sum(F.abs("monto")).alias("flujo"))
+    """Gross notional of each month by pair of currencies, in canonical order, and product."""
+    v = _snap(s, d).withColumn("_c", text.currency(C("moneda"))).where("_c IS NOT NULL")
+    return v.groupBy("periodo", text.pair(C("_c"), F.lit("CLP")).alias("par"), "producto").agg(exact_sum(F.abs("nocional_m")).alias("flujo"), F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""WITH {_SNAP}, b AS (SELECT rut_compania, contraparte_grupo, {_dsum('nocional_m')} AS monto FROM snap WHERE periodo = {_T} GROUP BY 1, 2), t AS (SELECT *, CAST(sum(CAST(monto AS DECIMAL(20,2))) OVER (PARTITION BY rut_compania) AS DOUBLE) AS total FROM b),
@@ -694,6 +783,9 @@ def event_windows(s, d):
     return w.select(C("desde").cast("timestamp_ntz").alias("desde"), C("hasta").cast("timestamp_ntz").alias("hasta"), "tipo", "n")
 
 
-@query("SELECT tabla, columna FROM (VALUES ('region', 'r_regionkey'), ('region', 'r_name'), ('nation', 'n_nationkey'), ('nation', 'n_name'), ('nation', 'n_regionkey')) v(tabla, columna)")
+_TYPES = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean"}
+
+
+@query("SELECT table_name AS tabla, column_name AS columna, CASE data_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _TYPES.items()) + " ELSE lower(data_type) END AS tipo FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'supplier', 'customer', 'part', 'orders', 'fact_derivado', 'v_posicion', 'cmf_v2024')")
 def data_dictionary(s, d):
-    return files.dictionary(s, {n: table(s, d, n) for n in ("region", "nation")}).select("tabla", "columna")
+    return files.dictionary(s, {n: table(s, d, n) for n in ("region", "nation", "supplier", "customer", "part", "orders", "fact_derivado", "v_posicion", "cmf_v2024")})
\ No newline at end of file

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lumbra.operators import cohorts, filters, flows, publications, ranking, reconcile, resolve, rules, series
+from lumbra.operators import cohorts, filters, flows, identity, publications, ranking, reconcile, resolve, rules, series
 
 D = dt.date
 
@@ -199,3 +199,43 @@ def test_control_total_of_trailers_with_commas_and_blanks(spark, tmp_path):
     spark.createDataFrame(rows, "zip_origen string, source_file string, line_no int, formato string, raw string").coalesce(1).write.parquet(f"{tmp_path}/parsed_record.parquet")
     got = {r["source_file"]: (r["declarado"], r["contado"]) for r in entry.queries()["control_total"](spark, str(tmp_path)).collect()}
     assert got == {"plain": (12, 2), "comma": (12, 2), "blank": (0, 2), "bad": (None, 2)}
+
+
+def test_legal_identity(spark):
+    rows = [
+        (1, 97006000, "6", None, "Banco Uno"), (2, 97006000, "1", None, "Banco Uno"), (3, 0, None, "5493001KJTIIGC8Y1R12", "Other Name"), (4, None, "", "5493001KJTIIGC8Y1R13", "Dos Sa"), (5, None, None, "0", "Banco Tres S.A."),
+        (6, None, None, None, "BANCO TRES"), (7, 97006000, "6", None, "Bco Uno"), (8, 97006000, "6", None, "Banco Uno"), (9, None, None, "549300DTUYXVMJXZNY75", "DOS"), (10, None, None, " ", None),
+    ]
+    df = spark.createDataFrame([(*r, "g" if r[0] in (1, 3) else None) for r in rows], "id int, rut long, verificador string, lei string, nombre string, grupo string")
+    reg = spark.createDataFrame([("5493001KJTIIGC8Y1R12", "LAPSED", "Andina Trust", None)], "lei string, estado_lei string, nombre_legal string, categoria string")
+    got = {r["id"]: (r["tipo"], r["entidad"], r["nombre"], r["alertas"]) for r in identity.identified(df, ["id"], reg, "grupo").collect()}
+    assert got[1] == ("RUT", "RUT 97006000-6", "Banco Uno", "grupo_con_varios") and got[7] == ("RUT", "RUT 97006000-6", "Banco Uno", "")
+    assert got[2] == ("RUT invalido", "RUT invalido 97006000-1", "Banco Uno", "rut_invalido")
+    assert got[3] == ("LEI", "LEI 5493001KJTIIGC8Y1R12", "Andina Trust", "lei_no_vigente;lei_de_vehiculo;lei_de_otro;grupo_con_varios")
+    assert got[4][0] == "LEI invalido" and got[4][3] == "lei_invalido;nombre_con_varios_lei" and got[9][3].endswith("nombre_con_varios_lei")
+    assert got[5][1] == got[6][1] == "NOMBRE BANCO TRES" and got[5][3] == "sin_identificador" and got[10][1] == "NOMBRE (vacio)"
+    assert identity.identified(df.limit(0), ["id"]).count() == 0
+
+
+def test_unique_keys_and_controls(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 3.0)], "k int, v double")
+    assert publications.only_once(df, ["k"]) is df
+    with pytest.raises(ValueError):
+        publications.only_once(df.union(df), ["k"])
+    one = lambda x: spark.createDataFrame([(x,)], "x double")
+    got = {r["control"]: r["iguales"] for r in rules.agreement({"a": (one(1.0), one(1.005)), "b": (one(1.0), one(1.1)), "c": (one(None), one(1.0))}, 0.01).collect()}
+    assert got == {"a": True, "b": False, "c": False}
+
+
+def test_leasing_counts_once_in_the_stock(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    bonds = "periodo_informacion int, rut_compania long, zip_origen string, source_file string, line_no int, ambito string, tipo_instrumento string, valor_final double, unidad_valor string, valor_texto string, glosa string"
+    b = [(202501, 1, "z", "f", 1, "LOCAL", "BE", 100.0, "M$", None, None), (202501, 1, "z", "f", 1, "LOCAL", "BE", 100.0, "M$", None, None), (202501, 1, "z", "f", 2, "LOCAL", "CLEAS", 7.0, "MM$", None, None), (202501, 1, "z", "f", 3, "EXTRANJERO", "BEE", 2.0, "MUSD", None, None)]
+    lines = "periodo_informacion int, fecha_descarga date, zip_origen string, source_file string, line_no int, rut_compania long, folio_operacion string, producto string, contraparte_nombre string, moneda string, fecha_vencimiento date, nocional_m double, mtm_activo_m double, mtm_pasivo_m double"
+    f = [(202501, D(2025, 2, 1), z, "g", n, 1, "1", p, None, "UF", None, 1.0, a, c) for z, n, p, a, c in [("old", 1, "SWAP", 999.0, 0.0), ("old", 2, "SWAP", 9.0, None), ("old", 3, "PACTO", 50.0, 1.0)]]
+    f += [(202501, D(2025, 3, 1), "new", "g", 1, 1, "1", "SWAP", None, "UF", None, 1.0, 30.0, 10.0)]
+    for name, rows, schema in (("v_renta_fija_clasificada", b, bonds), ("fact_derivado", f, lines), ("serie_cierre", [("USD", 202501, 950.0)], "serie string, periodo int, valor double")):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {(r["clase"], r["fuente"]): r["monto"] for r in entry.queries()["stock_by_class"](spark, str(tmp_path)).collect()}
+    assert got == {("Renta Fija", "renta fija local"): 100.0, ("Real Estate", "renta fija local"): 7000.0, ("Renta Fija", "renta fija extranjera"): 1900.0, ("Derivados", "derivados"): 20.0}
