@@ -203,5 +203,6 @@ def garbled_names(names: DataFrame, parties: DataFrame) -> DataFrame:
     """(tabla, clave, texto, reparado, entero) of each affected row of both tables; repeated rows once. Null names aren't affected."""
     a = names.select(F.lit("cmf_v2024").alias("tabla"), F.col("registro_id").cast("string").alias("clave"), F.col("nombre").alias("texto"))
     b = parties.select(F.lit("contrapartes").alias("tabla"), F.col("entidad_id").cast("string").alias("clave"), F.col("entidad_nombre").alias("texto"))
-    got = with_repair(a.unionByName(b), "texto").where("_r.afectado")
+    # ASCII is never affected, so it doesn't leave the JVM
+    got = with_repair(a.unionByName(b).where(F.col("texto").rlike(r"[^\x00-\x7F]")), "texto").where("_r.afectado")
     return got.select("tabla", "clave", "texto", F.col("_r.texto").alias("reparado"), F.col("_r.entero").alias("entero")).distinct()

@@ -61,6 +61,8 @@ GENERAL = frozenset(
 LINKING = frozenset("DE DA DO DEL LA".split())
 #: Least Jaro-Winkler similarity of each word, and least mean over the words.
 LEAST_WORD, LEAST_MEAN = 0.82, 0.90
+#: The same of words as heard, where words as typed are too far apart; also of the only full word of an abbreviated spelling.
+HEARD_WORD, HEARD_MEAN = 0.85, 0.93
 #: Least similarity of the only full word of an abbreviated spelling, and how much its best cluster must beat the next.
 LEAST_ONLY, MARGIN = 0.88, 0.03
 #: Members of a blocking key above which its pairs are spread over tiles of about so many members.
@@ -104,6 +106,14 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * start * (1 - jaro)
 
 
+@lru_cache(200_000)
+def sounds(word: str) -> str:
+    """A word as Spanish speakers hear it, vowels included: one letter a sound, doubled letters once."""
+    w = word.replace("QU", "K").replace("GUE", "GE").replace("GUI", "GI")
+    w = re.sub("C(?=[EI])", "S", w).translate(str.maketrans("CQZVW", "KKSBB"))
+    return re.sub(r"(.)\1+", r"\1", w)
+
+
 def _near(t: str, w: str) -> bool:
     """A typed word is this known word, its beginning, or a typo of it."""
     if t == w or len(t) >= 2 and w.startswith(t):
@@ -192,8 +202,10 @@ def read(spelling: str, known: list[tuple[list[str], str]] | None = None) -> tup
     if len(long) == 1:
         later = [x for x in initials if x[0] > long[0][0]]
         if later:
-            second = later[0][1]
-            initials.remove(later[0])
+            # after a comma behind the first surname alone the order is given name, middle name, second surname
+            at = later[-1] if len(re.findall("[A-Z?]+", comma)) == 1 else later[0]
+            second = at[1]
+            initials.remove(at)
     named = sorted(given + initials)
     return "P", named[0][1] if named else "", *_cut_marked(spelling, tokens, [first, second, *[t for _, t in long[2:]]])
 
@@ -240,7 +252,7 @@ def shape(p: tuple) -> tuple:
     return p[0], min(len(p[1]), 2) if p[0] == "P" else 0, *((w.endswith(CUT), min(len(w), 4)) for w in p[2:4]), len(p[4].split())
 
 
-def _same_words(pairs: list[tuple[str, str]]) -> tuple[int, list[float]]:
+def _same_words(pairs: list[tuple[str, str]], heard: bool = False) -> tuple[int, list[float]]:
     """(strength, similarities) of words that stand at the same places: 2 all full, 1 as far as initials, cut or missing words tell, 0 different."""
     strength, sims = 2, []
     for x, y in pairs:
@@ -248,8 +260,8 @@ def _same_words(pairs: list[tuple[str, str]]) -> tuple[int, list[float]]:
         if ends:  # compared as far as the field reached
             x, y, strength = x[: min(ends)], y[: min(ends)], 1
         if len(x) > 3 and len(y) > 3:
-            sim = jaro_winkler(x, y)
-            if sim < LEAST_WORD:
+            sim = jaro_winkler(sounds(x), sounds(y)) if heard else jaro_winkler(x, y)
+            if sim < (HEARD_WORD if heard else LEAST_WORD):
                 return 0, []
             sims.append(sim)
         elif x and y and not (x.startswith(y) or y.startswith(x) or "?" in (x[0], y[0])):
@@ -259,9 +271,14 @@ def _same_words(pairs: list[tuple[str, str]]) -> tuple[int, list[float]]:
     return strength, sims
 
 
-def _enough(strength: int, sims: list[float]) -> tuple[int, float]:
-    mean = sum(sims) / len(sims) if sims else 0.0
-    return (strength, mean) if strength and sims and mean >= (LEAST_MEAN if len(sims) > 1 else LEAST_ONLY) else (0, 0.0)
+def _enough(pairs: list[tuple[str, str]]) -> tuple[int, float]:
+    """(strength, mean similarity) of words as typed, or else as heard, since a doubled letter shifts all that follow it; 0 if neither is near enough."""
+    for heard in (False, True):
+        strength, sims = _same_words(pairs, heard)
+        mean = sum(sims) / len(sims) if sims else 0.0
+        if strength and sims and mean >= (HEARD_MEAN if heard else LEAST_MEAN if len(sims) > 1 else LEAST_ONLY):
+            return strength, mean
+    return 0, 0.0
 
 
 def alike(a: tuple, b: tuple) -> tuple[int, float]:
@@ -281,9 +298,9 @@ def alike(a: tuple, b: tuple) -> tuple[int, float]:
             return 0, 0.0
         else:
             strength = 1
-    got = _enough(*_same_words([(a[2], b[2]), (a[3], b[3])]))
+    got = _enough([(a[2], b[2]), (a[3], b[3])])
     if not got[0] and min(map(len, (*a[2:4], *b[2:4]))) > 3:
-        got = _enough(*_same_words([(a[2], b[3]), (a[3], b[2])]))
+        got = _enough([(a[2], b[3]), (a[3], b[2])])
     if not got[0] or not (a[4] or b[4]):
         return (min(strength, got[0]), got[1]) if got[0] else (0, 0.0)
     mine, its = a[4].split(), b[4].split()
@@ -342,11 +359,14 @@ def _before(full: list[tuple]):
     """f(j): places before j of the full spellings that may be alike to the one at j, in either order of their words."""
     if len(full) < 50:
         return range
-    one, two = (_Letters([p[c] for _, p, _ in full]) for c in (2, 3))
+    one, two = ([_Letters([f(p[c]) for _, p, _ in full]) for f in (str, sounds)] for c in (2, 3))
 
     def places(j: int) -> list[int]:
-        fits = lambda x, y: (x >= LEAST_WORD - 1e-9) & (y >= LEAST_WORD - 1e-9) & (x + y >= 2 * LEAST_MEAN - 1e-9)
-        return np.flatnonzero(fits(one.bound(j, one), two.bound(j, two)) | fits(one.bound(j, two), two.bound(j, one))).tolist()
+        out = np.zeros(j, bool)
+        for a, b, word, mean in ((one[0], two[0], LEAST_WORD, LEAST_MEAN), (one[1], two[1], HEARD_WORD, HEARD_MEAN)):
+            for x, y in ((a.bound(j, a), b.bound(j, b)), (a.bound(j, b), b.bound(j, a))):
+                out |= (x >= word - 1e-9) & (y >= word - 1e-9) & (x + y >= 2 * mean - 1e-9)
+        return np.flatnonzero(out).tolist()
 
     return places
 

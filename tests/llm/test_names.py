@@ -139,6 +139,14 @@ def test_every_kind_of_spelling_whatever_the_block(spark, monkeypatch, hot):
     assert same(got) == same(want)
 
 
+def test_words_as_heard(spark):
+    """Doubled letters, and sounds written in other ways, where the typed words are too far apart."""
+    texts = ["Securitizadora Dogótado Luhuedufer", "Securitizadora Doogótado Luuhuedufer N.A.", "Securitiz. Ramaferque Kepelqueya", "securitiz. ramaferque-kpelkeya n.a.", "Banco Monchaqueva Cicortomi", "Banco Monchaluba Cicorchatra"]
+    texts += ["Togüecortra Grimondoxa, Jesús Elías", "Toguecortra, Chuy E. G."]
+    got = _link(spark, texts)
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 5, 6: 6, 7: 6}
+
+
 def test_lines_of_business_from_a_table(spark):
     texts = ["Panificadora Kemaferple Tapelquehue", "PANIF. KEMAFERPLE TAPELQUEHUE", "Banco Kemaferple Tapelquehue"]
     df = spark.createDataFrame(list(enumerate(texts)), "nombre_id long, nombre string")
