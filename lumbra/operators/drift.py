@@ -94,9 +94,12 @@ def path_values(lines: DataFrame, lists: DataFrame) -> DataFrame:
     """(archivo_id, line_no, valores): each line as a map from field to value, raw type and decimals, cut by its own file's list.
 
     A line shorter than its list has empty values at its end; lines of files without a list are left out."""
-    at = lines.select("archivo_id", "line_no", "raw").distinct().join(layouts(lists), "archivo_id")
+    return _cut(lines.select("archivo_id", "line_no", "raw").distinct().join(layouts(lists), "archivo_id"), "archivo_id", "line_no")
+
+
+def _cut(at: DataFrame, *kept: str) -> DataFrame:
     value = lambda x: F.struct(F.substring(F.col("raw"), x["at"], x["width"]).alias("v"), x["kind"].alias("kind"), x["decimals"].alias("decimals"))
-    return at.select("archivo_id", "line_no", F.map_from_arrays("_names", F.transform("_cuts", value)).alias("valores"))
+    return at.select(*kept, F.map_from_arrays("_names", F.transform("_cuts", value)).alias("valores"))
 
 
 def path_statistics(values: DataFrame) -> DataFrame:
@@ -138,9 +141,11 @@ def renames(vanished_and_new: DataFrame, lines: DataFrame, lists: DataFrame) ->
     cand = vanished_and_new.select(*_SIDES, "p", F.explode(names).alias("x"))
     cand = cand.select(F.when(F.col("x.n"), F.col("archivo_id")).otherwise(F.col("antes")).alias("_file"), F.col("x.n").alias("_new"), F.col("x.c").alias("campo"), "p", *_SIDES)
     per_file = cand.groupBy("_file").agg(F.collect_list(F.struct("_new", "campo", "p", *_SIDES)).alias("_cand"))  # a file's fields, in two roles
-    v = path_values(lines, lists).withColumnRenamed("archivo_id", "_file").join(per_file, "_file").withColumn("x", F.explode("_cand"))
+    # only lines of files with a candidate are cut; a repeated line falls together further down
+    cuts = layouts(lists.join(per_file.select(F.col("_file").alias("archivo_id")), "archivo_id", "left_semi")).withColumnRenamed("archivo_id", "_file").join(per_file, "_file")
+    v = _cut(lines.select(F.col("archivo_id").alias("_file"), "line_no", "raw").join(cuts, "_file"), "_file", "line_no", "_cand").withColumn("x", F.explode("_cand"))
     v = v.select("x.archivo_id", "x.antes", "x.p", "line_no", F.struct(F.col("x._new").alias("n"), F.col("x.campo").alias("c"), F.try_element_at("valores", F.col("x.campo"))["v"].alias("v")).alias("y"))
-    by_line = v.groupBy(*_SIDES, "p", "line_no").agg(F.collect_list("y").alias("_ys"))
+    by_line = v.groupBy(*_SIDES, "p", "line_no").agg(F.collect_set("y").alias("_ys"))
     of = lambda new: F.filter("_ys", lambda y: y["n"] if new else ~y["n"])
     by_line = by_line.withColumn("_n", of(True)).withColumn("_o", of(False)).where((F.size("_n") > 0) & (F.size("_o") > 0))
     full = lambda c: F.filter(c, lambda y: F.trim(y["v"]) != "")

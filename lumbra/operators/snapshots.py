@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumbra.session import checkpointed
+from lumbra.session import checkpointed, counted_small
 
 #: Children of an inner node, rows that a leaf should hold, and most levels (leaves beyond 2^40 gain nothing).
 FANOUT, LEAF_ROWS, MOST_LEVELS = 16, 64, 10
@@ -110,7 +110,7 @@ def clean_positions(positions: DataFrame, more: tuple[str, ...] = ()) -> DataFra
         F.col("nocional_m").cast("double").alias("nocional_m"), *more,
     ).dropna(subset=["periodo", "rut_compania", "folio_operacion"])
     last = p.groupBy("rut_compania", "periodo").agg(F.max("_at").alias("_at"))
-    p = p.join(last, ["rut_compania", "periodo", "_at"])
+    p = p.join(counted_small(last), ["rut_compania", "periodo", "_at"])  # a row a company and month
     one = F.min(F.struct("moneda", "contraparte_key", "fecha_vencimiento", "nocional_m", *more)).alias("_r")
     return p.groupBy("rut_compania", "periodo", "folio_operacion").agg(one).select("rut_compania", "periodo", "folio_operacion", "_r.*")
 

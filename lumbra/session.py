@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -71,7 +73,10 @@ def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if named is None and not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lumbra-checkpoint-"))
+        if named is None:
+            named = tempfile.mkdtemp(prefix="lumbra-checkpoint-")
+            atexit.register(shutil.rmtree, named, True)
+        sc.setCheckpointDir(named)
     return df.checkpoint(eager)
 
 
@@ -87,6 +92,7 @@ def ship(spark: SparkSession) -> None:
         for path in sorted(root.rglob("*.py")):
             out.write(path, f"{root.name}/{path.relative_to(root)}")
     sc.addPyFile(name)
+    atexit.register(Path(name).unlink, True)
     sc._lumbra_shipped = True
 
 
