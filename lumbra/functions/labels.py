@@ -12,6 +12,19 @@ MATURITY = ((0.0, "vencido"), (0.25, "0-3m"), (1.0, "3-12m"), (2.0, "1-2a"), (5.
 ORIGINAL = ((31, "Hasta 1M"), (92, "1-3M"), (183, "3-6M"), (366, "6-12M"), (731, "1-2A"), (1827, "2-5A"), (3653, "5-10A"), (7305, "10-20A"), (None, "Más de 20A"))
 
 
+# Families of derivatives by the name of the instrument, in the order in which they are tried.
+FAMILIES = (
+    ("has", "swap promesa", "Swap UF/CLP"), ("prefix", "CCS", "CCS"), ("prefix", "Forward FX", "Forward FX"), ("is", "Forward UF", "Forward UF"), ("prefix", "IRS", "IRS"),
+    ("is", "Opcion", "Opcion"), ("is", "Futuro", "Futuro"), ("is", "Pacto", "Pacto"),
+)
+
+
+def first_match(c: Column, rules: tuple[tuple[str, str, str], ...], other: str) -> Column:
+    """Label of the first rule (is, prefix or has; text; label) that fits; other if none does, for a null too. Tables of classes and segments are such rules."""
+    fits = {"is": lambda t: c == t, "prefix": c.startswith, "has": c.contains}
+    return reduce(lambda a, r: a.when(fits[r[0]](F.lit(r[1])), r[2]), rules, F.when(F.lit(False), F.lit(None).cast("string"))).otherwise(other)
+
+
 def band(c: Column, edges: tuple, closed: str = "left") -> Column:
     """Label of the first band whose upper edge lies above (closed left) or not below (closed right) the value; null stays null."""
     below = (lambda e: c < e) if closed == "left" else (lambda e: c <= e)

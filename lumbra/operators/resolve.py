@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -14,6 +15,8 @@ from lumbra.session import ship, small
 
 #: Least similarity, least lead over the second, least share of common words.
 LEAST, LEAD, LEAST_OVERLAP = 0.92, 0.03, 0.3
+#: Similarity below which a candidate can neither win nor hold up the winner.
+NEXT = LEAST - LEAD
 
 
 @F.pandas_udf(T.DoubleType())
@@ -25,7 +28,8 @@ def cascade(rows: DataFrame, catalog: DataFrame, key: list[str], identifier_firs
     """rows with `entidad`, `metodo`, `confianza`: by tax id, alias, identifier, then similarity; else unresolved.
 
     rows: key columns, rut, name, identifier. catalog: entity, rut, alias, identifier (nulls allowed). Of entities that share
-    an alias the least counts. Similarity is only computed for names with a common word, distinct names once; a best
+    an alias the least counts. Similarity is only computed for names with a common word, distinct names once, and where lengths
+    and edit distance leave it possible: a similarity s means that at most (1 - s) of both names' letters are unmatched. A best
     candidate that hardly leads the second stays unresolved. The order of alias and identifier is the caller's."""
     ship(rows.sparkSession)
     cat = catalog.withColumn("alias", name_key(F.col("alias")))
@@ -33,9 +37,14 @@ def cascade(rows: DataFrame, catalog: DataFrame, key: list[str], identifier_firs
     r = rows.withColumn("_name", name_key(F.col("name")))
     got = r.join(lookup("rut"), "rut", "left").join(lookup("alias").withColumnRenamed("alias", "_name").withColumnRenamed("_alias", "_a"), "_name", "left").join(lookup("identifier"), "identifier", "left")
     left = got.where("_rut IS NULL AND _a IS NULL AND _identifier IS NULL AND _name <> ''").select("_name").distinct()
-    words = left.withColumn("_w", F.explode(F.array_distinct(F.split("_name", " "))))
-    alias = cat.where("alias <> ''").select("alias", "entity").distinct().withColumn("_w", F.explode(F.array_distinct(F.split("alias", " "))))
-    cand = words.join(small(alias), "_w").groupBy("_name", "alias", "entity").agg(F.count(F.lit(1)).alias("_both"))
+    # similar names have lengths within a factor, so a word's names meet in classes of length, each with its neighbours
+    size = lambda c: F.floor(F.log(F.length(c).cast("double")) / math.log(1.001 * (2 - NEXT) / NEXT))
+    near = F.array(*[size("alias") + i for i in (-1, 0, 1)])
+    words = left.select("_name", size("_name").alias("_size"), F.explode(F.array_distinct(F.split("_name", " "))).alias("_w"))
+    alias = cat.where("alias <> ''").select("alias", "entity").distinct().withColumn("_w", F.explode(F.array_distinct(F.split("alias", " ")))).withColumn("_size", F.explode(near))
+    together = F.length("_name") + F.length("alias")
+    cand = words.join(small(alias), ["_w", "_size"]).where(2 * F.least(F.length("_name"), F.length("alias")) >= (NEXT - 1e-9) * together)
+    cand = cand.where(F.levenshtein("_name", "alias") <= (1 - NEXT + 1e-9) * together).groupBy("_name", "alias", "entity").agg(F.count(F.lit(1)).alias("_both"))
     union = F.size(F.array_union(F.split("_name", " "), F.split("alias", " ")))
     cand = cand.where(F.col("_both") / union >= LEAST_OVERLAP).withColumn("_s", ratio("_name", "alias"))
     w = Window.partitionBy("_name").orderBy(F.desc("_s"), "entity", "alias")

@@ -147,12 +147,16 @@ def rule_least_of_two(s, d):
     return rules.judged(li, [own, leased]).select("l_orderkey", "l_linenumber", "l_suppkey", "veredicto")
 
 
-@query("SELECT rut_compania, tipo_instrumento, instrumento_id, valor_final, emisor_nombre FROM (SELECT DISTINCT * FROM v_renta_fija_clasificada) WHERE tipo_instrumento LIKE 'B%' AND periodo_informacion = 202606 QUALIFY row_number() OVER (PARTITION BY rut_compania ORDER BY valor_final DESC NULLS LAST, instrumento_id, zip_origen, source_file, line_no) <= 3")
+_CLASS = "CASE WHEN tipo_instrumento LIKE 'BE%' THEN 'empresa' WHEN tipo_instrumento LIKE 'BB%' OR tipo_instrumento LIKE 'BS%' OR tipo_instrumento LIKE 'BU%' THEN 'banco' WHEN tipo_instrumento LIKE 'BT%' OR tipo_instrumento LIKE 'BR%' THEN 'estado' WHEN tipo_instrumento LIKE 'D%' THEN 'deposito' WHEN tipo_instrumento LIKE 'LH%' THEN 'hipotecaria' ELSE 'otro' END"
+_CLASSES = {"BE": "empresa", "BB": "banco", "BS": "banco", "BU": "banco", "BT": "estado", "BR": "estado", "D": "deposito", "LH": "hipotecaria"}
+
+
+@query(f"SELECT periodo_informacion AS periodo, rut_compania, clase, tipo_instrumento, instrumento_id, valor_final, emisor_nombre FROM (SELECT DISTINCT *, {_CLASS} AS clase FROM v_renta_fija_clasificada) QUALIFY row_number() OVER (PARTITION BY periodo_informacion, rut_compania, clase ORDER BY valor_final DESC NULLS LAST, instrumento_id, zip_origen, source_file, line_no) <= 3")
 def class_detail(s, d):
-    """The three largest bonds of each company."""
-    b = table(s, d, "v_renta_fija_clasificada").where(C("tipo_instrumento").startswith("B") & (C("periodo_informacion") == 202606)).distinct()
-    w = Window.partitionBy("rut_compania").orderBy(F.desc_nulls_last("valor_final"), "instrumento_id", "zip_origen", "source_file", "line_no")
-    return b.withColumn("_r", F.row_number().over(w)).where("_r <= 3").select("rut_compania", "tipo_instrumento", "instrumento_id", "valor_final", "emisor_nombre")
+    """The three largest lines of each company, period and class. Only the best three of a task's rows of a group are shuffled."""
+    b = table(s, d, "v_renta_fija_clasificada").distinct().withColumn("clase", labels.prefix_class(C("tipo_instrumento"), _CLASSES, "otro"))
+    w = Window.partitionBy("periodo_informacion", "rut_compania", "clase").orderBy(F.desc_nulls_last("valor_final"), "instrumento_id", "zip_origen", "source_file", "line_no")
+    return b.withColumn("_r", F.row_number().over(w)).where("_r <= 3").select(C("periodo_informacion").alias("periodo"), "rut_compania", "clase", "tipo_instrumento", "instrumento_id", "valor_final", "emisor_nombre")
 
 
 @query("SELECT DISTINCT zip_origen, source_file, line_no, CASE WHEN moneda IS NULL THEN NULL WHEN upper(trim(moneda)) IN ('CLP', '$$') THEN 'VENTA' ELSE 'COMPRA' END AS direccion FROM fact_derivado WHERE producto = 'FORWARD'")
@@ -192,10 +196,12 @@ def first_two_deliveries(s, d):
     return table(s, d, "v_posicion").select("rut_compania", "periodo").distinct().withColumn("pos", F.row_number().over(w).cast("bigint")).where("pos <= 2")
 
 
-@query(f"SELECT moneda, {_dsum('nocional_m', 4)} AS monto FROM (SELECT upper(trim(moneda)) AS moneda, nocional_m FROM v_posicion WHERE periodo = 202508) GROUP BY 1 ORDER BY monto DESC LIMIT 3")
+@query(f"SELECT periodo, moneda, {_dsum('nocional_m', 4)} AS monto FROM (SELECT periodo, upper(trim(moneda)) AS moneda, nocional_m FROM v_posicion) GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY periodo ORDER BY monto DESC NULLS LAST, moneda) <= 3")
 def top_currencies(s, d):
-    g = table(s, d, "v_posicion").where("periodo = 202508").groupBy(F.upper(F.trim("moneda")).alias("moneda")).agg(exact_sum(C("nocional_m"), 4).alias("monto"))
-    return g.orderBy(F.desc("monto")).limit(3)
+    """The three currencies of most notional of each month."""
+    g = table(s, d, "v_posicion").groupBy("periodo", F.upper(F.trim("moneda")).alias("moneda")).agg(exact_sum(C("nocional_m"), 4).alias("monto"))
+    w = Window.partitionBy("periodo").orderBy(F.desc_nulls_last("monto"), F.asc_nulls_last("moneda"))
+    return g.withColumn("_r", F.row_number().over(w)).where("_r <= 3").drop("_r")
 
 
 @query("SELECT o_orderkey FROM orders WHERE false")

@@ -237,11 +237,12 @@ def scalar_subquery(s, d):
     return o.join(F.broadcast(first), C("o_orderdate") > C("_c")).select("o_orderkey", "o_orderdate")  # one row
 
 
-@query("WITH held AS (SELECT DISTINCT upper(trim(moneda)) AS moneda, producto FROM v_posicion WHERE periodo = 202508 AND nocional_m > 2000000) SELECT m.moneda, p.producto FROM (SELECT DISTINCT moneda FROM held) m, (SELECT DISTINCT producto FROM held) p WHERE (m.moneda, p.producto) NOT IN (SELECT (moneda, producto) FROM held)")
+@query("WITH held AS (SELECT DISTINCT periodo, upper(trim(moneda)) AS moneda, producto FROM v_posicion WHERE nocional_m > 2000000 AND moneda IS NOT NULL AND producto IS NOT NULL) SELECT m.periodo, m.moneda, p.producto FROM (SELECT DISTINCT periodo, moneda FROM held) m JOIN (SELECT DISTINCT periodo, producto FROM held) p ON m.periodo = p.periodo WHERE (m.periodo, m.moneda, p.producto) NOT IN (SELECT (periodo, moneda, producto) FROM held)")
 def whitespace_holes(s, d):
-    v = table(s, d, "v_posicion").where((C("periodo") == 202508) & (C("nocional_m") > 2_000_000)).select(F.upper(F.trim("moneda")).alias("moneda"), "producto").distinct()
-    rows = v.agg(F.collect_set("moneda").alias("m"), F.collect_set("producto").alias("p"))  # two short lists of codes
-    return rows.select(F.explode("m").alias("moneda"), "p").select("moneda", F.explode("p").alias("producto")).join(v, ["moneda", "producto"], "left_anti")
+    """Pairs of currency and product, both held in large amounts in a month, that aren't held together in it."""
+    v = table(s, d, "v_posicion").where((C("nocional_m") > 2_000_000) & C("producto").isNotNull() & C("moneda").isNotNull()).select("periodo", F.upper(F.trim("moneda")).alias("moneda"), "producto").distinct()
+    rows = v.groupBy("periodo").agg(F.collect_set("moneda").alias("m"), F.collect_set("producto").alias("p"))  # two short lists of codes a month
+    return rows.select("periodo", F.explode("m").alias("moneda"), "p").select("periodo", "moneda", F.explode("p").alias("producto")).join(v, ["periodo", "moneda", "producto"], "left_anti")
 
 
 # ---------------------------------------------------------------- aggregation
@@ -562,10 +563,20 @@ def set_ops(s, d):
 
 
 # ---------------------------------------------------------------- predicates
+_CHOSEN = {"estado": (["F", "P"], ["F", "O", "P"]), "prioridad": (["1-URGENT"], ["1-URGENT"]), "precio": (1000, 200000, 0, 10**9), "mesa": (["A"], ["A", "B"])}
+_PHYSICAL = {"estado": "o_orderstatus", "prioridad": "o_orderpriority", "precio": "o_totalprice"}
+
+
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_totalprice BETWEEN 1000 AND 200000")
 def filter_elision(s, d):
-    p = {"o_orderstatus": filters.among("o_orderstatus", ["F", "P"], ["F", "O", "P"]), "o_orderpriority": filters.among("o_orderpriority", ["1-URGENT"], ["1-URGENT"]), "o_totalprice": filters.between("o_totalprice", 1000, 200000, 0, 10**9), "no_such": F.lit(False)}
-    return filters.narrowed(table(s, d, "orders"), p)[0].select("o_orderkey")
+    """Selections by the names that users see; one that chooses everything is no predicate, one without a column is left out."""
+    return filters.narrowed(table(s, d, "orders"), filters.renamed(_CHOSEN, _PHYSICAL))[0].select("o_orderkey")
+
+
+@query("SELECT 'mesa' AS filtro")
+def filter_omitted(s, d):
+    """The selections that the view has no column for."""
+    return s.createDataFrame([(x,) for x in filters.narrowed(table(s, d, "orders"), filters.renamed(_CHOSEN, _PHYSICAL))[1]], "filtro string")
 
 
 @query("SELECT c_custkey FROM customer WHERE contains(lower(c_name), 'auto') OR contains(lower(c_mktsegment), 'auto')")
@@ -630,6 +641,20 @@ _register("name_normalize", lambda s, d: table(s, d, "contrapartes").select("ent
 _register("mod11_check", lambda s, d: table(s, d, "cmf_v2024").select("registro_id", identifiers.mod11_valid(C("rut"), C("verificador")).alias("valido")).distinct(), "SELECT DISTINCT registro_id, coalesce(CASE WHEN rut > 0 THEN CASE x WHEN 11 THEN '0' WHEN 10 THEN 'K' ELSE CAST(x AS VARCHAR) END END = upper(trim(verificador)), false) AS valido FROM (SELECT *, 11 - list_sum(list_transform(range(0, length(CAST(rut AS VARCHAR))), lambda i: CAST(reverse(CAST(rut AS VARCHAR))[i + 1] AS INT) * (2 + i % 6))) % 11 AS x FROM cmf_v2024)")
 _register("mod97_check", lambda s, d: table(s, d, "cmf_v2024").where("lei IS NOT NULL").select("registro_id", identifiers.lei_valid(C("lei")).alias("valido")).distinct(), "SELECT DISTINCT registro_id, regexp_matches(lei, '^[A-Z0-9]{18}[0-9]{2}$') AND CAST(regexp_replace(list_reduce(list_transform(string_split(upper(lei), ''), lambda c: CASE WHEN regexp_matches(c, '[A-Z]') THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), lambda a, b: CAST((CAST(a AS BIGINT) * CASE WHEN length(b) = 2 THEN 100 ELSE 10 END + CAST(b AS BIGINT)) % 97 AS VARCHAR)), '', '') AS BIGINT) = 1 AS valido FROM cmf_v2024 WHERE lei IS NOT NULL")
 _register("rate_text_split", lambda s, d: table(s, d, "fact_derivado").select(F.concat(F.lit("FIJA "), C("tasa_precio_contrato").cast("decimal(10,2)").cast("string"), F.lit(" %")).alias("t")).distinct().select("t", numbers.rate_value(C("t")).alias("tasa"), numbers.rate_label(C("t")).alias("tipo"), numbers.is_fixed(numbers.rate_label(C("t"))).alias("fija")), "SELECT t, CAST(regexp_extract(t, '(-?\\d+(?:[.,]\\d+)?)', 1) AS DOUBLE) AS tasa, 'FIJA' AS tipo, true AS fija FROM (SELECT DISTINCT 'FIJA ' || CAST(CAST(tasa_precio_contrato AS DECIMAL(10,2)) AS VARCHAR) || ' %' AS t FROM fact_derivado)")
+_FAMILY_SQL = "CASE WHEN i LIKE '%swap promesa%' THEN 'Swap UF/CLP' WHEN i LIKE 'CCS%' THEN 'CCS' WHEN i LIKE 'Forward FX%' THEN 'Forward FX' WHEN i = 'Forward UF' THEN 'Forward UF' WHEN i LIKE 'IRS%' THEN 'IRS' WHEN i IN ('Opcion', 'Futuro', 'Pacto') THEN i ELSE 'Otro derivado' END"
+_INSTRUMENT_SQL = "CASE producto WHEN 'SWAP' THEN CASE WHEN m = 'UF' THEN 'UF/CLP (swap promesa)' WHEN m = 'CLP' THEN 'IRS CLP' ELSE 'CCS ' || m || '/CLP' END WHEN 'FORWARD' THEN CASE WHEN m = 'UF' THEN 'Forward UF' ELSE 'Forward FX ' || coalesce(m, '?') END WHEN 'OPCION' THEN 'Opcion' WHEN 'FUTURO' THEN 'Futuro' WHEN 'PACTO' THEN 'Pacto' END"
+
+
+@query(f"SELECT DISTINCT i AS instrumento, {_FAMILY_SQL} AS familia FROM (SELECT {_INSTRUMENT_SQL} AS i FROM (SELECT producto, CASE upper(trim(moneda)) WHEN 'PROM' THEN 'USD' WHEN '$$' THEN 'CLP' WHEN '' THEN NULL ELSE upper(trim(moneda)) END AS m FROM fact_derivado))")
+def family_labels(s, d):
+    """Family of each instrument, by the first rule of a table that fits its name."""
+    m = text.currency(C("moneda"))
+    swap = F.when(m == "UF", "UF/CLP (swap promesa)").when(m == "CLP", "IRS CLP").otherwise(F.concat(F.lit("CCS "), m, F.lit("/CLP")))
+    forward = F.when(m == "UF", "Forward UF").otherwise(F.concat(F.lit("Forward FX "), F.coalesce(m, F.lit("?"))))
+    names = F.when(C("producto") == "SWAP", swap).when(C("producto") == "FORWARD", forward).when(C("producto") == "OPCION", "Opcion").when(C("producto") == "FUTURO", "Futuro").when(C("producto") == "PACTO", "Pacto")
+    return table(s, d, "fact_derivado").select(names.alias("instrumento")).distinct().withColumn("familia", labels.first_match(C("instrumento"), labels.FAMILIES, "Otro derivado"))
+
+
 _register("period_token", lambda s, d: table(s, d, "fact_derivado").select(F.regexp_extract("source_file", "^([a-z])(\\d{6})", 1).alias("letra"), F.regexp_extract("source_file", "\\.(\\d+)$", 1).alias("rut"), dates.period_token(F.regexp_extract("source_file", "(\\d{6})", 1)).alias("periodo"), dates.period_token(F.lit("231231")).alias("cierre"), dates.period_token(F.lit("999999")).alias("nada")).distinct(), "SELECT DISTINCT regexp_extract(source_file, '^([a-z])(\\d{6})', 1) AS letra, regexp_extract(source_file, '\\.(\\d+)$', 1) AS rut, CAST(regexp_extract(source_file, '(\\d{6})', 1) AS INT) AS periodo, 202312 AS cierre, CAST(NULL AS INT) AS nada FROM fact_derivado")
 _register("first_nonzero_origin", lambda s, d: table(s, d, "fact_derivado").select("zip_origen", "source_file", "line_no", numbers.first_nonzero(["mtm_activo_m", "mtm_pasivo_m"])[0].alias("valor"), numbers.first_nonzero(["mtm_activo_m", "mtm_pasivo_m"])[1].alias("origen")).distinct(), f"SELECT DISTINCT {_KEY3}, coalesce(nullif(mtm_activo_m, 0), nullif(mtm_pasivo_m, 0), mtm_activo_m, mtm_pasivo_m) AS valor, CASE WHEN nullif(mtm_activo_m, 0) IS NOT NULL THEN 'mtm_activo_m' WHEN nullif(mtm_pasivo_m, 0) IS NOT NULL THEN 'mtm_pasivo_m' WHEN mtm_activo_m IS NOT NULL THEN 'mtm_activo_m' WHEN mtm_pasivo_m IS NOT NULL THEN 'mtm_pasivo_m' END AS origen FROM fact_derivado")
 _register(
@@ -718,11 +743,12 @@ def legal_id(s, d):
 
 
 # ---------------------------------------------------------------- composites
-@query(f"WITH {_SNAP} SELECT coalesce(contraparte_grupo, 'SIN RESOLVER') AS grupo, CAST(date_trunc('month', fecha_vencimiento) AS DATE) AS mes, {_dsum('nocional_m')} AS monto FROM snap WHERE periodo = {_T} AND fecha_vencimiento >= {_END.format(_T)} AND fecha_vencimiento < {_END.format(_T)} + INTERVAL 12 MONTH GROUP BY 1, 2")
+@query(f"WITH {_SNAP} SELECT periodo, coalesce(contraparte_grupo, 'SIN RESOLVER') AS grupo, CAST(date_trunc('month', fecha_vencimiento) AS DATE) AS mes, {_dsum('nocional_m')} AS monto FROM snap WHERE fecha_vencimiento >= {_END.format('periodo')} AND fecha_vencimiento < {_END.format('periodo')} + INTERVAL 12 MONTH GROUP BY 1, 2, 3")
 def roll_off(s, d):
-    close = dates.period_end(F.lit(_T))
-    v = _snap(s, d).where((C("periodo") == _T) & (C("fecha_vencimiento") >= close) & (C("fecha_vencimiento") < F.add_months(close, 12)))
-    return v.groupBy(F.coalesce("contraparte_grupo", F.lit("SIN RESOLVER")).alias("grupo"), dates.bucket(C("fecha_vencimiento"), "month").alias("mes")).agg(exact_sum(C("nocional_m")).alias("monto"))
+    """What matures within twelve months of each month's close."""
+    close = dates.period_end(C("periodo"))
+    v = _snap(s, d).where((C("fecha_vencimiento") >= close) & (C("fecha_vencimiento") < F.add_months(close, 12)))
+    return v.groupBy("periodo", F.coalesce("contraparte_grupo", F.lit("SIN RESOLVER")).alias("grupo"), dates.bucket(C("fecha_vencimiento"), "month").alias("mes")).agg(exact_sum(C("nocional_m")).alias("monto"))
 
 
 @query(f"WITH {_SNAP}, e AS (SELECT periodo, contraparte_grupo, {_dsum('nocional_m')} AS monto, count(*) AS n FROM snap GROUP BY 1, 2) SELECT e.*, s.valor AS usd, monto / s.valor / 1000 AS mm_usd FROM e LEFT JOIN serie_cierre s ON s.periodo = e.periodo AND s.serie = 'USD'")
@@ -751,16 +777,25 @@ def currency_flow(s, d):
     return v.groupBy("periodo", text.pair(C("_c"), F.lit("CLP")).alias("par"), "producto").agg(exact_sum(F.abs("nocional_m")).alias("flujo"), F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {_SNAP}, b AS (SELECT rut_compania, contraparte_grupo, {_dsum('nocional_m')} AS monto FROM snap WHERE periodo = {_T} GROUP BY 1, 2), t AS (SELECT *, CAST(sum(CAST(monto AS DECIMAL(20,2))) OVER (PARTITION BY rut_compania) AS DOUBLE) AS total FROM b),
-  v AS (SELECT rut_compania, {_dsum('nocional_m')} AS monto FROM snap WHERE periodo = {_T} AND fecha_vencimiento <= {_END.format(_T)} + INTERVAL 3 MONTH GROUP BY 1)
-  SELECT 'concentracion' AS alerta, rut_compania, contraparte_grupo AS detalle, 100 * monto / total AS medida FROM t WHERE total > 0 AND monto / total >= 0.1 UNION ALL SELECT 'vencimientos', rut_compania, NULL, monto FROM v WHERE monto > 1000000""")
+@query(f"""WITH {_SNAP}, b AS (SELECT periodo, rut_compania, contraparte_grupo, {_dsum('nocional_m')} AS monto FROM snap GROUP BY 1, 2, 3), t AS (SELECT *, CAST(sum(CAST(monto AS DECIMAL(24,4))) OVER (PARTITION BY periodo, rut_compania) AS DOUBLE) AS total FROM b),
+  v AS (SELECT periodo, rut_compania, {_dsum('nocional_m')} AS monto FROM snap WHERE fecha_vencimiento <= {_END.format('periodo')} + INTERVAL 3 MONTH GROUP BY 1, 2),
+  p AS (SELECT periodo, rut_compania, {_dsum("CASE WHEN producto = 'PACTO' THEN nocional_m ELSE 0 END")} AS pactos, {_dsum('nocional_m')} AS total FROM snap GROUP BY 1, 2),
+  u AS (SELECT 'concentracion' AS alerta, periodo, rut_compania, contraparte_grupo AS detalle, 100 * monto / total AS medida, monto / total AS peso FROM t WHERE total > 0 AND monto / total >= 0.1 UNION ALL SELECT 'vencimientos', periodo, rut_compania, NULL, monto, monto / 1e7 FROM v WHERE monto > 1000000
+    UNION ALL SELECT 'pactos', periodo, rut_compania, NULL, 100 * pactos / total, pactos / total FROM p WHERE total > 0 AND pactos / total >= 0.05)
+  SELECT * EXCLUDE (peso), CASE WHEN peso >= 0.4 THEN 1 WHEN peso >= 0.2 THEN 2 ELSE 3 END AS prioridad FROM u""")
 def alerts_union(s, d):
-    v = _snap(s, d).where(C("periodo") == _T)
-    b = v.groupBy("rut_compania", "contraparte_grupo").agg(exact_sum(C("nocional_m")).alias("monto"))
-    total = F.sum(C("monto").cast("decimal(20,2)")).over(Window.partitionBy("rut_compania")).cast("double")
-    a = b.withColumn("total", total).where((C("total") > 0) & (C("monto") / C("total") >= 0.1)).select(F.lit("concentracion").alias("alerta"), "rut_compania", C("contraparte_grupo").alias("detalle"), (100 * C("monto") / C("total")).alias("medida"))
-    soon = v.where(C("fecha_vencimiento") <= F.add_months(dates.period_end(F.lit(_T)), 3)).groupBy("rut_compania").agg(exact_sum(C("nocional_m")).alias("medida")).where("medida > 1000000")
-    return a.unionByName(soon.select(F.lit("vencimientos").alias("alerta"), "rut_compania", F.lit(None).cast("string").alias("detalle"), "medida"))
+    """Three kinds of alerts of every month, each from its own aggregate, with a priority by weight."""
+    v = checkpointed(_snap(s, d))
+    key = ["periodo", "rut_compania"]
+    none = F.lit(None).cast("string")
+    b = v.groupBy(*key, "contraparte_grupo").agg(exact_sum(C("nocional_m")).alias("monto"))
+    b = b.withColumn("total", F.sum(C("monto").cast("decimal(24,4)")).over(Window.partitionBy(*key)).cast("double"))
+    a = b.where((C("total") > 0) & (C("monto") / C("total") >= 0.1)).select(F.lit("concentracion").alias("alerta"), *key, C("contraparte_grupo").alias("detalle"), (100 * C("monto") / C("total")).alias("medida"), (C("monto") / C("total")).alias("_w"))
+    soon = v.where(C("fecha_vencimiento") <= F.add_months(dates.period_end(C("periodo")), 3)).groupBy(*key).agg(exact_sum(C("nocional_m")).alias("medida")).where("medida > 1000000")
+    soon = soon.select(F.lit("vencimientos").alias("alerta"), *key, none.alias("detalle"), "medida", (C("medida") / 1e7).alias("_w"))
+    p = v.groupBy(*key).agg(exact_sum(F.when(C("producto") == "PACTO", C("nocional_m")).otherwise(F.lit(0.0))).alias("x"), exact_sum(C("nocional_m")).alias("total"))
+    p = p.where((C("total") > 0) & (C("x") / C("total") >= 0.05)).select(F.lit("pactos").alias("alerta"), *key, none.alias("detalle"), (100 * C("x") / C("total")).alias("medida"), (C("x") / C("total")).alias("_w"))
+    return a.unionByName(soon).unionByName(p).withColumn("prioridad", F.when(C("_w") >= 0.4, 1).when(C("_w") >= 0.2, 2).otherwise(3)).drop("_w")
 
 
 @query("SELECT ambito, tipo_instrumento, CASE WHEN ambito = 'EXTRANJERO' OR moneda NOT IN ('UF', 'CLP') THEN 'fuera' ELSE 'local' END AS lugar, count(*) AS n FROM (SELECT ambito, tipo_instrumento, upper(trim(moneda)) AS moneda FROM v_renta_fija_clasificada) GROUP BY 1, 2, 3")

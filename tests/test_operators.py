@@ -239,3 +239,30 @@ def test_leasing_counts_once_in_the_stock(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
     got = {(r["clase"], r["fuente"]): r["monto"] for r in entry.queries()["stock_by_class"](spark, str(tmp_path)).collect()}
     assert got == {("Renta Fija", "renta fija local"): 100.0, ("Real Estate", "renta fija local"): 7000.0, ("Renta Fija", "renta fija extranjera"): 1900.0, ("Derivados", "derivados"): 20.0}
+
+
+def test_fuzzy_resolution_against_all_pairs(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    r = random.Random(6)
+    syl = ["BA", "CO", "DRI", "FE", "GU", "LO", "MON", "TI"]
+    word = lambda: "".join(r.choice(syl) for _ in range(r.randint(2, 4)))
+    known = sorted({f"INVERSIONES {word()} {word()}" for _ in range(60)})
+    typo = lambda s: "".join(c for c in s if r.random() > 0.03)
+    names = sorted({typo(r.choice(known)) + r.choice(["", " X"]) for _ in range(150)})
+    cat = spark.createDataFrame([(f"e{i:02d}", None, k, None) for i, k in enumerate(known)], "entity string, rut long, alias string, identifier string")
+    rows = spark.createDataFrame([(i, None, n, None) for i, n in enumerate(names)], "id int, rut long, name string, identifier string")
+    got = {x["id"]: (x["entidad"], x["metodo"]) for x in resolve.cascade(rows, cat, ["id"]).collect()}
+    fuzzy = 0
+    for i, n in enumerate(names):
+        overlap = lambda a, b: len(set(a.split()) & set(b.split())) / len(set(a.split()) | set(b.split()))
+        scores = sorted(((-SequenceMatcher(None, n, k).ratio(), f"e{j:02d}") for j, k in enumerate(known) if overlap(n, k) >= resolve.LEAST_OVERLAP))
+        if n in known:
+            assert got[i] == (f"e{known.index(n):02d}", "alias")
+        elif scores and -scores[0][0] >= resolve.LEAST and (len(scores) < 2 or scores[1][0] - scores[0][0] >= resolve.LEAD):
+            assert got[i] == (scores[0][1], "fuzzy")
+            fuzzy += 1
+        else:
+            assert got[i][1] == "unresolved"
+    assert fuzzy > 20
