@@ -174,9 +174,9 @@ def book_reconciliation(s, d):
     return reconcile.one_to_one(a, b, ["k"], "x", "y", "da", "db", 3).withColumn("misma", C("x") == C("y"))
 
 
-@query("SELECT l_returnflag, CASE WHEN m <= 2 THEN 'Cautivo' WHEN m <= 5 THEN 'Selectivo' ELSE 'Multibanco' END AS apertura, m FROM (SELECT l_returnflag, count(DISTINCT l_suppkey) AS m FROM lineitem GROUP BY 1)")
+@query("SELECT l_orderkey, CASE WHEN m <= 2 THEN 'Cautivo' WHEN m <= 5 THEN 'Selectivo' ELSE 'Multibanco' END AS apertura, m FROM (SELECT l_orderkey, count(DISTINCT l_suppkey) AS m FROM lineitem GROUP BY 1)")
 def segment_labels(s, d):
-    g = table(s, d, "lineitem").groupBy("l_returnflag").agg(F.count_distinct("l_suppkey").alias("m"))
+    g = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.count_distinct("l_suppkey").alias("m"))
     return g.withColumn("apertura", labels.band(C("m"), ((2, "Cautivo"), (5, "Selectivo"), (None, "Multibanco")), "right"))
 
 
@@ -215,7 +215,9 @@ def positive_rank(s, d):
     return ranking.positive_rank(g, "valor", "clave", ["s_nationkey"])
 
 
-@query("SELECT s_suppkey, n_name FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey WHERE n_name NOT LIKE 'UNRESOLVED::%' AND s_acctbal >= 0")
+@query("SELECT s_suppkey, n_name FROM (SELECT s_suppkey, s_acctbal, coalesce(n_name, 'UNRESOLVED::' || s_nationkey) AS n_name FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) ON n_nationkey = s_nationkey) WHERE n_name NOT LIKE 'UNRESOLVED::%' AND s_acctbal >= 0")
 def resolved_only(s, d):
-    j = table(s, d, "supplier").join(small(table(s, d, "nation")), C("n_nationkey") == C("s_nationkey"), "left")
-    return j.where(~C("n_name").startswith("UNRESOLVED::") & (C("s_acctbal") >= 0)).select("s_suppkey", "n_name")
+    """Rows whose entity was resolved; the nations of one region are left unresolved here."""
+    j = table(s, d, "supplier").join(small(table(s, d, "nation").where("n_regionkey <> 0")), C("n_nationkey") == C("s_nationkey"), "left")
+    named = j.withColumn("n_name", F.coalesce("n_name", F.concat(F.lit("UNRESOLVED::"), C("s_nationkey").cast("string"))))
+    return named.where(~C("n_name").startswith("UNRESOLVED::") & (C("s_acctbal") >= 0)).select("s_suppkey", "n_name")
\ No newline at end of file

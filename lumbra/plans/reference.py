@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -366,6 +367,23 @@ def competitor_matrix(s, d):
     return _matrix(s, d)
 
 
+@query("SELECT s_nationkey AS banco, c_nationkey AS cliente, l_returnflag AS producto, o_orderpriority AS clase, coalesce(nullif(" + _dsum("CASE WHEN l_linestatus = 'O' THEN l_extendedprice ELSE 0 END") + ", 0), " + _dsum("l_extendedprice * l_discount") + ") AS monto, count(*) AS n, min(l_shipdate) AS desde, max(l_shipdate) AS hasta FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2, 3, 4")
+def competitor_detail(s, d):
+    """The matrix by four keys; where there is no open amount, the other measure stands in."""
+    j = table(s, d, "lineitem").join(table(s, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), C("o_orderkey") == C("l_orderkey")).join(table(s, d, "customer").select("c_custkey", "c_nationkey"), C("c_custkey") == C("o_custkey"))
+    j = j.join(small(table(s, d, "supplier").select("s_suppkey", "s_nationkey")), C("s_suppkey") == C("l_suppkey"))
+    amount = F.coalesce(F.nullif(exact_sum(F.when(C("l_linestatus") == "O", C("l_extendedprice")).otherwise(F.lit(0.0))), F.lit(0.0)), exact_sum(C("l_extendedprice") * C("l_discount")))
+    return j.groupBy(C("s_nationkey").alias("banco"), C("c_nationkey").alias("cliente"), C("l_returnflag").alias("producto"), C("o_orderpriority").alias("clase")).agg(amount.alias("monto"), F.count(F.lit(1)).alias("n"), F.min("l_shipdate").alias("desde"), F.max("l_shipdate").alias("hasta"))
+
+
+@query("WITH g AS (SELECT o_custkey AS cliente, " + _dsum("l_extendedprice") + " AS valor, count(DISTINCT l_returnflag) AS productos, count(DISTINCT l_suppkey) AS bancos FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY valor, cliente) AS rn, count(*) OVER () AS n FROM g) SELECT cliente, valor, productos, bancos, CASE WHEN rn <= 1 + (n - 1) / 3.0 THEN 1 WHEN rn <= 1 + (n - 1) * 2 / 3.0 THEN 2 ELSE 3 END AS tercil, CASE WHEN bancos <= 2 THEN 'Cautivo' WHEN bancos <= 5 THEN 'Selectivo' ELSE 'Multibanco' END AS apertura FROM r")
+def customer_segments(s, d):
+    """Customers by tercile of value, number of products and number of banks."""
+    j = table(s, d, "lineitem").join(table(s, d, "orders").select("o_orderkey", "o_custkey"), C("o_orderkey") == C("l_orderkey"))
+    g = j.groupBy(C("o_custkey").alias("cliente")).agg(exact_sum(C("l_extendedprice")).alias("valor"), F.count_distinct("l_returnflag").alias("productos"), F.count_distinct("l_suppkey").alias("bancos"))
+    return ranking.tercile(g, "valor", "cliente").withColumn("apertura", labels.band(C("bancos"), ((2, "Cautivo"), (5, "Selectivo"), (None, "Multibanco")), "right"))
+
+
 @query("WITH " + _MATRIX + " SELECT cliente, banco, monto FROM m QUALIFY row_number() OVER (PARTITION BY cliente ORDER BY monto DESC, banco) = 1")
 def main_competitor(s, d):
     return ranking.top_value(_matrix(s, d).select("cliente", "banco", "monto"), ["cliente"], "banco", "monto")
@@ -640,7 +658,21 @@ _ENDS = "|".join(sorted(text.ENDINGS, key=lambda e: (-len(e), e)))
 _register("name_normalize", lambda s, d: table(s, d, "contrapartes").select("entidad_id", text.name_key(C("entidad_nombre")).alias("clave")).distinct(), f"SELECT DISTINCT entidad_id, regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace({_FOLD.format('entidad_nombre')}, '\\b\\d{{6,}}-?[0-9K]?\\b', ' ', 'g'), '[^A-Z0-9 ]+', ' ', 'g'), '\\s+', ' ', 'g')), '([^ ])( ({_ENDS}))+$', '\\1') AS clave FROM contrapartes")
 _register("mod11_check", lambda s, d: table(s, d, "cmf_v2024").select("registro_id", identifiers.mod11_valid(C("rut"), C("verificador")).alias("valido")).distinct(), "SELECT DISTINCT registro_id, coalesce(CASE WHEN rut > 0 THEN CASE x WHEN 11 THEN '0' WHEN 10 THEN 'K' ELSE CAST(x AS VARCHAR) END END = upper(trim(verificador)), false) AS valido FROM (SELECT *, 11 - list_sum(list_transform(range(0, length(CAST(rut AS VARCHAR))), lambda i: CAST(reverse(CAST(rut AS VARCHAR))[i + 1] AS INT) * (2 + i % 6))) % 11 AS x FROM cmf_v2024)")
 _register("mod97_check", lambda s, d: table(s, d, "cmf_v2024").where("lei IS NOT NULL").select("registro_id", identifiers.lei_valid(C("lei")).alias("valido")).distinct(), "SELECT DISTINCT registro_id, regexp_matches(lei, '^[A-Z0-9]{18}[0-9]{2}$') AND CAST(regexp_replace(list_reduce(list_transform(string_split(upper(lei), ''), lambda c: CASE WHEN regexp_matches(c, '[A-Z]') THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), lambda a, b: CAST((CAST(a AS BIGINT) * CASE WHEN length(b) = 2 THEN 100 ELSE 10 END + CAST(b AS BIGINT)) % 97 AS VARCHAR)), '', '') AS BIGINT) = 1 AS valido FROM cmf_v2024 WHERE lei IS NOT NULL")
-_register("rate_text_split", lambda s, d: table(s, d, "fact_derivado").select(F.concat(F.lit("FIJA "), C("tasa_precio_contrato").cast("decimal(10,2)").cast("string"), F.lit(" %")).alias("t")).distinct().select("t", numbers.rate_value(C("t")).alias("tasa"), numbers.rate_label(C("t")).alias("tipo"), numbers.is_fixed(numbers.rate_label(C("t"))).alias("fija")), "SELECT t, CAST(regexp_extract(t, '(-?\\d+(?:[.,]\\d+)?)', 1) AS DOUBLE) AS tasa, 'FIJA' AS tipo, true AS fija FROM (SELECT DISTINCT 'FIJA ' || CAST(CAST(tasa_precio_contrato AS DECIMAL(10,2)) AS VARCHAR) || ' %' AS t FROM fact_derivado)")
+_RATES = "CASE producto WHEN 'SWAP' THEN 'icp_clp' WHEN 'FUTURO' THEN 'SOFR +' WHEN 'PACTO' THEN 'Fijo' WHEN 'OPCION' THEN '' ELSE 'FIJA' END || coalesce(' ' || replace(CAST(CAST(tasa_precio_contrato AS DECIMAL(10,2)) AS VARCHAR), '.', ','), ' s/i')"
+
+
+def _rates(s: SparkSession, d: str) -> DataFrame:
+    word = F.when(C("producto") == "SWAP", "icp_clp").when(C("producto") == "FUTURO", "SOFR +").when(C("producto") == "PACTO", "Fijo").when(C("producto") == "OPCION", "").otherwise("FIJA")
+    rate = F.concat(F.lit(" "), F.replace(C("tasa_precio_contrato").cast("decimal(10,2)").cast("string"), F.lit("."), F.lit(",")))
+    return table(s, d, "fact_derivado").select(F.concat(word, F.coalesce(rate, F.lit(" s/i"))).alias("t"), F.lit("TASA 1,5").alias("otra")).distinct()
+
+
+@query(f"""SELECT t, v AS tasa, tipo, CASE WHEN tipo LIKE '%FIJA%' OR tipo LIKE '%FIJO%' THEN true WHEN regexp_matches(tipo, 'ICP|LIBOR|SOFR|TAB|VAR|CAMARA|TPM|EURIBOR') THEN false END AS fija, coalesce(v, 1.5) AS primera, CASE WHEN v IS NOT NULL THEN 't' ELSE 'otra' END AS origen
+  FROM (SELECT t, TRY_CAST(replace(nullif(regexp_extract(t, '(-?\\d+(?:[.,]\\d+)?)', 1), ''), ',', '.') AS DOUBLE) AS v, nullif(upper(trim(regexp_replace(t, '[^A-Za-z_]+', ' ', 'g'))), '') AS tipo FROM (SELECT DISTINCT {_RATES} AS t FROM fact_derivado))""")
+def rate_text_split(s, d):
+    """Number, words and kind of rates written as text, and the first number of two columns with its origin."""
+    first = numbers.first_rate(["t", "otra"])
+    return _rates(s, d).select("t", numbers.rate_value(C("t")).alias("tasa"), numbers.rate_label(C("t")).alias("tipo"), numbers.is_fixed(numbers.rate_label(C("t"))).alias("fija"), first["valor"].alias("primera"), first["origen"].alias("origen"))
 _FAMILY_SQL = "CASE WHEN i LIKE '%swap promesa%' THEN 'Swap UF/CLP' WHEN i LIKE 'CCS%' THEN 'CCS' WHEN i LIKE 'Forward FX%' THEN 'Forward FX' WHEN i = 'Forward UF' THEN 'Forward UF' WHEN i LIKE 'IRS%' THEN 'IRS' WHEN i IN ('Opcion', 'Futuro', 'Pacto') THEN i ELSE 'Otro derivado' END"
 _INSTRUMENT_SQL = "CASE producto WHEN 'SWAP' THEN CASE WHEN m = 'UF' THEN 'UF/CLP (swap promesa)' WHEN m = 'CLP' THEN 'IRS CLP' ELSE 'CCS ' || m || '/CLP' END WHEN 'FORWARD' THEN CASE WHEN m = 'UF' THEN 'Forward UF' ELSE 'Forward FX ' || coalesce(m, '?') END WHEN 'OPCION' THEN 'Opcion' WHEN 'FUTURO' THEN 'Futuro' WHEN 'PACTO' THEN 'Pacto' END"
 
@@ -667,7 +699,19 @@ _register("month_label", lambda s, d: table(s, d, "fact_derivado").select("perio
 _register("pair_canonical", lambda s, d: table(s, d, "fact_derivado").select(text.currency(C("moneda")).alias("a")).where("a IS NOT NULL").distinct().select("a", text.pair(C("a"), F.lit("USD")).alias("par")), "WITH x AS (SELECT DISTINCT CASE upper(trim(moneda)) WHEN 'PROM' THEN 'USD' WHEN '$$' THEN 'CLP' WHEN '' THEN NULL ELSE upper(trim(moneda)) END AS a FROM fact_derivado WHERE moneda IS NOT NULL) SELECT a, CASE WHEN a IN ('UF', 'USD') THEN a || '/USD' ELSE 'USD/' || a END AS par FROM x WHERE a IS NOT NULL")
 _register("slug", lambda s, d: table(s, d, "fact_derivado").select("zip_origen", text.slug(C("zip_origen")).alias("slug")).distinct(), "SELECT DISTINCT zip_origen, regexp_replace(zip_origen, '[^A-Za-z0-9]+', '_', 'g') AS slug FROM fact_derivado")
 _register("flag_list", lambda s, d: table(s, d, "orders").select("o_orderkey", text.flags({"final": F.when(C("o_orderstatus") == "F", "S"), "caro": F.when(C("o_totalprice") > 200000, "S").otherwise("N")}).alias("marcas")), "SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderstatus = 'F' THEN 'final' END, CASE WHEN o_totalprice > 200000 THEN 'caro' END) AS marcas FROM orders")
-_register("index_label", lambda s, d: table(s, d, "events").select("event_type").distinct().select("event_type", text.floating_index(F.concat(F.lit("TAB"), C("event_type")), F.lit("ICP CLP")).alias("a"), text.floating_index(F.lit("FIJA"), F.lit("fija")).alias("b"), text.floating_index(F.lit(None).cast("string"), F.lit(None).cast("string")).alias("c")), "SELECT DISTINCT event_type, 'Camara' AS a, 'Fija contra Fija' AS b, 'SIN_DETERMINAR' AS c FROM events")
+_LEG_A = {"SWAP": "ICP CLP", "FORWARD": "fija", "PACTO": "tab nominal", "OPCION": "Sofr", "FUTURO": "libor 6m"}
+_LEG_B = {"USD": "VAR", "UF": "FIJA", "EUR": "CPTFEMU", "CLP": "CLP TNA"}
+_CASES = lambda c, m: f"CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in m.items()) + " END"
+_ANY_LEG = lambda p: f"coalesce(starts_with(upper(a), '{p}'), false) OR coalesce(starts_with(upper(b), '{p}'), false)"
+
+
+@query(f"SELECT a, b, CASE WHEN a IS NULL AND b IS NULL THEN 'SIN_DETERMINAR' WHEN {_ANY_LEG('ICP')} THEN 'Camara' WHEN {_ANY_LEG('TAB')} THEN 'TAB' WHEN {_ANY_LEG('SOFR')} THEN 'SOFR' WHEN {_ANY_LEG('LIBO')} THEN 'LIBOR' WHEN {_ANY_LEG('CLP TNA')} THEN 'CLP TNA' WHEN {_ANY_LEG('CPTFEMU')} THEN 'Euribor/CPTFEMU' WHEN coalesce(upper(a) = 'VAR', false) OR coalesce(upper(b) = 'VAR', false) THEN 'Variable s/d' WHEN upper(a) = 'FIJA' AND upper(b) = 'FIJA' THEN 'Fija contra Fija' ELSE 'SIN_DETERMINAR' END AS indice FROM (SELECT DISTINCT {_CASES('producto', _LEG_A)} AS a, {_CASES('upper(trim(moneda))', _LEG_B)} AS b FROM fact_derivado UNION SELECT NULL, NULL)")
+def index_label(s, d):
+    """Floating index of two legs, in every combination that products and currencies give."""
+    of = lambda c, m: reduce(lambda a, kv: a.when(c == kv[0], kv[1]), m.items(), F.when(F.lit(False), F.lit(None).cast("string")))
+    legs = table(s, d, "fact_derivado").select(of(C("producto"), _LEG_A).alias("a"), of(F.upper(F.trim("moneda")), _LEG_B).alias("b"))
+    legs = legs.union(s.createDataFrame([(None, None)], "a string, b string")).distinct()
+    return legs.withColumn("indice", text.floating_index(C("a"), C("b")))
 _register("fixed_width_roundtrip", lambda s, d: table(s, d, "orders").select("o_orderkey", F.concat(F.lpad(C("o_orderkey").cast("string"), 10, "0"), F.rpad("o_orderstatus", 5, " "), F.lpad((C("o_totalprice") * 100).cast("decimal(20,0)").cast("string"), 17, "0"), F.date_format("o_orderdate", "yyyyMMdd")).alias("raw")).select("o_orderkey", numbers.filed_number(F.substring("raw", 1, 10), 10).alias("clave"), text.clean(F.substring("raw", 11, 5)).alias("estado"), numbers.filed_number(F.substring("raw", 16, 17), 17, 2).cast("double").alias("precio"), dates.filed_date(F.substring("raw", 33, 8)).alias("fecha")), "SELECT o_orderkey, o_orderkey AS clave, o_orderstatus AS estado, CAST(CAST(o_totalprice AS DECIMAL(20,2)) AS DOUBLE) AS precio, CAST(o_orderdate AS DATE) AS fecha FROM orders")
 _WORDS = "list_distinct(list_filter(string_split_regex(regexp_replace(upper(coalesce({}, '')), '[^A-Z0-9 ]', ' ', 'g'), ' +'), lambda w: length(w) > 2 AND NOT list_contains([" + ", ".join(f"'{w}'" for w in text.EMPTY_WORDS) + "], w)))"
 _INITIALS = "list_aggregate(list_transform(list_filter(string_split_regex(regexp_replace(upper(nombre), '[^A-Z0-9 ]', ' ', 'g'), ' +'), lambda w: w <> '' AND NOT list_contains([" + ", ".join(f"'{w}'" for w in text.ACRONYM_SKIP) + "], w)), lambda w: w[1]), 'string_agg', '')"
@@ -701,6 +745,19 @@ def resolve_exact(s, d):
     return resolve.cascade(rows, cat, ["s_suppkey"])
 
 
+_KEYED = lambda c: f"regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace({_FOLD.format(c)}, '\\b\\d{{6,}}-?[0-9K]?\\b', ' ', 'g'), '[^A-Z0-9 ]+', ' ', 'g'), '\\s+', ' ', 'g')), '([^ ])( ({_ENDS}))+$', '\\1')"
+
+
+@query(f"""WITH x AS (SELECT DISTINCT registro_id, rut, {_KEYED('nombre')} AS n, lei FROM cmf_v2024), c AS (SELECT entidad_id AS e, TRY_CAST(regexp_extract(entidad_id, '^RUT (\\d+)-', 1) AS BIGINT) AS rut, {_KEYED('entidad_nombre')} AS n, CASE WHEN entidad_tipo_id = 'LEI' THEN substr(entidad_id, 5, 20) END AS lei FROM contrapartes),
+  r AS (SELECT rut, min(e) AS er FROM c WHERE rut IS NOT NULL GROUP BY 1), a AS (SELECT n, min(e) AS ea FROM c WHERE n <> '' GROUP BY 1), i AS (SELECT lei, min(e) AS ei FROM c WHERE lei <> '' GROUP BY 1)
+  SELECT registro_id, coalesce(er, ea, ei) AS entidad, CASE WHEN er IS NOT NULL THEN 'rut' WHEN ea IS NOT NULL THEN 'alias' ELSE 'identifier' END AS metodo FROM x LEFT JOIN r USING (rut) LEFT JOIN a USING (n) LEFT JOIN i USING (lei) WHERE coalesce(er, ea, ei) IS NOT NULL""")
+def resolve_steps(s, d):
+    """Filed records that the exact steps resolve: tax id, then alias, then identifier."""
+    rows = table(s, d, "cmf_v2024").select("registro_id", "rut", C("nombre").alias("name"), C("lei").alias("identifier")).distinct()
+    cat = table(s, d, "contrapartes").select(C("entidad_id").alias("entity"), F.regexp_extract("entidad_id", r"^RUT (\d+)-", 1).try_cast("bigint").alias("rut"), C("entidad_nombre").alias("alias"), F.when(C("entidad_tipo_id") == "LEI", F.substring("entidad_id", 5, 20)).alias("identifier"))
+    return resolve.cascade(rows, cat, ["registro_id"]).where(C("metodo").isin("rut", "alias", "identifier")).select("registro_id", "entidad", "metodo")
+
+
 @query()
 def resolve_fuzzy(s, d):
     """Filed names against the known identities, by alias, identifier and similarity."""
