@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbra.functions.text import any_contains
+
 
 def among(column: str, chosen: Iterable, universe: Iterable) -> Column | None:
     """column IN chosen; no predicate if all are chosen, a false one if none is."""
@@ -30,6 +33,70 @@ def renamed(predicates: dict, aliases: dict[str, str]) -> dict:
     return {aliases.get(n, n): make[len(args)](aliases.get(n, n), *args) for n, args in predicates.items()}
 
 
+@dataclass(frozen=True)
+class Spec:
+    """A filter that users see: its name, the column of the fact, and its kind: among, between, contains or present."""
+
+    name: str
+    column: str
+    kind: str = "among"
+
+
+def _specs(**kinds: str) -> tuple[Spec, ...]:
+    """name=column for each kind, as `kind="name:column name:column"`; a name without a column is its own."""
+    return tuple(Spec(n, c or n, k) for k, names in kinds.items() for n, _, c in (x.partition(":") for x in names.split()))
+
+
+#: Filters of each fact.
+FACT_FILTERS: dict[str, tuple[Spec, ...]] = {
+    "fact_derivado": _specs(
+        among="periodo:periodo_informacion compania:rut_compania producto moneda clasificacion:clasificacion_riesgo veredicto codigo:record_type archivo:zip_origen", between="operacion:fecha_operacion vencimiento:fecha_vencimiento descarga:fecha_descarga nocional:nocional_m activo:mtm_activo_m pasivo:mtm_pasivo_m tasa:tasa_precio_contrato",
+        contains="contraparte:contraparte_nombre glosa folio:folio_operacion", present="con_folio:folio_operacion con_nocional:nocional_m calificada:clasificacion_riesgo con_descarga:fecha_descarga",
+    ),
+    "v_renta_fija_clasificada": _specs(
+        among="periodo:periodo_informacion compania:rut_compania ambito tipo:tipo_instrumento moneda clasificacion:clasificacion_riesgo unidad:unidad_valor", between="vencimiento:fecha_vencimiento valor:valor_final tir:tir_mercado",
+        contains="emisor:emisor_nombre instrumento:instrumento_id glosa", present="con_tir:tir_mercado con_emisor:emisor_rut",
+    ),
+    "v_posicion": _specs(among="periodo compania:rut_compania producto grupo:contraparte_grupo moneda", between="vencimiento:fecha_vencimiento nocional:nocional_m neto:mtm_neto_m items", contains="contraparte:contraparte_nombre", present="resuelta:contraparte_grupo con_vencimiento:fecha_vencimiento"),
+    "fact_flujo": _specs(among="periodo categoria compania:rut_compania producto grupo:contraparte_grupo moneda", between="vencimiento:fecha_vencimiento nocional:nocional_m previo:nocional_prev_m diferencia:dif_rel_nocional", contains="contraparte:contraparte_nombre", present="pareada:folio_par"),
+}
+
+
+def selection(specs: tuple[Spec, ...], chosen: dict) -> tuple[dict[str, Column | None], list[str]]:
+    """(predicates by filter, unknown names): chosen has by name the arguments of the filter's kind: (chosen, universe) for among,
+    (low, high, least, most) for between, a text for contains (blank: no predicate), true or false for present (null: none)."""
+    known = {s.name: s for s in specs}
+    out: dict[str, Column | None] = {}
+    for name, arg in chosen.items():
+        if name not in known:
+            continue
+        c, kind = known[name].column, known[name].kind
+        if kind == "among":
+            out[name] = among(c, *arg)
+        elif kind == "between":
+            out[name] = between(c, *arg)
+        elif kind == "contains":
+            out[name] = any_contains([c], arg.strip()) if arg and arg.strip() else None
+        else:
+            out[name] = None if arg is None else F.col(c).isNotNull() if arg else F.col(c).isNull()
+    return out, sorted(set(chosen) - set(known))
+
+
+def selected(df: DataFrame, fact: str, chosen: dict) -> tuple[DataFrame, list[str]]:
+    """(rows of a fact that the selections leave, names of those without a filter or a column here)."""
+    made, unknown = selection(FACT_FILTERS[fact], chosen)
+    columns = {s.name: s.column for s in FACT_FILTERS[fact]}
+    live = [p for n, p in made.items() if p is not None and columns[n] in df.columns]
+    omitted = sorted([*unknown, *(n for n, p in made.items() if p is not None and columns[n] not in df.columns)])
+    return (df.where(reduce(lambda a, b: a & b, live)) if live else df), omitted
+
+
+def arranged(df: DataFrame, first: Iterable[str], hidden: Iterable[str] = ()) -> DataFrame:
+    """df with the columns `first` ahead, as far as it has them, the others behind in their order, those hidden left out."""
+    lead = [c for c in first if c in df.columns]
+    return df.select(*lead, *[c for c in df.columns if c not in lead and c not in set(hidden)])
+
+
 def narrowed(df: DataFrame, predicates: dict[str, Column | None]) -> tuple[DataFrame, list[str]]:
     """(df, omitted): all predicates whose column df has; the others are reported, not applied."""
     held = {c: p for c, p in predicates.items() if p is not None}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -597,6 +598,31 @@ def filter_omitted(s, d):
     return s.createDataFrame([(x,) for x in filters.narrowed(table(s, d, "orders"), filters.renamed(_CHOSEN, _PHYSICAL))[1]], "filtro string")
 
 
+_SHOWN = ["zip_origen", "source_file", "line_no"]
+
+
+@query("SELECT DISTINCT zip_origen, source_file, line_no FROM fact_derivado WHERE producto IN ('SWAP', 'FORWARD') AND fecha_vencimiento BETWEEN DATE '2026-01-01' AND DATE '2029-12-31' AND nocional_m BETWEEN 1000 AND 5000000 AND contains(lower(contraparte_nombre), 'banco') AND clasificacion_riesgo IS NOT NULL AND folio_operacion IS NOT NULL")
+def derivative_filters(s, d):
+    chosen = {
+        "producto": (["SWAP", "FORWARD"], ["SWAP", "FORWARD", "PACTO", "OPCION", "FUTURO"]), "vencimiento": (date(2026, 1, 1), date(2029, 12, 31), date(2000, 1, 1), date(2100, 1, 1)), "nocional": (1000.0, 5e6, 0.0, 1e15),
+        "contraparte": " BANCO ", "calificada": True, "con_folio": True, "veredicto": (["pass", "unverified", "quarantine"], ["pass", "unverified", "quarantine"]), "glosa": "", "con_descarga": None,
+    }
+    return filters.selected(table(s, d, "fact_derivado"), "fact_derivado", chosen)[0].select(*_SHOWN).distinct()
+
+
+@query("SELECT DISTINCT zip_origen, source_file, line_no FROM v_renta_fija_clasificada WHERE ambito IN ('LOCAL') AND fecha_vencimiento BETWEEN DATE '2026-01-01' AND DATE '2040-12-31' AND tir_mercado IS NULL AND contains(lower(emisor_nombre), 'emisora b')")
+def bond_filters(s, d):
+    chosen = {"ambito": (["LOCAL"], ["LOCAL", "EXTRANJERO"]), "vencimiento": (date(2026, 1, 1), date(2040, 12, 31), date(2000, 1, 1), date(2100, 1, 1)), "con_tir": False, "emisor": "Emisora B"}
+    return filters.selected(table(s, d, "v_renta_fija_clasificada"), "v_renta_fija_clasificada", chosen)[0].select(*_SHOWN).distinct()
+
+
+@query("SELECT folio_operacion, periodo, rut_compania, categoria, nocional_m FROM fact_flujo WHERE categoria IN ('NEW', 'UNWIND') AND folio_par IS NULL AND nocional_m BETWEEN 0 AND 1000000")
+def flow_filters(s, d):
+    chosen = {"categoria": (["NEW", "UNWIND"], ["NEW", "UNWIND", "ROLL", "ACTIVE", "MATURITY"]), "pareada": False, "nocional": (0.0, 1e6, -1e15, 1e15)}
+    got = filters.selected(table(s, d, "fact_flujo"), "fact_flujo", chosen)[0]
+    return filters.arranged(got, ["folio_operacion", "periodo", "rut_compania"], {"producto", "contraparte_key", "contraparte_grupo", "contraparte_nombre", "moneda", "fecha_vencimiento", "nocional_prev_m", "mtm_neto_m", "folio_par", "dif_rel_nocional"})
+
+
 @query("SELECT c_custkey FROM customer WHERE contains(lower(c_name), 'auto') OR contains(lower(c_mktsegment), 'auto')")
 def text_search(s, d):
     return table(s, d, "customer").where(text.any_contains(["c_name", "c_mktsegment"], "AUTO")).select("c_custkey")
@@ -624,6 +650,42 @@ def intent_sql(s, d):
     return s.sql("SELECT o_orderkey, o_totalprice FROM {orders} WHERE o_totalprice > :least AND o_orderstatus = :status", args={"least": 250000, "status": "F"}, orders=table(s, d, "orders"))
 
 
+#: Questions by intent, each one statement with parameters; the tables are views given by name.
+INTENTS: dict[str, str] = {
+    "total": "SELECT count(*) AS n, CAST(sum(CAST(nocional_m AS DECIMAL(28,4))) AS DOUBLE) AS monto FROM {posiciones} WHERE periodo = :periodo",
+    "mayores": "SELECT contraparte_grupo, CAST(sum(CAST(nocional_m AS DECIMAL(28,4))) AS DOUBLE) AS monto FROM {posiciones} WHERE periodo = :periodo GROUP BY contraparte_grupo ORDER BY monto DESC NULLS LAST, contraparte_grupo LIMIT :n",
+    "por_producto": "SELECT producto, count(*) AS n, CAST(sum(CAST(nocional_m AS DECIMAL(28,4))) AS DOUBLE) AS monto FROM {posiciones} WHERE periodo = :periodo GROUP BY producto",
+    "evolucion": "SELECT periodo, CAST(sum(CAST(nocional_m AS DECIMAL(28,4))) AS DOUBLE) AS monto FROM {posiciones} WHERE contraparte_grupo = :grupo GROUP BY periodo",
+    "vencen": "SELECT rut_compania, folio_operacion, fecha_vencimiento, nocional_m FROM {posiciones} WHERE periodo = :periodo AND fecha_vencimiento BETWEEN :desde AND :hasta",
+    "detalle": "SELECT periodo, rut_compania, producto, nocional_m FROM {posiciones} WHERE folio_operacion = :folio",
+}
+
+
+def answer(s: SparkSession, intent: str, tables: dict[str, DataFrame], **args) -> DataFrame:
+    """The table that answers an intent; parameters are bound, never put into the text."""
+    return s.sql(INTENTS[intent], args=args, **tables)
+
+
+_ASKED: dict[str, dict] = {
+    "total": {"periodo": _T}, "mayores": {"periodo": _T, "n": 5}, "por_producto": {"periodo": _T}, "evolucion": {"grupo": "Grupo Fersantogó"},
+    "vencen": {"periodo": _T, "desde": date(2025, 9, 1), "hasta": date(2026, 9, 1)}, "detalle": {"folio": "5001049"},
+}
+
+
+def _intent(name: str):
+    def run(s: SparkSession, d: str) -> DataFrame:
+        return answer(s, name, {"posiciones": _snap(s, d)}, **_ASKED[name])
+
+    text_ = INTENTS[name].replace("{posiciones}", "snap").replace("DECIMAL(28,4)", "DECIMAL(24,4)")
+    for k, v in _ASKED[name].items():
+        text_ = text_.replace(f":{k}", f"DATE '{v}'" if isinstance(v, date) else repr(v))
+    return run, f"WITH {_SNAP} {text_}"
+
+
+for _name in INTENTS:
+    QUERIES[f"intent_{_name}"], ORACLE[f"intent_{_name}"] = _intent(_name)
+
+
 # ---------------------------------------------------------------- scalar functions
 _F = "(SELECT DISTINCT zip_origen, source_file, line_no, {} FROM fact_derivado)"
 

@@ -84,6 +84,16 @@ class Layout:
         bad = F.array_compact(F.array(*[F.when(values[f.name].isNull() & ~empty(f), F.lit(f.name)) for f in self.records[code]]))
         return own.select(*[c for c in lines.columns if c not in values], *[v.alias(n) for n, v in values.items()], bad.alias("_bad"))
 
+    def facts(self, lines: DataFrame, code: str, names: dict[str, str], derived: dict[str, Column] | None = None, raw: str = "raw") -> DataFrame:
+        """Rows of a fact from the records of one code: the lines' own columns, the fields under the fact's names, then derived columns,
+        each of which may read those before it. Fields without a name in the fact are left out; one that the record lacks is null."""
+        rows = self.parsed(lines, code, raw)
+        own = [c for c in lines.columns if c != raw]
+        rows = rows.select(*own, *[(F.col(f) if f in rows.columns else F.lit(None)).alias(n) for f, n in names.items()], "_bad")
+        for name, c in (derived or {}).items():
+            rows = rows.withColumn(name, c)
+        return rows
+
     def strays(self, lines: DataFrame, raw: str = "raw") -> DataFrame:
         """Lines that no record takes, with `_why`: length or code."""
         r = F.col(raw)

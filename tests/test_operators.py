@@ -82,6 +82,16 @@ def test_gate_refuses(spark, bad):
         filters.gated(spark, bad, {"t"})
 
 
+def test_selections_of_a_fact(spark):
+    df = spark.createDataFrame([(1, "SWAP", D(2026, 1, 1), "Banco Uno", None), (2, "PACTO", None, "Otro", "AA"), (3, "SWAP", D(2031, 1, 1), None, "AA")], "line_no int, producto string, fecha_vencimiento date, contraparte_nombre string, clasificacion_riesgo string")
+    pick = lambda **c: sorted(r["line_no"] for r in filters.selected(df, "fact_derivado", c)[0].collect())
+    assert pick() == [1, 2, 3] and pick(producto=(["SWAP"], ["SWAP", "PACTO"])) == [1, 3] and pick(producto=([], ["SWAP"])) == []
+    assert pick(vencimiento=(D(2026, 1, 1), D(2030, 1, 1), D(2000, 1, 1), D(2100, 1, 1))) == [1] and pick(vencimiento=(D(2000, 1, 1), D(2100, 1, 1), D(2000, 1, 1), D(2100, 1, 1))) == [1, 2, 3]
+    assert pick(contraparte="BANCO") == [1] and pick(contraparte="  ") == [1, 2, 3] and pick(calificada=True) == [2, 3] and pick(calificada=False) == [1] and pick(calificada=None) == [1, 2, 3]
+    assert filters.selected(df, "fact_derivado", {"nada": 1, "moneda": (["UF"], ["UF", "CLP"]), "producto": (["SWAP"], ["SWAP"])})[1] == ["moneda", "nada"]
+    assert filters.arranged(df, ["producto", "zzz", "line_no"], {"clasificacion_riesgo"}).columns == ["producto", "line_no", "fecha_vencimiento", "contraparte_nombre"]
+
+
 def test_gate_allows(spark):
     spark.range(3).createOrReplaceTempView("t")
     assert filters.gated(spark, "WITH a AS (SELECT id, 'drop; x' AS s FROM t) SELECT * FROM a", {"t"}).count() == 3

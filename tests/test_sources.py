@@ -37,6 +37,8 @@ def test_layout(spark):
     got = {r["line_no"]: r for r in lo.parsed(lines, "2").collect()}
     assert (got[2]["CLAVE"], float(got[2]["TASA"]), str(got[2]["FECHA"]), got[2]["_bad"]) == (12, -1.5, "2026-08-31", [])
     assert got[3]["_bad"] == ["TASA"] and got[3]["FECHA"] is None and got[6]["CLAVE"] == 0
+    fact = lo.facts(lines, "2", {"CLAVE": "id", "TASA": "tasa", "OTRO": "otro"}, {"doble": F.col("tasa") * 2, "signo": F.signum("doble")})
+    assert fact.columns == ["line_no", "id", "tasa", "otro", "_bad", "doble", "signo"] and {r["line_no"]: r["signo"] for r in fact.collect()}[2] == -1
     assert lo.parsed(lines, "1").first()["NOMBRE"] == "ÑANDÚ"
     assert {r["line_no"]: r["_why"] for r in lo.strays(lines).collect()} == {4: "length 6", 5: "code 9"}
     assert layout.coverage(spark, {"C": lo}).agg(F.sum("campos")).first()[0] == 4
