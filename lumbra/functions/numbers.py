@@ -89,6 +89,17 @@ def breakeven(real: Column, nominal: Column) -> Column:
     return F.when((real != 0) | (nominal != 0), ((1 + nominal / 100) / (1 + real / 100) - 1) * 100)
 
 
+def compound_difference(one: Column, other: Column) -> Column:
+    """What a rate in percent pays over another, compounded, in percent."""
+    return (F.try_divide(1 + one / 100, 1 + other / 100) - 1) * 100
+
+
+def implied_growth(last: Column, first: Column, days: Column) -> Column:
+    """Yearly growth in percent that takes the first value to the last in so many days; null if a value isn't positive or no day lies between."""
+    ok = (last > 0) & (first > 0) & (days > 0)
+    return F.when(ok, (F.pow(last / first, 365.0 / days) - 1) * 100)
+
+
 def bullet_duration(years: Column, yield_pct: Column, coupon_pct: Column) -> Column:
     """Approximate modified duration of a bond with yearly coupons repaid at once; null out of (0, 100)."""
     n, y, c = years, F.coalesce(F.nullif(yield_pct, F.lit(0.0)), coupon_pct, F.lit(0.0)) / 100, F.coalesce(coupon_pct, F.lit(0.0)) / 100

@@ -20,6 +20,17 @@ def bounded(rule: str, applies: Column, value: Column, limit: Column, fail_above
     return F.struct(F.lit(rule).alias("rule"), F.when(applies, ok).alias("ok"), m.alias("expected"), v.alias("observed"))
 
 
+def difference(rule: str, applies: Column, whole: Column, part: Column, rest: Column, absolute: float = 1.0) -> Column:
+    """rest is whole less part, a missing part being 0."""
+    return check(rule, applies, whole.cast("double") - F.coalesce(part.cast("double"), F.lit(0.0)), rest, absolute=absolute)
+
+
+def unit_price(rule: str, applies: Column, amount: Column, units: Column, price: Column, scale: float = 1.0, relative: float = 0.005, least: float = 0.0) -> Column:
+    """The price that an amount and its units imply is the known price; undecided where there is no amount, or too few units for a rounded amount to tell."""
+    told = applies & (amount != 0) & (units > 0) & (units >= least)
+    return check(rule, told, price, F.try_divide(amount.cast("double") * scale, units.cast("double")), relative=relative)
+
+
 def first_fitting(rule: str, candidates: list[Column]) -> Column:
     """The first check that holds, else the first one: one identity under several conventions."""
     out = F.when(F.coalesce(candidates[0]["ok"], F.lit(False)), candidates[0])

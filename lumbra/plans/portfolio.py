@@ -136,6 +136,14 @@ def rule_tenor(s, d):
     return rules.judged(f, [c]).select("zip_origen", "source_file", "line_no", "veredicto")
 
 
+@query("SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN p_retailprice IS NULL OR l_extendedprice = 0 OR l_quantity < 5 THEN 'unverified' WHEN abs(l_extendedprice / l_quantity - p_retailprice) <= abs(p_retailprice) * 0.25 THEN 'pass' ELSE 'quarantine' END AS veredicto FROM lineitem LEFT JOIN part ON p_partkey = l_partkey")
+def rule_unit_price(s, d):
+    """The price that a line implies against the listed one; fewer than five units decide nothing."""
+    j = table(s, d, "lineitem").join(table(s, d, "part").select("p_partkey", "p_retailprice"), C("p_partkey") == C("l_partkey"), "left")
+    c = rules.unit_price("precio", F.lit(True), C("l_extendedprice"), C("l_quantity"), C("p_retailprice"), relative=0.25, least=5.0)
+    return rules.judged(j, [c]).select("l_orderkey", "l_linenumber", "l_suppkey", "veredicto")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN l_returnflag = 'N' THEN CASE WHEN l_extendedprice <= least(l_quantity * 2000, l_quantity * 1500) + 1 THEN 'pass' ELSE 'quarantine' END ELSE CASE WHEN abs(l_extendedprice - least(l_quantity * 2000, l_quantity * 1500)) <= 1 THEN 'pass' ELSE 'quarantine' END END AS veredicto FROM lineitem")
 def rule_least_of_two(s, d):
     """Owned: the lesser of two appraisals within 1; leased: at most that and 1."""

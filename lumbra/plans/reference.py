@@ -753,8 +753,8 @@ _register("period_token", lambda s, d: table(s, d, "fact_derivado").select(F.reg
 _register("first_nonzero_origin", lambda s, d: table(s, d, "fact_derivado").select("zip_origen", "source_file", "line_no", numbers.first_nonzero(["mtm_activo_m", "mtm_pasivo_m"])[0].alias("valor"), numbers.first_nonzero(["mtm_activo_m", "mtm_pasivo_m"])[1].alias("origen")).distinct(), f"SELECT DISTINCT {_KEY3}, coalesce(nullif(mtm_activo_m, 0), nullif(mtm_pasivo_m, 0), mtm_activo_m, mtm_pasivo_m) AS valor, CASE WHEN nullif(mtm_activo_m, 0) IS NOT NULL THEN 'mtm_activo_m' WHEN nullif(mtm_pasivo_m, 0) IS NOT NULL THEN 'mtm_pasivo_m' WHEN mtm_activo_m IS NOT NULL THEN 'mtm_activo_m' WHEN mtm_pasivo_m IS NOT NULL THEN 'mtm_pasivo_m' END AS origen FROM fact_derivado")
 _register(
     "rate_math",
-    lambda s, d: table(s, d, "v_renta_fija_clasificada").select("zip_origen", "source_file", "line_no", numbers.breakeven(C("tir_mercado"), F.lit(5.0)).alias("breakeven"), F.round(numbers.bullet_duration(F.lit(10.0), C("tir_mercado"), F.lit(4.0)), 6).alias("duracion"), numbers.percent_over(C("valor_final"), F.lit(1000.0)).alias("sobre"), numbers.least_positive(C("valor_final"), F.lit(50000.0)).alias("menor"), numbers.relative_difference(C("valor_final"), F.lit(1000.0)).alias("dif")).distinct(),
-    f"SELECT DISTINCT {_KEY3}, CASE WHEN tir_mercado <> 0 OR 5.0 <> 0 THEN ((1 + 5.0 / 100) / (1 + tir_mercado / 100) - 1) * 100 END AS breakeven, round(CASE WHEN abs(y) < 1e-9 THEN 10 / (1 + y) ELSE ((1 + y) / y - (1 + y + 10 * (0.04 - y)) / (0.04 * (pow(1 + y, 10) - 1) + y)) / (1 + y) END, 6) AS duracion, (valor_final / 1000 - 1) * 100 AS sobre, least(CASE WHEN valor_final > 0 THEN valor_final END, 50000) AS menor, abs(valor_final - 1000) / 1000 AS dif FROM (SELECT *, coalesce(nullif(tir_mercado, 0), 4.0) / 100 AS y FROM v_renta_fija_clasificada)",
+    lambda s, d: table(s, d, "v_renta_fija_clasificada").select("zip_origen", "source_file", "line_no", numbers.breakeven(C("tir_mercado"), F.lit(5.0)).alias("breakeven"), F.round(numbers.bullet_duration(F.lit(10.0), C("tir_mercado"), F.lit(4.0)), 6).alias("duracion"), numbers.percent_over(C("valor_final"), F.lit(1000.0)).alias("sobre"), numbers.least_positive(C("valor_final"), F.lit(50000.0)).alias("menor"), numbers.relative_difference(C("valor_final"), F.lit(1000.0)).alias("dif"), numbers.compound_difference(C("tir_mercado"), F.lit(3.0)).alias("sobre_tasa"), F.round(numbers.implied_growth(C("valor_final"), F.lit(1000.0), F.datediff("fecha_vencimiento", F.lit("2025-01-01").cast("date"))), 6).alias("crecimiento")).distinct(),
+    f"SELECT DISTINCT {_KEY3}, CASE WHEN tir_mercado <> 0 OR 5.0 <> 0 THEN ((1 + 5.0 / 100) / (1 + tir_mercado / 100) - 1) * 100 END AS breakeven, round(CASE WHEN abs(y) < 1e-9 THEN 10 / (1 + y) ELSE ((1 + y) / y - (1 + y + 10 * (0.04 - y)) / (0.04 * (pow(1 + y, 10) - 1) + y)) / (1 + y) END, 6) AS duracion, (valor_final / 1000 - 1) * 100 AS sobre, least(CASE WHEN valor_final > 0 THEN valor_final END, 50000) AS menor, abs(valor_final - 1000) / 1000 AS dif, ((1 + tir_mercado / 100) / 1.03 - 1) * 100 AS sobre_tasa, round(CASE WHEN valor_final > 0 AND fecha_vencimiento > DATE '2025-01-01' THEN (pow(valor_final / 1000, 365.0 / date_diff('day', DATE '2025-01-01', fecha_vencimiento)) - 1) * 100 END, 6) AS crecimiento FROM (SELECT *, coalesce(nullif(tir_mercado, 0), 4.0) / 100 AS y FROM v_renta_fija_clasificada)",
 )
 _register("amount_cl", lambda s, d: table(s, d, "fact_derivado").where("nocional_texto IS NOT NULL").select("nocional_texto", numbers.spanish_amount(F.regexp_extract("nocional_texto", "([0-9.,]*[0-9])", 1)).cast("double").alias("monto")).distinct(), "SELECT DISTINCT nocional_texto, CAST(TRY_CAST(replace(replace(regexp_extract(nocional_texto, '([0-9.,]*[0-9])', 1), '.', ''), ',', '.') AS DECIMAL(20,4)) AS DOUBLE) AS monto FROM fact_derivado WHERE nocional_texto IS NOT NULL")
 _register("month_label", lambda s, d: table(s, d, "fact_derivado").select("periodo_informacion", text.month_label(C("periodo_informacion")).alias("etiqueta"), text.month_title(C("periodo_informacion")).alias("titulo")).distinct(), "SELECT DISTINCT periodo_informacion, ['Ene','Feb','Mar','Abr','May','Jun','Jul','Ago','Sep','Oct','Nov','Dic'][periodo_informacion % 100] || '-' || (periodo_informacion // 100) AS titulo, ['ene','feb','mar','abr','may','jun','jul','ago','sep','oct','nov','dic'][periodo_informacion % 100] || '-' || lpad(CAST(periodo_informacion // 100 % 100 AS VARCHAR), 2, '0') AS etiqueta FROM fact_derivado")

@@ -55,6 +55,10 @@ def test_verdicts(spark):
     df = spark.createDataFrame([(1, 100.0, 100.4), (2, 100.0, 150.0), (3, None, 1.0)], "id int, a double, b double")
     got = {r["id"]: r["veredicto"] for r in rules.judged(df, [rules.check("eq", F.lit(True), F.col("a"), F.col("b"), absolute=1.0)]).collect()}
     assert got == {1: "pass", 2: "quarantine", 3: "unverified"}
+    cost = spark.createDataFrame([(1, 100.0, 30.0, 70.5), (2, 100.0, None, 100.0), (3, 100.0, 30.0, 80.0), (4, None, 1.0, 1.0)], "id int, a double, b double, c double")
+    assert {r["id"]: r["veredicto"] for r in rules.judged(cost, [rules.difference("costo", F.lit(True), F.col("a"), F.col("b"), F.col("c"))]).collect()} == {1: "pass", 2: "pass", 3: "quarantine", 4: "unverified"}
+    uf = spark.createDataFrame([(1, 7600.0, 200.0), (2, 7800.0, 200.0), (3, 38.0, 1.0), (4, None, 200.0), (5, 7600.0, 0.0)], "id int, mp double, um double")
+    assert {r["id"]: r["veredicto"] for r in rules.judged(uf, [rules.unit_price("uf", F.lit(True), F.col("mp"), F.col("um"), F.lit(38000.0), scale=1000.0, least=100.0)]).collect()} == {1: "pass", 2: "quarantine", 3: "unverified", 4: "unverified", 5: "unverified"}
     assert rules.judged(df, []).where("veredicto = 'unverified'").count() == 3
 
 
