@@ -67,6 +67,8 @@ HEARD_WORD, HEARD_MEAN = 0.85, 0.93
 LEAST_ONLY, MARGIN = 0.88, 0.03
 #: Members of a blocking key above which its pairs are spread over tiles of about so many members.
 HOT_KEY = 2_000
+#: Rounds of stars after which something is wrong: they grow with the logarithm of the longest chain, squared at most.
+MOST_ROUNDS = 200
 #: Width of the name field. A word that reaches its end may be cut and is marked.
 WIDTH, CUT = 60, "."
 
@@ -233,8 +235,9 @@ def phonetic(word: str) -> str:
 
 @lru_cache(200_000)
 def _reduced(code: str) -> list[str]:
-    """The code and all codes with one consonant less, so that codes one edit apart share one."""
-    return sorted({code, *(code[:i] + code[i + 1 :] for i in range(len(code)))} if len(code) > 2 else {code})
+    """The code and all codes with one consonant less, without doubles, so that codes one edit apart share one."""
+    less = {re.sub(r"(.)\1+", r"\1", code[:i] + code[i + 1 :]) for i in range(len(code))} if len(code) > 2 else set()
+    return sorted({code, *less})
 
 
 def keys(kind: str, first: str, one: str, two: str, rest: str = "") -> list[str]:
@@ -447,7 +450,7 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     A round only aggregates and joins by node, so no component ever meets in one task."""
     edges = checkpointed(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
-    while True:
+    for _ in range(MOST_ROUNDS):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -459,6 +462,8 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError("components: no end after MOST_ROUNDS rounds")
     return nodes.join(edges.select(F.col("u").alias("_id"), F.col("v").alias("_v")), "_id", "left").select("_id", F.coalesce("_v", "_id").alias("label"))
 
 
