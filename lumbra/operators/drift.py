@@ -170,13 +170,14 @@ def _shown(p: str) -> Column:
     return F.concat(F.col(f"{p}.kind"), F.lit("("), F.col(f"{p}.width"), F.lit(","), F.col(f"{p}.decimals"), F.lit(")"), F.when(F.col(f"{p}.signed"), "s").otherwise(""))
 
 
-def schema_changes(fields: DataFrame, lines: DataFrame) -> DataFrame:
+def schema_changes(fields: DataFrame, lines: DataFrame, lists: DataFrame | None = None) -> DataFrame:
     """(archivo_id, antes, campo, campo_antes, cambio, imagen_antes, imagen, tipos_antes, tipos): each change of a file against its series' previous delivered period.
 
     imagen is the declared picture, tipos the raw types that the file's values really have, from the path-type statistics;
     null where the file has no such field, '' where it has no lines. A field whose values are blank, or without common
-    lines, is never a rename: it is removed and added. Empty tables give no rows."""
-    lists = checkpointed(field_lists(fields))  # read by every part of the comparison
+    lines, is never a rename: it is removed and added. lists: field_lists of the same fields, if they are written already. Empty
+    tables give no rows."""
+    lists = checkpointed(field_lists(fields)) if lists is None else lists  # read by every part of the comparison
     pairs = checkpointed(deliveries(lists).where("antes IS NOT NULL").select(*_SIDES))  # two numbers a delivery
     seen = path_statistics(path_values(lines, lists))
     types = F.array_join(F.array(*[F.when(F.col(t) > 0, F.lit(t)) for t in RAW_TYPES]), "|")
@@ -252,7 +253,7 @@ def one_table(fields: DataFrame, lines: DataFrame, changes: DataFrame | None = N
     names that one file has together keep a column each (see aliases). A field called as one of OWN gets `campo_` before its
     name. Empty tables give no rows."""
     lists = checkpointed(field_lists(fields))
-    known, _ = aliases(schema_changes(fields, lines) if changes is None else changes, lists)
+    known, _ = aliases(checkpointed(schema_changes(fields, lines, lists)) if changes is None else changes, lists)
     files = lists.select("archivo_id", "serie_id", "letra", "periodo").distinct()
     values = path_values(lines, lists).join(files, "archivo_id")
     if known:
