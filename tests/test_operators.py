@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumbra.operators import cohorts, filters, flows, identity, publications, ranking, reconcile, resolve, rules, series
+from lumbra.session import ship
 
 D = dt.date
 
@@ -280,3 +281,45 @@ def test_fuzzy_resolution_against_all_pairs(spark):
         else:
             assert got[i][1] == "unresolved"
     assert fuzzy > 20
+
+
+@pytest.mark.parametrize("limit", [160 << 20, 0])
+def test_similar_names_are_all_pairs_that_reach_the_limits(spark, monkeypatch, limit):
+    import random
+    from difflib import SequenceMatcher
+
+    monkeypatch.setattr(resolve, "INDEX_LIMIT", limit)
+    r = random.Random(limit)
+    word = lambda: "".join(r.choice("ABCDEILMNORSTU") for _ in range(r.choice([1, 2, 5, 8, 11])))
+    rare = [word() for _ in range(80)]
+    known = sorted({" ".join(r.choice(["BANCO", "DE", "LA", "S", *rare, *rare[:9]]) for _ in range(r.randint(1, 9))) for _ in range(300)} | {"A", "7 7 7", "AB " * 30 + "AB"})
+    edit = lambda s: "".join(x if r.random() > 0.05 else r.choice(["", x + "E", "N", " "]) for x in s)
+    names = sorted({n for k in known for n in (" ".join(edit(k).split()), " ".join([*k.split(), "SUR"]), " ".join(reversed(k.split()))) if n})
+    ship(spark)
+    frames = [spark.createDataFrame([(v,) for v in vs], f"{c} string") for vs, c in ((names, "_name"), (known, "alias"))]
+    got = {(x["_name"], x["alias"]): x["_s"] for x in resolve.similar(*frames).collect()}
+    want = {}
+    for n in names:
+        for k in known:
+            a, b = set(n.split()), set(k.split())
+            if len(a & b) / len(a | b) >= resolve.LEAST_OVERLAP and 2 * min(len(n), len(k)) >= resolve.REACH * (len(n) + len(k)):
+                s = SequenceMatcher(None, n, k).ratio()
+                if s >= resolve.REACH:
+                    want[n, k] = s
+    assert got == want and len(want) > 300
+
+
+def test_a_word_of_every_name_does_not_compare_all_pairs(spark):
+    import random
+    import time
+
+    r = random.Random(1)
+    word = lambda: "".join(r.choice("BCDFGLMNPRT") + r.choice("AEIOU") for _ in range(r.randint(4, 5)))
+    known = sorted({f"BANCO DE {word()} {word()}" for _ in range(12000)})
+    names = [k[:-2] + k[-1] if i % 10 == 0 else f"BANCO DE {word()} {word()}" for i, k in enumerate(known)]
+    cat = spark.createDataFrame([(k, None, k, None) for k in known], "entity string, rut long, alias string, identifier string")
+    rows = spark.createDataFrame([(i, None, n, None) for i, n in enumerate(names)], "id int, rut long, name string, identifier string")
+    began = time.time()
+    got = {x["id"]: x["entidad"] for x in resolve.cascade(rows, cat, ["id"]).where("metodo = 'fuzzy'").collect()}
+    assert time.time() - began < 90
+    assert all(got.get(i) == known[i] for i in range(0, len(known), 10)) and len(got) == len(range(0, len(known), 10))
