@@ -115,6 +115,32 @@ def similar(names: DataFrame, known: DataFrame) -> DataFrame:
     return cand.where(share >= LEAST_OVERLAP).withColumn("_s", ratio("_name", "alias")).where(F.col("_s") >= REACH)
 
 
+def _looked_up(rows: DataFrame, cat: DataFrame) -> DataFrame:
+    """rows with `_name` and what each exact step finds: `_rut`, `_a`, `_identifier`. cat: the catalog with its aliases as keys."""
+    lookup = lambda c: small(cat.where(F.col(c).isNotNull() & (F.col(c).cast("string") != "")).groupBy(c).agg(F.min("entity").alias(f"_{c}")))
+    r = rows.withColumn("_name", name_key(F.col("name")))
+    return r.join(lookup("rut"), "rut", "left").join(lookup("alias").withColumnRenamed("alias", "_name").withColumnRenamed("_alias", "_a"), "_name", "left").join(lookup("identifier"), "identifier", "left")
+
+
+def _judged(got: DataFrame, key: list[str], identifier_first: bool) -> DataFrame:
+    """The first step that found something, with its confidence."""
+    steps = [("_rut", "rut", 1.0), ("_a", "alias", 0.98), ("_identifier", "identifier", 0.97)]
+    if identifier_first:
+        steps = [steps[0], steps[2], steps[1]]
+    method = F.when(F.lit(False), "")
+    score = F.when(F.lit(False), F.lit(0.0))
+    for c, m, s in steps:
+        method, score = method.when(F.col(c).isNotNull(), m), score.when(F.col(c).isNotNull(), F.lit(s))
+    method, score = method.when(F.col("_f").isNotNull(), "fuzzy").otherwise("unresolved"), score.when(F.col("_f").isNotNull(), F.col("_s")).otherwise(F.lit(0.0))
+    return got.select(*key, F.coalesce(*[F.col(c) for c, _, _ in steps], "_f").alias("entidad"), method.alias("metodo"), score.alias("confianza"))
+
+
+def exact(rows: DataFrame, catalog: DataFrame, key: list[str], identifier_first: bool = False) -> DataFrame:
+    """The rows of `cascade` that tax id, alias or identifier resolve. These steps come before similarity, so none is computed."""
+    got = _looked_up(rows, catalog.withColumn("alias", name_key(F.col("alias")))).where("_rut IS NOT NULL OR _a IS NOT NULL OR _identifier IS NOT NULL")
+    return _judged(got.withColumns({"_f": F.lit(None), "_s": F.lit(0.0)}), key, identifier_first)
+
+
 def cascade(rows: DataFrame, catalog: DataFrame, key: list[str], identifier_first: bool = False) -> DataFrame:
     """rows with `entidad`, `metodo`, `confianza`: by tax id, alias, identifier, then similarity; else unresolved.
 
@@ -124,9 +150,7 @@ def cascade(rows: DataFrame, catalog: DataFrame, key: list[str], identifier_firs
     The order of alias and identifier is the caller's."""
     ship(rows.sparkSession)
     cat = catalog.withColumn("alias", name_key(F.col("alias")))
-    lookup = lambda c: small(cat.where(F.col(c).isNotNull() & (F.col(c).cast("string") != "")).groupBy(c).agg(F.min("entity").alias(f"_{c}")))
-    r = rows.withColumn("_name", name_key(F.col("name")))
-    got = r.join(lookup("rut"), "rut", "left").join(lookup("alias").withColumnRenamed("alias", "_name").withColumnRenamed("_alias", "_a"), "_name", "left").join(lookup("identifier"), "identifier", "left")
+    got = _looked_up(rows, cat)
     left = got.where("_rut IS NULL AND _a IS NULL AND _identifier IS NULL AND _name <> ''").select("_name").distinct()
     aliases = cat.where("alias <> ''").select("alias", "entity").distinct().groupBy("alias").agg(F.min("entity").alias("entity"), F.count(F.lit(1)).alias("_of"))
     cand = similar(left, aliases.select("alias")).join(aliases, "alias")
@@ -134,13 +158,4 @@ def cascade(rows: DataFrame, catalog: DataFrame, key: list[str], identifier_firs
     second = F.when(F.col("_of") > 1, F.col("_s")).otherwise(F.coalesce(F.lead("_s").over(w), F.lit(0.0)))
     ranked = cand.withColumn("_k", F.row_number().over(w)).withColumn("_next", second).where("_k = 1")
     fuzzy = ranked.where((F.col("_s") >= LEAST) & (F.col("_s") - F.col("_next") >= LEAD)).select("_name", F.col("entity").alias("_f"), "_s")
-    got = got.join(fuzzy, "_name", "left")
-    steps = [("_rut", "rut", 1.0), ("_a", "alias", 0.98), ("_identifier", "identifier", 0.97)]
-    if identifier_first:
-        steps = [steps[0], steps[2], steps[1]]
-    method = F.when(F.lit(False), "")
-    score = F.when(F.lit(False), F.lit(0.0))
-    for c, m, s in steps:
-        method, score = method.when(F.col(c).isNotNull(), m), score.when(F.col(c).isNotNull(), F.lit(s))
-    method, score = method.when(F.col("_f").isNotNull(), "fuzzy").otherwise("unresolved"), score.when(F.col("_f").isNotNull(), F.col("_s")).otherwise(F.lit(0.0))
-    return got.select(*key, F.coalesce(*[F.col(c) for c, _, _ in steps], "_f").alias("entidad"), method.alias("metodo"), score.alias("confianza"))
+    return _judged(got.join(fuzzy, "_name", "left"), key, identifier_first)

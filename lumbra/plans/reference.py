@@ -817,7 +817,7 @@ def resolve_steps(s, d):
     """Filed records that the exact steps resolve: tax id, then alias, then identifier."""
     rows = table(s, d, "cmf_v2024").select("registro_id", "rut", C("nombre").alias("name"), C("lei").alias("identifier")).distinct()
     cat = table(s, d, "contrapartes").select(C("entidad_id").alias("entity"), F.regexp_extract("entidad_id", r"^RUT (\d+)-", 1).try_cast("bigint").alias("rut"), C("entidad_nombre").alias("alias"), F.when(C("entidad_tipo_id") == "LEI", F.substring("entidad_id", 5, 20)).alias("identifier"))
-    return resolve.cascade(rows, cat, ["registro_id"]).where(C("metodo").isin("rut", "alias", "identifier")).select("registro_id", "entidad", "metodo")
+    return resolve.exact(rows, cat, ["registro_id"]).select("registro_id", "entidad", "metodo")
 
 
 @query()

@@ -323,3 +323,23 @@ def test_a_word_of_every_name_does_not_compare_all_pairs(spark):
     got = {x["id"]: x["entidad"] for x in resolve.cascade(rows, cat, ["id"]).where("metodo = 'fuzzy'").collect()}
     assert time.time() - began < 90
     assert all(got.get(i) == known[i] for i in range(0, len(known), 10)) and len(got) == len(range(0, len(known), 10))
+
+
+def test_exact_steps_are_those_of_the_cascade_without_similarity(spark, monkeypatch):
+    cat = spark.createDataFrame([("B2", 97, "Banco de Prueba", "L2"), ("B1", None, "BANCO DE PRUEBA SA", None), ("OTR", 5, "Compania Andina", "L1"), (None, 6, "Sin Entidad", "")], "entity string, rut long, alias string, identifier string")
+    rows = spark.createDataFrame([(1, 97, "Compania Andina", "L1"), (2, None, "banco de prueba", "L1"), (3, 8, "zzz", "L1"), (4, None, "Compania Andinas", None), (5, 6, "Sin Entidad", ""), (6, None, None, None), (6, None, "Nadie", "L2")], "id int, rut long, name string, identifier string")
+    cols = lambda df: sorted(map(tuple, df.collect()))
+    want = {first: cols(resolve.cascade(rows, cat, ["id"], first).where("metodo IN ('rut', 'alias', 'identifier')")) for first in (False, True)}
+    monkeypatch.setattr(resolve, "similar", None)
+    assert {first: cols(resolve.exact(rows, cat, ["id"], first)) for first in (False, True)} == want
+    assert [x[:3] for x in want[False]] == [(1, "B2", "rut"), (2, "B1", "alias"), (3, "OTR", "identifier"), (6, "B2", "identifier")]
+    assert [x[:3] for x in want[True]] == [(1, "B2", "rut"), (2, "OTR", "identifier"), (3, "OTR", "identifier"), (6, "B2", "identifier")]
+
+
+def test_resolve_steps_computes_no_similarity(spark, data, monkeypatch):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(resolve, "ratio", None)
+    df = entry.queries()["resolve_steps"](spark, data)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "levenshtein" not in plan and "ArrowEvalPython" not in plan and df.count() > 0
